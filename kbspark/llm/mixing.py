@@ -94,7 +94,7 @@ def schedule(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     numbered = numbered.withColumn("cell", F.floor((F.col("h").cast("double") / 2.0**64 + 0.5) * cells).cast("long"))
     placed = stored(_ranked(numbered, "place", "cell", ["h", "doc_id", "size", "row"], "size", "begin"), "placed")
     # the points of each source: an interval of [0, slots), made in stretches
-    span = sources.withColumn("from", F.ceil(F.col("lo") / F.col("all") * slots).cast("long")).withColumn("to", F.ceil(F.when(F.col("hi") == F.col("all"), F.lit(1.0)).otherwise(F.col("hi") / F.col("all")) * slots).cast("long")).where(F.col("to") > F.col("from"))
+    span = sources.withColumn("from", F.ceil(F.coalesce(F.try_divide(F.col("lo"), F.col("all")), F.lit(0.0)) * slots).cast("long")).withColumn("to", F.ceil(F.when(F.col("hi") == F.col("all"), F.lit(1.0)).otherwise(F.try_divide(F.col("hi"), F.col("all"))) * slots).cast("long")).where(F.col("to") > F.col("from"))
     stretches = span.select("place", "source_size", "from", "to", F.explode(F.sequence(F.col("from"), F.col("to") - 1, F.lit(CELL).cast("long"))).alias("a"))
     stretches = stretches.repartition(F.xxhash64("place", "a"))
     points = stretches.select("place", "source_size", F.explode(F.sequence("a", F.least(F.col("a") + CELL, F.col("to")) - 1)).alias("point"))

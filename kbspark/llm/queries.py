@@ -94,8 +94,8 @@ QUERIES = {
 ORACLES = {
     "op1_exact_topk": """
         with v as (
-            select vec_id, list_transform(embedding, x -> cast(floor(64 * cast(x as double)) as bigint)) as t from embeddings
-            where vec_id is not null and embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+            select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as t from embeddings
+            where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
         c as (select vec_id, unnest(t) as x, generate_subscripts(t, 1) as i from v),
         s as (
             select q.vec_id as query_id, c.vec_id, sum(q.x * c.x) as score from c q join c on q.i = c.i and q.vec_id <> c.vec_id
