@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -26,7 +27,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df written once to the shared folder and read again: its lineage ends there, and a lost executor costs nothing."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def forget(spark: SparkSession, *tables: DataFrame) -> None:
+    """Deletes stored tables that nothing will read again, and lets Spark's cleaner drop finished steps' shuffle files.
+
+    Spark drops a shuffle's files when the driver has collected its last reference.
+    """
+    jvm = spark.sparkContext._jvm
+    for df in tables:
+        path = jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
 
 
 def partitions(spark: SparkSession) -> int:

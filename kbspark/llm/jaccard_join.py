@@ -4,9 +4,9 @@ A text's set is its distinct 5-word shingles (64-bit hashes). Texts with the sam
 one *node*, named by the set's fingerprint, so copies are one row from here on. A global
 order puts rare shingles first (by hash) and frequent ones last (rarest first), so a set
 of n shingles that has a partner of Jaccard >= t shares one of its first n - ceil(t n) + 1
-shingles with it: the prefix. The prefix is extended by g shingles, g a power of two near an
-eighth of it, so that partners share g + 1; each of these is either rare and indexed by itself
-with its position, or frequent. If all are frequent, two of them fall into one of g classes (by
+shingles with it: the prefix. Rare shingles are indexed by themselves, with their position. A prefix
+that has frequent ones is extended by g shingles, g a power of two near an eighth of it, so that two
+such partners share g + 1. If all of these are frequent, two of them fall into one of g classes (by
 hash), so frequent shingles are indexed by their pairs within a class: the key of such a pair
 is far rarer than either. A set also indexes the pairs of the g below it, as the partner's g
 may be half its own.
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words
-from .common import stored
+from .common import forget, partitions, stored
 from .components import components
 
 #: A shingle in more prefixes than this is frequent.
@@ -103,7 +103,7 @@ def _classes(p: int) -> int:
 
 
 def _postings(n: int, percent: int, frequent):
-    """Rows (key, node, size, place): place is the position of a rare shingle, -1 for a pair of frequent ones."""
+    """Rows (key, node, what): what is size * 2**32 + place; the place of a rare shingle is its position, that of a pair of frequent ones -1."""
 
     def keys(s: np.ndarray, tokens: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         p = _prefix(len(s), percent)
@@ -111,9 +111,12 @@ def _postings(n: int, percent: int, frequent):
         at = np.searchsorted(tokens, s)
         at[at == len(tokens)] = 0
         often = tokens[at] == s if len(tokens) else np.zeros(len(s), bool)
-        rare, common = s[~often][: p + g], s[often]
+        rare, common = s[~often], s[often]
+        if len(rare) >= p:
+            return rare[:p], np.arange(p)
+        rare = rare[: p + g]
         out, places = [rare], [np.arange(len(rare))]
-        if len(rare) < p + g and len(common):
+        if len(common):
             common = common[np.argsort(ranks[at[often]], kind="stable")][: p + g - len(rare)]
             for classes in {g, max(1, g // 2)}:
                 h = words.mix(common)
@@ -141,39 +144,52 @@ def _postings(n: int, percent: int, frequent):
                 k.append(key)
                 pl.append(place)
                 w.append(np.full(len(key), f, _LONG))
-                z.append(np.full(len(key), len(s), np.int32))
+                z.append(np.full(len(key), len(s), _LONG))
             if k:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(k).view(_LONG)), pa.array(np.concatenate(w)), pa.array(np.concatenate(z)), pa.array(np.concatenate(pl).astype(np.int32))], ["key", "node", "size", "place"])
+                what = (np.concatenate(z) << 32) + np.concatenate(pl)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(k).view(_LONG)), pa.array(np.concatenate(w)), pa.array(what)], ["key", "node", "what"])
 
     return run
 
 
 def _full_sets(n: int):
+    """Sets as 40 bits of each hash: two hashes that differ agree there once in 10**12, which could only add to an overlap."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = _sets(b, n)
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
+            sets = [s.view(np.uint8).reshape(-1, 8)[:, 3:].tobytes() for s in _sets(b, n)]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
 
     return run
 
 
+def _unpacked(x: bytes) -> np.ndarray:
+    out = np.zeros((len(x) // 5, 8), np.uint8)
+    out[:, 3:] = np.frombuffer(x, np.uint8).reshape(-1, 5)
+    return out.reshape(-1).view(np.uint64)
+
+
 def _verify(percent: int):
+    """From sets ordered by hub, the hub's own first (b null): the pairs that reach the similarity."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = []
-            hubs, others = b.column("hub"), b.column("shingles")
-            last = mine = None
-            for i, a in enumerate(b.column("a").to_pylist()):
-                if a != last:
-                    last, mine = a, np.frombuffer(hubs[i].as_py(), np.uint64)
-                s = np.frombuffer(others[i].as_py(), np.uint64)
+        hub = mine = None
+        for rows in batches:
+            found: tuple[list[int], list[int]] = ([], [])
+            for a, b, x in zip(rows.column("a").to_pylist(), rows.column("b").to_pylist(), rows.column("shingles").to_pylist(), strict=True):
+                if b is None:
+                    hub, mine = a, _unpacked(x)
+                    continue
+                assert a == hub
+                s = _unpacked(x)
                 small, large = (s, mine) if len(s) < len(mine) else (mine, s)
                 at = np.searchsorted(large, small)
                 at[at == len(large)] = 0
                 both = int((large[at] == small).sum())
-                ok.append(100 * both >= percent * (len(s) + len(mine) - both))
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], ["a", "b"])
+                if 100 * both >= percent * (len(s) + len(mine) - both):
+                    found[0].append(a)
+                    found[1].append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["a", "b"])
 
     return run
 
@@ -197,43 +213,126 @@ def _live_postings(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     tokens = np.array([r.token for r in top], _LONG).view(np.uint64)
     order = np.argsort(tokens)
     listed = spark.sparkContext.broadcast((tokens[order], np.array([r.n for r in top], _LONG)[order]))
-    posts = stored(text.mapInArrow(_postings(shingle, percent, listed), "key long, node long, size int, place int"), "postings")
-    # counted with sums on the map side: no key's rows meet in one task
-    shared = posts.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min(F.struct(F.xxhash64("key", "node").alias("h"), "node", "size", "place")).alias("pivot")).where("low <> high").select("key", "pivot")
-    return stored(posts.join(shared, "key").distinct(), "live")
+    posts = text.mapInArrow(_postings(shingle, percent, listed), "key long, node long, what long")
+    # sorted by Spark (which spills) and read as a stream: a key's rows are never held together
+    ordered = posts.repartition(partitions(spark), "key").sortWithinPartitions("key", F.xxhash64("key", "node"), "node")
+    live = stored(ordered.mapInArrow(_shared, "key long, node long, what long, pivot long, pivot_what long"), "live")
+    forget(spark)
+    return live
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From postings in order: those of keys with two nodes or more, each once, with the key's first node as its pivot."""
+    names = ("key", "node", "what")
+    last = pivot = None
+    told = False
+    for b in batches:
+        k, n, w = (b.column(c).to_numpy(zero_copy_only=False) for c in names)
+        if not len(k):
+            continue
+        if last is not None:
+            k, n, w = (np.concatenate([[x], y]) for x, y in zip(last, (k, n, w), strict=True))
+        new = np.ones(len(k), bool)
+        new[1:] = (k[1:] != k[:-1]) | (n[1:] != n[:-1])
+        if last is not None:
+            new[0] = False  # sent or held before
+        start = np.ones(len(k), bool)
+        start[1:] = k[1:] != k[:-1]
+        if last is not None:
+            # the run that goes on: its pivot is known, and may have to be sent yet
+            more = bool(((k == pivot[0]) & new).any())
+            head = [np.array([x]) for x in pivot] if more and not told else None
+        else:
+            more, head = False, None
+        run = np.cumsum(start) - 1
+        first = np.flatnonzero(start)
+        p_node, p_what = n[first].copy(), w[first].copy()
+        if last is not None:
+            p_node[0], p_what[0] = pivot[1], pivot[2]
+        sizes = np.bincount(run, new)
+        if last is not None:
+            sizes[0] += 1  # the pivot
+        keep = new & (sizes[run] > 1)
+        at = np.flatnonzero(keep)
+        out = [k[at], n[at], w[at], p_node[run[at]], p_what[run[at]]]
+        if head is not None:
+            out = [np.concatenate([h, o]) for h, o in zip([*head, head[1], head[2]], out, strict=True)]
+        end = run[-1]
+        if end == 0 and last is not None:
+            told = told or more
+        else:
+            pivot, told = (k[first[-1]], n[first[-1]], w[first[-1]]), bool(sizes[end] > 1)
+        last = (k[-1], n[-1], w[-1])
+        if len(out[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], [*names, "pivot", "pivot_what"])
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets reach the similarity, stored; sets are made anew from one text of each node.
+
+    A hub's set goes once to all its partners' sets; hubs are split over SPLIT tasks by partner.
+    """
+    spark = docs.sparkSession
+    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = stored(chosen.join(asked, "node", "left_semi"), "wanted")
+    filtered = _maybe(docs.select("doc_id", "text"), wanted)
+    rows = filtered.join(wanted, "doc_id").groupBy("node").agg(F.first("text").alias("text"))
+    sets = stored(rows.select("node", "text").mapInArrow(_full_sets(shingle), "node long, shingles binary"), "sets")
+    forget(spark, wanted)
+    part = F.pmod(F.xxhash64("b"), F.lit(SPLIT))
+    others = pairs.join(sets.withColumnRenamed("node", "b"), "b").select("a", part.alias("part"), "b", "shingles")
+    hubs = pairs.select("a", part.alias("part")).distinct().join(sets.withColumnRenamed("node", "a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "shingles")
+    both = hubs.unionByName(others).repartition(partitions(spark), "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    links = stored(both.select("a", "b", "shingles").mapInArrow(_verify(percent), "a long, b long"), "links")
+    forget(spark, pairs, sets)
+    return links
+
+
+#: Tasks that a hub's partners are dealt to.
+SPLIT = 4
+#: Bits of the filter that spares most unwanted texts the shuffle; full, it spares none.
+FILTER_BITS = 1 << 24
+
+
+def _maybe(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of docs whose id may be wanted, by a bitmap of fixed size (2 MB); the join that follows is exact."""
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    at = wanted.select(bit("doc_id").alias("x")).select(F.shiftright("x", 5).alias("i"), F.expr("shiftleft(1L, cast(x % 32 as int))").alias("v"))
+    bits = np.zeros(FILTER_BITS // 32, np.uint32)
+    for r in at.groupBy("i").agg(F.bit_or("v").alias("v")).toLocalIterator():
+        bits[r.i] = r.v
+    listed = docs.sparkSession.sparkContext.broadcast(bits)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = b.column("x").to_numpy(zero_copy_only=False)
+            keep = (listed.value[x >> 5] >> (x & 31).astype(np.uint32)) & 1 == 1
+            yield b.select(["doc_id", "text"]).filter(pa.array(keep))
 
-def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets reach the similarity; sets are made anew from one text of each node."""
-    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = stored(texts.join(asked, "node", "left_semi").select("node", "text").mapInArrow(_full_sets(shingle), "node long, shingles binary"), "sets")
-    hubs = sets.select(F.col("node").alias("a"), F.col("shingles").alias("hub"))
-    joined = pairs.join(sets.withColumnRenamed("node", "b"), "b").join(hubs, "a")
-    return joined.select("a", "b", "hub", "shingles").mapInArrow(_verify(percent), "a long, b long")
+    return docs.withColumn("x", bit("doc_id")).mapInArrow(run, docs.schema)
 
 
 def similar_nodes(docs: DataFrame, marked: DataFrame, shingle: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
-    """(node, component) of the nodes that have links, component being the smallest document id reachable.
+    """(node, component) of the nodes that have links, component being the smallest node reachable.
 
     docs: (doc_id, text); marked: nodes(docs).
     """
+    spark = docs.sparkSession
     live = _live_postings(docs, shingle, percent)
     chosen = marked.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted = chosen.join(live.select("node").distinct(), "node", "left_semi")
-    rows = docs.select("doc_id", "text").join(wanted, "doc_id").groupBy("node").agg(F.first("text").alias("text"))
-    texts = stored(rows, "texts")
-    x, y = live.alias("x"), live.alias("y")
-    pivots = live.select(*[F.col("pivot." + c).alias(c) for c in ("node", "size", "place")], F.col("node").alias("x_node"), F.col("size").alias("x_size"), F.col("place").alias("x_place"))
-    star = pivots.where("node <> x_node").where(_possible(percent).replace("x.", "x_").replace("y.", "")).select(F.col("x_node").alias("a"), F.col("node").alias("b"))
-    links = stored(_verified(star, texts, shingle, percent), "links")
-    found = components(links)
-    part = live.join(found, "node", "left").withColumn("comp", F.coalesce("component", "node")).select("key", "node", "size", "place", "comp")
+    size, place = "shiftright({}, 32) + if({} & 4294967295 = 4294967295, 1, 0)", "cast(if({} & 4294967295 = 4294967295, -1, {} & 4294967295) as int)"
+    split = lambda c, p: [F.expr(size.format(c, c)).alias(p + "size"), F.expr(place.format(c, c)).alias(p + "place")]
+    stars = live.where("node <> pivot").select("node", "pivot", *split("what", "x_"), *split("pivot_what", "y_"))
+    star = stars.where(_possible(percent).replace("x.", "x_").replace("y.", "y_")).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    found = components(_verified(star, docs, chosen, shingle, percent))
+    part = live.join(found, "node", "left").select("key", "node", *split("what", ""), F.coalesce("component", "node").alias("comp"))
     mixed = part.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     part = stored(part.join(mixed, "key", "left_semi"), "mixed")
+    forget(spark, live)
     x, y = part.alias("x"), part.alias("y")
     cross = x.join(y, F.expr("x.key = y.key and x.node < y.node and x.comp <> y.comp and " + _possible(percent))).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    more = stored(_verified(cross, texts, shingle, percent), "links")
+    more = _verified(cross, docs, chosen, shingle, percent)
     if more.isEmpty():
         return found
     return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
