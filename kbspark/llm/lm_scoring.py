@@ -38,7 +38,7 @@ CLASSES, START = 24, 24
 SWEEPS, BURN_IN = 3, 1
 STRENGTH, ROOT_STRENGTH = 1.0, 1.0
 #: Words whose probabilities every task holds: 4 * (CLASSES + 1) bytes each.
-FREQUENT = 1 << 17
+FREQUENT = 1 << 16
 #: Tokens counted together before they are shuffled.
 CHUNK = 1 << 22
 END = np.uint64(0x656E64)
@@ -195,6 +195,21 @@ def train(docs: DataFrame) -> tuple[DataFrame, np.ndarray, dict]:
     return model, np.stack(backs), {"tokens": total, "vocabulary": vocabulary, "unknown": unknown}
 
 
+def _dense(backs: np.ndarray):
+    """A word's log10 probabilities in all contexts, as 4-byte numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for cls, prob, p0s in zip(b.column("cls").to_pylist(), b.column("prob").to_pylist(), b.column("p0s").to_pylist(), strict=True):
+                x = np.array(p0s) @ backs / len(backs)
+                x[cls] = prob
+                out.append(np.log10(x).astype(np.float32).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("w"), b.column("total"), pa.array(out, pa.binary())], ["w", "total", "logs"])
+
+    return run
+
+
 def _score(known):
     """Sums over the frequent words' tokens of each row, and a row for each other token."""
 
@@ -233,16 +248,12 @@ def score(docs: DataFrame, model: DataFrame, backs: np.ndarray, info: dict) -> D
     spark = docs.sparkSession
     big_n, size, n = info["tokens"], info["vocabulary"], len(backs)
     bottom = big_n + 0.1 * (size + 1)
-    top = model.orderBy(F.desc("total"), "w").limit(FREQUENT).toPandas()
-    ids = top["w"].to_numpy(np.int64).view(_U) if len(top) else np.zeros(0, _U)
+    top = model.orderBy(F.desc("total"), "w").limit(FREQUENT).mapInArrow(_dense(backs), "w long, total long, logs binary").toArrow()
+    ids = top["w"].to_numpy().view(_U) if len(top) else np.zeros(0, _U)
     order = np.argsort(ids)
-    logs = np.zeros((len(ids), CLASSES + 1))
-    if len(ids):
-        logs += np.stack(top["p0s"].to_list()) @ backs / n
-        row = np.repeat(np.arange(len(ids)), top["cls"].str.len())
-        logs[row, np.concatenate(top["cls"].to_list())] = np.concatenate(top["prob"].to_list())
-    logs = np.log10(logs).astype(np.float32)[order]
-    base = np.log10((top["total"].to_numpy(float) + 0.1) / bottom)[order] if len(ids) else np.zeros(0)
+    logs = np.frombuffer(b"".join(top["logs"].to_pylist()), np.float32).reshape(-1, CLASSES + 1)[order]
+    base = np.log10((top["total"].to_numpy().astype(float) + 0.1) / bottom)[order] if len(ids) else np.zeros(0)
+    del top
     listed = spark.sparkContext.broadcast((ids[order], logs, base))
     rows = docs.select("doc_id", "text").withColumn("rid", F.monotonically_increasing_id())
     sums = rows.mapInArrow(_score(listed), "w long, rid long, c int, doc_id long, tokens long, known long, model double, base double")
