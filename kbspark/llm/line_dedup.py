@@ -104,10 +104,10 @@ def line_dedup(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     twice = found.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("h", "first")
     later = found.join(twice, "h").where(place > F.col("first")).groupBy("doc_id", "row_hash").agg(F.collect_set("at").alias("covered"))
     later = later.select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_row"), F.array_sort("covered").alias("covered"))
-    # stored, so that the planner knows how small it is
+    # the same join at every size: the texts are dealt by id whether few or many have covered lines
     later = stored(later, "covered")
     names = docs.columns
     on = (docs["doc_id"].cast("long").eqNullSafe(F.col("_id"))) & (F.xxhash64(docs["text"]) == F.col("_row"))
-    joined = docs.join(later, on, "left").select(*[docs[c] for c in names], "covered")
+    joined = docs.join(later.hint("merge"), on, "left").select(*[docs[c] for c in names], "covered")
     kinds = ", ".join(f"`{f.name}` {'long' if f.name == 'n_chars' else f.dataType.simpleString()}" for f in docs.schema)
     return joined.mapInArrow(_apply(names, width), f"{kinds}, _lines_removed long")
