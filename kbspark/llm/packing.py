@@ -18,6 +18,9 @@ partition); an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -34,37 +37,85 @@ CAPACITY, END = 2048, 0
 GROUP = 50_000
 #: Rounds of exchange at most; each has half the partitions of the one before.
 ROUNDS = 4
-#: Distinct words whose ids a task remembers.
+#: Distinct words, and pieces of words, whose ids a task remembers.
 WORDS_KEPT = 400_000
+#: The tokenizer file's rule (fixed value), and the same for lower-cased words that PLAIN matches.
+RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, piece_key long"
 
 
+class WordIds:
+    """A tokenizer's ids by word, as little-endian bytes.
+
+    The tokenizer drops white space and never merges across it, so a text's ids are its words' ids. Words
+    of printable ASCII and Latin-1 letters only are cut further, as the tokenizer's own rule cuts them
+    (contractions, runs of letters, single digits, runs of the rest), and pieces are encoded once: there are far
+    fewer of these than of words with their punctuation. All other words are encoded whole.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        # a task has one core
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_file(path)
+        self.cut = CUT.findall if _cuts_like(self.tokenizer) else None
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
+        for a in range(0, len(texts), 20_000):
+            part = texts[a : a + 20_000]
+            for t, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+                yield t, np.array(e.ids, "<u4").tobytes()
+
+    def learn(self, docs: list[list[str]]) -> None:
+        """Makes the words of ``docs`` known; at WORDS_KEPT words or pieces, all others are forgotten first."""
+        own = set().union(*docs)
+        if len(self.words) + len(own) > WORDS_KEPT:
+            self.words.clear()
+        if len(self.pieces) > WORDS_KEPT:
+            self.pieces.clear()
+        new = own.difference(self.words)
+        whole, cuts = [], {}
+        for w in new:
+            if self.cut and PLAIN.fullmatch(w) and "<|" not in w:
+                cuts[w] = self.cut(w.lower())
+            else:
+                whole.append(w)
+        self.words.update(self._encode(whole))
+        self.pieces.update(self._encode(list(set().union(*cuts.values()).difference(self.pieces))))
+        at = self.pieces.__getitem__
+        self.words.update((w, b"".join(map(at, c))) for w, c in cuts.items())
+
+
+def _cuts_like(tokenizer) -> bool:
+    """Whether the tokenizer lower-cases and cuts words by the rule of CUT."""
+    said = json.loads(tokenizer.to_str())
+    rules = [p.get("pattern", {}).get("Regex") for p in (said.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+    kinds = [n["type"] for n in (said.get("normalizer") or {}).get("normalizers", [])]
+    return rules[:1] == [RULE] and kinds == ["NFC", "Replace", "Lowercase"]
+
+
 def tokenize(path: str, capacity: int, end: int):
-    """Rows of pieces. The tokenizer drops white space and never merges across it, so ids are kept by word."""
+    """Rows of pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        known: dict[str, bytes] = {}
+        ids_of = WordIds(path)
         key = TaskContext.get().partitionId() << 40
+        last = np.array([end], "<u4").tobytes()
         for b in batches:
             docs = [(t or "").replace("\n", " ").split(" ") for t in b.column("text").to_pylist()]
-            new = list({w for ws in docs for w in ws if w and w not in known})
-            if len(known) + len(new) > WORDS_KEPT:
-                known.clear()
-                new = list({w for ws in docs for w in ws if w})
-            for a in range(0, len(new), 20_000):
-                part = new[a : a + 20_000]
-                for w, e in zip(part, tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                    known[w] = np.array(e.ids, "<u4").tobytes()
-            known[""] = b""
-            last = np.array([end], "<u4").tobytes()
+            ids_of.learn(docs)
+            at = ids_of.words.__getitem__
             out: list[tuple] = []
             for doc_id, ws in zip(b.column("doc_id").to_pylist(), docs, strict=True):
-                ids = b"".join([known[w] for w in ws]) + last
+                ids = b"".join(map(at, ws)) + last
                 n = len(ids) // 4
                 for p, s in enumerate(range(0, n, capacity)):
                     out.append((doc_id, p, s, min(capacity, n - s), crc32(ids[4 * s : 4 * (s + capacity)]), key))
