@@ -21,7 +21,9 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
+from functools import cache
 from zlib import crc32
 
 import numpy as np
@@ -37,22 +39,22 @@ CAPACITY, END = 2048, 0
 GROUP = 50_000
 #: Rounds of exchange at most; each has half the partitions of the one before.
 ROUNDS = 4
-#: Distinct words, and pieces of words, whose ids a task remembers.
-WORDS_KEPT = 400_000
-#: The tokenizer file's rule (fixed value), and the same for lower-cased words that PLAIN matches.
+#: Distinct pieces of text whose ids a Python worker remembers, and characters that are cut together.
+PIECES_KEPT, TOGETHER = 800_000, 1 << 20
+#: The tokenizer file's rule (fixed value), and the same for lower-cased text that PLAIN matches.
 RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 \n\t]+").findall
+PLAIN = re.compile(r"[ -~\n\tÀ-ÖØ-öø-ÿ]*")
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, piece_key long"
 
 
 class WordIds:
-    """A tokenizer's ids by word, as little-endian bytes.
+    """A tokenizer's ids of whole texts, as little-endian bytes, from the ids of their pieces.
 
     The tokenizer drops white space and never merges across it, so a text's ids are its words' ids. Words
     of printable ASCII and Latin-1 letters only are cut further, as the tokenizer's own rule cuts them
-    (contractions, runs of letters, single digits, runs of the rest), and pieces are encoded once: there are far
+    (contractions, runs of letters, single digits, runs of the rest), and a piece is encoded once: there are far
     fewer of these than of words with their punctuation. All other words are encoded whole.
     """
 
@@ -62,34 +64,47 @@ class WordIds:
         # a task has one core
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.cut = CUT.findall if _cuts_like(self.tokenizer) else None
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.cuts = _cuts_like(self.tokenizer)
+        self.known: dict[str, bytes] = {}
+
+    def _pieces(self, text: str) -> list[str]:
+        if self.cuts and "<|" not in text and PLAIN.fullmatch(text):
+            return CUT(text.lower())
+        out: list[str] = []
+        for w in text.replace("\n", " ").split(" "):
+            if self.cuts and "<|" not in w and PLAIN.fullmatch(w):
+                out += CUT(w.lower())
+            else:
+                out.append(w)
+        return out
 
-    def _encode(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
-        for a in range(0, len(texts), 20_000):
-            part = texts[a : a + 20_000]
+    def _learn(self, new: list[str]) -> None:
+        for a in range(0, len(new), 20_000):
+            part = new[a : a + 20_000]
             for t, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                yield t, np.array(e.ids, "<u4").tobytes()
-
-    def learn(self, docs: list[list[str]]) -> None:
-        """Makes the words of ``docs`` known; at WORDS_KEPT words or pieces, all others are forgotten first."""
-        own = set().union(*docs)
-        if len(self.words) + len(own) > WORDS_KEPT:
-            self.words.clear()
-        if len(self.pieces) > WORDS_KEPT:
-            self.pieces.clear()
-        new = own.difference(self.words)
-        whole, cuts = [], {}
-        for w in new:
-            if self.cut and PLAIN.fullmatch(w) and "<|" not in w:
-                cuts[w] = self.cut(w.lower())
-            else:
-                whole.append(w)
-        self.words.update(self._encode(whole))
-        self.pieces.update(self._encode(list(set().union(*cuts.values()).difference(self.pieces))))
-        at = self.pieces.__getitem__
-        self.words.update((w, b"".join(map(at, c))) for w, c in cuts.items())
+                self.known[t] = array("I", e.ids).tobytes()
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text; texts are taken together up to TOGETHER characters."""
+        lo = 0
+        while lo < len(texts):
+            hi, size = lo, 0
+            while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= TOGETHER):
+                size, hi = size + len(texts[hi]), hi + 1
+            cut = [self._pieces(t) for t in texts[lo:hi]]
+            if len(self.known) > PIECES_KEPT:
+                self.known.clear()
+            self._learn(list(set().union(*cut).difference(self.known)))
+            at = self.known.__getitem__
+            for c in cut:
+                yield b"".join(map(at, c))
+            lo = hi
+
+
+@cache
+def word_ids(path: str) -> WordIds:
+    """One per Python worker: its pieces serve the worker's later tasks as well."""
+    return WordIds(path)
 
 
 def _cuts_like(tokenizer) -> bool:
@@ -106,16 +121,13 @@ def tokenize(path: str, capacity: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        ids_of = WordIds(path)
         key = TaskContext.get().partitionId() << 40
         last = np.array([end], "<u4").tobytes()
         for b in batches:
-            docs = [(t or "").replace("\n", " ").split(" ") for t in b.column("text").to_pylist()]
-            ids_of.learn(docs)
-            at = ids_of.words.__getitem__
+            texts = [t or "" for t in b.column("text").to_pylist()]
             out: list[tuple] = []
-            for doc_id, ws in zip(b.column("doc_id").to_pylist(), docs, strict=True):
-                ids = b"".join(map(at, ws)) + last
+            for doc_id, ids in zip(b.column("doc_id").to_pylist(), word_ids(path).ids(texts), strict=True):
+                ids += last
                 n = len(ids) // 4
                 for p, s in enumerate(range(0, n, capacity)):
                     out.append((doc_id, p, s, min(capacity, n - s), crc32(ids[4 * s : 4 * (s + capacity)]), key))
