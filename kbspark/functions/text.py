@@ -88,3 +88,16 @@ def admitted(c: Column) -> Column:
     odd = s.rlike(r"^[·•\-\s]*$") | s.rlike(r"^[\d\s.\-+]*$") | s.rlike(r"^(序号|编号|说明|功能|参数|特性|型号)\s*$")
     known = F.exists(F.array(*[F.lit(t) for t in ADMITTING]), lambda t: F.contains(c, t))
     return (F.length(s) >= 30) & ~odd & (count_of(c, "<") * 10 <= F.length(c)) & known
+
+
+# fixed values: what to take out of a text before it is embedded, and what to put there
+CLEANING = [(r"!\[.*?\]\(.*?\)", ""), (r"\[([^\]]*)\]\([^)]*\)", "$1"), ("[#*`]+", ""), (r"(?U)\s+", " "), (r"(?U)[^\u4e00-\u9fa5\w\s.,;:!?()\[\]{}\"（）【】｛｝，。；：！？]", "")]
+
+
+def preprocessed(c: Column) -> Column:
+    """Text without Markdown marks and odd characters; empty if fewer than five are left."""
+    out = F.coalesce(c, F.lit(""))
+    for pattern, to in CLEANING:
+        out = F.regexp_replace(out, pattern, to)
+    out = strip(out)
+    return F.when(F.length(out) < 5, "").otherwise(out)

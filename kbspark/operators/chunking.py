@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions.text import strip, table_text
 
 
 def window_chunks(text: Column, size: int = 500, overlap: int = 100, most: int = 1000) -> Column:
@@ -34,3 +34,48 @@ def window_chunks(text: Column, size: int = 500, overlap: int = 100, most: int =
 def chunked(rows: DataFrame, key: str, text: str, size: int = 500, overlap: int = 100) -> DataFrame:
     out = rows.select(key, F.posexplode(window_chunks(F.col(text), size, overlap)).alias("chunk_idx", "chunk"))
     return out.withColumn("chunk_id", F.concat(F.lit("doc_"), F.col(key).cast("string"), F.lit("_chunk_"), F.col("chunk_idx").cast("string")))
+
+
+def packed_paragraphs(text: Column, size: int = 500, hard: bool = True) -> Column:
+    """Paragraphs put together while they fit; ``hard``: a longer piece is cut at every ``size`` characters."""
+    parts = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n\n", -1), strip), lambda p: p != "")
+    empty = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"))
+
+    def add(a, p):
+        fits = (a["cur"] == "") | (F.length(a["cur"]) + F.length(p) <= size)
+        joined = F.concat(a["cur"], p, F.lit("\n\n"))
+        return F.struct(F.when(fits, a["done"]).otherwise(F.concat(a["done"], F.array(strip(a["cur"])))).alias("done"), F.when(fits, joined).otherwise(F.concat(p, F.lit("\n\n"))).alias("cur"))
+
+    out = F.aggregate(parts, empty, add, lambda a: F.filter(F.concat(a["done"], F.array(strip(a["cur"]))), lambda c: c != ""))
+    if not hard:
+        return out
+    return F.flatten(F.transform(out, lambda c: F.transform(F.sequence(F.lit(0), F.floor((F.length(c) - 1) / size).cast("int")), lambda k: F.substring(c, k * size + 1, F.lit(size)))))
+
+
+def document_chunks(docs: DataFrame, size: int = 500) -> DataFrame:
+    """One chunk per document with a summary: (chunk_id, chunk_type, text, chip_category, document_type, title, tags)."""
+    return docs.where("summary <> ''").select(
+        F.concat(F.lit("doc_"), "file_path").alias("chunk_id"), F.lit("document").alias("chunk_type"), F.substring("summary", 1, size).alias("text"),
+        "chip_category", "document_type", F.col("file_name").alias("title"), F.array_compact(F.array("chip_category", "document_type", "sub_category")).alias("tags"),
+    )
+
+
+def section_chunks(docs: DataFrame, size: int = 500, overlap: int = 100) -> DataFrame:
+    s = docs.select("file_path", "chip_category", "document_type", F.posexplode("sections").alias("j", "s")).where(strip(F.col("s.content")) != "")
+    c = s.select("*", F.posexplode(window_chunks(strip(F.col("s.content")), size, overlap)).alias("k", "text"))
+    own = F.concat(F.lit("doc_"), "file_path", F.lit("_section_"), F.col("j").cast("string"))
+    cut = F.length(strip(F.col("s.content"))) > size
+    name = F.when(cut, F.concat(own, F.lit("_chunk_"), F.col("k").cast("string"))).otherwise(own)
+    return c.select(name.alias("chunk_id"), F.lit("section").alias("chunk_type"), "text", "chip_category", "document_type", F.col("s.title").alias("title"), F.col("s.tags").alias("tags"))
+
+
+def table_chunks(docs: DataFrame, most: int = 10) -> DataFrame:
+    t = docs.select("file_path", "chip_category", "document_type", F.posexplode("tables").alias("j", "t"))
+    name = F.concat(F.lit("doc_"), "file_path", F.lit("_table_"), F.col("j").cast("string"))
+    text = table_text(F.col("t.headers"), F.col("t.rows"), most, "总共")
+    return t.select(name.alias("chunk_id"), F.lit("table").alias("chunk_type"), text.alias("text"), "chip_category", "document_type", F.lit(None).cast("string").alias("title"), F.array("chip_category", F.lit("table")).alias("tags")).where("text <> ''")
+
+
+def all_chunks(docs: DataFrame, size: int = 500, overlap: int = 100) -> DataFrame:
+    good = docs.where("error is null")
+    return document_chunks(good, size).unionByName(section_chunks(good, size, overlap)).unionByName(table_chunks(good))

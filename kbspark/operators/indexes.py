@@ -45,3 +45,26 @@ def banded_neighbours(docs: DataFrame, position: str, text: str, band: int = 10,
     scored = pairs.join(na, "a", "left").join(nb, "b", "left").select("a", "b", F.coalesce(F.try_divide(F.col("dot"), F.col("na") * F.col("nb")), F.lit(0.0)).alias("score"))
     w = Window.partitionBy("a").orderBy(F.desc("score"), "b")
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def value_index(docs: DataFrame, column: str, key: str = "doc_id") -> DataFrame:
+    """(value, doc) without nulls and blanks; array columns give a row per element. Posting lists stay rows."""
+    c = F.explode(column) if docs.schema[column].dataType.typeName() == "array" else F.col(column).cast("string")
+    return docs.select(c.alias("value"), F.col(key).alias("doc")).where(F.trim("value") != "").distinct()
+
+
+def hierarchical_index(docs: DataFrame, key: str = "file_path") -> DataFrame:
+    """(level, section_type, doc) of parsed documents; sections without a level are under "None"."""
+    s = docs.select(F.col(key).alias("doc"), F.explode("sections").alias("s"))
+    return s.select(F.coalesce(F.col("s.level").cast("string"), F.lit("None")).alias("level"), "s.section_type", "doc").distinct()
+
+
+def index_stats(posts: DataFrame, docs: DataFrame) -> DataFrame:
+    """One row: documents, terms, postings, terms a document, documents a term."""
+    by_term = posts.groupBy("term").agg(F.count("*").alias("df")).agg(F.count("*").alias("n_terms"), F.coalesce(F.sum("df"), F.lit(0)).alias("n_postings"), F.avg("df").alias("docs_per_term"))
+    n = docs.agg(F.count("*").alias("n_docs"))
+    return n.crossJoin(F.broadcast(by_term)).withColumn("terms_per_doc", F.try_divide(F.col("n_postings"), F.col("n_docs")))
+
+
+def top_terms(posts: DataFrame, k: int = 50) -> DataFrame:
+    return posts.groupBy("term").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(k)

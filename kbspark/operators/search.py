@@ -38,3 +38,73 @@ def keyword_boost(score: Column, text: Column, query_tokens: list[str], factor:
 
 def type_weight(score: Column, kind: Column) -> Column:
     return score * F.when(kind == "sections", 1.1).when(kind == "tables", 0.9).otherwise(1.0)
+
+
+FUZZY, PRECISE = SearchConfig(score_threshold=0.1), SearchConfig(top_k=5, score_threshold=0.5)
+# fixed values: words of a query that favour a type of document
+TYPE_WORDS = {"datasheet": ["数据手册", "规格", "参数"], "user manual": ["用户手册", "使用说明", "操作指南"], "application": ["应用", "实例", "案例"], "troubleshooting": ["故障", "问题", "排除", "解决"]}
+
+
+def metadata_boost(score: Column, query: str, tokens: list[str], file_name: Column, category: Column, doc_type: Column) -> Column:
+    """1.1 for a query token in the file's name, 1.2 for the category in the query, 1.15 for a type the query hints at."""
+    q = F.lit(query.lower())
+    name, cat, kind = (F.lower(F.coalesce(c, F.lit(""))) for c in (file_name, category, doc_type))
+    named = F.lit(False)
+    for t in tokens:
+        named = named | F.contains(name, F.lit(t.lower()))
+    hinted = F.lit(False)
+    for k, ws in TYPE_WORDS.items():
+        if any(w in query.lower() for w in ws):
+            hinted = hinted | F.contains(kind, F.lit(k))
+    times = lambda cond, x: F.when(cond, x).otherwise(1.0)
+    return score * times(named, 1.1) * times((cat != "") & F.contains(q, cat), 1.2) * times(hinted, 1.15)
+
+
+def length_norm(rows: DataFrame, text: str = "text", score: str = "score") -> DataFrame:
+    """Scores of texts much shorter or longer than the results' mean are lowered; the mean is one broadcast row."""
+    mean = rows.agg(F.avg(F.length(text)).alias("_mean"))
+    n = F.length(F.col(text))
+    factor = F.when(n < 0.3 * F.col("_mean"), 0.95).when(n > 3 * F.col("_mean"), 0.98).otherwise(1.0)
+    return rows.crossJoin(F.broadcast(mean)).withColumn(score, F.col(score) * factor).drop("_mean")
+
+
+def similar(rows: DataFrame, key, config: SearchConfig = SearchConfig(top_k=5, score_threshold=-2.0), id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """The rows nearest to the row ``key``, itself left out by id; no rows if there is none."""
+    own = rows.where(F.col(id_col) == key).select(vector).first()
+    others = rows.where(F.col(id_col) != key)
+    return search(others, own[0], config, None, id_col, vector) if own else others.withColumn("score", F.lit(0.0)).limit(0)
+
+
+def fulltext(weights: DataFrame, query_terms: DataFrame, k: int | None = 10) -> DataFrame:
+    """(doc, score, n_matched) by the sum of the query terms' weights; weights: (doc, term, weight), query_terms: (term)."""
+    hits = weights.join(query_terms.select("term").distinct(), "term", "left_semi")
+    out = hits.groupBy("doc").agg(F.round(F.sum("weight"), 9).alias("score"), F.count("*").alias("n_matched"))
+    return out if k is None else out.orderBy(F.desc("score"), "doc").limit(k)
+
+
+def keyword(keywords: DataFrame, query: str, fuzzy: bool = False) -> DataFrame:
+    """Documents, once each, of which a keyword is the query, or holds it; keywords: (doc, keyword)."""
+    hit = F.lower("keyword") == query.lower()
+    if fuzzy:
+        hit = hit | F.contains(F.lower("keyword"), F.lit(query.lower()))
+    return keywords.where(hit).groupBy("doc").agg(F.lit(1.0).alias("score"), F.sort_array(F.collect_set("keyword")).alias("matched"))
+
+
+def metadata(docs: DataFrame, query: str, id_col: str = "doc_id") -> DataFrame:
+    """``field:value``; an unknown field finds nothing."""
+    field, _, value = query.partition(":")
+    found = docs.where(F.trim(F.col(field).cast("string")) == value.strip()) if field in docs.columns else docs.limit(0)
+    return found.select(F.col(id_col).alias("doc"), F.lit(1.0).alias("score"))
+
+
+def multi_criteria(parts: list[tuple[DataFrame, float]], k: int = 10) -> DataFrame:
+    """Weighted sum of several searches' (doc, score)."""
+    whole = None
+    for rows, weight in parts:
+        own = rows.select("doc", (F.col("score") * weight).alias("score"))
+        whole = own if whole is None else whole.unionByName(own)
+    return whole.groupBy("doc").agg(F.round(F.sum("score"), 9).alias("score")).orderBy(F.desc("score"), "doc").limit(k)
+
+
+def by_id(docs: DataFrame, key, id_col: str = "doc_id") -> DataFrame:
+    return docs.where(F.col(id_col) == key)

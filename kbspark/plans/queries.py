@@ -58,3 +58,65 @@ ORACLES = {
     "search_dense": f"{_COSINE} where score >= 0.3 order by score desc, vec_id limit 10",
     "search_filtered": f"{_COSINE} where score >= 0.1 and label in (0, 1, 2) order by score desc, vec_id limit 5",
 }
+
+
+def _weights(d: DataFrame) -> DataFrame:
+    return indexes.tfidf(indexes.postings(d), d.agg(F.count("*").alias("n")))
+
+
+def _first_terms(d: DataFrame) -> DataFrame:
+    """The terms of the document with the smallest id: a query by example."""
+    return d.join(F.broadcast(d.agg(F.min("doc_id").alias("doc_id"))), "doc_id", "left_semi").select(F.explode(T.terms(F.col("text"))).alias("term"))
+
+
+def _multi(d: DataFrame) -> DataFrame:
+    full = search.fulltext(_weights(d), _first_terms(d), None)
+    return search.multi_criteria([(full, 0.6), (search.metadata(d, "lang:en"), 0.1)])
+
+
+def _tasks(d: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    kinds = F.array_compact(F.array(F.when(F.length(text) > 2000, "comparison"), F.when(F.length(text) > 500, "synthesis"), F.when(F.contains(text, F.lit("a")), "analysis"), F.lit("reasoning")))
+    groups = d.select(F.col("doc_id").alias("group_id"), F.col("doc_id").alias("position"), kinds.alias("tasks"))
+    return datasets.with_quotas(groups, {"comparison": 0.3, "synthesis": 0.3, "analysis": 0.25, "reasoning": 0.15}, 200).select("group_id", "task")
+
+
+QUERIES |= {
+    "agg_top_terms": _docs(lambda d: indexes.top_terms(indexes.postings(d))),
+    "agg_sample_stats": _docs(lambda d: datasets.sample_stats(d.select(F.col("source").alias("instruction"), F.coalesce("lang", F.lit("")).alias("input"), F.col("text").alias("output")))),
+    "idx_category": _docs(lambda d: indexes.value_index(d, "source")),
+    "idx_stats": _docs(lambda d: indexes.index_stats(indexes.postings(d), d)),
+    "fn_instruction_type": _docs(lambda d: d.select("doc_id", datasets.instruction_type(F.col("source")).alias("kind"))),
+    "fn_quality_score": _docs(lambda d: d.select("doc_id", datasets.quality_score(F.col("source"), F.col("text"), F.col("text"), (0.25, 0.3, 0.25, 0.2)).alias("score"))),
+    "fn_preprocess": _docs(lambda d: d.select("doc_id", T.preprocessed(F.col("text")).alias("clean"))),
+    "chunk_packed": _docs(lambda d: d.select("doc_id", F.posexplode(chunking.packed_paragraphs(F.col("text"))).alias("chunk_idx", "chunk"))),
+    "search_fulltext": _docs(lambda d: search.fulltext(_weights(d), _first_terms(d))),
+    "search_metadata": _docs(lambda d: search.metadata(d, "lang:en")),
+    "search_multi_criteria": _docs(_multi),
+    "search_similar": lambda spark, sf_dir: search.similar(_t(spark, sf_dir, "embeddings"), 7).select("vec_id", F.round("score", 6).alias("score")),
+    "search_length_norm": _docs(lambda d: search.length_norm(d.select("doc_id", "text", F.lit(1.0).alias("score"))).select("doc_id", "score")),
+    "dataset_quotas": _docs(_tasks),
+}
+
+_WEIGHTS = f"{_TERMS}, f as (select term, count(*) as df from p group by term), c as (select count(*) as n from documents), w as (select doc, p.term, ln(n / (df + 1)) / n_terms as weight from p join f using (term), c)"
+_FULL = f"{_WEIGHTS}, q as (select unnest(terms) as term from t where doc = (select min(doc) from t)), full_text as (select doc, round(sum(weight), 9) as score, count(*) as n_matched from w join q using (term) group by doc)"
+_QUOTAS = """with g as (select doc_id as group_id, coalesce(text, '') as x from documents),
+    a as (select group_id from g where length(x) > 2000 order by 1 limit 60),
+    b as (select group_id from g where length(x) > 500 and group_id not in (from a) order by 1 limit 60),
+    c as (select group_id from g where contains(x, 'a') and group_id not in (from a union all from b) order by 1 limit 50),
+    d as (select group_id from g where group_id not in (from a union all from b union all from c) order by 1 limit 30)
+    select * from (select group_id, 'comparison' as task from a union all select group_id, 'synthesis' from b union all select group_id, 'analysis' from c union all select group_id, 'reasoning' from d) order by group_id limit 200"""
+
+ORACLES |= {
+    "agg_top_terms": f"with {_TERMS} select term, count(*) as n from p group by term order by n desc, term limit 50",
+    "agg_sample_stats": "select count(*) as total, count(*) filter (coalesce(lang, '') <> '') as with_input, count(*) filter (coalesce(lang, '') = '') as without_input, avg(length(text)) as avg_len, max(length(text)) as max_len, min(length(text)) as min_len from documents",
+    "idx_category": "select distinct source as value, doc_id as doc from documents where trim(source) <> ''",
+    "idx_stats": f"with {_TERMS} select (select count(*) from documents) as n_docs, count(distinct term) as n_terms, count(*) as n_postings, count(*) / count(distinct term) as docs_per_term, count(*) / (select count(*) from documents) as terms_per_doc from p",
+    "fn_instruction_type": "select doc_id, case when contains(lower(source), 'troubleshooting') then 'troubleshooting' when contains(lower(source), 'datasheet') then 'datasheet' when contains(lower(source), 'selection') then 'selection' when contains(lower(source), 'brochure') then 'application' when contains(lower(source), 'manual') then 'technical' else 'qa_basic' end as kind from documents",
+    "search_fulltext": f"with {_FULL} select doc, score, n_matched from full_text order by score desc, doc limit 10",
+    "search_metadata": "select doc_id as doc, cast(1.0 as double) as score from documents where trim(lang) = 'en'",
+    "search_multi_criteria": f"with {_FULL} select doc, round(sum(score), 9) as score from (select doc, 0.6 * score as score from full_text union all select doc_id, 0.1 from documents where trim(lang) = 'en') group by doc order by score desc, doc limit 10",
+    "search_similar": _COSINE.replace("vec_id = 0", "vec_id = 7") + " where vec_id <> 7 order by score desc, vec_id limit 5",
+    "search_length_norm": "select doc_id, cast(case when length(text) < 0.3 * m then 0.95 when length(text) > 3 * m then 0.98 else 1 end as double) as score from documents, (select avg(length(text)) as m from documents)",
+    "dataset_quotas": _QUOTAS,
+}

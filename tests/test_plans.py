@@ -51,3 +51,72 @@ def test_markdown(spark, tmp_path):
     assert len(rows) == 1 and rows[0].error is None and rows[0].chip_category == "32F"
     assert [s.section_type for s in rows[0].sections] == ["table", "list", "code", "header", "header"]
     assert rows[0].tables[0].rows == [["1", "2"]] and rows[0].sections[3].title == "ADC one"
+
+
+def test_ingest(spark, tmp_path):
+    from kbspark.__main__ import fulltext, ingest
+
+    d = tmp_path / "in" / "Documents (32F)" / "User Manual"
+    d.mkdir(parents=True)
+    (d / "a.md").write_text("# ADC one\n" + "ADC voltage reference. " * 60 + "\n| a | b |\n|---|---|\n| 1 | 2 |\n")
+    (d / "b.md").write_text("# Timer\ncounts pulses\n")
+    out = str(tmp_path / "out")
+    stats = ingest(spark, str(tmp_path / "in"), out)
+    assert stats["total_files"] == 2 and stats["chip_category"] == {"32F": 2}
+    assert stats["chunks"]["document"] == 2 and stats["chunks"]["table"] == 1 and stats["chunks"]["section"] > 3
+    assert [r.doc for r in fulltext(spark, out, "pulses").collect()] == ["doc_Documents (32F)/User Manual/b.md", "doc_Documents (32F)/User Manual/b.md_section_0"]
+    assert "| User Manual | 2 | 100.0 % |" in open(f"{out}/report.md").read()
+
+
+def test_corpus_files(spark, tmp_path):
+    import json
+
+    from kbspark.sources import corpus
+
+    chunk = {"id": "doc_1", "type": "document", "text": "x", "metadata": {"chip_category": "A"}, "tags": ["A"]}
+    (tmp_path / "c.json").write_text(json.dumps([chunk]))
+    (tmp_path / "r.json").write_text(json.dumps({"documents": [chunk], "sections": [], "tables": [chunk]}))
+    (tmp_path / "d.json").write_text(json.dumps({"metadata": {}, "documents": [{"summary": "s", "metadata": {"file_name": "f"}}]}))
+    assert corpus.read_chunks(spark, str(tmp_path / "c.json")).first().metadata.chip_category == "A"
+    assert corpus.read_chunks(spark, str(tmp_path / "none.json")).count() == 0
+    assert sorted(r.kind for r in corpus.read_ready(spark, str(tmp_path / "r.json")).collect()) == ["documents", "tables"]
+    assert corpus.read_documents(spark, str(tmp_path / "d.json")).first().metadata.file_name == "f"
+    assert corpus.read_config(str(tmp_path / "none.json"), {"a": 1}) == {"a": 1}
+
+
+def test_small_functions(spark):
+    from kbspark.operators import datasets, search
+
+    one = spark.range(1)
+    cats, texts = F.array(F.lit("A"), F.lit("B"), F.lit(None)), F.array(F.lit("原理 机制"), F.lit("故障"), F.lit(None))
+    assert one.select(datasets.suitable_tasks(cats, texts).alias("t")).first().t == ["comparison", "synthesis", "analysis", "reasoning"]
+    assert one.select(datasets.complementary(F.lit("User Manual"), F.lit("My Datasheet")).alias("c")).first().c
+    assert one.select(datasets.complementary(F.lit(None), F.lit("x")).alias("c")).first().c is False
+    assert one.select(datasets.context_text(F.array(F.lit("A")), F.array(F.lit("t"))).alias("c")).first().c == "=== A ===\nt\n"
+    assert one.select(T.preprocessed(F.lit("![i](u) [see](v) **bold**  'x' #1")).alias("c")).first().c == "see bold x 1"
+    assert one.select(T.preprocessed(F.lit("abc")).alias("c")).first().c == ""
+    packed = chunking.packed_paragraphs(F.lit("\n\n".join(["a" * 200, "b" * 200, "c" * 200, "d" * 1200])))
+    assert [len(c) for c in one.select(packed.alias("c")).first().c] == [402, 200, 500, 500, 200]
+    boosted = search.metadata_boost(F.lit(1.0), "ABC 参数", ["abc"], F.lit("abc.md"), F.lit("ABC"), F.lit("Datasheet"))
+    assert abs(one.select(boosted.alias("s")).first().s - 1.1 * 1.2 * 1.15) < 1e-9
+    words = spark.createDataFrame([(1, "ADC"), (1, "ADC clock"), (2, "PWM")], "doc long, keyword string")
+    assert [(r.doc, r.matched) for r in search.keyword(words, "adc", True).collect()] == [(1, ["ADC", "ADC clock"])]
+    assert [r.matched for r in search.keyword(words, "adc").collect()] == [["ADC"]]
+
+
+def test_quotas(spark):
+    import random
+
+    from kbspark.operators import datasets
+
+    draw = random.Random(3)
+    groups = [(i, i, [k for k in datasets.TASKS if draw.random() < 0.4]) for i in range(60)]
+    shares, most = {"comparison": 0.3, "synthesis": 0.2, "analysis": 0.2, "reasoning": 0.3}, 20
+    room, want = {k: int(most * v) for k, v in shares.items()}, {}
+    for i, _, kinds in groups:
+        k = next((k for k in kinds if room[k]), None)
+        if k and len(want) < most:
+            room[k] -= 1
+            want[i] = k
+    got = datasets.with_quotas(spark.createDataFrame(groups, "group_id long, position long, tasks array<string>"), shares, most)
+    assert {r.group_id: r.task for r in got.collect()} == want
