@@ -12,10 +12,13 @@ is far rarer than either. A set also indexes the pairs of the g below it, as the
 may be half its own.
 
 Keys with one node are dropped. Then, in two rounds, candidate pairs are verified exactly and
-joined to components: first each node with one pivot of each of its keys (as many pairs as rows,
-so a group of thousands of near copies costs thousands of checks, not millions), then the pairs
-that share a key and are still in different components. Both use the length filter and the
-position filter. No pair that could link two components goes unchecked.
+joined to components: first each node with the pivot of each of its keys, the key's smallest node
+(near copies share most keys and so their pivots: a group of thousands costs thousands of checks,
+not millions), then the pairs that share a key and are still in different components. Both use the
+length filter, the position filter and a count filter: of two sets whose prefixes are rare, the one
+whose prefix ends first can share no more with the other than the keys they share and what follows
+that prefix. The first round counts only keys of the same pivot, so it may pass a pair on to the
+second, which counts all. No pair that could link two components goes unchecked.
 
 Statistics that order the shingles are counts over all documents. The frequent list that every
 task receives has at most FREQUENT_MOST entries (the commonest); it only sets the order and the
@@ -46,6 +49,8 @@ FREQUENT_MOST = 1 << 16
 SHINGLE, SIMILARITY = 5, 75
 
 _LONG = np.int64
+#: Marks in a posting's place.
+MIXED, PAIR = 1 << 30, (1 << 31) - 1
 
 
 def _need(n: np.ndarray | int, percent: int):
@@ -103,7 +108,7 @@ def _classes(p: int) -> int:
 
 
 def _postings(n: int, percent: int, frequent):
-    """Rows (key, node, what): what is size * 2**32 + place; the place of a rare shingle is its position, that of a pair of frequent ones -1."""
+    """Rows (key, node, what): what is size * 2**32 + place; the place of a rare shingle is its position (plus MIXED if the prefix has frequent ones too), that of a pair of frequent ones PAIR."""
 
     def keys(s: np.ndarray, tokens: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         p = _prefix(len(s), percent)
@@ -114,8 +119,7 @@ def _postings(n: int, percent: int, frequent):
         rare, common = s[~often], s[often]
         if len(rare) >= p:
             return rare[:p], np.arange(p)
-        rare = rare[: p + g]
-        out, places = [rare], [np.arange(len(rare))]
+        out, places = [rare], [np.arange(len(rare)) + MIXED]
         if len(common):
             common = common[np.argsort(ranks[at[often]], kind="stable")][: p + g - len(rare)]
             for classes in {g, max(1, g // 2)}:
@@ -129,7 +133,7 @@ def _postings(n: int, percent: int, frequent):
                         break
                     pair = words.mix(v[:-gap][same] + words.mix(v[gap:][same]) + np.uint64(classes))
                     out.append(pair)
-                    places.append(np.full(len(pair), -1))
+                    places.append(np.full(len(pair), PAIR))
         return np.concatenate(out), np.concatenate(places)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,8 +161,10 @@ def _full_sets(n: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [s.view(np.uint8).reshape(-1, 8)[:, 3:].tobytes() for s in _sets(b, n)]
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
+            sets = _sets(b, n)
+            marks = pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64())
+            packed = [s.view(np.uint8).reshape(-1, 8)[:, 3:].tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), marks, pa.array(packed, pa.binary())], ["doc_id", "node", "shingles"])
 
     return run
 
@@ -194,10 +200,25 @@ def _verify(percent: int):
     return run
 
 
-def _possible(percent: int) -> str:
-    """The length and the position filter on two postings x and y of one key."""
-    need = f"ceil({percent} * (x.size + y.size) / {100 + percent}.0)"
-    return f"100 * least(x.size, y.size) >= {percent} * greatest(x.size, y.size) and (x.place < 0 or (x.place <= x.size - {need} and y.place <= y.size - {need}))"
+def _candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that may reach the similarity, of rows (a, b, x, y): two nodes and their postings' what, for each key they share."""
+    for c in "xy":
+        low = F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))
+        rows = rows.withColumns({
+            c + "size": F.shiftright(c, 32), c + "pure": low < MIXED,
+            c + "place": F.when(low != PAIR, low.bitwiseAND(F.lit(MIXED - 1))),
+        })
+    need = f"ceil({percent} * (xsize + ysize) / {100 + percent}.0)"
+    rest = lambda c: f"if({c}pure, ceil({percent} * {c}size / 100.0) - 1, null)"
+    rows = rows.where(f"100 * least(xsize, ysize) >= {percent} * greatest(xsize, ysize)").select(
+        "a", "b",
+        F.expr("cast(xplace is not null and yplace is not null as int)").alias("rare"),
+        F.expr(f"xplace is null or yplace is null or (xplace <= xsize - {need} and yplace <= ysize - {need})").alias("near"),
+        # a pair of frequent shingles is no posting of a pure prefix, so only rare keys tell which prefixes are pure
+        F.expr(f"cast({need} - greatest({rest('x')}, {rest('y')}) as int)").alias("least"),
+    )
+    counted = rows.groupBy("a", "b").agg(F.sum("rare").alias("rare"), F.max("near").alias("near"), F.max("least").alias("least"))
+    return counted.where("near and rare >= coalesce(least, 0)").select("a", "b")
 
 
 def nodes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -215,14 +236,14 @@ def _live_postings(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     listed = spark.sparkContext.broadcast((tokens[order], np.array([r.n for r in top], _LONG)[order]))
     posts = text.mapInArrow(_postings(shingle, percent, listed), "key long, node long, what long")
     # sorted by Spark (which spills) and read as a stream: a key's rows are never held together
-    ordered = posts.repartition(partitions(spark), "key").sortWithinPartitions("key", F.xxhash64("key", "node"), "node")
+    ordered = posts.repartition(partitions(spark), "key").sortWithinPartitions("key", "node")
     live = stored(ordered.mapInArrow(_shared, "key long, node long, what long, pivot long, pivot_what long"), "live")
     forget(spark)
     return live
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From postings in order: those of keys with two nodes or more, each once, with the key's first node as its pivot."""
+    """From postings in order: those of keys with two nodes or more, each once, with the key's first (smallest) node as its pivot."""
     names = ("key", "node", "what")
     last = pivot = None
     told = False
@@ -268,29 +289,31 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets reach the similarity, stored; sets are made anew from one text of each node.
+    """The pairs (a, b), a < b, of nodes whose sets reach the similarity, stored; sets are made anew from one text of each node.
 
-    A hub's set goes once to all its partners' sets; hubs are split over SPLIT tasks by partner.
+    A hub's set goes once to every PARTNERS of its partners' sets or so.
     """
     spark = docs.sparkSession
-    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    pairs = stored(pairs, "pairs")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = stored(chosen.join(asked, "node", "left_semi"), "wanted")
-    filtered = _maybe(docs.select("doc_id", "text"), wanted)
-    rows = filtered.join(wanted, "doc_id").groupBy("node").agg(F.first("text").alias("text"))
-    sets = stored(rows.select("node", "text").mapInArrow(_full_sets(shingle), "node long, shingles binary"), "sets")
+    made = _maybe(docs.select("doc_id", "text"), wanted).mapInArrow(_full_sets(shingle), "doc_id long, node long, shingles binary")
+    # one shuffle: the rows of one id and node, equal texts, are where the join puts them
+    sets = made.join(wanted, ["doc_id", "node"]).groupBy("doc_id", "node").agg(F.first("shingles").alias("shingles"))
+    sets = stored(sets.select("node", "shingles"), "sets")
     forget(spark, wanted)
-    part = F.pmod(F.xxhash64("b"), F.lit(SPLIT))
-    others = pairs.join(sets.withColumnRenamed("node", "b"), "b").select("a", part.alias("part"), "b", "shingles")
-    hubs = pairs.select("a", part.alias("part")).distinct().join(sets.withColumnRenamed("node", "a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "shingles")
-    both = hubs.unionByName(others).repartition(partitions(spark), "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    hubs = pairs.groupBy("a").count().where(F.col("count") > PARTNERS).select("a", F.expr(f"cast(ceil(count / {PARTNERS}) as int)").alias("parts"))
+    dealt = stored(pairs.join(hubs, "a", "left").select("a", F.expr("pmod(xxhash64(b), coalesce(parts, 1))").alias("part"), "b"), "dealt")
+    others = dealt.join(sets.withColumnRenamed("node", "b"), "b").select("a", "part", "b", "shingles")
+    mine = dealt.select("a", "part").distinct().join(sets.withColumnRenamed("node", "a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "shingles")
+    both = mine.unionByName(others).repartition(partitions(spark), "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
     links = stored(both.select("a", "b", "shingles").mapInArrow(_verify(percent), "a long, b long"), "links")
-    forget(spark, pairs, sets)
+    forget(spark, pairs, dealt, sets)
     return links
 
 
-#: Tasks that a hub's partners are dealt to.
-SPLIT = 4
+#: Partners of a hub that are verified together.
+PARTNERS = 64
 #: Bits of the filter that spares most unwanted texts the shuffle; full, it spares none.
 FILTER_BITS = 1 << 24
 
@@ -321,17 +344,15 @@ def similar_nodes(docs: DataFrame, marked: DataFrame, shingle: int = SHINGLE, pe
     spark = docs.sparkSession
     live = _live_postings(docs, shingle, percent)
     chosen = marked.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    size, place = "shiftright({}, 32) + if({} & 4294967295 = 4294967295, 1, 0)", "cast(if({} & 4294967295 = 4294967295, -1, {} & 4294967295) as int)"
-    split = lambda c, p: [F.expr(size.format(c, c)).alias(p + "size"), F.expr(place.format(c, c)).alias(p + "place")]
-    stars = live.where("node <> pivot").select("node", "pivot", *split("what", "x_"), *split("pivot_what", "y_"))
-    star = stars.where(_possible(percent).replace("x.", "x_").replace("y.", "y_")).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-    found = components(_verified(star, docs, chosen, shingle, percent))
-    part = live.join(found, "node", "left").select("key", "node", *split("what", ""), F.coalesce("component", "node").alias("comp"))
+    star = live.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("pivot_what").alias("x"), F.col("what").alias("y"))
+    found = components(_verified(_candidates(star, percent), docs, chosen, shingle, percent))
+    part = live.join(found, "node", "left").select("key", "node", "what", F.coalesce("component", "node").alias("comp"))
     mixed = part.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     part = stored(part.join(mixed, "key", "left_semi"), "mixed")
     forget(spark, live)
-    x, y = part.alias("x"), part.alias("y")
-    cross = x.join(y, F.expr("x.key = y.key and x.node < y.node and x.comp <> y.comp and " + _possible(percent))).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    left, right = part.alias("l"), part.alias("r")
+    cross = left.join(right, F.expr("l.key = r.key and l.node < r.node and l.comp <> r.comp"))
+    cross = _candidates(cross.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"), F.col("l.what").alias("x"), F.col("r.what").alias("y")), percent)
     more = _verified(cross, docs, chosen, shingle, percent)
     if more.isEmpty():
         return found

@@ -197,6 +197,8 @@ def test_jaccard_edges(spark, monkeypatch, often):
             x[j] = f"n{rng.integers(1000)}"
         rows.append((100 + k, " ".join(x)))
         rows.append((200 + k, " ".join(base[:20] + [f"u{k}_{j}" for j in range(30)])))
+    for k in (0, 1):  # an id with two texts, each with a near copy
+        rows += [(300, " ".join(f"v{k}_{i}" for i in range(40))), (301 + k, " ".join(f"v{k}_{i}" for i in range(42)))]
     got = jaccard_join.jaccard_join(docs_frame(spark, rows)).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute.components(rows)
 
