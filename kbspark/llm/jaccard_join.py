@@ -12,13 +12,13 @@ is far rarer than either. A set also indexes the pairs of the g below it, as the
 may be half its own.
 
 Keys with one node are dropped. Then, in two rounds, candidate pairs are verified exactly and
-joined to components: first each node with the pivot of each of its keys, the key's smallest node
-(near copies share most keys and so their pivots: a group of thousands costs thousands of checks,
-not millions), then the pairs that share a key and are still in different components. Both use the
+joined to components: first each node with the pivot of each of its keys, the key's first node in
+one of ORDERS orders of all nodes (near copies share most keys and so their pivots: a group of
+thousands costs thousands of checks, not millions), then the pairs that share a key and are still in different components. Both use the
 length filter, the position filter and a count filter: of two sets whose prefixes are rare, the one
 whose prefix ends first can share no more with the other than the keys they share and what follows
-that prefix. The first round counts only keys of the same pivot, so it may pass a pair on to the
-second, which counts all. No pair that could link two components goes unchecked.
+that prefix. The first round sees but some of the keys of two nodes, so it asks for an eighth of that
+and may pass a pair on to the second, which counts all. No pair that could link two components goes unchecked.
 
 Statistics that order the shingles are counts over all documents. The frequent list that every
 task receives has at most FREQUENT_MOST entries (the commonest); it only sets the order and the
@@ -43,9 +43,11 @@ from .common import forget, partitions, stored
 from .components import components
 
 #: A shingle in more prefixes than this is frequent.
-FREQUENT_FROM = 20
+FREQUENT_FROM = 10
 #: Size of the list that orders frequent shingles (16 bytes each).
-FREQUENT_MOST = 1 << 16
+FREQUENT_MOST = 1 << 18
+#: Orders of the nodes that pivots come from.
+ORDERS = 16
 SHINGLE, SIMILARITY = 5, 75
 
 _LONG = np.int64
@@ -200,8 +202,8 @@ def _verify(percent: int):
     return run
 
 
-def _candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that may reach the similarity, of rows (a, b, x, y): two nodes and their postings' what, for each key they share."""
+def _candidates(rows: DataFrame, percent: int, seen: int = 1) -> DataFrame:
+    """Pairs (a, b) that may reach the similarity, of rows (a, b, x, y): two nodes and their postings' what, for each key they share (or one of seen)."""
     for c in "xy":
         low = F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))
         rows = rows.withColumns({
@@ -218,7 +220,7 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
         F.expr(f"cast({need} - greatest({rest('x')}, {rest('y')}) as int)").alias("least"),
     )
     counted = rows.groupBy("a", "b").agg(F.sum("rare").alias("rare"), F.max("near").alias("near"), F.max("least").alias("least"))
-    return counted.where("near and rare >= coalesce(least, 0)").select("a", "b")
+    return counted.where(f"near and {seen} * rare >= coalesce(least, 0)").select("a", "b")
 
 
 def nodes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -230,20 +232,20 @@ def _live_postings(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Postings of all keys that two nodes or more have."""
     spark, text = docs.sparkSession, docs.select("text")
     counts = text.mapInArrow(_counts(shingle, percent), "token long, n int").groupBy("token").agg(F.sum("n").alias("n"))
-    top = counts.where(F.col("n") > FREQUENT_FROM).orderBy(F.desc("n"), "token").limit(FREQUENT_MOST).collect()
-    tokens = np.array([r.token for r in top], _LONG).view(np.uint64)
+    top = counts.where(F.col("n") > FREQUENT_FROM).orderBy(F.desc("n"), "token").limit(FREQUENT_MOST).toArrow()
+    tokens = top.column("token").to_numpy().astype(_LONG).view(np.uint64)
     order = np.argsort(tokens)
-    listed = spark.sparkContext.broadcast((tokens[order], np.array([r.n for r in top], _LONG)[order]))
+    listed = spark.sparkContext.broadcast((tokens[order], top.column("n").to_numpy().astype(_LONG)[order]))
     posts = text.mapInArrow(_postings(shingle, percent, listed), "key long, node long, what long")
     # sorted by Spark (which spills) and read as a stream: a key's rows are never held together
-    ordered = posts.repartition(partitions(spark), "key").sortWithinPartitions("key", "node")
+    ordered = posts.repartition(partitions(spark), "key").sortWithinPartitions("key", F.xxhash64("node", F.pmod("key", F.lit(ORDERS))), "node")
     live = stored(ordered.mapInArrow(_shared, "key long, node long, what long, pivot long, pivot_what long"), "live")
     forget(spark)
     return live
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From postings in order: those of keys with two nodes or more, each once, with the key's first (smallest) node as its pivot."""
+    """From postings in order: those of keys with two nodes or more, each once, with the key's first node as its pivot."""
     names = ("key", "node", "what")
     last = pivot = None
     told = False
@@ -344,8 +346,8 @@ def similar_nodes(docs: DataFrame, marked: DataFrame, shingle: int = SHINGLE, pe
     spark = docs.sparkSession
     live = _live_postings(docs, shingle, percent)
     chosen = marked.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    star = live.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("pivot_what").alias("x"), F.col("what").alias("y"))
-    found = components(_verified(_candidates(star, percent), docs, chosen, shingle, percent))
+    star = live.where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"), F.col("pivot_what").alias("x"), F.col("what").alias("y"))
+    found = components(_verified(_candidates(star, percent, 8), docs, chosen, shingle, percent))
     part = live.join(found, "node", "left").select("key", "node", "what", F.coalesce("component", "node").alias("comp"))
     mixed = part.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     part = stored(part.join(mixed, "key", "left_semi"), "mixed")
