@@ -46,6 +46,8 @@ from .components import components
 FREQUENT_FROM = 10
 #: Size of the list that orders frequent shingles (16 bytes each).
 FREQUENT_MOST = 1 << 18
+#: Texts that a worker holds at once (a session setting).
+BATCH_ROWS = 1000
 #: Orders of the nodes that pivots come from.
 ORDERS = 16
 SHINGLE, SIMILARITY = 5, 75
@@ -82,7 +84,10 @@ def _sketch(n: int):
 
 
 def _counts(n: int, percent: int):
-    """How many prefixes (in hash order) hold each shingle, added up over a few MB of text."""
+    """How many prefixes (in hash order) hold each shingle, added up over a few MB of text.
+
+    They are twice as long as those that are indexed: where frequent shingles leave a prefix, later ones come into it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -94,7 +99,7 @@ def _counts(n: int, percent: int):
         for b in batches:
             for s in _sets(b, n):
                 if len(s):
-                    held.append(s[: _prefix(len(s), percent)])
+                    held.append(s[: 2 * _prefix(len(s), percent)])
                     size += len(held[-1])
             if size > 1 << 20:
                 yield out()
@@ -234,6 +239,7 @@ def _live_postings(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     counts = text.mapInArrow(_counts(shingle, percent), "token long, n int").groupBy("token").agg(F.sum("n").alias("n"))
     top = counts.where(F.col("n") > FREQUENT_FROM).orderBy(F.desc("n"), "token").limit(FREQUENT_MOST).toArrow()
     tokens = top.column("token").to_numpy().astype(_LONG).view(np.uint64)
+    forget(spark)
     order = np.argsort(tokens)
     listed = spark.sparkContext.broadcast((tokens[order], top.column("n").to_numpy().astype(_LONG)[order]))
     posts = text.mapInArrow(_postings(shingle, percent, listed), "key long, node long, what long")
@@ -363,6 +369,7 @@ def similar_nodes(docs: DataFrame, marked: DataFrame, shingle: int = SHINGLE, pe
 
 def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
     """docs: (doc_id, text). One row per row of docs: doc_id, n_shingles, component_id."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     marked = stored(nodes(docs, shingle), "nodes")
     groups = similar_nodes(docs, marked, shingle, percent)
     # classes of equal sets first (partial minima), then classes by component
