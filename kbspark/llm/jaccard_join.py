@@ -25,8 +25,8 @@ task receives has at most FREQUENT_MOST entries (the commonest); it only sets th
 class, and any order gives the same result.
 
 Defined cases: null and wordless texts have an empty set and link with nothing; a text of under
-five words has one shingle, the whole sequence; repeated ids: each row is a text of its own and
-the rows of one id count as one document; extra columns are ignored.
+five words has one shingle, the whole sequence; repeated ids: each row is a text of its own,
+and a shared id by itself links nothing; extra columns are ignored.
 """
 
 from __future__ import annotations
