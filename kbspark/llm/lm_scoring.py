@@ -1,24 +1,25 @@
 """Hierarchical Pitman-Yor language model, trained on the corpus and scored on all of it.
 
-A token's context is the class of the word before it (CLASSES classes by the word's last two bytes, and
-one for the start of a text). Each context is a restaurant; all share one parent, the unigram restaurant,
-whose base is uniform over the vocabulary and one unknown word. Customers of a context are its tokens;
-each table sends one customer to the parent.
+Three levels of restaurants. A token's context is the word before it, or the start of a text: a restaurant
+for every word that has a successor. Its parent is the restaurant of that word's class (CLASSES classes by the last two
+bytes, and one for the start of a text); the classes share one parent, the unigram restaurant, whose base is
+uniform over the vocabulary and one unknown word. Customers of a context are its tokens; each table sends one customer to the parent.
 
 Seating is sampled by Gibbs sweeps: in a sweep the customers of every dish (word) are seated
 anew, one after the other, given the parent's probability of the word and the restaurants'
-totals from the sweep before; then the parent's are. After the burn-in, predictive probabilities are
-averaged over the samples. All that a word needs, its counts and tables in at most
-CLASSES + 1 contexts, is one row, so sweeps are passes over a table of words without a shuffle; only
-the restaurants' totals (CLASSES + 1 numbers) go through the driver. Beyond 64 customers of a dish in
+totals from the sweep before; then the classes' are, then the parent's. After the burn-in, predictive probabilities are
+averaged over the samples. Counts are kept by (word before, word). A pair seen once has one table
+always, so only the others are rows of the sweeps, joined by word before with the restaurants' totals and by word with the
+classes' probabilities. A word's counts and tables in at most CLASSES + 1 classes are one row; only the
+classes' totals (CLASSES + 1 numbers) go through the driver. Beyond 64 customers of a dish in
 a restaurant, seating goes in blocks that double: a block's new tables are drawn at the rate of its start. Random
 numbers are hashes of the word, the context and the sweep, so lost tasks repeat them exactly.
 
-Scoring: the FREQUENT commonest words' probabilities (a table of fixed size) are broadcast; the tokens
-of all other words are joined with the model by word, and sums come back by document.
+Scoring: the FREQUENT commonest pairs' probabilities (a table of fixed size) are broadcast; all other tokens are joined with
+the pairs' probabilities, those of unseen pairs with the context's back-off weight and the class's probability, and sums come back by document.
 
 Words are 64-bit hashes of their bytes. Counts are over all training documents. Defined cases: null
-and empty texts are the end token alone; a word never seen has the unknown's probability; without
+and empty texts are the end token alone; a word never seen as context backs off to its class whole; a word never seen has the unknown's probability; without
 training documents every token has the uniform one; repeated ids are rows of their own.
 """
 
@@ -37,16 +38,19 @@ from .common import stored
 CLASSES, START = 24, 24
 SWEEPS, BURN_IN = 3, 1
 STRENGTH, ROOT_STRENGTH = 1.0, 1.0
-#: Words whose probabilities every task holds: 4 * (CLASSES + 1) bytes each.
+SAMPLES = SWEEPS - BURN_IN
+#: Pairs of words whose probabilities every task holds: 24 bytes each.
 FREQUENT = 1 << 16
 #: Tokens counted together before they are shuffled.
 CHUNK = 1 << 22
 END = np.uint64(0x656E64)
+#: The word before the first of a text.
+BEFORE = np.uint64(0x7374617274)
 _U, _L = np.uint64, np.int64
 
 
-def tokens(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(from text, to text, words, classes, first token of each text) by batches; every text ends with END."""
+def tokens(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(from text, to text, words, words before, their classes, first token of each text) by batches; every text ends with END."""
     for lo, hi in words.batches(texts):
         w = words.Words(texts[lo:hi], lower=True)
         h = w.hashes()
@@ -61,21 +65,29 @@ def tokens(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
         ctx = np.empty(len(tok), np.int8)
         ctx[1:] = own[:-1]
         ctx[first[:-1]] = START
-        yield lo, hi, tok, ctx, first
+        before = np.empty(len(tok), _U)
+        before[1:] = tok[:-1]
+        before[first[:-1]] = BEFORE
+        yield lo, hi, tok, before, ctx, first
+
+
+def pair(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """A hash of each pair of words."""
+    return words.mix(words.mix(before + _U(words.BASE)) ^ word)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     size = 0
 
     def out():
-        w, c = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
-        _, at, n = np.unique(words.mix(w + (c.astype(_U) + _U(1)) * _U(words.BASE)), return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(w[at].view(_L)), pa.array(c[at]), pa.array(n)], ["w", "c", "n"])
+        w, x, c = (np.concatenate([h[k] for h in held]) for k in range(3))
+        _, at, n = np.unique(pair(x, w), return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(x[at].view(_L)), pa.array(w[at].view(_L)), pa.array(c[at].astype(np.int32)), pa.array(n)], ["x", "w", "c", "n"])
 
     for b in batches:
-        for _, _, tok, ctx, _ in tokens(words.as_bytes(b.column("text"))):
-            held.append((tok, ctx))
+        for _, _, tok, before, ctx, _ in tokens(words.as_bytes(b.column("text"))):
+            held.append((tok, before, ctx))
             size += len(tok)
             if size >= CHUNK:
                 yield out()
@@ -122,123 +134,177 @@ class Totals:
         return (STRENGTH + self.discount * self.tables) / (STRENGTH + self.customers)
 
 
-def _sweep(t: Totals, sweep: int, sample: bool):
-    """Resample every word's tables; with ``sample``, first add the state's predictive probabilities."""
+def _numbers(b: pa.RecordBatch, names: tuple[str, ...]) -> list[np.ndarray]:
+    return [b.column(k).flatten().to_numpy(zero_copy_only=False) for k in names]
+
+
+def _now(t: Totals):
+    """The probability of every (word, class) in the present state."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            w = b.column("w").to_numpy(zero_copy_only=False)
+            cls, cnt, tab = _numbers(b, ("cls", "cnt", "tab"))
+            row = np.repeat(np.arange(len(w)), np.diff(b.column("cls").offsets.to_numpy()))
+            p0 = t.root(np.bincount(row, tab, minlength=len(w)), b.column("root_tab").to_numpy(zero_copy_only=False))
+            p = (cnt - t.discount * tab) / (STRENGTH + t.customers[cls]) + t.back()[cls] * p0[row]
+            yield pa.RecordBatch.from_arrays([pa.array(w[row]), pa.array(cls, pa.int32()), pa.array(p)], ["w", "c", "p"])
+
+    return run
+
+
+def _seat_pairs(discount: float, sweep: int, names: list[str]):
+    """Resample the tables of every pair; columns: those of pairs, p (the class's) and in_x (tables of the context)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, w, n, p, in_x = (b.column(k).to_numpy(zero_copy_only=False) for k in ("x", "w", "n", "p", "in_x"))
+            seed = words.mix(x.view(_U)) + w.view(_U) + _U(sweep * 32452843 + 5)
+            new = seat(n, (STRENGTH + discount * in_x) * p, discount, seed)
+            yield pa.RecordBatch.from_arrays([pa.array(new) if k == "tab" else b.column(k) for k in names], names)
+
+    return run
+
+
+def _sweep(t: Totals, sweep: int, sample: int | None, again: bool):
+    """Resample every word's tables in the classes (``again``); first add the state's predictive probabilities as that ``sample``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             w = b.column("w").to_numpy(zero_copy_only=False).view(_U)
-            lists = {k: b.column(k) for k in ("cls", "cnt", "tab", "prob")}
-            cls, cnt, tab, prob = (lists[k].flatten().to_numpy(zero_copy_only=False) for k in ("cls", "cnt", "tab", "prob"))
-            sizes = np.diff(lists["cls"].offsets.to_numpy())
+            cls, cnt, tab, prob, come = _numbers(b, ("cls", "cnt", "tab", "prob", "come"))
+            sizes = np.diff(b.column("cls").offsets.to_numpy())
             row = np.repeat(np.arange(len(w)), sizes)
             root_tab = b.column("root_tab").to_numpy(zero_copy_only=False)
-            customers = np.bincount(row, tab, minlength=len(w))
-            p0 = t.root(customers, root_tab)
-            if sample:
-                prob = prob + (cnt - t.discount * tab) / (STRENGTH + t.customers[cls]) + t.back()[cls] * p0[row]
-            fresh = (STRENGTH + t.discount * t.tables[cls]) * p0[row]
-            new = seat(cnt, fresh, t.discount, w[row] + cls.astype(_U) * _U(7919) + _U(sweep * 104729))
-            customers = np.bincount(row, new, minlength=len(w))
-            fresh0 = np.full(len(w), (ROOT_STRENGTH + t.root_discount * t.root_tables) / (t.vocabulary + 1))
-            roots = seat(customers, fresh0, t.root_discount, w + _U(sweep * 15485863 + 77))
-            p0s = b.column("p0s")
-            if sample:
-                p0s = pa.array([[*x, y] for x, y in zip(p0s.to_pylist(), p0.tolist(), strict=True)], pa.list_(pa.float64()))
+            p0 = t.root(np.bincount(row, tab, minlength=len(w)), root_tab)
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             put = lambda x, kind: pa.ListArray.from_arrays(offsets, pa.array(x, kind))
-            yield pa.RecordBatch.from_arrays([b.column("w"), b.column("total"), put(cls, pa.int32()), put(cnt, pa.int64()), put(new, pa.float64()), put(prob, pa.float64()), pa.array(roots), p0s], [f.name for f in b.schema])
+            out = {f.name: b.column(f.name) for f in b.schema if f.name != "come"}
+            if sample is not None:
+                q = (cnt - t.discount * tab) / (STRENGTH + t.customers[cls]) + t.back()[cls] * p0[row]
+                out["prob"], out[f"q{sample}"] = put(prob + q, pa.float64()), put(q, pa.float64())
+                out["p0s"] = pa.array([[*x, y] for x, y in zip(b.column("p0s").to_pylist(), p0.tolist(), strict=True)], pa.list_(pa.float64()))
+            if again:
+                fresh = (STRENGTH + t.discount * t.tables[cls]) * p0[row]
+                new = seat(come, fresh, t.discount, w[row] + cls.astype(_U) * _U(7919) + _U(sweep * 104729))
+                fresh0 = np.full(len(w), (ROOT_STRENGTH + t.root_discount * t.root_tables) / (t.vocabulary + 1))
+                roots = seat(np.bincount(row, new, minlength=len(w)), fresh0, t.root_discount, w + _U(sweep * 15485863 + 77))
+                out |= {"cnt": put(come, pa.int64()), "tab": put(new, pa.float64()), "root_tab": pa.array(roots)}
+            yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
 
     return run
 
 
-_STATE = "w long, total long, cls array<int>, cnt array<long>, tab array<double>, prob array<double>, root_tab double, p0s array<double>"
+_Q = [f"q{j}" for j in range(SAMPLES)]
+_S = [f"s{j}" for j in range(SAMPLES)]
+_STATE = "w long, total long, cls array<int>, once array<long>, cnt array<long>, tab array<double>, prob array<double>, root_tab double, p0s array<double>" + "".join(f", {q} array<double>" for q in _Q)
+_PAIRS = "x long, w long, c int, n long, tab double" + "".join(f", {c} double" for c in _S)
 
 
-def _totals(state: DataFrame, customers, vocabulary, discount, root_discount) -> Totals:
-    by = state.select(F.explode(F.arrays_zip("cls", "tab")).alias("x")).groupBy("x.cls").agg(F.sum("x.tab").alias("t")).collect()
-    tables = np.zeros(CLASSES + 1)
+def _totals(state: DataFrame, vocabulary, discount, root_discount) -> Totals:
+    by = state.select(F.explode(F.arrays_zip("cls", "cnt", "tab")).alias("x")).groupBy("x.cls").agg(F.sum("x.cnt").alias("n"), F.sum("x.tab").alias("t")).collect()
+    customers, tables = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
     for r in by:
-        tables[r[0]] = r[1]
+        customers[r[0]], tables[r[0]] = r[1], r[2]
     roots = state.agg(F.sum("root_tab")).first()[0] or 0.0
     return Totals(customers, tables, tables.sum(), roots, vocabulary, discount, root_discount)
 
 
 def train(docs: DataFrame) -> tuple[DataFrame, np.ndarray, dict]:
-    """docs: (text), the training rows. Returns the model by word, the back-off weights by sample and context, the counts N and V."""
-    counts = docs.select("text").mapInArrow(_count, "w long, c tinyint, n long").groupBy("w", "c").agg(F.sum("n").alias("n"))
-    by_word = counts.groupBy("w").agg(F.collect_list(F.struct(F.col("c").cast("int").alias("c"), "n")).alias("x"), F.sum("n").alias("total"))
+    """docs: (text), the training rows.
+
+    Returns the classes' model by word, their back-off weights by sample and class, and a dictionary: the counts N and V, the unknown
+    word's probabilities, and the tables ``pairs`` (x, w, c, n, tables by sample) and ``contexts`` (x, customers, tables by sample)
+    with the contexts' ``discount``. x is the word before, c its class.
+    """
+    counts = docs.select("text").mapInArrow(_count, "x long, w long, c int, n long")
+    every = stored(counts.groupBy("x", "w", "c").agg(F.sum("n").alias("n")), "pairs")
+    single = (F.col("n") == 1).cast("long")
+    zeros = [F.lit(0.0).alias(c) for c in _S]
+    contexts = stored(every.groupBy("x").agg(F.sum("n").alias("customers"), F.sum(single).alias("once"), F.count("*").cast("double").alias("tab")).select("*", *zeros), "contexts")
+    pairs = stored(every.where("n > 1").select("x", "w", "c", "n", F.lit(1.0).alias("tab"), *zeros), "repeated")
+    by_class = every.groupBy("w", "c").agg(F.sum("n").alias("total"), F.sum(single).alias("once"), F.count("*").alias("cnt"))
+    by_word = by_class.groupBy("w").agg(F.collect_list(F.struct("c", "once", "cnt")).alias("x"), F.sum("total").alias("total"))
     x = F.array_sort("x")
-    one = F.transform("x", lambda _: F.lit(1.0))
-    state = stored(by_word.select("w", "total", x["c"].alias("cls"), x["n"].alias("cnt"), one.alias("tab"), F.transform("x", lambda _: F.lit(0.0)).alias("prob"), F.lit(1.0).alias("root_tab"), F.array().cast("array<double>").alias("p0s")), "words")
-    flat = state.select(F.explode(F.arrays_zip("cls", "cnt")).alias("x"))
-    per = flat.groupBy("x.cls").agg(F.sum("x.cnt").alias("n"), F.sum((F.col("x.cnt") == 1).cast("long")).alias("n1"), F.sum((F.col("x.cnt") == 2).cast("long")).alias("n2")).collect()
-    customers = np.zeros(CLASSES + 1)
-    for r in per:
-        customers[r[0]] = r[1]
-    whole = state.agg(F.count("*"), F.sum((F.col("total") == 1).cast("long")), F.sum((F.col("total") == 2).cast("long"))).first()
+    fill = lambda v: F.transform("x", lambda _: F.lit(v))
+    state = by_word.select("w", "total", x["c"].alias("cls"), x["once"].alias("once"), x["cnt"].alias("cnt"), fill(1.0).alias("tab"), fill(0.0).alias("prob"), F.lit(1.0).alias("root_tab"), F.array().cast("array<double>").alias("p0s"), *[fill(0.0).alias(q) for q in _Q])
+    state = stored(state, "words")
     kneser = lambda a, b: float(np.clip(a / (a + 2 * b), 0.05, 0.95)) if a else 0.5
-    discount, root_discount = kneser(sum(r.n1 for r in per), sum(r.n2 for r in per)), kneser(whole[1] or 0, whole[2] or 0)
-    total, vocabulary = int(customers.sum()), int(whole[0])
+    ones = lambda df, c: tuple(v or 0 for v in df.agg(F.sum((F.col(c) == 1).cast("long")), F.sum((F.col(c) == 2).cast("long"))).first())
+    deep = kneser(*ones(every, "n"))
+    discount, root_discount = kneser(*ones(state.select(F.explode("cnt").alias("n")), "n")), kneser(*ones(state, "total"))
+    whole = state.agg(F.count("*"), F.sum("total")).first()
+    total, vocabulary = int(whole[1] or 0), int(whole[0])
     backs, unknown = [], []
-    t = _totals(state, customers, vocabulary, discount, root_discount)
     for k in range(SWEEPS + 1):
-        sample = k > BURN_IN
-        if sample:
+        t = _totals(state, vocabulary, discount, root_discount)
+        sample, again = (k - BURN_IN - 1 if k > BURN_IN else None), k < SWEEPS
+        if sample is not None:
             backs.append(t.back())
             unknown.append(float(t.root(np.zeros(1), np.zeros(1))[0]))
-        state = stored(state.mapInArrow(_sweep(t, k, sample), _STATE), "seated")
-        if k < SWEEPS:
-            t = _totals(state, customers, vocabulary, discount, root_discount)
-    n = len(backs)
-    model = state.select("w", "total", "cls", F.transform("prob", lambda p: p / n).alias("prob"), "p0s")
-    return model, np.stack(backs), {"tokens": total, "vocabulary": vocabulary, "unknown": unknown}
-
-
-def _dense(backs: np.ndarray):
-    """A word's log10 probabilities in all contexts, as 4-byte numbers."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for cls, prob, p0s in zip(b.column("cls").to_pylist(), b.column("prob").to_pylist(), b.column("p0s").to_pylist(), strict=True):
-                x = np.array(p0s) @ backs / len(backs)
-                x[cls] = prob
-                out.append(np.log10(x).astype(np.float32).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("w"), b.column("total"), pa.array(out, pa.binary())], ["w", "total", "logs"])
-
-    return run
+            pairs, contexts = (df.withColumn(f"s{sample}", F.col("tab")) for df in (pairs, contexts))
+        come = state.withColumn("come", F.col("cnt"))
+        if again:
+            own = pairs.join(state.mapInArrow(_now(t), "w long, c int, p double"), ["w", "c"]).join(contexts.select("x", F.col("tab").alias("in_x")), "x")
+            names = pairs.columns
+            pairs = stored(own.select(*names, "p", "in_x").mapInArrow(_seat_pairs(deep, k, names), _PAIRS), "repeated")
+            sums = pairs.groupBy("x").agg(F.sum("tab").alias("more"))
+            new = contexts.drop("tab").join(sums, "x", "left").withColumn("tab", F.col("once") + F.coalesce("more", F.lit(0.0)))
+            contexts = stored(new.select("x", "customers", "once", "tab", *_S), "contexts")
+            sums = pairs.groupBy("w", "c").agg(F.sum("tab").cast("long").alias("n")).groupBy("w").agg(F.map_from_entries(F.collect_list(F.struct("c", "n"))).alias("more"))
+            more = lambda c, n: n + F.coalesce(F.try_element_at("more", c), F.lit(0))
+            come = state.join(sums, "w", "left").withColumn("come", F.zip_with("cls", "once", more)).drop("more")
+        state = stored(come.mapInArrow(_sweep(t, k, sample, again), _STATE), "seated")
+    model = state.select("w", "total", "cls", F.transform("prob", lambda p: p / SAMPLES).alias("prob"), "p0s", *_Q)
+    once = every.where("n = 1").select("x", "w", "c", "n", *[F.lit(1.0).alias(c) for c in _S])
+    info = {"tokens": total, "vocabulary": vocabulary, "unknown": unknown, "discount": deep, "contexts": contexts.select("x", "customers", *_S), "pairs": once.unionByName(pairs.select("x", "w", "c", "n", *_S))}
+    return model, np.stack(backs), info
+
+
+def _mean(columns: list) -> F.Column:
+    return sum(columns[1:], columns[0]) / len(columns)
+
+
+def pair_probabilities(model: DataFrame, info: dict) -> DataFrame:
+    """(x, w, n, total, p): the probability of every pair seen, averaged over the samples."""
+    d = info["discount"]
+    by_class = model.select("w", "total", F.explode(F.arrays_zip("cls", *_Q)).alias("y")).select("w", "total", F.col("y.cls").alias("c"), *[F.col(f"y.{q}").alias(q) for q in _Q])
+    contexts = info["contexts"].select("x", "customers", *[F.col(s).alias(f"in_{s}") for s in _S])
+    rows = info["pairs"].join(by_class, ["w", "c"]).join(contexts, "x")
+    p = _mean([F.col("n") - d * F.col(s) + (STRENGTH + d * F.col(f"in_{s}")) * F.col(q) for s, q in zip(_S, _Q, strict=True)]) / (STRENGTH + F.col("customers"))
+    return rows.select("x", "w", "n", "total", p.alias("p"))
 
 
 def _score(known):
-    """Sums over the frequent words' tokens of each row, and a row for each other token."""
+    """Sums over the frequent pairs' tokens of each row, and a row for each other token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, logs, base = known.value
         for b in batches:
             rid = b.column("rid").to_numpy(zero_copy_only=False)
             doc = b.column("doc_id")
-            for lo, hi, tok, ctx, first in tokens(words.as_bytes(b.column("text"))):
-                at = np.searchsorted(ids, tok)
+            for lo, hi, tok, before, ctx, first in tokens(words.as_bytes(b.column("text"))):
+                key = pair(before, tok)
+                at = np.searchsorted(ids, key)
                 at[at == len(ids)] = 0
-                hit = ids[at] == tok if len(ids) else np.zeros(len(tok), bool)
+                hit = ids[at] == key if len(ids) else np.zeros(len(tok), bool)
                 text = np.repeat(np.arange(hi - lo), np.diff(first))
                 n = hi - lo
-                s = np.bincount(text[hit], logs[at[hit], ctx[hit]] if hit.any() else None, minlength=n).astype(float)
+                s = np.bincount(text[hit], logs[at[hit]] if hit.any() else None, minlength=n).astype(float)
                 u = np.bincount(text[hit], base[at[hit]] if hit.any() else None, minlength=n).astype(float)
                 k = np.bincount(text[hit], minlength=n)
-                # one row per text (its key is any number: no word has it), one per other token
+                # one row per text (its key is any number: no pair has it), one per other token
                 own = rid[lo:hi]
                 miss = ~hit
                 m = int(miss.sum())
                 none = lambda kind: pa.nulls(m, kind)
                 far = words.mix(own.astype(_U) + _U(99))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([far, tok[miss]]).view(_L)), pa.array(np.concatenate([own, own[text[miss]]])), pa.array(np.concatenate([np.full(n, -1, np.int8), ctx[miss]]).astype(np.int32)),
+                    [pa.array(np.concatenate([far, before[miss]]).view(_L)), pa.array(np.concatenate([far, tok[miss]]).view(_L)), pa.array(np.concatenate([own, own[text[miss]]])), pa.array(np.concatenate([np.full(n, -1, np.int8), ctx[miss]]).astype(np.int32)),
                      pa.concat_arrays([doc.slice(lo, n).combine_chunks() if isinstance(doc, pa.ChunkedArray) else doc.slice(lo, n), none(pa.int64())]),
                      pa.concat_arrays([pa.array(np.diff(first).astype(_L)), none(pa.int64())]), pa.concat_arrays([pa.array(k.astype(_L)), none(pa.int64())]),
                      pa.concat_arrays([pa.array(s), none(pa.float64())]), pa.concat_arrays([pa.array(u), none(pa.float64())])],
-                    ["w", "rid", "c", "doc_id", "tokens", "known", "model", "base"])
+                    ["x", "w", "rid", "c", "doc_id", "tokens", "known", "model", "base"])
 
     return run
 
@@ -246,24 +312,34 @@ def _score(known):
 def score(docs: DataFrame, model: DataFrame, backs: np.ndarray, info: dict) -> DataFrame:
     """docs: (doc_id, text). One row per row: doc_id, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     spark = docs.sparkSession
-    big_n, size, n = info["tokens"], info["vocabulary"], len(backs)
+    big_n, size = info["tokens"], info["vocabulary"]
     bottom = big_n + 0.1 * (size + 1)
-    top = model.orderBy(F.desc("total"), "w").limit(FREQUENT).mapInArrow(_dense(backs), "w long, total long, logs binary").toArrow()
-    ids = top["w"].to_numpy().view(_U) if len(top) else np.zeros(0, _U)
+    seen = stored(pair_probabilities(model, info), "probabilities")
+    top = seen.orderBy(F.desc("n"), "w", "x").limit(FREQUENT).toArrow()
+    ids = pair(*(top[k].to_numpy().view(_U) for k in ("x", "w"))) if len(top) else np.zeros(0, _U)
     order = np.argsort(ids)
-    logs = np.frombuffer(b"".join(top["logs"].to_pylist()), np.float32).reshape(-1, CLASSES + 1)[order]
+    logs = np.log10(top["p"].to_numpy())[order] if len(ids) else np.zeros(0)
     base = np.log10((top["total"].to_numpy().astype(float) + 0.1) / bottom)[order] if len(ids) else np.zeros(0)
     del top
     listed = spark.sparkContext.broadcast((ids[order], logs, base))
     rows = docs.select("doc_id", "text").withColumn("rid", F.monotonically_increasing_id())
-    sums = rows.mapInArrow(_score(listed), "w long, rid long, c int, doc_id long, tokens long, known long, model double, base double")
-    m = model.select("w", "total", "cls", "prob", "p0s")
-    joined = sums.join(m, "w", "left")
-    back = F.array(*[F.array(*[F.lit(float(backs[s, c])) for s in range(n)]) for c in range(CLASSES + 1)])
-    mean = lambda p0s: F.aggregate(F.zip_with(p0s, F.get(back, F.col("c")), lambda p, q: p * q), F.lit(0.0), lambda a, v: a + v) / n
-    seen = F.get("prob", F.coalesce(F.array_position("cls", F.col("c")), F.lit(0)).cast("int") - 1)
-    p = F.coalesce(F.when(F.array_contains("cls", F.col("c")), seen), mean(F.coalesce("p0s", F.array(*[F.lit(x) for x in info["unknown"]]))))
+    sums = rows.mapInArrow(_score(listed), "x long, w long, rid long, c int, doc_id long, tokens long, known long, model double, base double")
+    joined = sums.join(seen.select("x", "w", "total", "p"), ["x", "w"], "left")
     is_doc = F.col("c") < 0
-    out = joined.select("rid", "doc_id", "tokens", F.when(is_doc, F.col("known")).otherwise(F.col("total").isNotNull().cast("long")).alias("known"), F.when(is_doc, F.col("model")).otherwise(F.log10(p)).alias("model"), F.when(is_doc, F.col("base")).otherwise(F.log10((F.coalesce("total", F.lit(0)) + 0.1) / bottom)).alias("base"))
+    to_base = lambda total: F.log10((F.coalesce(total, F.lit(0)) + 0.1) / bottom)
+    far = F.col("p").isNull() & ~is_doc
+    part = joined.select("rid", "doc_id", "tokens", *[F.when(far, F.col(k)).alias(k) for k in ("x", "w", "c")], F.when(is_doc, F.col("known")).when(~far, 1).otherwise(0).alias("known"),
+        F.when(is_doc, F.col("model")).when(~far, F.log10("p")).otherwise(0.0).alias("model"), F.when(is_doc, F.col("base")).when(~far, to_base(F.col("total"))).otherwise(0.0).alias("base"))
+    part = part.groupBy("rid", "x", "w", "c").agg(F.max("doc_id").alias("doc_id"), F.max("tokens").alias("tokens"), F.sum("known").alias("known"), F.sum("model").alias("model"), F.sum("base").alias("base"), F.count("*").alias("times"))
+    part = stored(part, "scored")
+    # pairs never seen: the context's back-off weight times the class's probability
+    d = info["discount"]
+    contexts = info["contexts"].select("x", *[((STRENGTH + d * F.col(s)) / (STRENGTH + F.col("customers"))).alias(f"back_{s}") for s in _S])
+    rest = part.where("x is not null").drop("known", "model", "base").join(contexts, "x", "left").join(model.select("w", "total", "cls", "p0s", *_Q), "w", "left")
+    of_class = lambda j: F.get(F.array(*[F.lit(float(v)) for v in backs[j]]), F.col("c")) * F.coalesce(F.get("p0s", F.lit(j)), F.lit(info["unknown"][j]))
+    at = F.coalesce(F.array_position("cls", F.col("c")), F.lit(0)).cast("int")
+    p = _mean([F.coalesce(f"back_{s}", F.lit(1.0)) * F.when(at > 0, F.get(q, at - 1)).otherwise(of_class(j)) for j, (s, q) in enumerate(zip(_S, _Q, strict=True))])
+    rest = rest.select("rid", "doc_id", "tokens", (F.col("total").isNotNull().cast("long") * F.col("times")).alias("known"), (F.log10(p) * F.col("times")).alias("model"), (to_base(F.col("total")) * F.col("times")).alias("base"))
+    out = part.where("x is null").select(*rest.columns).unionByName(rest)
     got = out.groupBy("rid").agg(F.max("doc_id").alias("doc_id"), F.max("tokens").alias("n_tokens"), F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("model").alias("score"))
     return got.select("doc_id", "n_tokens", "n_known", F.lit(big_n).cast("long").alias("train_tokens"), "base_score", "score")

@@ -274,6 +274,25 @@ def test_lm_sums_to_one(spark):
         assert abs(p - 1) < 1e-6
 
 
+def test_lm_word_contexts(spark):
+    """Words of one class as contexts: each keeps what follows it, and its probabilities add up to 1."""
+    train = docs_frame(spark, [(i, "zasing bede" if i % 2 else "zosing gode") for i in range(40)])
+    model, backs, info = lm_scoring.train(train)
+    texts = [(0, "zasing bede"), (1, "zasing gode"), (2, "zosing gode"), (3, "zosing bede")]
+    got = {r.doc_id: r.score for r in lm_scoring.score(docs_frame(spark, texts), model, backs, info).collect()}
+    assert got[0] > got[1] + 0.5 and got[2] > got[3] + 0.5
+    by_word = {r.w: r for r in model.collect()}
+    seen = lm_scoring.pair_probabilities(model, info).collect()
+    classes = {(r.x, r.w): r.c for r in info["pairs"].collect()}
+    for x in info["contexts"].collect():
+        c = next(k for (v, _), k in classes.items() if v == x.x)
+        back = [(lm_scoring.STRENGTH + info["discount"] * x[s]) / (lm_scoring.STRENGTH + x.customers) for s in ("s0", "s1")]
+        of_class = lambda r, j: r[f"q{j}"][r.cls.index(c)] if c in r.cls else backs[j, c] * r.p0s[j]  # noqa: B023, E731
+        p = sum(r.p for r in seen if r.x == x.x) + sum(np.mean([back[j] * of_class(r, j) for j in (0, 1)]) for w, r in by_word.items() if (x.x, w) not in classes)
+        p += np.mean([back[j] * backs[j, c] * info["unknown"][j] for j in (0, 1)])
+        assert abs(p - 1) < 1e-9
+
+
 # 9
 
 
