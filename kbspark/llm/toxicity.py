@@ -1,15 +1,13 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text; both end in the same common base, so
-that they differ only in what is special to a class. Every text is cut into windows of WINDOW words; a window's
+Two zstandard dictionaries are trained, one on significant words of toxic and one on words of ordinary texts; both end in the
+same common base of ordinary text. Every text is cut into windows of WINDOW words, and every window is compressed with both; its
 distance is its length compressed with the ordinary dictionary minus that with the toxic one. A text's
-windows give a few numbers (the greatest distances, their sum, how many pass calibrated thresholds), and a logistic
+windows give a few numbers (the greatest distances, their sum and mean, how many pass thresholds), and a logistic
 calibration, fitted on labelled rows the dictionaries haven't seen, turns them into a score.
 
-The toxic dictionary is trained on passages around word beginnings (KEY characters) that are significantly commoner in
-toxic than in ordinary training texts, as a toxic text is mostly ordinary words. A window without
-any of them has nothing that only the toxic dictionary holds: its distance counts as 0 and it
-isn't compressed. Scoring reads a text and nothing else; the model (some 20 KB) is sent to every task.
+One more input is how many windows hold a word beginning (KEY characters) that is significantly commoner in toxic than in ordinary
+training texts. Scoring reads a text and nothing else; the model (at most 2 * OWN_BYTES + 2 * BASE_BYTES) is sent to every task.
 
 Fitted on at most LABELLED rows of each label, the ones with the smallest hash of the id; half for the
 dictionaries, half for the calibration.
@@ -72,24 +70,25 @@ def keys(words: list[str]) -> list[str]:
     return [w.strip(_MARKS)[:KEY] for w in words]
 
 
+def windows(w: list[str], window: int = WINDOW) -> list[bytes]:
+    return [" ".join(w[i : i + window]).encode() for i in range(0, len(w), window)]
+
+
 def distances(text: str, model: Model, ordinary, toxic, window: int = WINDOW) -> tuple[np.ndarray, int]:
-    """The distances of the windows that aren't 0 for want of a key, and the number of all windows."""
+    """The distances of all windows, and the number of windows with a key."""
     w = _words(text)
-    out = []
-    hits = sorted({i // window for i, k in enumerate(keys(w)) if k in model.keys})
-    for i in hits:
-        s = " ".join(w[i * window : (i + 1) * window]).encode()
-        out.append(len(ordinary(s)) - len(toxic(s)))
-    return np.array(out, float), -(-len(w) // window)
+    hits = {i // window for i, k in enumerate(keys(w)) if k in model.keys}
+    return np.array([len(ordinary(s)) - len(toxic(s)) for s in windows(w, window)], float), len(hits)
 
 
 def numbers(found: tuple[np.ndarray, int], thresholds: list[float]) -> list[float]:
-    d, windows = found
-    top = np.sort(d)[::-1]
-    out = [max(top[0], 0.0) if len(d) else 0.0, max(top[1], 0.0) if len(d) > 1 else 0.0, math.log1p(np.maximum(d, 0).sum()), math.log1p(windows)]
+    d, hits = found
+    top, n_windows = np.sort(d)[::-1], max(len(d), 1)
+    out = [max(top[0], 0.0) if len(d) else 0.0, max(top[1], 0.0) if len(d) > 1 else 0.0, math.log1p(np.maximum(d, 0).sum()), math.log1p(len(d)), float(d.sum()) / n_windows]
+    out += [float(hits > 0), math.log1p(hits), min(1.0, 20 * hits / n_windows)]
     for t in thresholds:
         n = int((d >= t).sum())
-        out += [float(n > 0), math.log1p(n), min(1.0, 20 * n / max(windows, 1))]
+        out += [float(n > 0), math.log1p(n), min(1.0, 20 * n / n_windows)]
     return out
 
 

@@ -130,6 +130,18 @@ def test_toxicity(spark):
     assert toxicity.scored(docs_frame(spark), m).where("score between 0 and 1").count() == len(TEXTS)
 
 
+def test_toxicity_every_window():
+    """Windows without a key are compressed too."""
+    texts = [" ".join(f"word{(i * 7 + k * 13) % 97}" for k in range(60)) for i in range(40)]
+    texts = [t + " vilescum" if i % 4 == 3 else t for i, t in enumerate(texts)]
+    m = toxicity.fit(texts, [int("vilescum" in t) for t in texts])
+    ordinary, toxic = toxicity.compressors(m)
+    text = " ".join(f"other{k}" for k in range(100))
+    d, hits = toxicity.distances(text, m, lambda s: b"x" * 9 + s, lambda s: s)
+    assert hits == 0 and d.tolist() == [9.0] * 5
+    assert len(toxicity.distances(text, m, ordinary, toxic)[0]) == 5
+
+
 def test_toxicity_held_out(spark):
     d = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
