@@ -1,10 +1,11 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on significant words of toxic and one on words of ordinary texts; both end in the
+Two zstandard dictionaries are trained, one on the windows of toxic and one on those of ordinary texts; both end in the
 same common base of ordinary text. Every text is cut into windows of WINDOW words, and every window is compressed with both; its
 distance is its length compressed with the ordinary dictionary minus that with the toxic one. A text's
 windows give a few numbers (the greatest distances, their sum and mean, how many pass thresholds), and a logistic
-calibration, fitted on labelled rows the dictionaries haven't seen, turns them into a score.
+calibration, fitted on labelled rows the dictionaries haven't seen, turns them into a score. The thresholds are
+the distances that given shares (SHARES) of the ordinary windows of those rows pass.
 
 One more input is how many windows hold a word beginning (KEY characters) that is significantly commoner in toxic than in ordinary
 training texts. Scoring reads a text and nothing else; the model (at most 2 * OWN_BYTES + 2 * BASE_BYTES) is sent to every task.
@@ -34,7 +35,8 @@ from .common import crc_mod
 
 LABELLED = 3000
 WINDOW, KEY, LEVEL = 24, 4, 19
-BASE_BYTES, OWN_BYTES = 8192, 4096
+BASE_BYTES, OWN_BYTES = 8192, 16384
+SHARES = (0.1, 0.03, 0.01, 0.003)
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _MARKS = ".,;:!?\"'()|#*$%&<>"
 
@@ -139,23 +141,15 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
         if len(w) >= 3 and z >= 3.5 and (p + 0.2 / n1) >= 3 * (q + 0.2 / n0):
             special[w] = z
     chosen = frozenset(special)
-    toxic_samples, ordinary_samples, base = [], [], []
-    for t in parts[1]:
-        w = _words(t)
-        for i, k in enumerate(keys(w)):
-            if k in chosen:
-                toxic_samples.append(" ".join(w[i : i + 1]).encode())
-    for t in parts[0]:
-        w = _words(t)
-        for i in range(0, len(w), 40):
-            ordinary_samples.append(" ".join(w[i : i + 1]).encode())
-            base.append(" ".join(w[i + 3 : i + 11]).encode())
+    samples = [[x for t in part for x in windows(_words(t))] for part in parts]
+    base = samples[0][::8]
     common = _trained(base, BASE_BYTES)
-    model = Model(_trained(toxic_samples, OWN_BYTES) + b" " + common, _trained(ordinary_samples, OWN_BYTES) + b" " + common, [], [], [], [], chosen)
+    model = Model(_trained(samples[1], OWN_BYTES) + b" " + common, _trained(samples[0], OWN_BYTES) + b" " + common, [], [], [], [], chosen)
     ordinary, tox = compressors(model)
     d = [distances(texts[i], model, ordinary, tox) for i in rest]
     yr = y[rest]
-    model.thresholds = [1.0, 2.0, 3.0, 5.0]
+    clean = np.sort(np.concatenate([v[0] for v, k in zip(d, yr, strict=True) if not k]))[::-1]
+    model.thresholds = [max(1.0, float(clean[int(q * len(clean))]) + 1) for q in SHARES]
     x = np.array([numbers(v, model.thresholds) for v in d])
     model.mean, model.scale = x.mean(0).tolist(), (x.std(0) + 1e-9).tolist()
     x = np.column_stack([(x - model.mean) / model.scale, np.ones(len(x))])

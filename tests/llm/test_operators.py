@@ -142,6 +142,19 @@ def test_toxicity_every_window():
     assert len(toxicity.distances(text, m, ordinary, toxic)[0]) == 5
 
 
+def test_toxicity_dictionaries():
+    """Both dictionaries hold passages of their texts, also words next to a key; thresholds follow the calibration rows."""
+    rng = np.random.default_rng(4)
+    plain = [" ".join(f"word{k}" for k in rng.integers(0, 300, 60)) for _ in range(80)]
+    texts = [t + " vilescum beside the plainest phrase" if i % 4 > 1 else t for i, t in enumerate(plain)]
+    m = toxicity.fit(texts, [int("vilescum" in t) for t in texts])
+    assert b"vilescum beside the plainest" in m.toxic and b"vilescum" not in m.ordinary
+    ordinary, toxic = toxicity.compressors(m)
+    clean = np.concatenate([toxicity.distances(t, m, ordinary, toxic)[0] for i, t in enumerate(texts) if i % 2 and i % 4 < 2])
+    for t, share in zip(m.thresholds, toxicity.SHARES, strict=True):
+        assert t == 1 or (clean >= t).mean() <= share <= (clean >= t - 1).mean()
+
+
 def test_toxicity_held_out(spark):
     d = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
