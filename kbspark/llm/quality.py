@@ -6,7 +6,7 @@ classifiers, fitted by least squares from sums over all documents (a matrix of a
 columns squared), so the unlabelled documents are never sampled: in each round every document of which one
 view is confident teaches the other with that pseudo-label. A view is calibrated on labelled rows;
 at the end both calibrated views are combined by a logistic model into the probability of good
-quality, for every document.
+quality, for every document. Labelled rows count there by the labels' shares of all labelled rows.
 
 Labels: at most LABELLED rows of each kind, by hash of the id; null and contradicted labels aren't
 used. Without labels of both kinds, every document gets the share of good ones (1 if none).
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 from .stats import text_counts
+from .toxicity import shared
 from .words import as_bytes
 
 LABELLED = 5000
@@ -163,19 +164,24 @@ def _solve(rows: list, view: int) -> np.ndarray:
     return np.linalg.solve(s[:-1, :-1] + np.eye(n - 1), s[:-1, -1])
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | float = 1.0) -> np.ndarray:
     x = np.column_stack([x, np.ones(len(x))])
     w = np.zeros(x.shape[1])
     for _ in range(30):
         p = _sigmoid(x @ w)
-        h = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + 0.1 * np.eye(len(w))
-        w += np.linalg.solve(h, x.T @ (y - p) - 0.1 * w)
+        h = (x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + 0.1 * np.eye(len(w))
+        w += np.linalg.solve(h, x.T @ (weight * (y - p)) - 0.1 * w)
     return w
 
 
+def own_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, label) of every id with one label."""
+    return labels.where(F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("label"), F.max("quality").alias("other")).where("label = other").drop("other")
+
+
 def chosen_labels(labels: DataFrame, most: int) -> DataFrame:
     """(doc_id, label) of at most ``most`` rows of each kind, by hash of the id."""
-    own = labels.where(F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("label"), F.max("quality").alias("other")).where("label = other").drop("other")
+    own = own_labels(labels)
     parts = [own.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for k in (0, 1)]
     return parts[0].unionByName(parts[1])
 
@@ -189,18 +195,22 @@ def fit(rows: DataFrame, labels: DataFrame, most: int = LABELLED, rounds: int =
     taught = marked.where("label is not null").toPandas()
     y = taught["label"].to_numpy(float)
     if len(y):
-        model.share = float(y.mean())
+        held = rows.select("doc_id").join(own_labels(labels), "doc_id").groupBy("label").count().collect()
+        count = {r["label"]: r["count"] for r in held}
+        totals = (count.get(0, 0), count.get(1, 0))
+        model.share = totals[1] / sum(totals)
     if len(set(y.tolist())) < 2:
         return model
+    weight = shared(y, totals)
     r, m = taught[NAMES].to_numpy(float), taught[["m0", "m1", "m2"]].to_numpy(int)
     for k in range(rounds + 1):
         sums = marked.mapInPandas(_sums(model, k == 0), "view int, i int, j int, v double").groupBy("view", "i", "j").agg(F.sum("v").alias("v")).collect()
         for v in (TEXT, META):
             model.weights[v] = _solve(sums, v)
-            model.platt[v] = tuple(_logistic((design(v, r, m, model.edges) @ model.weights[v])[:, None], y).tolist())
+            model.platt[v] = tuple(_logistic((design(v, r, m, model.edges) @ model.weights[v])[:, None], y, weight).tolist())
     t, s, _ = probability(model, r, m)
     logit = lambda p: np.log(np.clip(p, 1e-9, 1 - 1e-9) / np.clip(1 - p, 1e-9, 1))
-    model.stack = tuple(_logistic(np.column_stack([logit(t), logit(s)]), y).tolist())
+    model.stack = tuple(_logistic(np.column_stack([logit(t), logit(s)]), y, weight).tolist())
     return model
 
 

@@ -11,7 +11,7 @@ One more input is how many windows hold a word beginning (KEY characters) that i
 training texts. Scoring reads a text and nothing else; the model (at most 2 * OWN_BYTES + 2 * BASE_BYTES) is sent to every task.
 
 Fitted on at most LABELLED rows of each label, the ones with the smallest hash of the id; half for the
-dictionaries, half for the calibration.
+dictionaries, half for the calibration, whose rows are weighted by the labels' shares of all labelled rows.
 
 Defined cases: null and empty texts have no windows and get the score of all-zero numbers; a label that is null,
 or contradicted by another row of its id, isn't used; without labels of both kinds every score is the
@@ -105,23 +105,32 @@ def _trained(samples: list[bytes], size: int) -> bytes:
         return b" ".join(samples)[-size:]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0) -> np.ndarray:
+def shared(y: np.ndarray, totals: tuple[int, int] | None) -> np.ndarray:
+    """Weights of the rows labelled y, of mean 1, that give both labels their shares of ``totals`` (by label; None: as they come)."""
+    if totals is None or not min(totals) or len(set(y.tolist())) < 2:
+        return np.ones(len(y))
+    w = np.where(y == 1, totals[1] / (y == 1).sum(), totals[0] / (y == 0).sum())
+    return w / w.mean()
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, weight: np.ndarray | float = 1.0) -> np.ndarray:
     w = np.zeros(x.shape[1])
     reg = np.full(x.shape[1], l2)
     reg[-1] = 1e-6
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + np.diag(reg)
-        step = np.linalg.solve(h, x.T @ (y - p) - reg * w)
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(reg)
+        step = np.linalg.solve(h, x.T @ (weight * (y - p)) - reg * w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
-def fit(texts: list[str], toxic: list[int]) -> Model:
+def fit(texts: list[str], toxic: list[int], totals: tuple[int, int] | None = None) -> Model:
+    """totals: how many labelled rows there are of each label, of which the texts are a sample (None: the sample's own)."""
     y = np.array(toxic)
-    share = float(y.mean()) if len(y) else 0.0
+    share = (totals[1] / sum(totals) if totals and sum(totals) else float(y.mean())) if len(y) else 0.0
     half = np.arange(len(y)) % 2 == 0
     parts = [[texts[i] for i in np.flatnonzero(half & (y == k))] for k in (0, 1)]
     rest = np.flatnonzero(~half)
@@ -153,7 +162,7 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     x = np.array([numbers(v, model.thresholds) for v in d])
     model.mean, model.scale = x.mean(0).tolist(), (x.std(0) + 1e-9).tolist()
     x = np.column_stack([(x - model.mean) / model.scale, np.ones(len(x))])
-    model.weights = _logistic(x, yr).tolist()
+    model.weights = _logistic(x, yr, weight=shared(yr, totals)).tolist()
     return model
 
 
@@ -162,8 +171,8 @@ def probability(model: Model, d: tuple[np.ndarray, int]) -> float:
     return float(1 / (1 + math.exp(-max(-30.0, min(30.0, float(x @ model.weights[:-1]) + model.weights[-1])))))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, column: str, most: int) -> list[tuple[str, int]]:
-    """(text, label) of at most ``most`` labelled rows for each label, by hash of the id. docs and labels: doc_id."""
+def labelled(docs: DataFrame, labels: DataFrame, column: str, most: int) -> tuple[list[tuple[str, int]], tuple[int, int]]:
+    """(text, label) of at most ``most`` labelled rows for each label, by hash of the id, and how many there are in all. docs and labels: doc_id."""
     own = labels.where(F.col(column).isin(0, 1)).groupBy("doc_id").agg(F.min(column).alias("label"), F.max(column).alias("other")).where("label = other")
     order = F.xxhash64("doc_id")
     picked = None
@@ -172,13 +181,15 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, most: int) -> list
         picked = part if picked is None else picked.unionByName(part)
     rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "label").collect()
     rows.sort(key=lambda r: (r.doc_id * 0x9E3779B1 % (1 << 32), r.text))
-    return [(r.text, r.label) for r in rows]
+    held = docs.where("text is not null").select("doc_id").join(own, "doc_id").groupBy("label").count().collect()
+    count = {r["label"]: r["count"] for r in held}
+    return [(r.text, r.label) for r in rows], (count.get(0, 0), count.get(1, 0))
 
 
 def trained(docs: DataFrame, labels: DataFrame, most: int = LABELLED):
     """A broadcast model, learnt from docs (doc_id, text) and labels (doc_id, toxic): what is to be withheld, the caller withholds."""
-    rows = labelled(docs, labels, "toxic", most)
-    return docs.sparkSession.sparkContext.broadcast(fit([t for t, _ in rows], [k for _, k in rows]))
+    rows, totals = labelled(docs, labels, "toxic", most)
+    return docs.sparkSession.sparkContext.broadcast(fit([t for t, _ in rows], [k for _, k in rows], totals))
 
 
 def scored(docs: DataFrame, model) -> DataFrame:

@@ -181,6 +181,25 @@ def test_quality_edges(spark):
     assert quality.good_documents(docs.limit(0), labels).count() == 0
 
 
+def test_shares(spark):
+    """A bounded sample of the labels, half of each kind, gives scores of the labels' true shares."""
+    rng = np.random.default_rng(6)
+    y = (np.arange(600) % 10 == 0).astype(int)
+    x = rng.normal(y, 1.0)
+    pick = np.concatenate([np.flatnonzero(y == 0)[:60], np.flatnonzero(y == 1)])
+    for logistic in (toxicity._logistic, quality._logistic):
+        design = np.column_stack([x, np.ones(len(x))]) if logistic is toxicity._logistic else x[:, None]
+        w = logistic(design[pick], y[pick], weight=toxicity.shared(y[pick], (540, 60)))
+        p = 1 / (1 + np.exp(-(w[0] * x + w[1])))
+        assert abs(p.mean() - 0.1) < 0.03
+    docs, labels = sf(spark, "documents"), sf(spark, "labels")
+    share = quality.fit(quality.stored(quality.features(docs), "features"), labels, 5).share
+    own = [r.label for r in quality.own_labels(labels).collect()]
+    assert abs(share - np.mean(own)) < 1e-9 and abs(share - 0.5) > 0.1
+    rows, totals = toxicity.labelled(docs, labels, "toxic", 2)
+    assert len(rows) <= 4 < sum(totals)
+
+
 # 5
 
 
