@@ -25,10 +25,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by near copies, the one with the smallest id."""
-    groups = jaccard_join.jaccard_join(docs.select("doc_id", "text"))
-    others = stored(groups.where("doc_id <> component_id").select("doc_id").distinct(), "others")
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """Of rows linked by near copies, the first by id; repeated ids are rows of their own."""
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    groups = jaccard_join.jaccard_join(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
+    linked = stored(groups.join(groups.where("_row <> _group").select("_group").distinct(), "_group", "left_semi").join(rows.select("_row", "doc_id"), "_row"), "linked")
+    first = linked.groupBy("_group").agg(F.min(F.struct("doc_id", "_row"))["_row"].alias("_first"))
+    others = stored(linked.join(first, "_group").where("_row <> _first").select("_row"), "others")
+    return rows.join(others, "_row", "left_anti").select(*docs.columns)
 
 
 def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

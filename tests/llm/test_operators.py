@@ -428,6 +428,16 @@ def test_pipeline(spark):
     check_packing(p.STAGES[4][1](spark, docs, SF).collect(), rows)
 
 
+def test_pipeline_repeated_ids(spark):
+    """One row of each group stays, whatever ids its rows share with others."""
+    import corpus_pipeline as p
+
+    text = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abc"}
+    rows = [(1, text["a"]), (5, text["a"] + " more"), (5, text["b"]), (7, text["c"]), (7, text["c"])]
+    got = p.STAGES[2][1](spark, docs_frame(spark, rows), SF).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(1, text["a"]), (5, text["b"]), (7, text["c"])]
+
+
 def test_word_ids():
     import random
 
