@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,30 +18,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else (tests) a temporary one."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/kbspark"
+    """The folder that driver and executors share: spark.checkpoint.dir."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder
+
+
+#: Paths of stored tables that haven't been forgotten.
+_STORED: set[str] = set()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written once to the shared folder and read again: its lineage ends there, and a lost executor costs nothing."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STORED.add(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    _STORED.discard(path)
+
+
 def forget(spark: SparkSession, *tables: DataFrame) -> None:
     """Deletes stored tables that nothing will read again, and lets Spark's cleaner drop finished steps' shuffle files.
 
     Spark drops a shuffle's files when the driver has collected its last reference.
     """
-    jvm = spark.sparkContext._jvm
     for df in tables:
-        path = jvm.org.apache.hadoop.fs.Path(df._stored_at)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, df._stored_at)
     gc.collect()
-    jvm.System.gc()
+    spark.sparkContext._jvm.System.gc()
+
+
+def forget_all(spark: SparkSession) -> None:
+    """Deletes every stored table: for when the results that read them have been written or dropped."""
+    for path in sorted(_STORED):
+        _delete(spark, path)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -50,9 +67,6 @@ def partitions(spark: SparkSession) -> int:
 
 
 
-
 def crc_mod(column: str, n: int) -> F.Column:
     """crc32 of the id as text, modulo n."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
-
-

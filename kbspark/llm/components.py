@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import forget, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -28,13 +28,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """edges: (a long, b long). Returns (node, component): the smallest node reachable, for each node with an edge."""
+    """edges: (a long, b long). Returns (node, component), stored: the smallest node reachable, for each node with an edge."""
+    spark = edges.sparkSession
     edges = stored(edges.where("a <> b").select("a", "b").distinct(), "edges")
     before = None
     while True:
-        edges = stored(_star(_star(edges, True), False), "stars")
+        new = stored(_star(_star(edges, True), False), "stars")
+        forget(spark, edges)
+        edges = new
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select(F.col("b"), F.col("b"))).distinct()
+    out = stored(edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select(F.col("b"), F.col("b"))).distinct(), "components")
+    forget(spark, edges)
+    return out

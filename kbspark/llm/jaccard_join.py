@@ -12,20 +12,28 @@ is far rarer than either. A set also indexes the pairs of the g below it, as the
 may be half its own.
 
 Keys with one node are dropped. Then, in two rounds, candidate pairs are verified exactly and
-joined to components: first each node with the pivot of each of its keys, the key's first node in
-one of ORDERS orders of all nodes (near copies share most keys and so their pivots: a group of
-thousands costs thousands of checks, not millions), then the pairs that share a key and are still in different components. Both use the
-length filter, the position filter and a count filter: of two sets whose prefixes are rare, the one
-whose prefix ends first can share no more with the other than the keys they share and what follows
-that prefix. The first round sees but some of the keys of two nodes, so it asks for an eighth of that
-and may pass a pair on to the second, which counts all. No pair that could link two components goes unchecked.
+joined to components: first each node with the pivot of each of its keys, the key's node with the fewest rare
+shingles (of near copies the one most like the others, so a group of
+thousands costs thousands of checks, not millions), then the pairs that share a key and are still in different components.
+Every filter is exact:
+
+- length, and the position of a rare shingle;
+- count: of two sets whose prefixes are rare, the one whose prefix ends first can share no more with the other
+  than the keys they share and what follows that prefix; two sets whose prefixes reach the frequent shingles share no more than
+  their rare keys and the smaller number of frequent shingles. The first round sees but some of the keys of
+  two nodes, so it asks for an eighth of that and may pass a pair on to the second, which counts all;
+- parity: a node carries SKETCH bits, each the parity of how many of its shingles fall there. Two nodes differ in at
+  most as many bits as they have shingles that the other lacks. Where keys are pairs of frequent shingles, and their lists long,
+  the join itself asks this, so it makes few rows besides the links.
+
+No pair that could link two components goes unchecked.
 
 Statistics that order the shingles are counts over all documents. The frequent list that every
-task receives has at most FREQUENT_MOST entries (the commonest); it only sets the order and the
+task receives has at most FREQUENT_MOST entries (all shingles above a count); it only sets the order and the
 class, and any order gives the same result.
 
 Defined cases: null and wordless texts have an empty set and link with nothing; a text of under
-five words has one shingle, the whole sequence; repeated ids: each row is a text of its own,
+five words has one shingle, the whole sequence; null ids are ids like any other, and the smallest of them; repeated ids: each row is a text of its own,
 and a shared id by itself links nothing; extra columns are ignored.
 """
 
@@ -35,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
@@ -45,16 +53,16 @@ from .components import components
 #: A shingle in more prefixes than this is frequent.
 FREQUENT_FROM = 10
 #: Size of the list that orders frequent shingles (16 bytes each).
-FREQUENT_MOST = 1 << 18
-#: Texts that a worker holds at once (a session setting).
-BATCH_ROWS = 1000
-#: Orders of the nodes that pivots come from.
-ORDERS = 16
+FREQUENT_MOST = 1 << 20
 SHINGLE, SIMILARITY = 5, 75
+#: Parity bits of a node, in words of 64.
+SKETCH = 512
+SKETCHES = [f"s{k}" for k in range(SKETCH // 64)]
 
 _LONG = np.int64
-#: Marks in a posting's place.
-MIXED, PAIR = 1 << 30, (1 << 31) - 1
+#: What a posting is of, beside its set's size and a number: a rare shingle of a prefix without frequent ones (its position),
+#: one of a prefix with frequent ones (how many rare ones the set has), a pair of frequent ones (the same).
+PURE, MIXED, PAIR = 0, 1, 2
 
 
 def _need(n: np.ndarray | int, percent: int):
@@ -70,15 +78,30 @@ def fingerprint(s: np.ndarray) -> int:
         return int(words.mix(np.array([np.add.reduce(words.mix(s)) ^ np.uint64(len(s))], np.uint64))[0].view(_LONG))
 
 
-def _sets(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
-    return words.shingle_sets(words.as_bytes(batch.column("text")), n)
+def _slices(b: pa.RecordBatch, n: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """(from row, to row, their sets): half a megabyte of text, or one text, at a time."""
+    texts = words.as_bytes(b.column("text"))
+    for lo, hi in words.batches(texts):
+        yield lo, hi, words.shingle_sets(texts[lo:hi], n)
+
+
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of SKETCH parity bits, as 64-bit numbers, for each set."""
+    bits = np.zeros(len(sets) * SKETCH, np.uint8)
+    if sets:
+        own = np.repeat(np.arange(len(sets)) * SKETCH, [len(s) for s in sets])
+        at = (np.concatenate(sets) >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(_LONG)
+        bits = (np.bincount(own + at, minlength=len(bits)) & 1).astype(np.uint8)
+    return np.packbits(bits, bitorder="little").view(_LONG).reshape(len(sets), -1)
 
 
 def _sketch(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = _sets(b, n)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())], ["doc_id", "node", "n_shingles"])
+            for lo, hi, sets in _slices(b, n):
+                p = parities(sets)
+                cols = [pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *[pa.array(p[:, k]) for k in range(len(SKETCHES))]]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), *cols], ["doc_id", "node", "n_shingles", *SKETCHES])
 
     return run
 
@@ -97,13 +120,14 @@ def _counts(n: int, percent: int):
             return pa.RecordBatch.from_arrays([pa.array(keys.view(_LONG)), pa.array(c.astype(np.int32))], ["token", "n"])
 
         for b in batches:
-            for s in _sets(b, n):
-                if len(s):
-                    held.append(s[: 2 * _prefix(len(s), percent)])
-                    size += len(held[-1])
-            if size > 1 << 20:
-                yield out()
-                held, size = [], 0
+            for _, _, sets in _slices(b, n):
+                for s in sets:
+                    if len(s):
+                        held.append(s[: 2 * _prefix(len(s), percent)])
+                        size += len(held[-1])
+                if size > 1 << 20:
+                    yield out()
+                    held, size = [], 0
         if held:
             yield out()
 
@@ -115,7 +139,7 @@ def _classes(p: int) -> int:
 
 
 def _postings(n: int, percent: int, frequent):
-    """Rows (key, node, what): what is size * 2**32 + place; the place of a rare shingle is its position (plus MIXED if the prefix has frequent ones too), that of a pair of frequent ones PAIR."""
+    """Rows (key, node, what): what is size * 2**32 + kind * 2**30 + number."""
 
     def keys(s: np.ndarray, tokens: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         p = _prefix(len(s), percent)
@@ -126,7 +150,7 @@ def _postings(n: int, percent: int, frequent):
         rare, common = s[~often], s[often]
         if len(rare) >= p:
             return rare[:p], np.arange(p)
-        out, places = [rare], [np.arange(len(rare)) + MIXED]
+        out, places = [rare], [np.full(len(rare), (MIXED << 30) + len(rare))]
         if len(common):
             common = common[np.argsort(ranks[at[often]], kind="stable")][: p + g - len(rare)]
             for classes in {g, max(1, g // 2)}:
@@ -140,48 +164,39 @@ def _postings(n: int, percent: int, frequent):
                         break
                     pair = words.mix(v[:-gap][same] + words.mix(v[gap:][same]) + np.uint64(classes))
                     out.append(pair)
-                    places.append(np.full(len(pair), PAIR))
+                    places.append(np.full(len(pair), (PAIR << 30) + len(rare)))
         return np.concatenate(out), np.concatenate(places)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, ranks = frequent.value
         for b in batches:
-            k, w, z, pl, seen = [], [], [], [], set()
-            for s in _sets(b, n):
-                if not len(s) or (f := fingerprint(s)) in seen:
-                    continue
-                seen.add(f)
-                key, place = keys(s, tokens, ranks)
-                k.append(key)
-                pl.append(place)
-                w.append(np.full(len(key), f, _LONG))
-                z.append(np.full(len(key), len(s), _LONG))
-            if k:
-                what = (np.concatenate(z) << 32) + np.concatenate(pl)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(k).view(_LONG)), pa.array(np.concatenate(w)), pa.array(what)], ["key", "node", "what"])
+            seen = set()
+            for _, _, sets in _slices(b, n):
+                k, w, what = [], [], []
+                for s in sets:
+                    if not len(s) or (f := fingerprint(s)) in seen:
+                        continue
+                    seen.add(f)
+                    key, place = keys(s, tokens, ranks)
+                    k.append(key)
+                    w.append(np.full(len(key), f, _LONG))
+                    what.append((len(s) << 32) + place)
+                if k:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(k).view(_LONG)), pa.array(np.concatenate(w)), pa.array(np.concatenate(what))], ["key", "node", "what"])
 
     return run
 
 
 def _full_sets(n: int):
-    """Sets as 40 bits of each hash: two hashes that differ agree there once in 10**12, which could only add to an overlap."""
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = _sets(b, n)
-            marks = pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64())
-            packed = [s.view(np.uint8).reshape(-1, 8)[:, 3:].tobytes() for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), marks, pa.array(packed, pa.binary())], ["doc_id", "node", "shingles"])
+            for lo, hi, sets in _slices(b, n):
+                marks = pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column("row").slice(lo, hi - lo), marks, pa.array([s.tobytes() for s in sets], pa.binary())], ["row", "node", "shingles"])
 
     return run
 
 
-def _unpacked(x: bytes) -> np.ndarray:
-    out = np.zeros((len(x) // 5, 8), np.uint8)
-    out[:, 3:] = np.frombuffer(x, np.uint8).reshape(-1, 5)
-    return out.reshape(-1).view(np.uint64)
-
-
 def _verify(percent: int):
     """From sets ordered by hub, the hub's own first (b null): the pairs that reach the similarity."""
 
@@ -190,11 +205,11 @@ def _verify(percent: int):
         for rows in batches:
             found: tuple[list[int], list[int]] = ([], [])
             for a, b, x in zip(rows.column("a").to_pylist(), rows.column("b").to_pylist(), rows.column("shingles").to_pylist(), strict=True):
+                s = np.frombuffer(x, np.uint64)
                 if b is None:
-                    hub, mine = a, _unpacked(x)
+                    hub, mine = a, s
                     continue
                 assert a == hub
-                s = _unpacked(x)
                 small, large = (s, mine) if len(s) < len(mine) else (mine, s)
                 at = np.searchsorted(large, small)
                 at[at == len(large)] = 0
@@ -207,44 +222,77 @@ def _verify(percent: int):
     return run
 
 
+def _long_enough(x: str, y: str, percent: int) -> str:
+    return f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})"
+
+
+def _need_of(x: str, y: str, percent: int) -> str:
+    """How many shingles sets of these sizes must share."""
+    return f"(({percent} * ({x} + {y}) + {99 + percent}) div {100 + percent})"
+
+
+def _alike(l: str, r: str, x: str, y: str, percent: int) -> str:  # noqa: E741
+    """No more parity bits differ than shingles may: x and y are the sizes, l and r prefixes of the parities' columns."""
+    bits = " + ".join(f"bit_count({l}{s} ^ {r}{s})" for s in SKETCHES)
+    return f"{bits} <= {x} + {y} - 2 * {_need_of(x, y, percent)}"
+
+
 def _candidates(rows: DataFrame, percent: int, seen: int = 1) -> DataFrame:
     """Pairs (a, b) that may reach the similarity, of rows (a, b, x, y): two nodes and their postings' what, for each key they share (or one of seen)."""
     for c in "xy":
-        low = F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))
-        rows = rows.withColumns({
-            c + "size": F.shiftright(c, 32), c + "pure": low < MIXED,
-            c + "place": F.when(low != PAIR, low.bitwiseAND(F.lit(MIXED - 1))),
-        })
-    need = f"ceil({percent} * (xsize + ysize) / {100 + percent}.0)"
-    rest = lambda c: f"if({c}pure, ceil({percent} * {c}size / 100.0) - 1, null)"
-    rows = rows.where(f"100 * least(xsize, ysize) >= {percent} * greatest(xsize, ysize)").select(
+        rows = rows.withColumns({c + "size": F.shiftright(c, 32), c + "kind": F.expr(f"shiftright({c}, 30) & 3"), c + "number": F.expr(f"{c} & {(1 << 30) - 1}")})
+    need = _need_of("xsize", "ysize", percent)
+    rest = lambda c: f"if({c}kind = {PURE}, ({percent} * {c}size + 99) div 100 - 1, null)"
+    early = lambda c: f"({c}kind <> {PURE} or {c}number <= {c}size - {need})"
+    mixed = f"if(xkind <> {PURE} and ykind <> {PURE}, least(xsize - xnumber, ysize - ynumber), null)"
+    rows = rows.where(_long_enough("xsize", "ysize", percent)).select(
         "a", "b",
-        F.expr("cast(xplace is not null and yplace is not null as int)").alias("rare"),
-        F.expr(f"xplace is null or yplace is null or (xplace <= xsize - {need} and yplace <= ysize - {need})").alias("near"),
+        F.expr(f"cast(xkind <> {PAIR} as int)").alias("rare"),
+        F.expr(f"{early('x')} and {early('y')}").alias("near"),
         # a pair of frequent shingles is no posting of a pure prefix, so only rare keys tell which prefixes are pure
-        F.expr(f"cast({need} - greatest({rest('x')}, {rest('y')}) as int)").alias("least"),
+        F.expr(f"cast({need} - greatest({rest('x')}, {rest('y')}, {mixed}) as int)").alias("least"),
     )
     counted = rows.groupBy("a", "b").agg(F.sum("rare").alias("rare"), F.max("near").alias("near"), F.max("least").alias("least"))
     return counted.where(f"near and {seen} * rare >= coalesce(least, 0)").select("a", "b")
 
 
+def _unlike_dropped(pairs: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose parities allow the similarity."""
+    own = lambda c: chosen.select(F.col("node").alias(c), F.col("n_shingles").alias(c + "size"), *[F.col(s).alias(c + s) for s in SKETCHES])
+    return pairs.join(own("a"), "a").join(own("b"), "b").where(_alike("a", "b", "asize", "bsize", percent)).select("a", "b")
+
+
 def nodes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, node, n_shingles) of every row; node null for an empty set."""
-    return docs.select("doc_id", "text").mapInArrow(_sketch(shingle), "doc_id long, node long, n_shingles long")
+    """(doc_id, node, n_shingles, parities) of every row; node null for an empty set."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketch(shingle), "doc_id long, node long, n_shingles long" + "".join(f", {s} long" for s in SKETCHES))
 
 
-def _live_postings(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Postings of all keys that two nodes or more have."""
-    spark, text = docs.sparkSession, docs.select("text")
+def _frequent(text: DataFrame, shingle: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent shingles, in order, and their counts: those above FREQUENT_FROM, or above the count that leaves FREQUENT_MOST."""
+    spark = text.sparkSession
     counts = text.mapInArrow(_counts(shingle, percent), "token long, n int").groupBy("token").agg(F.sum("n").alias("n"))
-    top = counts.where(F.col("n") > FREQUENT_FROM).orderBy(F.desc("n"), "token").limit(FREQUENT_MOST).toArrow()
+    often = stored(counts.where(F.col("n") > FREQUENT_FROM), "often")
+    least, held = FREQUENT_FROM, 0
+    for r in often.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
+        held += r["count"]
+        if held > FREQUENT_MOST:
+            least = r["n"]
+            break
+    top = often.where(F.col("n") > least).toArrow()
+    forget(spark, often)
     tokens = top.column("token").to_numpy().astype(_LONG).view(np.uint64)
-    forget(spark)
     order = np.argsort(tokens)
-    listed = spark.sparkContext.broadcast((tokens[order], top.column("n").to_numpy().astype(_LONG)[order]))
+    return tokens[order], top.column("n").to_numpy().astype(_LONG)[order]
+
+
+def _live_postings(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Postings of all keys that two nodes or more have."""
+    spark, text = docs.sparkSession, docs.select("text")
+    listed = spark.sparkContext.broadcast(_frequent(text, shingle, percent))
     posts = text.mapInArrow(_postings(shingle, percent, listed), "key long, node long, what long")
     # sorted by Spark (which spills) and read as a stream: a key's rows are never held together
-    ordered = posts.repartition(partitions(spark), "key").sortWithinPartitions("key", F.xxhash64("node", F.pmod("key", F.lit(ORDERS))), "node")
+    fewest_rare = F.expr(f"if(shiftright(what, 30) & 3 = {PAIR}, what & {(1 << 30) - 1}, 0)")
+    ordered = posts.repartition(partitions(spark), "key").sortWithinPartitions("key", fewest_rare, F.xxhash64("node"), "node")
     live = stored(ordered.mapInArrow(_shared, "key long, node long, what long, pivot long, pivot_what long"), "live")
     forget(spark)
     return live
@@ -302,12 +350,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, shingle: int
     A hub's set goes once to every PARTNERS of its partners' sets or so.
     """
     spark = docs.sparkSession
-    pairs = stored(pairs, "pairs")
+    pairs = stored(_unlike_dropped(pairs, chosen, percent), "pairs")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = stored(chosen.join(asked, "node", "left_semi"), "wanted")
-    made = _maybe(docs.select("doc_id", "text"), wanted).mapInArrow(_full_sets(shingle), "doc_id long, node long, shingles binary")
+    wanted = stored(chosen.select("node", "row").join(asked, "node", "left_semi"), "wanted")
+    made = _maybe(docs.select(_row(), "text"), wanted).mapInArrow(_full_sets(shingle), "row long, node long, shingles binary")
     # one shuffle: the rows of one id and node, equal texts, are where the join puts them
-    sets = made.join(wanted, ["doc_id", "node"]).groupBy("doc_id", "node").agg(F.first("shingles").alias("shingles"))
+    sets = made.join(wanted, ["row", "node"]).groupBy("row", "node").agg(F.first("shingles").alias("shingles"))
     sets = stored(sets.select("node", "shingles"), "sets")
     forget(spark, wanted)
     hubs = pairs.groupBy("a").count().where(F.col("count") > PARTNERS).select("a", F.expr(f"cast(ceil(count / {PARTNERS}) as int)").alias("parts"))
@@ -325,11 +373,15 @@ PARTNERS = 64
 #: Bits of the filter that spares most unwanted texts the shuffle; full, it spares none.
 FILTER_BITS = 1 << 24
 
+def _row() -> Column:
+    """What tells the text of a node again: its id, as any row of that id and fingerprint has the node's set (null as a number of its own)."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("row")
+
 
 def _maybe(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of docs whose id may be wanted, by a bitmap of fixed size (2 MB); the join that follows is exact."""
+    """The rows of docs whose number may be wanted, by a bitmap of fixed size (2 MB); the join that follows is exact."""
     bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    at = wanted.select(bit("doc_id").alias("x")).select(F.shiftright("x", 5).alias("i"), F.expr("shiftleft(1L, cast(x % 32 as int))").alias("v"))
+    at = wanted.select(bit("row").alias("x")).select(F.shiftright("x", 5).alias("i"), F.expr("shiftleft(1L, cast(x % 32 as int))").alias("v"))
     bits = np.zeros(FILTER_BITS // 32, np.uint32)
     for r in at.groupBy("i").agg(F.bit_or("v").alias("v")).toLocalIterator():
         bits[r.i] = r.v
@@ -339,9 +391,24 @@ def _maybe(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for b in batches:
             x = b.column("x").to_numpy(zero_copy_only=False)
             keep = (listed.value[x >> 5] >> (x & 31).astype(np.uint32)) & 1 == 1
-            yield b.select(["doc_id", "text"]).filter(pa.array(keep))
+            yield b.select(["row", "text"]).filter(pa.array(keep))
+
+    return docs.withColumn("x", bit("row")).mapInArrow(run, docs.schema)
 
-    return docs.withColumn("x", bit("doc_id")).mapInArrow(run, docs.schema)
+
+def _across(live: DataFrame, found: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
+    """Rows (a, b, x, y) of the pairs of nodes in different components, for each key they share."""
+    part = live.join(found, "node", "left").select("key", "node", "what", F.coalesce("component", "node").alias("comp"))
+    mixed = part.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    part = stored(part.join(mixed, "key", "left_semi").withColumn("size", F.shiftright("what", 32)), "mixed")
+    is_pair = F.expr(f"shiftright(what, 30) & 3 = {PAIR}")
+    on = f"l.key = r.key and l.node < r.node and l.comp <> r.comp and {_long_enough('l.size', 'r.size', percent)}"
+    out = None
+    for rows, also in ((part.where(~is_pair), ""), (part.where(is_pair).join(chosen.select("node", *SKETCHES), "node"), " and " + _alike("l.", "r.", "l.size", "r.size", percent))):
+        met = rows.alias("l").join(rows.alias("r"), F.expr(on + also)).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"), F.col("l.what").alias("x"), F.col("r.what").alias("y"))
+        out = met if out is None else out.unionByName(met)
+    out._stored_at = part._stored_at
+    return out
 
 
 def similar_nodes(docs: DataFrame, marked: DataFrame, shingle: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
@@ -351,31 +418,32 @@ def similar_nodes(docs: DataFrame, marked: DataFrame, shingle: int = SHINGLE, pe
     """
     spark = docs.sparkSession
     live = _live_postings(docs, shingle, percent)
-    chosen = marked.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    first = F.first  # rows of one node have the same size and parities
+    chosen = marked.where("node is not null").groupBy("node").agg(F.min(_row()).alias("row"), *[first(c).alias(c) for c in ("n_shingles", *SKETCHES)])
+    chosen = stored(chosen, "chosen")
     star = live.where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"), F.col("pivot_what").alias("x"), F.col("what").alias("y"))
-    found = components(_verified(_candidates(star, percent, 8), docs, chosen, shingle, percent))
-    part = live.join(found, "node", "left").select("key", "node", "what", F.coalesce("component", "node").alias("comp"))
-    mixed = part.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    part = stored(part.join(mixed, "key", "left_semi"), "mixed")
-    forget(spark, live)
-    left, right = part.alias("l"), part.alias("r")
-    cross = left.join(right, F.expr("l.key = r.key and l.node < r.node and l.comp <> r.comp"))
-    cross = _candidates(cross.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"), F.col("l.what").alias("x"), F.col("r.what").alias("y")), percent)
-    more = _verified(cross, docs, chosen, shingle, percent)
+    links = _verified(_candidates(star, percent, 8), docs, chosen, shingle, percent)
+    found = components(links)
+    cross = _across(live, found, chosen, percent)
+    more = _verified(_candidates(cross, percent), docs, chosen, shingle, percent)
+    forget(spark, live, cross, links, chosen)
     if more.isEmpty():
+        forget(spark, more)
         return found
-    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    out = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    forget(spark, found, more)
+    return out
 
 
 def jaccard_join(docs: DataFrame, shingle: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
     """docs: (doc_id, text). One row per row of docs: doc_id, n_shingles, component_id."""
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     marked = stored(nodes(docs, shingle), "nodes")
     groups = similar_nodes(docs, marked, shingle, percent)
-    # classes of equal sets first (partial minima), then classes by component
-    classes = marked.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
+    # classes of equal sets first (partial minima), then classes by component; a null id is the smallest
+    classes = marked.where("node is not null").groupBy("node").agg(F.min(_row()).alias("least"))
     classes = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     named = classes.join(least, "component").select("node", "component_id")
     out = marked.join(named, "node", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    name = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.nullif("component_id", F.lit(-(1 << 63))))
+    return out.select("doc_id", "n_shingles", name.alias("component_id"))
