@@ -29,7 +29,7 @@ Every filter is exact:
 No pair that could link two components goes unchecked.
 
 Statistics that order the shingles are counts over all documents. The frequent list that every
-task receives has at most FREQUENT_MOST entries (all shingles above a count); it only sets the order and the
+task receives has at most 2 * FREQUENT_MOST entries (all shingles above a count); it only sets the order and the
 class, and any order gives the same result.
 
 Defined cases: null and wordless texts have an empty set and link with nothing; a text of under
@@ -106,10 +106,16 @@ def _sketch(n: int):
     return run
 
 
-def _counts(n: int, percent: int):
-    """How many prefixes (in hash order) hold each shingle, added up over a few MB of text.
+def _is_in(tokens: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether each of s is among the sorted tokens, its place there or 0)."""
+    at = np.searchsorted(tokens, s)
+    at[at == len(tokens)] = 0
+    return (tokens[at] == s if len(tokens) else np.zeros(len(s), bool)), at
 
-    They are twice as long as those that are indexed: where frequent shingles leave a prefix, later ones come into it.
+
+def _counts(n: int, percent: int, frequent=None):
+    """How many sets hold each shingle, added up over a few MB of text: of the first shingles (in hash order) of each set,
+    twice as many as its prefix; or, with the list of those of them that are frequent, of all the others of the sets whose prefix goes on beyond these.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,9 +128,13 @@ def _counts(n: int, percent: int):
         for b in batches:
             for _, _, sets in _slices(b, n):
                 for s in sets:
-                    if len(s):
-                        held.append(s[: 2 * _prefix(len(s), percent)])
-                        size += len(held[-1])
+                    p = _prefix(len(s), percent)
+                    own = s[: 2 * p]
+                    if frequent is not None:
+                        own = s[2 * p :] if 2 * p < len(s) and (~_is_in(frequent.value[0], own)[0]).sum() < p else s[:0]
+                    if len(own):
+                        held.append(own)
+                        size += len(own)
                 if size > 1 << 20:
                     yield out()
                     held, size = [], 0
@@ -144,9 +154,7 @@ def _postings(n: int, percent: int, frequent):
     def keys(s: np.ndarray, tokens: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         p = _prefix(len(s), percent)
         g = _classes(p)
-        at = np.searchsorted(tokens, s)
-        at[at == len(tokens)] = 0
-        often = tokens[at] == s if len(tokens) else np.zeros(len(s), bool)
+        often, at = _is_in(tokens, s)
         rare, common = s[~often], s[often]
         if len(rare) >= p:
             return rare[:p], np.arange(p)
@@ -267,11 +275,10 @@ def nodes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketch(shingle), "doc_id long, node long, n_shingles long" + "".join(f", {s} long" for s in SKETCHES))
 
 
-def _frequent(text: DataFrame, shingle: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The frequent shingles, in order, and their counts: those above FREQUENT_FROM, or above the count that leaves FREQUENT_MOST."""
-    spark = text.sparkSession
-    counts = text.mapInArrow(_counts(shingle, percent), "token long, n int").groupBy("token").agg(F.sum("n").alias("n"))
-    often = stored(counts.where(F.col("n") > FREQUENT_FROM), "often")
+def _above(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles, in order, and their counts: those above FREQUENT_FROM, or above the count that leaves FREQUENT_MOST."""
+    spark = counts.sparkSession
+    often = stored(counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > FREQUENT_FROM), "often")
     least, held = FREQUENT_FROM, 0
     for r in often.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
         held += r["count"]
@@ -285,10 +292,24 @@ def _frequent(text: DataFrame, shingle: int, percent: int) -> tuple[np.ndarray,
     return tokens[order], top.column("n").to_numpy().astype(_LONG)[order]
 
 
+def _frequent(text: DataFrame, shingle: int, percent: int):
+    """The broadcast list of frequent shingles, in order, with their counts.
+
+    Where they leave less than a prefix of what was counted of a set, its other shingles are counted as well: so no
+    set's prefix has shingles of unknown frequency, and few sets are counted whole.
+    """
+    spark = text.sparkSession
+    first = _above(text.mapInArrow(_counts(shingle, percent), "token long, n int"))
+    listed = spark.sparkContext.broadcast(first)
+    then = _above(text.mapInArrow(_counts(shingle, percent, listed), "token long, n int"))
+    tokens, at = np.unique(np.concatenate([first[0], then[0]]), return_index=True)
+    return spark.sparkContext.broadcast((tokens, np.concatenate([first[1], then[1]])[at]))
+
+
 def _live_postings(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Postings of all keys that two nodes or more have."""
     spark, text = docs.sparkSession, docs.select("text")
-    listed = spark.sparkContext.broadcast(_frequent(text, shingle, percent))
+    listed = _frequent(text, shingle, percent)
     posts = text.mapInArrow(_postings(shingle, percent, listed), "key long, node long, what long")
     # sorted by Spark (which spills) and read as a stream: a key's rows are never held together
     fewest_rare = F.expr(f"if(shiftright(what, 30) & 3 = {PAIR}, what & {(1 << 30) - 1}, 0)")
