@@ -46,12 +46,16 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def forget(spark: SparkSession, *tables: DataFrame) -> None:
-    """Deletes stored tables that nothing will read again, and lets Spark's cleaner drop finished steps' shuffle files.
-
-    Spark drops a shuffle's files when the driver has collected its last reference.
-    """
+    """Deletes stored tables that nothing will read again."""
     for df in tables:
         _delete(spark, df._stored_at)
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Asks for the files of finished shuffles to be dropped: Spark does so once the driver has collected the last reference to one.
+
+    Only a help for disks: results don't depend on it.
+    """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
@@ -62,6 +66,17 @@ def forget_all(spark: SparkSession) -> None:
         _delete(spark, path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many leading underscores as make it clash with no column of df."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        out.append(n)
+    return out
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

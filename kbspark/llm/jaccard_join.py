@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import forget, partitions, stored
+from .common import drop_shuffles, forget, partitions, stored
 from .components import components
 
 #: A shingle in more prefixes than this is frequent.
@@ -287,6 +287,7 @@ def _above(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             break
     top = often.where(F.col("n") > least).toArrow()
     forget(spark, often)
+    drop_shuffles(spark)
     tokens = top.column("token").to_numpy().astype(_LONG).view(np.uint64)
     order = np.argsort(tokens)
     return tokens[order], top.column("n").to_numpy().astype(_LONG)[order]
@@ -315,7 +316,7 @@ def _live_postings(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     fewest_rare = F.expr(f"if(shiftright(what, 30) & 3 = {PAIR}, what & {(1 << 30) - 1}, 0)")
     ordered = posts.repartition(partitions(spark), "key").sortWithinPartitions("key", fewest_rare, F.xxhash64("node"), "node")
     live = stored(ordered.mapInArrow(_shared, "key long, node long, what long, pivot long, pivot_what long"), "live")
-    forget(spark)
+    drop_shuffles(spark)
     return live
 
 
@@ -386,6 +387,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, shingle: int
     both = mine.unionByName(others).repartition(partitions(spark), "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
     links = stored(both.select("a", "b", "shingles").mapInArrow(_verify(percent), "a long, b long"), "links")
     forget(spark, pairs, dealt, sets)
+    drop_shuffles(spark)
     return links
 
 
