@@ -1,18 +1,17 @@
 """Quality rules as weak supervision.
 
-Each rule looks at a document's counts and votes good, bad, or abstains. The votes of all documents are
+Each rule looks at a document's counts and votes good, bad, or abstains. Two base rules stand outside: under 50 words,
+or more than half of the words in repeated windows. The votes of all documents that pass these are
 counted by pattern (at most 3 ** rules of them, however many documents); expectation-maximisation
 on these counts estimates, for each rule, how often it votes each way on good and on bad documents,
-and the share of good ones. A document is kept if the posterior probability that it is good,
-given all its votes, is at least ``threshold``: a single failed rule doesn't condemn it.
+and the share of good ones. A document is kept if it passes the base rules and the posterior probability that it is good,
+given all its votes, is at least ``threshold``: a single failed rule doesn't condemn it, and one that the others agree with does.
 
-Two base rules stand outside: under 50 words, or more than half of the words in repeated windows.
-
-Rules are kept the right way round: a rule's votes for good are at least as likely on good documents as
+No rule repeats a base rule: what those let through is judged by the rest. Rules are kept the right way round: a rule's votes for good are at least as likely on good documents as
 on bad ones, and the other way. EM starts at accuracy 0.9 for every rule.
 
 Defined cases: null and empty texts have no words and fail the base rule; no documents, no patterns, no
-rows; rows are scored one by one, so repeated ids are rows of their own; extra columns are ignored.
+rows; if none passes the base rules, the rates are those that EM starts with, smoothed; rows are scored one by one, so repeated ids are rows of their own and get the same result; null ids stay null; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,16 +36,17 @@ def _ratio(a: str, b: str) -> Column:
 
 
 #: name: (measure, good from, good to, bad below, bad above); abstain between. Fixed values.
-RULES: dict[str, tuple[Column, float, float, float, float]] = {
-    "length": ("n_words", 80, 100_000, 50, 1e9),
-    "repeats": (("n_repeat_words", "n_words"), 0, 0.15, -1, 0.3),
-    "symbols": (("n_symbols", "n_words"), 0, 0.05, -1, 0.25),
-    "word_length": (("word_chars", "n_words"), 3.5, 9, 2.5, 12),
+RULES: dict[str, tuple[str | tuple[str, str], float, float, float, float]] = {
+    "symbols": (("n_symbols", "n_words"), 0, 0.02, -1, 0.1),
+    "letters": (("n_letters", "word_chars"), 0.9, 1, 0.8, 2),
+    "digits": (("n_digits", "word_chars"), 0, 0.08, -1, 0.2),
+    "word_length": (("word_chars", "n_words"), 3.5, 7, 3, 8),
+    "line_ends": (("n_ended", "n_lines"), 0.9, 1, 0.5, 2),
     "same_lines": (("n_dup_lines", "n_lines"), 0, 0.05, -1, 0.3),
-    "capitals": (("n_upper", "n_letters"), 0.001, 0.15, -1, 0.4),
-    "letters": (("n_letters", "word_chars"), 0.8, 1, 0.65, 2),
-    "shouts": (("n_shouts", "n_words"), 0, 0.05, -1, 0.25),
-    "line_ends": (("n_ended", "n_lines"), 0.5, 1, 0.1, 2),
+    "capitals": (("n_upper", "n_letters"), 0.001, 0.1, -1, 0.3),
+    "shouts": (("n_shouts", "n_words"), 0, 0.02, -1, 0.1),
+    "line_words": (("n_words", "n_lines"), 10, 200, 4, 1000),
+    "distinct": (("n_distinct", "n_words"), 0.6, 1, 0.4, 2),
 }
 
 
@@ -58,7 +58,7 @@ def counted(docs: DataFrame) -> DataFrame:
             c = text_counts(as_bytes(b.column("text")))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(c[k]) for k in COUNTS]], ["doc_id", *COUNTS])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, " + ", ".join(f"{k} long" for k in COUNTS))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, " + ", ".join(f"{k} long" for k in COUNTS))
 
 
 def votes() -> list[Column]:
@@ -105,13 +105,13 @@ def quality_rules(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     pattern = F.lit(0)
     for v in votes():
         pattern = pattern * 3 + v
-    rows = stored(counted(docs).withColumn("pattern", pattern), "counts")
-    seen = rows.groupBy("pattern").count().collect()
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    rows = stored(counted(docs).withColumns({"pattern": pattern, "base_failed": failed}), "counts")
+    seen = rows.groupBy("pattern").agg(F.sum((~F.col("base_failed")).cast("long")).alias("passed")).collect()
     codes = np.array([r["pattern"] for r in seen], np.int64)
     table = np.stack([(codes // 3**k) % 3 for k in reversed(range(len(RULES)))], 1) if len(codes) else np.zeros((0, len(RULES)), np.int64)
-    rates, share = estimate(table, np.array([r["count"] for r in seen], float))
+    rates, share = estimate(table, np.array([r["passed"] for r in seen], float))
     known = docs.sparkSession.createDataFrame([(int(c), float(p)) for c, p in zip(codes, posterior(table, rates, share), strict=True)], "pattern int, posterior double")
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     # at most 3 ** rules rows
-    out = rows.join(F.broadcast(known), "pattern").withColumn("base_failed", failed)
+    out = rows.join(F.broadcast(known), "pattern")
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold)).drop("pattern")
