@@ -4,7 +4,7 @@ A page becomes a tree (unclosed and misnested tags as browsers take them, roughl
 can't be prose by tag, class, id or role (menus, forms, adverts, notices, comments and the like) are
 left out. Every paragraph passes points to its ancestors: one, one per comma, one per hundred
 characters up to three; the parent gets them whole, its parent a half, the ones above a third, a
-quarter and so on, only as far as the sectioning element around. A container's points are discounted
+quarter and so on, REACH elements up at most and only as far as the sectioning element around. A container's points are discounted
 by its link density. The best container is kept whole, with those siblings that score at
 least a fifth of it, or are prose themselves (long with few links, or a heading or paragraph next to it).
 
@@ -13,17 +13,20 @@ item, a table cell, a run of text between block tags) made one space, blocks joi
 
 Defined cases: null or empty html, or html without text outside of what is left out, gives an empty
 text; a page without paragraphs is scored by its runs of text; ties go to the deeper container,
-then to the earlier one; repeated page ids are rows of their own; extra columns are ignored.
+then to the earlier one; null and repeated page ids are rows of their own; extra columns are ignored. White space is Unicode's; characters of
+no width stay. The time follows a page's length, however deep its elements are nested.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # fixed values: HTML's element names by kind
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -34,24 +37,35 @@ CLOSES_P = BLOCK - frozenset("body html caption tbody td tfoot th thead tr legen
 IMPLIED = {"li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option", "tbody": "thead tbody tfoot tr td th", "tfoot": "thead tbody tfoot tr td th"}
 SCOPES = frozenset("table td th ul ol dl div article section main aside body html blockquote".split())
 SECTIONS = frozenset("article main body html".split())
-#: words of class, id and role that mark what is no prose
+_NAME = r"(?:^|[\s_-])(?:%s)(?:$|[\s_-])"
+#: words of class, id and role that mark what is no prose, whatever stands beside them
 UNLIKELY = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adbox|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion|banner|navigation|nav|navbar|menu|menubar|breadcrumb|breadcrumbs|pagination|pager|footer|foot|header|masthead|topbar|toolbar|sidebar|side|aside|rail|widget|"
-    r"comment|comments|disqus|respond|reply|replies|cookie|cookies|consent|gdpr|notice|notices|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|search|share|sharing|social|related|recommended|recommendations|tags|skip|hidden|copyright|legal|disclaimer|contentinfo|complementary|alertdialog)(?:$|[\s_-])",
+    _NAME
+    % "ad|ads|adbox|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion|navigation|nav|navbar|menu|menubar|breadcrumb|breadcrumbs|pagination|pager|footer|topbar|toolbar|sidebar|aside|widget|"
+    "comment|comments|disqus|respond|reply|replies|cookie|cookies|consent|gdpr|notices|notification|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|search|share|sharing|social|related|recommended|recommendations|hidden|copyright|disclaimer|contentinfo|complementary|alertdialog",
     re.I,
 )
-LIKELY = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|content|main|body|text)(?:$|[\s_-])", re.I)
+#: words that mark it unless one of LIKELY stands beside them, as in the header of a post
+DOUBTFUL = re.compile(_NAME % "banner|foot|header|masthead|side|rail|notice|alert|tags|skip|legal", re.I)
+LIKELY = re.compile(_NAME % "article|post|entry|story", re.I)
+#: what the words say of a layout, not of the element
+LAYOUT = re.compile(r"(?:^|(?<=[\s_-]))(?:has|with|no|without)-[\w-]+", re.I)
+#: words that make even an article a reader's comment
+COMMENT = re.compile(_NAME % "comment|comments|respond|reply|replies", re.I)
+#: Ancestors that a paragraph's points reach.
+REACH = 32
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_WHITE = re.compile(r"[\s​]+")
+_WHITE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("children", "dropped", "points", "parent", "tag")
+    __slots__ = ("children", "depth", "dropped", "points", "parent", "tag")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool = False):
         self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.depth = parent.depth + 1 if parent is not None else 0
         self.children: list[Node | str] = []
         self.points = 0.0
 
@@ -62,14 +76,29 @@ def _unlikely(tag: str, raw: str) -> bool:
     values = {m[0].lower(): next((x for x in m[1:] if x), "") for m in _ATTRIBUTE.findall(raw)}
     if "hidden" in values or re.search(r"display\s*:\s*none", values.get("style", "")) or values.get("aria-hidden") == "true":
         return True
-    named = " ".join(values.get(k, "") for k in ("class", "id", "role"))
-    return bool(named.strip()) and tag not in ("html", "body", "article", "main") and bool(UNLIKELY.search(named)) and not LIKELY.search(values.get("class", "") + " " + values.get("id", ""))
+    named = LAYOUT.sub(" ", " ".join(values.get(k, "") for k in ("class", "id", "role")))
+    if not named.strip() or tag in ("html", "body", "main"):
+        return False
+    if tag == "article":
+        return bool(COMMENT.search(named))
+    return bool(UNLIKELY.search(named)) or bool(DOUBTFUL.search(named)) and not LIKELY.search(named)
 
 
 def parse(page: str) -> Node:
     root = node = Node("html", None)
+    open_: Counter = Counter(["html"])
+    endless: set[str] = set()  # raw tags that aren't closed further on
     at = 0
     find = _TOKEN.search
+
+    def close(n: Node) -> Node:
+        """Leave every element up to n; the node then open."""
+        x = node
+        while x is not n.parent:
+            open_[x.tag] -= 1
+            x = x.parent
+        return n.parent
+
     while m := find(page, at):
         if m.start() > at:
             node.children.append(page[at : m.start()])
@@ -78,41 +107,45 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if m[1]:
-            n = node
+            n = node if open_[tag] else None
             while n is not None and n.tag != tag:
                 n = n.parent if tag in BLOCK or n.tag not in BLOCK else None
             if n is not None and n.parent is not None:
-                node = n.parent
+                node = close(n)
             elif tag == "p" or tag == "br":
                 node.children.append(Node("br", node))
             continue
         if tag in ("html", "body") and node.tag in ("html", "body", "head"):
             if tag == "body":
                 node = Node("body", root)
+                open_["body"] += 1
                 root.children.append(node)
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and open_["p"]:
             n = node
             while n is not None and n.tag != "p" and n.tag not in SCOPES:
                 n = n.parent
             if n is not None and n.tag == "p":
-                node = n.parent
-        if tag in IMPLIED:
-            n, ends = node, IMPLIED[tag].split()
-            top = None
+                node = close(n)
+        ends = IMPLIED.get(tag, "").split()
+        if any(open_[t] for t in ends):
+            n, top = node, None
             while n is not None and (n.tag not in SCOPES or n.tag in ends):
                 if n.tag in ends:
                     top = n
                 n = n.parent
             if top is not None:
-                node = top.parent
-        new = Node(tag, node, tag in DROPPED and not (tag == "header" and _inside(node, "article")) or _unlikely(tag, m[3]))
+                node = close(top)
+        new = Node(tag, node, tag in DROPPED and not (tag == "header" and open_["article"]) or _unlikely(tag, m[3]))
         node.children.append(new)
         if tag in RAW:
-            close = re.compile(f"</{re.escape(tag)}\\s*>", re.I).search(page, at)
-            at = close.end() if close else len(page) if tag not in ("title", "noscript", "template", "svg", "math", "object", "canvas") else at
+            end = None if tag in endless else re.compile(f"</{re.escape(tag)}\\s*>", re.I).search(page, at)
+            if end is None:
+                endless.add(tag)
+            at = end.end() if end else len(page) if tag not in ("title", "noscript", "template", "svg", "math", "object", "canvas") else at
         elif tag not in VOID and not m[3].endswith("/"):
             node = new
+            open_[tag] += 1
     if at < len(page):
         node.children.append(page[at:])
     return root
@@ -140,14 +173,17 @@ def blocks(node: Node, skip: frozenset = frozenset()) -> list[tuple[Node, str, i
         run.clear()
         linked = 0
 
-    stack: list[tuple[Node, int, bool]] = [(node, 0, False)]
+    owner = node
+    while owner.tag not in BLOCK and owner.parent is not None:
+        owner = owner.parent
+    stack: list[tuple[Node, int, bool, Node]] = [(node, 0, False, owner)]
     while stack:
-        n, k, link = stack.pop()
+        n, k, link, owner = stack.pop()
         if k == len(n.children):
             if n.tag in BLOCK:
                 flush(n)
             continue
-        stack.append((n, k + 1, link))
+        stack.append((n, k + 1, link, owner))
         c = n.children[k]
         if isinstance(c, str):
             run.append(c)
@@ -156,11 +192,8 @@ def blocks(node: Node, skip: frozenset = frozenset()) -> list[tuple[Node, str, i
             run.append(" ")
         elif not c.dropped and c not in skip:
             if c.tag in BLOCK:
-                owner = n
-                while owner.tag not in BLOCK and owner.parent is not None:
-                    owner = owner.parent
                 flush(owner)
-            stack.append((c, 0, link or c.tag == "a"))
+            stack.append((c, 0, link or c.tag == "a", c if c.tag in BLOCK else owner))
     flush(node)
     return out
 
@@ -176,23 +209,24 @@ def extract(page: str | None) -> str:
     links_of: dict[Node, int] = {}
     scored: dict[Node, int] = {}
     for owner, text, linked in found:
+        text_of[owner] = text_of.get(owner, 0) + len(text)
+        links_of[owner] = links_of.get(owner, 0) + linked
         depth = 0
-        n = owner
-        while n is not None:
-            text_of[n] = text_of.get(n, 0) + len(text)
-            links_of[n] = links_of.get(n, 0) + linked
-            n = n.parent
         points = (1 + text.count(",") + min(len(text) // 100, 3)) * (1 - linked / len(text))
         n = owner if owner.tag in ("div", "section", "article", "main", "body", "html", "td") else owner.parent or owner
-        while n is not None:
+        while n is not None and depth < REACH:
             n.points += points / (depth + 1 if depth < 2 else depth * 2)
             scored.setdefault(n, len(scored))
             if n.tag in SECTIONS:
                 break
             depth += 1
             n = n.parent
+    for n in _deepest_first(text_of):
+        if n.parent is not None:
+            text_of[n.parent] = text_of.get(n.parent, 0) + text_of[n]
+            links_of[n.parent] = links_of.get(n.parent, 0) + links_of[n]
     value = {n: n.points * (1 - links_of[n] / text_of[n]) * (1.5 if n.tag in ("article", "main") else 1) for n in scored}
-    best = max(scored, key=lambda n: (value[n], _depth(n), -scored[n]))
+    best = max(scored, key=lambda n: (value[n], n.depth, -scored[n]))
     if _inside(best, "article"):
         while best.tag != "article" or _inside(best.parent, "article"):
             best = best.parent
@@ -208,11 +242,14 @@ def extract(page: str | None) -> str:
     return "\n".join(text for n in kept for _, text, _ in blocks(n))
 
 
-def _depth(n: Node) -> int:
-    d = 0
-    while n.parent is not None:
-        n, d = n.parent, d + 1
-    return d
+def _deepest_first(some: dict[Node, int]) -> list[Node]:
+    """The nodes and all their ancestors, each after every one of its descendants."""
+    seen: set[Node] = set()
+    for n in some:
+        while n is not None and n not in seen:
+            seen.add(n)
+            n = n.parent
+    return sorted(seen, key=lambda n: -n.depth)
 
 
 def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,4 +260,4 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """pages: (page_id, url, html). One row per row: page_id, url, text, n_chars."""
-    return pages.select("page_id", "url", "html").mapInArrow(_run, "page_id long, url string, text string, n_chars long")
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(_run, "page_id long, url string, text string, n_chars long")
