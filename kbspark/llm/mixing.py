@@ -8,14 +8,16 @@ cumulative targets, a source owns the points of an interval, so within any stret
 comes within a few slots of its share. A source's slots are ranked in schedule order, and its k-th slot
 takes the k-th block of equally many words of the source's stream: its documents in shuffled order,
 again and again, at most ``most`` times. ``schedule`` has a row for each slot and document that
-meet; ``mix`` adds up what is taken of each document.
+meet; ``mix`` adds up what is taken of each document and says where it first comes; ``taken_texts`` are the texts of the mix in
+schedule order.
 
 No source's rows meet in one task: ranks and stream positions are sums over cells (a stretch of
 slots, a range of the shuffle) plus a window within a cell. Only one row per source is ever
-ordered in one place. Every step is a DataFrame expression; reruns give the same mix.
+ordered in one place, and what there is one row of for each source is broadcast up to FEW_SOURCES of them, and joined beyond. Every step is a DataFrame expression; reruns give the same mix.
 
-Defined cases: null text and wordless documents have size 0 and nothing is taken; null is a source of
-its own, last in order; repeated ids: rows are told apart by a number, equal ones are interchangeable;
+Defined cases: null text and wordless documents have size 0 and nothing is taken (``taken_texts`` keeps them once, last); null is a source of
+its own, last in order; null ids come first and stay null; repeated ids: rows are told apart by a number, equal ones are interchangeable;
+texts of any length are one document each, cut only where a source's target ends; extra columns are passed on by ``taken_texts``, whatever their names;
 an empty table gives no rows; if no document has a word, all targets are 0.
 """
 
@@ -26,7 +28,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NOT_SPACE, stored
+from .common import NOT_SPACE, SPACES, fresh, stored
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
@@ -34,6 +36,8 @@ MOST = 3
 SLOTS_PER_ROOT = 60
 #: Slots, and documents, of a cell.
 CELL = 1 << 13
+#: Tables of a row for each source are broadcast if there are no more (about 60 bytes each).
+FEW_SOURCES = 100_000
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -76,20 +80,21 @@ def _ranked(rows: DataFrame, key: str, cell: str, order: list, amount: str, name
 def schedule(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> tuple[DataFrame, DataFrame, DataFrame]:
     """docs: (doc_id, source, size). Returns (numbered documents, sources, takes).
 
-    takes: (slot, row, place, start, words): slot ``slot`` takes ``words`` words of document ``row``
-    from word ``start`` on.
+    takes: (slot, row, turn, place, start, words): slot ``slot`` takes ``words`` words of document ``row``
+    from word ``start`` on, as the stream runs through it for the ``turn``-th time (from 0).
     """
     spark = docs.sparkSession
     sources = stored(targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "sources")
     first = sources.select("total", "all").first()
     total = int(first.total or 0) if first else 0
+    few = F.broadcast if sources.count() <= FEW_SOURCES else lambda df: df
     bits = max(0, math.ceil(math.log2(SLOTS_PER_ROOT * math.sqrt(total)))) if total else 0
     slots = 1 << bits
     block = total / slots if total else 1.0
     # shuffled documents, numbered apart by their hash
     n = docs.count()
     cells = max(1, n // CELL)
-    numbered = docs.join(sources.select("place", F.col("source").alias("s")), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    numbered = docs.join(few(sources.select("place", F.col("source").alias("s"))), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     numbered = numbered.withColumn("h", F.xxhash64("doc_id", F.lit(17)))
     numbered = numbered.withColumn("cell", F.floor((F.col("h").cast("double") / 2.0**64 + 0.5) * cells).cast("long"))
     placed = stored(_ranked(numbered, "place", "cell", ["h", "doc_id", "size", "row"], "size", "begin"), "placed")
@@ -104,22 +109,49 @@ def schedule(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     ranked = ranked.withColumn("b0", F.floor(F.col("rank") * F.lit(block)).cast("long"))
     ranked = ranked.withColumn("b1", F.least(F.floor((F.col("rank") + 1) * F.lit(block)).cast("long"), most * F.col("source_size"))).where("b1 > b0")
     ranked = stored(ranked.select("place", "slot", "rank", "b0", "b1"), "slots")
-    ends = ranked.groupBy("place").agg(F.max("b1").alias("end"))
-    turns = placed.where("size > 0").join(sources.select("place", "source_size"), "place").join(ends, "place")
+    ends = stored(sources.select("place", "source_size").join(ranked.groupBy("place").agg(F.max("b1").alias("end")), "place"), "ends")
+    turns = placed.where("size > 0").join(few(ends), "place")
     turns = turns.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(most - 1)))).withColumn("d0", F.col("turn") * F.col("source_size") + F.col("begin")).where("d0 < end")
     turns = turns.withColumn("d1", F.least(F.col("d0") + F.col("size"), F.col("end")))
     k0 = F.greatest(F.floor(F.col("d0") / F.lit(block)).cast("long") - 1, F.lit(0))
     k1 = F.floor((F.col("d1") - 1) / F.lit(block)).cast("long") + 1
-    turns = turns.select("place", "row", "d0", "d1", F.explode(F.sequence(k0, k1)).alias("rank"))
+    turns = turns.select("place", "row", "turn", "d0", "d1", F.explode(F.sequence(k0, k1)).alias("rank"))
     met = turns.join(ranked, ["place", "rank"]).where("b0 < d1 and d0 < b1")
-    takes = met.select("slot", "row", "place", (F.greatest("b0", "d0") - F.col("d0")).alias("start"), (F.least("b1", "d1") - F.greatest("b0", "d0")).alias("words"))
+    takes = met.select("slot", "row", "turn", "place", (F.greatest("b0", "d0") - F.col("d0")).alias("start"), (F.least("b1", "d1") - F.greatest("b0", "d0")).alias("words"))
     return placed, sources, takes
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """docs: (doc_id, text, source). One row per row: doc_id, source, size, source_size, target, taken."""
+    """docs: (doc_id, text, source). One row per row: row (a number), doc_id, source, size, source_size, target, taken, first_slot (null: in none)."""
     rows = stored(sized(docs.select("doc_id", "text", "source")).drop("text").withColumn("row", F.monotonically_increasing_id()), "sized")
     placed, sources, takes = schedule(rows, weights, most)
-    taken = takes.groupBy("row").agg(F.sum("words").alias("taken"))
-    out = placed.join(sources.select("place", "source_size", "target"), "place").join(taken, "row", "left")
-    return out.select("row", "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    taken = takes.groupBy("row").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
+    few = F.broadcast if sources.count() <= FEW_SOURCES else lambda df: df
+    out = placed.join(few(sources.select("place", "source_size", "target")), "place").join(taken, "row", "left")
+    return out.select("row", "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot")
+
+
+def taken_texts(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """docs: doc_id, text, source and any others. The rows of the mix, in schedule order, with the columns of docs.
+
+    A document comes once for each turn that takes of it, at the first slot of that turn: whole, but where the source's target ends
+    within it, as far as that; n_chars, if there, is that of the text.
+    """
+    row, turn, slot, words, size = fresh(docs, "_row", "_turn", "_slot", "_words", "_size")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    sizes = stored(sized(rows.select(F.col(row).alias("row"), "doc_id", "text", "source")).drop("text"), "sized")
+    placed, _, takes = schedule(sizes, weights, most)
+    # a turn's words are the first ones: all, but for the last document that a source's stream comes to
+    turns = takes.groupBy("row", "turn").agg(F.min("slot").alias("slot"), F.sum("words").alias("words")).join(placed.select("row", "size"), "row")
+    empty = placed.where("size = 0").select("row", F.lit(0).alias("turn"), F.lit(None).cast("long").alias("slot"), F.lit(0).cast("long").alias("words"), "size")
+    turns = stored(turns.unionByName(empty), "turns")
+    names = [(c, n) for c, n in zip(("row", "turn", "slot", "words", "size"), (row, turn, slot, words, size), strict=True)]
+    joined = rows.join(turns.select(*[F.col(c).alias(n) for c, n in names]), row)
+    begun = F.regexp_replace("text", "\\A" + SPACES, "")
+    rest = F.element_at(F.split(begun, SPACES, (F.col(words) + 1).cast("int")), -1)
+    first = F.regexp_replace(F.substring(begun, F.lit(1), F.length(begun) - F.length(rest)), SPACES + "\\z", "")
+    text = F.when(F.col(words) < F.col(size), first).otherwise(F.col("text"))
+    out = joined.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col(words) < F.col(size), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.orderBy(F.col(slot).asc_nulls_last(), row, turn).select(*docs.columns)
