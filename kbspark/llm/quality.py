@@ -1,18 +1,22 @@
 """Quality classifier by co-training of two views.
 
-The text view sees counts of the content (letters, symbols, repeated words and lines and so on, as ratios in
-quantile bins); the metadata view sees source, language and size as the table states them. Both are linear
+The text view sees the content: its words (hashed to WORDS classes, as the mean of their log odds of good against bad documents)
+and counts (letters, symbols, repeated words and lines and so on, as ratios), all in
+quantile bins. The metadata view sees source, language and size as the table states them, sources and languages hashed to
+SOURCES and LANGS classes: names that share a class share a weight. Both are linear
 classifiers, fitted by least squares from sums over all documents (a matrix of at most a few hundred
-columns squared), so the unlabelled documents are never sampled: in each round every document of which one
-view is confident teaches the other with that pseudo-label. A view is calibrated on labelled rows;
-at the end both calibrated views are combined by a logistic model into the probability of good
-quality, for every document. Labelled rows count there by the labels' shares of all labelled rows.
+columns squared, and two numbers for each class of words), so the unlabelled documents are never sampled: in each round every document of which one
+view is confident teaches the other with that pseudo-label.
 
-Labels: at most LABELLED rows of each kind, by hash of the id; null and contradicted labels aren't
+Half of the labelled rows (by hash of the id) are fitted; the other half, which no view was fitted on, calibrates each view, and at the end a logistic model of both calibrated views that gives the probability of good
+quality, for every document. Labelled rows count there by the labels' shares of all labelled rows. If one
+half lacks a label, both steps take all labelled rows.
+
+Labels: at most LABELLED rows of each kind, by hash of the id (then the smaller id); null and contradicted labels aren't
 used. Without labels of both kinds, every document gets the share of good ones (1 if none).
 
-Defined cases: null text counts as empty; null metadata are values of their own; repeated ids are
-rows of their own (each is joined with its id's label); extra columns are passed on by ``good_documents``
+Defined cases: null text counts as empty; null metadata are values of their own; null ids have no label and stay null; repeated ids are
+rows of their own (each is joined with its id's label); long texts are read whole; extra columns are passed on by ``good_documents``, whatever their names,
 and ignored otherwise; empty tables give no rows.
 """
 
@@ -27,16 +31,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from . import words
+from .common import forget, fresh, stored
 from .stats import text_counts
 from .toxicity import shared
 from .words import as_bytes
 
 LABELLED = 5000
+#: Classes of words.
+WORDS = 1 << 14
 ROUNDS, CONFIDENT, PSEUDO_WEIGHT = 2, 0.95, 0.2
 THRESHOLD = 0.5
 BINS = 8
-SOURCES, LANGS, SIZES = 64, 16, 24
+SOURCES, LANGS, SIZES = 256, 64, 24
 #: name: (count, by count); fixed values.
 RATIOS = {
     "symbols": ("n_symbols", "n_words"),
@@ -52,12 +59,16 @@ RATIOS = {
     "line_words": ("n_words", "n_lines"),
 }
 NAMES = list(RATIOS)
+METADATA = ("m0", "m1", "m2")
 TEXT, META = 0, 1
+#: Edges of the words' bins: mean log odds.
+ODDS = np.array([-0.6, -0.3, -0.1, 0.0, 0.1, 0.3, 0.6])
 
 
 @dataclass
 class Model:
     edges: np.ndarray
+    odds: np.ndarray = field(default_factory=lambda: np.zeros(WORDS))
     weights: list[np.ndarray | None] = field(default_factory=lambda: [None, None])
     platt: list[tuple[float, float]] = field(default_factory=lambda: [(1.0, 0.0), (1.0, 0.0)])
     stack: tuple[float, float, float] = (1.0, 1.0, 0.0)
@@ -66,9 +77,9 @@ class Model:
 
 def _metadata(docs: DataFrame) -> list:
     return [
-        F.pmod(F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit("\0"))), F.lit(SOURCES)).cast("int").alias("m0"),
-        F.pmod(F.xxhash64(F.coalesce(F.col("lang").cast("string"), F.lit("\0"))), F.lit(LANGS)).cast("int").alias("m1"),
-        F.least(F.lit(SIZES - 1), F.coalesce(F.floor(F.log2(F.greatest(F.col("n_chars").cast("double"), F.lit(0.0)) + 1)).cast("int") + 1, F.lit(0))).cast("int").alias("m2"),
+        F.pmod(F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit("\0"))), F.lit(SOURCES)).cast("int"),
+        F.pmod(F.xxhash64(F.coalesce(F.col("lang").cast("string"), F.lit("\0"))), F.lit(LANGS)).cast("int"),
+        F.least(F.lit(SIZES - 1), F.coalesce(F.floor(F.log2(F.greatest(F.col("n_chars").cast("double"), F.lit(0.0)) + 1)).cast("int") + 1, F.lit(0))).cast("int"),
     ]
 
 
@@ -77,29 +88,74 @@ def ratios(texts: list[bytes]) -> np.ndarray:
     return np.stack([c[a] / np.maximum(c[b], 1) for a, b in RATIOS.values()], 1) if texts else np.zeros((0, len(RATIOS)))
 
 
+def word_classes(texts: list[bytes]) -> list[bytes]:
+    """The classes of each text's words, each once, as 16-bit numbers."""
+    out = []
+    for lo, hi in words.batches(texts):
+        w = words.Words(texts[lo:hi], lower=True)
+        h = (w.hashes() % np.uint64(WORDS)).astype(np.uint16)
+        out += [np.unique(h[w.first[d] : w.first[d + 1]]).tobytes() for d in range(hi - lo)]
+    return out
+
+
 def features(docs: DataFrame) -> DataFrame:
-    """doc_id, the ratios, and m0, m1, m2 (the metadata as classes), of every row."""
+    """doc_id, the ratios, the words' classes and m0, m1, m2 (the metadata as classes), of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            r = ratios(as_bytes(b.column("text")))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(r[:, k]) for k in range(len(NAMES))], *[b.column(m) for m in ("m0", "m1", "m2")]], ["doc_id", *NAMES, "m0", "m1", "m2"])
+            texts = as_bytes(b.column("text"))
+            r = ratios(texts)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(r[:, k]) for k in range(len(NAMES))], pa.array(word_classes(texts), pa.binary()), *[b.column(m) for m in METADATA]], ["doc_id", *NAMES, "said", *METADATA])
+
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[c.alias(m) for c, m in zip(_metadata(docs), METADATA, strict=True)])
+    return own.mapInArrow(run, "doc_id long, " + ", ".join(f"{n} double" for n in NAMES) + ", said binary, m0 int, m1 int, m2 int")
+
+
+@dataclass
+class Rows:
+    """The features of some documents."""
+
+    ratios: np.ndarray
+    words: np.ndarray
+    sizes: np.ndarray
+    metadata: np.ndarray
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_metadata(docs))
-    return own.mapInArrow(run, "doc_id long, " + ", ".join(f"{n} double" for n in NAMES) + ", m0 int, m1 int, m2 int")
+    @classmethod
+    def of(cls, ratios: np.ndarray, said: list[bytes], metadata: np.ndarray) -> Rows:
+        return cls(ratios, np.frombuffer(b"".join(said), np.uint16), np.array([len(x) // 2 for x in said], int), metadata)
 
+    @classmethod
+    def of_frame(cls, f: pd.DataFrame) -> Rows:
+        return cls.of(f[NAMES].to_numpy(float), f["said"].to_list(), f[list(METADATA)].to_numpy(int))
 
-def design(view: int, r: np.ndarray, m: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    @classmethod
+    def of_batch(cls, b: pa.RecordBatch) -> Rows:
+        numbers = lambda names: np.stack([b.column(k).to_numpy(zero_copy_only=False) for k in names], 1)
+        return cls.of(numbers(NAMES), b.column("said").to_pylist(), numbers(METADATA))
+
+    def __len__(self) -> int:
+        return len(self.ratios)
+
+    @property
+    def doc(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self)), self.sizes)
+
+    def mean_odds(self, odds: np.ndarray) -> np.ndarray:
+        return np.bincount(self.doc, odds[self.words], minlength=len(self)) / np.maximum(self.sizes, 1)
+
+
+def design(view: int, rows: Rows, model: Model) -> np.ndarray:
     """One column per class of each feature, and a constant."""
-    n = len(r)
+    n = len(rows)
     if view == TEXT:
-        x = np.zeros((n, len(NAMES) * BINS + 1))
+        x = np.zeros((n, (len(NAMES) + 1) * BINS + 1))
         for k in range(len(NAMES)):
-            x[np.arange(n), k * BINS + np.searchsorted(edges[k], r[:, k], "right")] = 1
+            x[np.arange(n), k * BINS + np.searchsorted(model.edges[k], rows.ratios[:, k], "right")] = 1
+        x[np.arange(n), len(NAMES) * BINS + np.searchsorted(ODDS, rows.mean_odds(model.odds), "right")] = 1
     else:
         x = np.zeros((n, SOURCES + LANGS + SIZES + 1))
         for k, at in enumerate((0, SOURCES, SOURCES + LANGS)):
-            x[np.arange(n), at + m[:, k]] = 1
+            x[np.arange(n), at + rows.metadata[:, k]] = 1
     x[:, -1] = 1
     return x
 
@@ -108,60 +164,86 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def view_probability(model: Model, view: int, r: np.ndarray, m: np.ndarray) -> np.ndarray:
+def _logit(p):
+    return np.log(np.clip(p, 1e-9, 1 - 1e-9) / np.clip(1 - p, 1e-9, 1))
+
+
+def view_probability(model: Model, view: int, rows: Rows) -> np.ndarray:
     a, b = model.platt[view]
-    return _sigmoid(a * (design(view, r, m, model.edges) @ model.weights[view]) + b)
+    return _sigmoid(a * (design(view, rows, model) @ model.weights[view]) + b)
 
 
-def probability(model: Model, r: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def probability(model: Model, rows: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of good quality: by text, by metadata, combined."""
     if model.weights[TEXT] is None:
-        p = np.full(len(r), model.share)
+        p = np.full(len(rows), model.share)
         return p, p, p
-    t, s = (view_probability(model, v, r, m) for v in (TEXT, META))
-    logit = lambda p: np.log(np.clip(p, 1e-9, 1 - 1e-9) / np.clip(1 - p, 1e-9, 1))
+    t, s = (view_probability(model, v, rows) for v in (TEXT, META))
     a, b, c = model.stack
-    return t, s, _sigmoid(a * logit(t) + b * logit(s) + c)
+    return t, s, _sigmoid(a * _logit(t) + b * _logit(s) + c)
+
 
+def _targets(model: Model, rows: Rows, y: np.ndarray, views: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(view, target, weight) of every document: its label (y; nan if unknown), else what the other view is sure of."""
+    known = ~np.isnan(y)
+    for view in views:
+        target, weight = np.where(known, 2 * np.nan_to_num(y) - 1, 0.0), known.astype(float)
+        if model.weights[1 - view] is not None and not known.all():
+            p = view_probability(model, 1 - view, rows)
+            pseudo = ~known & ((p >= CONFIDENT) | (p <= 1 - CONFIDENT))
+            target[pseudo], weight[pseudo] = np.where(p[pseudo] >= 0.5, 1.0, -1.0), PSEUDO_WEIGHT
+        yield view, target, weight
 
-def _sums(model: Model, first: bool):
-    """Sums for both views' least squares over a task's documents: rows (view, i, j, v)."""
+
+def word_sums(model: Model, rows: Rows, y: np.ndarray) -> np.ndarray:
+    """By label (0, 1): the weight of documents with each class of words, and (last) of all documents."""
+    out = np.zeros((2, WORDS + 1))
+    for _, target, weight in _targets(model, rows, y, (TEXT,)):
+        for k, sign in enumerate((-1.0, 1.0)):
+            own = weight * (target == sign)
+            out[k, :WORDS] = np.bincount(rows.words, own[rows.doc], minlength=WORDS)
+            out[k, WORDS] = own.sum()
+    return out
+
+
+def log_odds(sums: np.ndarray) -> np.ndarray:
+    bad, good = np.log((sums[:, :WORDS] + 1) / (sums[:, WORDS:] + 2))
+    return good - bad
+
+
+def view_sums(teacher: Model, pupil: Model, rows: Rows, y: np.ndarray) -> list[np.ndarray]:
+    """Both views' sums of products of the pupil's columns and the target, pseudo-labels being the teacher's."""
+    out = []
+    for view, target, weight in _targets(teacher, rows, y, (TEXT, META)):
+        x = np.column_stack([design(view, rows, pupil), target])
+        out.append((x * weight[:, None]).T @ x)
+    return out
+
+
+def _solve(s: np.ndarray) -> np.ndarray:
+    return np.linalg.solve(s[:-1, :-1] + np.eye(len(s) - 1), s[:-1, -1])
+
+
+def _over(marked: DataFrame, sums) -> list[np.ndarray]:
+    """The arrays that ``sums(rows, labels)`` gives, added up over all documents."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: list = [None, None]
+        total: list[np.ndarray] = []
         for f in frames:
-            r, m = f[NAMES].to_numpy(float), f[["m0", "m1", "m2"]].to_numpy(int)
-            y = f["label"].to_numpy(float)
-            known = ~np.isnan(y)
-            sure = [None, None]
-            if not first:
-                sure = [view_probability(model, v, r, m) for v in (TEXT, META)]
-            for view in (TEXT, META):
-                target, weight = np.where(known, 2 * np.nan_to_num(y) - 1, 0.0), known.astype(float)
-                if not first:
-                    p = sure[1 - view]
-                    pseudo = ~known & ((p >= CONFIDENT) | (p <= 1 - CONFIDENT))
-                    target[pseudo], weight[pseudo] = np.where(p[pseudo] >= 0.5, 1.0, -1.0), PSEUDO_WEIGHT
-                on = weight > 0
-                x = design(view, r[on], m[on], model.edges)
-                x = np.column_stack([x, target[on]])
-                s = (x * weight[on, None]).T @ x
-                total[view] = s if total[view] is None else total[view] + s
-        for view in (TEXT, META):
-            if total[view] is not None:
-                i, j = np.nonzero(np.triu(total[view]))
-                yield pd.DataFrame({"view": view, "i": i, "j": j, "v": total[view][i, j]})
-
-    return run
-
-
-def _solve(rows: list, view: int) -> np.ndarray:
-    n = (len(NAMES) * BINS if view == TEXT else SOURCES + LANGS + SIZES) + 2
-    s = np.zeros((n, n))
-    for r in rows:
-        if r.view == view:
-            s[r.i, r.j] = s[r.j, r.i] = r.v
-    return np.linalg.solve(s[:-1, :-1] + np.eye(n - 1), s[:-1, -1])
+            for a in range(0, len(f), 2000):
+                part = f.iloc[a : a + 2000]
+                new = sums(Rows.of_frame(part), part["label"].to_numpy(float))
+                total = [t + n for t, n in zip(total, new, strict=True)] if total else new
+        for k, t in enumerate(total):
+            i, j = np.nonzero(t)
+            yield pd.DataFrame({"k": k, "i": i, "j": j, "v": t[i, j]})
+
+    found = marked.mapInPandas(run, "k int, i int, j int, v double").groupBy("k", "i", "j").agg(F.sum("v").alias("v")).toPandas()
+    empty = sums(Rows.of(np.zeros((0, len(NAMES))), [], np.zeros((0, 3), int)), np.zeros(0))
+    for k, e in enumerate(empty):
+        own = found[found["k"] == k]
+        e[own["i"], own["j"]] = own["v"]
+    return empty
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | float = 1.0) -> np.ndarray:
@@ -188,12 +270,13 @@ def chosen_labels(labels: DataFrame, most: int) -> DataFrame:
 
 def fit(rows: DataFrame, labels: DataFrame, most: int = LABELLED, rounds: int = ROUNDS) -> Model:
     """rows: features(docs), stored; labels: (doc_id, quality), without what is to be withheld."""
+    spark = rows.sparkSession
     edges = rows.approxQuantile(NAMES, [k / BINS for k in range(1, BINS)], 0.002)
     model = Model(np.array([e or [0.0] * (BINS - 1) for e in edges]))
     # at most 2 * most rows
-    marked = stored(rows.join(F.broadcast(chosen_labels(labels, most)), "doc_id", "left"), "marked")
-    taught = marked.where("label is not null").toPandas()
-    y = taught["label"].to_numpy(float)
+    chosen = chosen_labels(labels, most).withColumn("fitted", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2)) == 0)
+    taught = rows.join(F.broadcast(chosen), "doc_id").toPandas()
+    y, fitted = taught["label"].to_numpy(float), taught["fitted"].to_numpy(bool)
     if len(y):
         held = rows.select("doc_id").join(own_labels(labels), "doc_id").groupBy("label").count().collect()
         count = {r["label"]: r["count"] for r in held}
@@ -201,16 +284,33 @@ def fit(rows: DataFrame, labels: DataFrame, most: int = LABELLED, rounds: int =
         model.share = totals[1] / sum(totals)
     if len(set(y.tolist())) < 2:
         return model
-    weight = shared(y, totals)
-    r, m = taught[NAMES].to_numpy(float), taught[["m0", "m1", "m2"]].to_numpy(int)
-    for k in range(rounds + 1):
-        sums = marked.mapInPandas(_sums(model, k == 0), "view int, i int, j int, v double").groupBy("view", "i", "j").agg(F.sum("v").alias("v")).collect()
+    if min(len(set(y[fitted].tolist())), len(set(y[~fitted].tolist()))) < 2:
+        fitted[:] = True
+        rest = fitted
+        chosen = chosen.withColumn("fitted", F.lit(True))
+    else:
+        rest = ~fitted
+    own, held_back, y_rest = Rows.of_frame(taught[fitted]), Rows.of_frame(taught[rest]), y[rest]
+    weight = shared(y_rest, totals)
+
+    def calibrate(new: Model) -> None:
         for v in (TEXT, META):
-            model.weights[v] = _solve(sums, v)
-            model.platt[v] = tuple(_logistic((design(v, r, m, model.edges) @ model.weights[v])[:, None], y, weight).tolist())
-    t, s, _ = probability(model, r, m)
-    logit = lambda p: np.log(np.clip(p, 1e-9, 1 - 1e-9) / np.clip(1 - p, 1e-9, 1))
-    model.stack = tuple(_logistic(np.column_stack([logit(t), logit(s)]), y, weight).tolist())
+            new.platt[v] = tuple(_logistic((design(v, held_back, new) @ new.weights[v])[:, None], y_rest, weight).tolist())
+
+    model.odds = log_odds(word_sums(model, own, y[fitted]))
+    model.weights = [_solve(s) for s in view_sums(model, model, own, y[fitted])]
+    calibrate(model)
+    # what calibrates teaches nothing: no label, and no pseudo-label
+    marked = rows.join(F.broadcast(chosen), "doc_id", "left").where("coalesce(fitted, true)")
+    for _ in range(rounds):
+        said = spark.sparkContext.broadcast(model)
+        new = Model(model.edges, log_odds(_over(marked, lambda r, k, said=said: [word_sums(said.value, r, k)])[0]), list(model.weights), list(model.platt), share=model.share)
+        both = spark.sparkContext.broadcast((model, new))
+        new.weights = [_solve(s) for s in _over(marked, lambda r, k, both=both: view_sums(*both.value, r, k))]
+        calibrate(new)
+        model = new
+    t, s, _ = probability(model, held_back)
+    model.stack = tuple(_logistic(np.column_stack([_logit(t), _logit(s)]), y_rest, weight).tolist())
     return model
 
 
@@ -219,25 +319,26 @@ def quality_scores(docs: DataFrame, labels: DataFrame, most: int = LABELLED, thr
     rows = stored(features(docs), "features")
     model = docs.sparkSession.sparkContext.broadcast(fit(rows, labels, most))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            t, s, p = probability(model.value, f[NAMES].to_numpy(float), f[["m0", "m1", "m2"]].to_numpy(int))
-            yield pd.DataFrame({"doc_id": f["doc_id"], "text_score": t, "metadata_score": s, "score": p})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            views = probability(model.value, Rows.of_batch(b))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(v, pa.float64()) for v in views]], ["doc_id", "text_score", "metadata_score", "score"])
 
-    return rows.mapInPandas(run, "doc_id long, text_score double, metadata_score double, score double").withColumn("kept", F.col("score") >= threshold)
+    return rows.mapInArrow(run, "doc_id long, text_score double, metadata_score double, score double").withColumn("kept", F.col("score") >= threshold)
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, most: int = LABELLED, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, all columns, that the classifier keeps; texts are read twice and never shuffled."""
     rows = stored(features(docs), "features")
     model = docs.sparkSession.sparkContext.broadcast(fit(rows, labels, most))
-    names = docs.columns
+    forget(docs.sparkSession, rows)
+    names, own = docs.columns, fresh(docs, *METADATA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            m = np.stack([b.column(k).to_numpy(zero_copy_only=False) for k in ("_m0", "_m1", "_m2")], 1)
-            _, _, p = probability(model.value, ratios(as_bytes(b.column("text"))), m)
+            texts = as_bytes(b.column("text"))
+            m = np.stack([b.column(k).to_numpy(zero_copy_only=False) for k in own], 1)
+            _, _, p = probability(model.value, Rows.of(ratios(texts), word_classes(texts), m))
             yield b.select(names).filter(pa.array(p >= threshold))
 
-    own = docs.select("*", *[c.alias(f"_m{k}") for k, c in enumerate(_metadata(docs))])
-    return own.mapInArrow(run, docs.schema)
+    return docs.select("*", *[c.alias(k) for c, k in zip(_metadata(docs), own, strict=True)]).mapInArrow(run, docs.schema)
