@@ -1,31 +1,32 @@
 """Hierarchical Pitman-Yor language model, trained on the corpus and scored on all of it.
 
-Three levels of restaurants. A token's context is the word before it, or the start of a text: a restaurant
-for every word that has a successor. Its parent is the restaurant of that word's class (CLASSES classes by the last two
-bytes, and one for the start of a text); the classes share one parent, the unigram restaurant, whose base is
+Three levels of restaurants. A token's context is the word before it, if that occurs LEAST times or more in the training texts:
+each such word is a restaurant, so their number grows with the corpus (up to MOST_CONTEXTS: the commonest). A rarer word, and the start of a text,
+backs off to the restaurant of its class (CLASSES classes by a word's last two bytes, and one for the start of a text), which is also the
+parent of its words' restaurants; the classes share one parent, the unigram restaurant, whose base is
 uniform over the vocabulary and one unknown word. Customers of a context are its tokens; each table sends one customer to the parent.
 
-Seating is sampled by Gibbs sweeps: in a sweep the customers of every dish (word) are seated
-anew, one after the other, given the parent's probability of the word and the restaurants'
-totals from the sweep before; then the classes' are, then the parent's. After the burn-in, predictive probabilities are
-averaged over the samples. Counts are kept by (word before, word). A pair seen once has one table
-always, so only the others are rows of the sweeps, joined by word before with the restaurants' totals and by word with the
-classes' probabilities. A word's counts and tables in at most CLASSES + 1 classes are one row; only the
-classes' totals (CLASSES + 1 numbers) go through the driver. Beyond 64 customers of a dish in
-a restaurant, seating goes in blocks that double: a block's new tables are drawn at the rate of its start. Random
-numbers are hashes of the word, the context and the sweep, so lost tasks repeat them exactly.
+Seating is sampled by Gibbs sweeps: in a sweep the customers of every dish (word) in a restaurant leave and sit down
+anew, one after the other, given the parent's probability of the word and the tables of all other dishes; then those of the classes, then the
+unigram restaurant's. From the 64th customer on they come in blocks of a sixteenth of those seated, whose new tables are one binomial draw
+each, at every size alike. After the burn-in, predictive probabilities are averaged over the samples.
 
-Scoring: the FREQUENT commonest pairs' probabilities (a table of fixed size) are broadcast; all other tokens are joined with
-the pairs' probabilities, those of unseen pairs with the context's back-off weight and the class's probability, and sums come back by document.
+Counting, seating and scoring move no row per token. Tasks count chunks of CHUNK tokens; a chunk's distinct pairs of word and context go, as arrays, to the
+bucket of the word (by the first bits of its hash). A bucket holds all there is of its words on every level, so a sweep is one pass over the buckets
+without a shuffle; only the restaurants' totals meet, two numbers a context. Random numbers follow from the sweep and the bucket, so lost tasks repeat them exactly.
+To score, a chunk sends its tokens' contexts and documents to the words' buckets, which send back sums by document. The FREQUENT commonest pairs, which every task
+holds, are not sent.
 
 Words are 64-bit hashes of their bytes. Counts are over all training documents. Defined cases: null
-and empty texts are the end token alone; a word never seen as context backs off to its class whole; a word never seen has the unknown's probability; without
-training documents every token has the uniform one; repeated ids are rows of their own.
+and empty texts are the end token alone; a word never seen has the unknown's probability; without
+training documents every token has the uniform one; repeated ids are rows of their own, with equal scores for equal texts; null ids stay null; extra columns are ignored; texts of any length are
+one row each; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,313 +34,571 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import stored
+from .common import drop_shuffles, forget, partitions, stored
 
 CLASSES, START = 24, 24
+#: Occurrences that give a word a restaurant of its own, and such restaurants at most (17 bytes each in every task).
+LEAST, MOST_CONTEXTS = 50, 1 << 20
 SWEEPS, BURN_IN = 3, 1
-STRENGTH, ROOT_STRENGTH = 1.0, 1.0
+STRENGTH = 1.0
 SAMPLES = SWEEPS - BURN_IN
-#: Pairs of words whose probabilities every task holds: 24 bytes each.
+#: Pairs whose probabilities every task holds: 24 bytes each.
 FREQUENT = 1 << 16
-#: Tokens counted together before they are shuffled.
-CHUNK = 1 << 22
+#: Tokens that a task takes together, and tokens for each bucket of words.
+CHUNK, BUCKET = 1 << 21, 1 << 23
 END = np.uint64(0x656E64)
-#: The word before the first of a text.
-BEFORE = np.uint64(0x7374617274)
-_U, _L = np.uint64, np.int64
+_U, _L, _I = np.uint64, np.int64, np.int32
 
 
-def tokens(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(from text, to text, words, words before, their classes, first token of each text) by batches; every text ends with END."""
+def tokens(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(from text, to text, words, their classes, first token of each text) by batches; every text ends with END, whose class is START."""
     for lo, hi in words.batches(texts):
         w = words.Words(texts[lo:hi], lower=True)
         h = w.hashes()
-        n = hi - lo
-        last = w.bytes[w.end - 1].astype(np.int64) if len(h) else np.zeros(0, np.int64)
-        before = np.where(w.end - w.start > 1, w.bytes[np.maximum(w.end - 2, 0)], 0).astype(np.int64) if len(h) else last
+        last = w.bytes[w.end - 1].astype(_L) if len(h) else np.zeros(0, _L)
+        before = np.where(w.end - w.start > 1, w.bytes[np.maximum(w.end - 2, 0)], 0).astype(_L) if len(h) else last
         cls = ((last * 31 + before * 7) % 1021 * CLASSES // 1021).astype(np.int8)
-        ends = w.first[1:]
-        tok = np.insert(h, ends, END)
-        own = np.insert(cls, ends, START)
-        first = w.first + np.arange(n + 1)
-        ctx = np.empty(len(tok), np.int8)
-        ctx[1:] = own[:-1]
-        ctx[first[:-1]] = START
-        before = np.empty(len(tok), _U)
-        before[1:] = tok[:-1]
-        before[first[:-1]] = BEFORE
-        yield lo, hi, tok, before, ctx, first
+        yield lo, hi, np.insert(h, w.first[1:], END), np.insert(cls, w.first[1:], START), w.first + np.arange(hi - lo + 1)
 
 
-def pair(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """A hash of each pair of words."""
-    return words.mix(words.mix(before + _U(words.BASE)) ^ word)
+@dataclass
+class Chunk:
+    """Some texts' tokens: distinct words in order, each token's word, each word's class, the texts' sizes and ids."""
 
+    words: np.ndarray
+    token: np.ndarray
+    classes: np.ndarray
+    sizes: np.ndarray
+    ids: pa.Array
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    size = 0
+    def codes(self, contexts: np.ndarray) -> np.ndarray:
+        """Each token's context: the place of the word before among the contexts, or behind them its class."""
+        k = len(contexts)
+        hit, at = _places(contexts, self.words)
+        own = np.where(hit, at, k + self.classes)
+        out = np.empty(len(self.token), _L)
+        out[1:] = own[self.token[:-1]]
+        out[np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(_L)] = k + START
+        return out
+
+
+def _places(sorted_: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.searchsorted(sorted_, x)
+    at[at == len(sorted_)] = 0
+    return (sorted_[at] == x if len(sorted_) else np.zeros(len(x), bool)), at
 
-    def out():
-        w, x, c = (np.concatenate([h[k] for h in held]) for k in range(3))
-        _, at, n = np.unique(pair(x, w), return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(x[at].view(_L)), pa.array(w[at].view(_L)), pa.array(c[at].astype(np.int32)), pa.array(n)], ["x", "w", "c", "n"])
+
+def chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Chunk]:
+    held: list[tuple] = []
+    n = 0
+
+    def out() -> Chunk:
+        tok, cls, sizes = (np.concatenate([h[k] for h in held]) for k in range(3))
+        u, first, at = np.unique(tok, return_index=True, return_inverse=True)
+        return Chunk(u, at.astype(_L), cls[first].astype(_L), sizes, pa.concat_arrays([h[3] for h in held]))
 
     for b in batches:
-        for _, _, tok, before, ctx, _ in tokens(words.as_bytes(b.column("text"))):
-            held.append((tok, before, ctx))
-            size += len(tok)
-            if size >= CHUNK:
+        ids = b.column("doc_id") if "doc_id" in b.schema.names else pa.nulls(b.num_rows, pa.int64())
+        for lo, hi, tok, cls, first in tokens(words.as_bytes(b.column("text"))):
+            held.append((tok, cls, np.diff(first), ids.slice(lo, hi - lo)))
+            n += len(tok)
+            if n >= size:
                 yield out()
-                held, size = [], 0
+                held, n = [], 0
     if held:
         yield out()
 
 
-def _uniform(*parts: np.ndarray | int) -> np.ndarray:
-    x = _U(0x1234567)
-    with np.errstate(over="ignore"):
-        for p in parts:
-            x = words.mix(np.atleast_1d(x + np.asarray(p).astype(_U) * _U(words.BASE) + _U(1)))
-    return (x >> _U(11)).astype(np.float64) * 2.0**-53
+# Rows of arrays
+
+
+def _row(names: list[str], values: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v.tobytes() if isinstance(v, np.ndarray) else v], pa.binary() if isinstance(v, np.ndarray) else pa.int64()) for v in values], names)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for b in batches:
+        for k in range(b.num_rows):
+            yield {n: b.column(n)[k].as_py() for n in b.schema.names}
+
+
+def _edges(u: np.ndarray, bits: int) -> np.ndarray:
+    """Where each bucket's words begin and end, in words in order."""
+    inner = np.arange(1, 1 << bits, dtype=_U) << _U(64 - bits) if bits else np.zeros(0, _U)
+    return np.concatenate([[0], np.searchsorted(u, inner), [len(u)]])
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
+    """From rows ordered by bucket: each bucket and its rows."""
+    last, held = None, []
+    for r in _rows(batches):
+        if last is not None and r["bucket"] != last:
+            yield last, held
+            held = []
+        last = r["bucket"]
+        held.append(r)
+    if held:
+        yield last, held
+
+
+def _dealt(rows: DataFrame, *order: str) -> DataFrame:
+    return rows.repartition(partitions(rows.sparkSession), "bucket").sortWithinPartitions("bucket", *order)
+
+
+# Contexts
+
+
+def _word_blocks(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c in chunks(batches, CHUNK):
+            n = np.bincount(c.token, minlength=len(c.words)).astype(_I)
+            e = _edges(c.words, bits)
+            for k in np.flatnonzero(np.diff(e)):
+                s = slice(e[k], e[k + 1])
+                yield _row(["bucket", "w", "n", "c"], [int(k), c.words[s], n[s], c.classes[s].astype(np.int8)])
+
+    return run
+
+
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, the sums of n, and the place of one row of each."""
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, _L)
+    return key[first], np.add.reduceat(n, first) if len(first) else n, order[first]
+
+
+def _common_words(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, held in _by_bucket(batches):
+            w, n, c = (np.concatenate([np.frombuffer(r[x], t) for r in held]) for x, t in (("w", _U), ("n", _I), ("c", np.int8)))
+            w, n, at = _summed(w, n.astype(_L))
+            keep = (n >= least) & (w != END)
+            yield pa.RecordBatch.from_arrays([pa.array(w[keep].view(_L)), pa.array(n[keep]), pa.array(c[at][keep].astype(_I))], ["w", "n", "c"])
+
+    return run
+
+
+def contexts(docs: DataFrame, bits: int, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words with restaurants of their own, in order, and their classes."""
+    blocks = docs.select("text").mapInArrow(_word_blocks(bits), "bucket long, w binary, n binary, c binary")
+    common = stored(_dealt(blocks).mapInArrow(_common_words(least), "w long, n long, c int"), "contexts")
+    held = 0
+    for r in common.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
+        held += r["count"]
+        if held > most:
+            least = r["n"] + 1
+            break
+    found = common.where(F.col("n") >= least).toArrow()
+    forget(common.sparkSession, common)
+    drop_shuffles(common.sparkSession)
+    w = found.column("w").to_numpy().astype(_L).view(_U)
+    order = np.argsort(w)
+    return w[order], found.column("c").to_numpy().astype(_L)[order]
+
+
+# Counts
+
+
+def _pair_blocks(listed, bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = listed.value[0]
+        span = len(own) + CLASSES + 1
+        for c in chunks(batches, CHUNK):
+            key, n = np.unique(c.token * span + c.codes(own), return_counts=True)
+            word, e = key // span, _edges(c.words, bits)
+            at = np.searchsorted(word, e)
+            for k in np.flatnonzero(np.diff(e)):
+                s = slice(at[k], at[k + 1])
+                sizes = np.bincount(word[s] - e[k], minlength=e[k + 1] - e[k])
+                yield _row(["bucket", "w", "size", "code", "n"], [int(k), c.words[e[k] : e[k + 1]], sizes.astype(_I), (key[s] - word[s] * span).astype(_I), n.astype(_I)[s]])
+
+    return run
+
+
+#: A bucket's arrays: words; of each word the number of pairs; of each pair its context, customers and tables; of each word the number of
+#: classes; of each word and class the class, customers and tables; of each word its tables in the unigram restaurant; and of each sample
+#: the pairs' tables, the classes' probabilities and the unigram restaurant's.
+_KINDS = {"w": _U, "size": _I, "code": _I, "n": _L, "t": _I, "csize": _I, "cls": np.int8, "cnt": _L, "tab": _L, "rt": _L}
+for _s in range(SAMPLES):
+    _KINDS |= {f"t{_s}": _I, f"q{_s}": np.float64, f"r{_s}": np.float64}
+_STATE = "bucket long, " + ", ".join(f"{k} binary" for k in _KINDS)
+
+
+def _state(r: dict) -> dict:
+    return {k: np.frombuffer(r[k], t) for k, t in _KINDS.items() if r.get(k) is not None}
+
+
+def _counted(listed):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, classes = listed.value
+        span = len(own) + CLASSES + 1
+        for bucket, held in _by_bucket(batches):
+            parts = [[np.frombuffer(r[x], t) for x, t in (("w", _U), ("size", _I), ("code", _I), ("n", _I))] for r in held]
+            w = np.unique(np.concatenate([p[0] for p in parts]))
+            key = np.concatenate([np.repeat(np.searchsorted(w, p[0]), p[1]) * span + p[2] for p in parts])
+            key, n, _ = _summed(key, np.concatenate([p[3] for p in parts]).astype(_L))
+            word = key // span
+            s = {"w": w, "size": np.bincount(word, minlength=len(w)), "code": key - word * span, "n": n, "t": np.ones(len(key))}
+            cls = _class_of(s["code"], classes)
+            both = np.unique(word * (CLASSES + 1) + cls)
+            s |= {"csize": np.bincount(both // (CLASSES + 1), minlength=len(w)), "cls": both % (CLASSES + 1), "tab": np.ones(len(both)), "rt": np.ones(len(w))}
+            s["cnt"] = _class_customers(s, len(own), word, cls, both)
+            for k in range(SAMPLES):
+                s |= {f"t{k}": np.zeros(0), f"q{k}": np.zeros(0), f"r{k}": np.zeros(0)}
+            yield _row(["bucket", *_KINDS], [bucket, *[np.ascontiguousarray(s[k]).astype(t) for k, t in _KINDS.items()]])
+
+    return run
+
+
+def _class_of(code: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    k = len(classes)
+    return np.where(code < k, classes[np.minimum(code, k - 1)] if k else 0, code - k)
+
+
+def _class_customers(s: dict, k: int, word: np.ndarray, cls: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """Customers of each word and class: its own tokens, and the tables of its words' restaurants."""
+    return np.bincount(np.searchsorted(both, word * (CLASSES + 1) + cls), np.where(s["code"] < k, s["t"], s["n"]), minlength=len(both))
+
+
+@dataclass
+class Totals:
+    """Customers and tables of every restaurant: contexts, classes, the unigram one; the vocabulary, the discounts."""
+
+    n: np.ndarray
+    t: np.ndarray
+    class_n: np.ndarray
+    class_t: np.ndarray
+    root_t: float
+    vocabulary: int
+    discounts: tuple[float, float, float]
+
+    def root(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        d = self.discounts[2]
+        fresh = (STRENGTH + d * self.root_t) / (self.vocabulary + 1)
+        return (np.maximum(customers - d * tables, 0) + fresh) / (STRENGTH + self.class_t.sum())
+
+    def class_back(self) -> np.ndarray:
+        return (STRENGTH + self.discounts[1] * self.class_t) / (STRENGTH + self.class_n)
+
+    def back(self) -> np.ndarray:
+        return (STRENGTH + self.discounts[0] * self.t) / (STRENGTH + self.n)
+
+    def unknown(self) -> float:
+        return float(self.root(np.zeros(1), np.zeros(1))[0])
 
 
-def seat(customers: np.ndarray, fresh: np.ndarray, discount: float, seed: np.ndarray) -> np.ndarray:
-    """Tables of each dish after its customers sat down one by one; fresh: weight of a new table there."""
-    tables = np.minimum(customers, 1).astype(np.float64)
+def seat(customers: np.ndarray, others: np.ndarray, p: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+    """Tables of each dish after its customers sat down one by one; others: tables of all other dishes there, p: the parent's probability."""
+    customers = customers.astype(_L)
+    tables = np.minimum(customers, 1).astype(float)
     active = np.flatnonzero(customers > 1)
     i = 1
     while len(active):
-        span = np.minimum(customers[active], 2 * i if i >= 64 else i + 1) - i
-        p = fresh[active] / (fresh[active] + np.maximum(i - discount * tables[active], 1e-9))
-        tables[active] += np.minimum(np.floor(span * p + _uniform(seed[active], i)), span)
-        i = 2 * i if i >= 64 else i + 1
+        fresh = (STRENGTH + discount * (others[active] + tables[active])) * p[active]
+        rate = fresh / (fresh + np.maximum(i - discount * tables[active], 1e-9))
+        step = 1 if i < 64 else i // 16
+        tables[active] += rng.random(len(active)) < rate if step == 1 else rng.binomial(np.minimum(step, customers[active] - i), rate)
+        i += step
         active = active[customers[active] > i]
     return tables
 
 
-class Totals:
-    """The restaurants' sums: customers and tables by context, the parent's, and the vocabulary."""
-
-    def __init__(self, customers, tables, root_customers, root_tables, vocabulary, discount, root_discount):
-        self.customers, self.tables = np.asarray(customers, float), np.asarray(tables, float)
-        self.root_customers, self.root_tables, self.vocabulary = float(root_customers), float(root_tables), int(vocabulary)
-        self.discount, self.root_discount = discount, root_discount
+def class_probabilities(s: dict, t: Totals) -> tuple[np.ndarray, np.ndarray]:
+    """(of each word and class, of each word in the unigram restaurant) in the present state."""
+    row = np.repeat(np.arange(len(s["w"])), s["csize"])
+    p0 = t.root(np.bincount(row, s["tab"], minlength=len(s["w"])), s["rt"])
+    c = s["cls"].astype(_L)
+    return (s["cnt"] - t.discounts[1] * s["tab"]) / (STRENGTH + t.class_n[c]) + t.class_back()[c] * p0[row], p0
 
-    def root(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
-        fresh = (ROOT_STRENGTH + self.root_discount * self.root_tables) / (self.vocabulary + 1)
-        return (np.maximum(customers - self.root_discount * tables, 0) + fresh) / (ROOT_STRENGTH + self.root_customers)
 
-    def back(self) -> np.ndarray:
-        return (STRENGTH + self.discount * self.tables) / (STRENGTH + self.customers)
+def _swept(listed, totals, sweep: int, sample: int | None, again: bool):
+    """Keep the state as ``sample``; then (``again``) seat everyone anew."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, t = listed.value[1], totals.value
+        k = len(classes)
+        for r in _rows(batches):
+            s = _state(r)
+            rng = np.random.default_rng([sweep, r["bucket"]])
+            q, p0 = class_probabilities(s, t)
+            if sample is not None:
+                s |= {f"t{sample}": s["t"], f"q{sample}": q, f"r{sample}": p0}
+            if again:
+                word = np.repeat(np.arange(len(s["w"])), s["size"])
+                row = np.repeat(np.arange(len(s["w"])), s["csize"])
+                cls = _class_of(s["code"], classes)
+                both = row * (CLASSES + 1) + s["cls"]
+                new = np.ones(len(s["n"]))
+                on = np.flatnonzero((s["code"] < k) & (s["n"] > 1))
+                parent = q[np.searchsorted(both, word[on] * (CLASSES + 1) + cls[on])]
+                new[on] = seat(s["n"][on], t.t[s["code"][on]] - s["t"][on], parent, t.discounts[0], rng)
+                s["t"] = new
+                s["cnt"] = _class_customers(s, k, word, cls, both)
+                s["tab"] = seat(s["cnt"], t.class_t[s["cls"].astype(_L)] - s["tab"], p0[row], t.discounts[1], rng)
+                guests = np.bincount(row, s["tab"], minlength=len(s["w"]))
+                s["rt"] = seat(guests, t.root_t - s["rt"], np.full(len(s["w"]), 1 / (t.vocabulary + 1)), t.discounts[2], rng)
+            yield _row(["bucket", *_KINDS], [r["bucket"], *[s[x].astype(kind) for x, kind in _KINDS.items()]])
 
-def _numbers(b: pa.RecordBatch, names: tuple[str, ...]) -> list[np.ndarray]:
-    return [b.column(k).flatten().to_numpy(zero_copy_only=False) for k in names]
+    return run
 
 
-def _now(t: Totals):
-    """The probability of every (word, class) in the present state."""
+def _sums(k: int):
+    """Rows (kind, id, v) of sums over a task's buckets: 0 the contexts' tables and 1 customers, 2 the classes' tables and 3 customers, 4 the unigram
+    restaurant's tables, 5 words and tokens, 6-8 how many counts of one and two there are on each level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            w = b.column("w").to_numpy(zero_copy_only=False)
-            cls, cnt, tab = _numbers(b, ("cls", "cnt", "tab"))
-            row = np.repeat(np.arange(len(w)), np.diff(b.column("cls").offsets.to_numpy()))
-            p0 = t.root(np.bincount(row, tab, minlength=len(w)), b.column("root_tab").to_numpy(zero_copy_only=False))
-            p = (cnt - t.discount * tab) / (STRENGTH + t.customers[cls]) + t.back()[cls] * p0[row]
-            yield pa.RecordBatch.from_arrays([pa.array(w[row]), pa.array(cls, pa.int32()), pa.array(p)], ["w", "c", "p"])
+        out = {0: np.zeros(k), 1: np.zeros(k), 2: np.zeros(CLASSES + 1), 3: np.zeros(CLASSES + 1), 4: np.zeros(1), 5: np.zeros(2), 6: np.zeros(2), 7: np.zeros(2), 8: np.zeros(2)}
+        for r in _rows(batches):
+            s = _state(r)
+            on = s["code"] < k
+            row = np.repeat(np.arange(len(s["w"])), s["csize"])
+            guests = np.bincount(row, s["tab"], minlength=len(s["w"]))
+            out[0] += np.bincount(s["code"][on], s["t"][on], minlength=k)
+            out[1] += np.bincount(s["code"][on], s["n"][on], minlength=k)
+            out[2] += np.bincount(s["cls"], s["tab"], minlength=CLASSES + 1)
+            out[3] += np.bincount(s["cls"], s["cnt"], minlength=CLASSES + 1)
+            out[4] += s["rt"].sum()
+            out[5] += [len(s["w"]), s["n"].sum()]
+            for x, counts in ((6, s["n"][on]), (7, s["cnt"]), (8, guests)):
+                out[x] += [(counts == 1).sum(), (counts == 2).sum()]
+        for kind, v in out.items():
+            at = np.flatnonzero(v)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, _I)), pa.array(at.astype(_I)), pa.array(v[at])], ["kind", "id", "v"])
 
     return run
 
 
-def _seat_pairs(discount: float, sweep: int, names: list[str]):
-    """Resample the tables of every pair; columns: those of pairs, p (the class's) and in_x (tables of the context)."""
+def _gathered(state: DataFrame, k: int) -> dict[int, np.ndarray]:
+    """The sums over all buckets; two numbers a context come to the driver."""
+    names = [c for c in _KINDS if c[-1] not in "0123456789"]
+    found = state.select("bucket", *names).mapInArrow(_sums(k), "kind int, id int, v double").groupBy("kind", "id").agg(F.sum("v").alias("v")).toArrow()
+    kind, at, v = (found.column(c).to_numpy() for c in ("kind", "id", "v"))
+    out = {x: np.zeros({0: k, 1: k, 2: CLASSES + 1, 3: CLASSES + 1, 4: 1}.get(x, 2)) for x in range(9)}
+    for x in out:
+        out[x][at[kind == x]] = v[kind == x]
+    return out
+
+
+@dataclass
+class Model:
+    """state: the buckets, stored; samples: the totals at each sample; info: counts N and V."""
+
+    state: DataFrame
+    listed: object
+    samples: list[Totals]
+    tokens: int
+    vocabulary: int
+    bits: int
+
+
+def _kneser(v: np.ndarray) -> float:
+    return float(np.clip(v[0] / (v[0] + 2 * v[1]), 0.05, 0.95)) if v[0] else 0.5
+
+
+def bucket_bits(docs: DataFrame) -> int:
+    """Buckets, as a power of two: about one for BUCKET tokens (six bytes each), and one for each shuffle partition."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(0, int(np.ceil(np.log2(max(size / 6 / BUCKET, partitions(docs.sparkSession), 1)))))
+
+
+def train(docs: DataFrame, least: int = LEAST, most: int = MOST_CONTEXTS) -> Model:
+    """docs: (text), the training rows."""
+    spark = docs.sparkSession
+    bits = bucket_bits(docs)
+    listed = spark.sparkContext.broadcast(contexts(docs, bits, least, most))
+    k = len(listed.value[0])
+    blocks = docs.select("text").mapInArrow(_pair_blocks(listed, bits), "bucket long, w binary, size binary, code binary, n binary")
+    state = stored(_dealt(blocks).mapInArrow(_counted(listed), _STATE), "counts")
+    drop_shuffles(spark)
+    discounts, samples = None, []
+    for j in range(SWEEPS + 1):
+        g = _gathered(state, k)
+        discounts = discounts or (_kneser(g[6]), _kneser(g[7]), _kneser(g[8]))
+        t = Totals(g[1], g[0], g[3], g[2], float(g[4][0]), int(g[5][0]), discounts)
+        sample = j - BURN_IN - 1 if j > BURN_IN else None
+        if sample is not None:
+            samples.append(t)
+        new = stored(state.mapInArrow(_swept(listed, spark.sparkContext.broadcast(t), j, sample, j < SWEEPS), _STATE), "seated")
+        forget(spark, state)
+        state = new
+    return Model(state, listed, samples, int(g[5][1]), int(g[5][0]), bits)
+
+
+# Scores
+
+
+def pair_key(w: np.ndarray, code: np.ndarray) -> np.ndarray:
+    return words.mix(w ^ words.mix(code.astype(_U) + _U(words.BASE)))
+
+
+class Scorer:
+    """A bucket's predictive probabilities."""
+
+    def __init__(self, s: dict, classes: np.ndarray, samples: list[Totals], bottom: float):
+        self.s, self.classes, self.samples, self.bottom = s, classes, samples, bottom
+        span = len(classes) + CLASSES + 1
+        word = np.repeat(np.arange(len(s["w"])), s["size"])
+        self.span, self.key = span, word * span + s["code"]
+        self.both = np.repeat(np.arange(len(s["w"])), s["csize"]) * (CLASSES + 1) + s["cls"]
+        self.total = np.bincount(word, s["n"], minlength=len(s["w"]))
+
+    def probabilities(self, at: np.ndarray, known: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Of the word at the place ``at`` (if known) after each context."""
+        k = len(self.classes)
+        cls = _class_of(code, self.classes)
+        held, c_at = _places(self.both, at * (CLASSES + 1) + cls)
+        seen, p_at = _places(self.key, at * self.span + code)
+        held, seen, own = held & known, seen & known, code < k
+        out = np.zeros(len(code))
+        for j, t in enumerate(self.samples):
+            unknown = np.full(len(code), t.unknown())
+            p0 = np.where(known, self.s[f"r{j}"][at], unknown) if len(self.s["w"]) else unknown
+            p = t.class_back()[cls] * p0
+            p[held] = self.s[f"q{j}"][c_at[held]]
+            x = code[own]
+            mine = np.zeros(len(x))
+            there = seen[own]
+            mine[there] = self.s["n"][p_at[own][there]] - t.discounts[0] * self.s[f"t{j}"][p_at[own][there]]
+            p[own] = mine / (STRENGTH + t.n[x]) + t.back()[x] * p[own]
+            out += p
+        return out / len(self.samples)
+
+    def scores(self, w: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(log10 probability, base score, whether known) of each word w after its context."""
+        known, at = _places(self.s["w"], w)
+        c = np.where(known, self.total[at], 0) if len(self.total) else np.zeros(len(w))
+        return np.log10(self.probabilities(at, known, code)), np.log10((c + 0.1) / self.bottom), known
+
+
+def _frequent_pairs(listed, samples, bottom: float, least: int):
+    """Pairs with more than ``least`` customers, and what they score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, w, n, p, in_x = (b.column(k).to_numpy(zero_copy_only=False) for k in ("x", "w", "n", "p", "in_x"))
-            seed = words.mix(x.view(_U)) + w.view(_U) + _U(sweep * 32452843 + 5)
-            new = seat(n, (STRENGTH + discount * in_x) * p, discount, seed)
-            yield pa.RecordBatch.from_arrays([pa.array(new) if k == "tab" else b.column(k) for k in names], names)
+        for r in _rows(batches):
+            s = _state(r)
+            on = np.flatnonzero(s["n"] > least)
+            w, code = np.repeat(s["w"], s["size"])[on], s["code"][on].astype(_L)
+            logs, base, _ = Scorer(s, listed.value[1], samples.value, bottom).scores(w, code)
+            yield pa.RecordBatch.from_arrays([pa.array(pair_key(w, code).view(_L)), pa.array(logs), pa.array(base)], ["key", "logs", "base"])
 
     return run
 
 
-def _sweep(t: Totals, sweep: int, sample: int | None, again: bool):
-    """Resample every word's tables in the classes (``again``); first add the state's predictive probabilities as that ``sample``."""
+def _common_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for r in _rows(batches):
+        n, c = np.unique(np.frombuffer(r["n"], _L), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(n[n > 8]), pa.array(c[n > 8])], ["n", "c"])
+
+
+_REQUEST = ["bucket", "kind", "chunk", "w", "size", "code", "doc"]
+
+
+def _requests(listed, known, bits: int):
+    """A chunk's rows: one (kind 2) of its documents' own sums, and for each bucket one (kind 1) of the words asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            w = b.column("w").to_numpy(zero_copy_only=False).view(_U)
-            cls, cnt, tab, prob, come = _numbers(b, ("cls", "cnt", "tab", "prob", "come"))
-            sizes = np.diff(b.column("cls").offsets.to_numpy())
-            row = np.repeat(np.arange(len(w)), sizes)
-            root_tab = b.column("root_tab").to_numpy(zero_copy_only=False)
-            p0 = t.root(np.bincount(row, tab, minlength=len(w)), root_tab)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            put = lambda x, kind: pa.ListArray.from_arrays(offsets, pa.array(x, kind))
-            out = {f.name: b.column(f.name) for f in b.schema if f.name != "come"}
-            if sample is not None:
-                q = (cnt - t.discount * tab) / (STRENGTH + t.customers[cls]) + t.back()[cls] * p0[row]
-                out["prob"], out[f"q{sample}"] = put(prob + q, pa.float64()), put(q, pa.float64())
-                out["p0s"] = pa.array([[*x, y] for x, y in zip(b.column("p0s").to_pylist(), p0.tolist(), strict=True)], pa.list_(pa.float64()))
-            if again:
-                fresh = (STRENGTH + t.discount * t.tables[cls]) * p0[row]
-                new = seat(come, fresh, t.discount, w[row] + cls.astype(_U) * _U(7919) + _U(sweep * 104729))
-                fresh0 = np.full(len(w), (ROOT_STRENGTH + t.root_discount * t.root_tables) / (t.vocabulary + 1))
-                roots = seat(np.bincount(row, new, minlength=len(w)), fresh0, t.root_discount, w + _U(sweep * 15485863 + 77))
-                out |= {"cnt": put(come, pa.int64()), "tab": put(new, pa.float64()), "root_tab": pa.array(roots)}
-            yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
+        from pyspark import TaskContext
+
+        chunk = TaskContext.get().partitionId() << 24
+        (own, _), (keys, logs, base) = listed.value, known.value
+        span = len(own) + CLASSES + 1
+        for c in chunks(batches, CHUNK):
+            doc = np.repeat(np.arange(len(c.sizes)), c.sizes)
+            pair, back = np.unique(c.token * span + c.codes(own), return_inverse=True)
+            word = pair // span
+            hit, at = _places(keys, pair_key(c.words[word], pair - word * span))
+            done = hit[back]
+            sums = [np.bincount(doc[done], x[at[back[done]]] if len(x) else None, minlength=len(c.sizes)).astype(float) for x in (logs, base)]
+            some = np.bincount(doc[done], minlength=len(c.sizes)).astype(_L)
+            ids = c.ids.fill_null(0).to_numpy(zero_copy_only=False).astype(_L)
+            null = np.array(c.ids.is_null().to_numpy(zero_copy_only=False), np.int8)
+            yield _row(_REQUEST, [((chunk >> 24) + chunk) & ((1 << bits) - 1), 2, chunk, np.concatenate([ids, c.sizes.astype(_L), some]), np.concatenate(sums), null, np.zeros(0)])
+            left = np.flatnonzero(~done)
+            left = left[np.argsort(back[left], kind="stable")]
+            token = c.token[left]
+            code, e = (pair - word * span)[back[left]].astype(_I), _edges(c.words, bits)
+            bound = np.searchsorted(token, e)
+            for k in np.flatnonzero(np.diff(bound)):
+                s = slice(bound[k], bound[k + 1])
+                asked, first, sizes = np.unique(token[s], return_index=True, return_counts=True)
+                yield _row(_REQUEST, [int(k), 1, chunk, c.words[asked], sizes.astype(_I), code[s], doc[left[s]].astype(_I)])
+            chunk += 1
 
     return run
 
 
-_Q = [f"q{j}" for j in range(SAMPLES)]
-_S = [f"s{j}" for j in range(SAMPLES)]
-_STATE = "w long, total long, cls array<int>, once array<long>, cnt array<long>, tab array<double>, prob array<double>, root_tab double, p0s array<double>" + "".join(f", {q} array<double>" for q in _Q)
-_PAIRS = "x long, w long, c int, n long, tab double" + "".join(f", {c} double" for c in _S)
-
-
-def _totals(state: DataFrame, vocabulary, discount, root_discount) -> Totals:
-    by = state.select(F.explode(F.arrays_zip("cls", "cnt", "tab")).alias("x")).groupBy("x.cls").agg(F.sum("x.cnt").alias("n"), F.sum("x.tab").alias("t")).collect()
-    customers, tables = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
-    for r in by:
-        customers[r[0]], tables[r[0]] = r[1], r[2]
-    roots = state.agg(F.sum("root_tab")).first()[0] or 0.0
-    return Totals(customers, tables, tables.sum(), roots, vocabulary, discount, root_discount)
-
-
-def train(docs: DataFrame) -> tuple[DataFrame, np.ndarray, dict]:
-    """docs: (text), the training rows.
-
-    Returns the classes' model by word, their back-off weights by sample and class, and a dictionary: the counts N and V, the unknown
-    word's probabilities, and the tables ``pairs`` (x, w, c, n, tables by sample) and ``contexts`` (x, customers, tables by sample)
-    with the contexts' ``discount``. x is the word before, c its class.
-    """
-    counts = docs.select("text").mapInArrow(_count, "x long, w long, c int, n long")
-    every = stored(counts.groupBy("x", "w", "c").agg(F.sum("n").alias("n")), "pairs")
-    single = (F.col("n") == 1).cast("long")
-    zeros = [F.lit(0.0).alias(c) for c in _S]
-    contexts = stored(every.groupBy("x").agg(F.sum("n").alias("customers"), F.sum(single).alias("once"), F.count("*").cast("double").alias("tab")).select("*", *zeros), "contexts")
-    pairs = stored(every.where("n > 1").select("x", "w", "c", "n", F.lit(1.0).alias("tab"), *zeros), "repeated")
-    by_class = every.groupBy("w", "c").agg(F.sum("n").alias("total"), F.sum(single).alias("once"), F.count("*").alias("cnt"))
-    by_word = by_class.groupBy("w").agg(F.collect_list(F.struct("c", "once", "cnt")).alias("x"), F.sum("total").alias("total"))
-    x = F.array_sort("x")
-    fill = lambda v: F.transform("x", lambda _: F.lit(v))
-    state = by_word.select("w", "total", x["c"].alias("cls"), x["once"].alias("once"), x["cnt"].alias("cnt"), fill(1.0).alias("tab"), fill(0.0).alias("prob"), F.lit(1.0).alias("root_tab"), F.array().cast("array<double>").alias("p0s"), *[fill(0.0).alias(q) for q in _Q])
-    state = stored(state, "words")
-    kneser = lambda a, b: float(np.clip(a / (a + 2 * b), 0.05, 0.95)) if a else 0.5
-    ones = lambda df, c: tuple(v or 0 for v in df.agg(F.sum((F.col(c) == 1).cast("long")), F.sum((F.col(c) == 2).cast("long"))).first())
-    deep = kneser(*ones(every, "n"))
-    discount, root_discount = kneser(*ones(state.select(F.explode("cnt").alias("n")), "n")), kneser(*ones(state, "total"))
-    whole = state.agg(F.count("*"), F.sum("total")).first()
-    total, vocabulary = int(whole[1] or 0), int(whole[0])
-    backs, unknown = [], []
-    for k in range(SWEEPS + 1):
-        t = _totals(state, vocabulary, discount, root_discount)
-        sample, again = (k - BURN_IN - 1 if k > BURN_IN else None), k < SWEEPS
-        if sample is not None:
-            backs.append(t.back())
-            unknown.append(float(t.root(np.zeros(1), np.zeros(1))[0]))
-            pairs, contexts = (df.withColumn(f"s{sample}", F.col("tab")) for df in (pairs, contexts))
-        come = state.withColumn("come", F.col("cnt"))
-        if again:
-            own = pairs.join(state.mapInArrow(_now(t), "w long, c int, p double"), ["w", "c"]).join(contexts.select("x", F.col("tab").alias("in_x")), "x")
-            names = pairs.columns
-            pairs = stored(own.select(*names, "p", "in_x").mapInArrow(_seat_pairs(deep, k, names), _PAIRS), "repeated")
-            sums = pairs.groupBy("x").agg(F.sum("tab").alias("more"))
-            new = contexts.drop("tab").join(sums, "x", "left").withColumn("tab", F.col("once") + F.coalesce("more", F.lit(0.0)))
-            contexts = stored(new.select("x", "customers", "once", "tab", *_S), "contexts")
-            sums = pairs.groupBy("w", "c").agg(F.sum("tab").cast("long").alias("n")).groupBy("w").agg(F.map_from_entries(F.collect_list(F.struct("c", "n"))).alias("more"))
-            more = lambda c, n: n + F.coalesce(F.try_element_at("more", c), F.lit(0))
-            come = state.join(sums, "w", "left").withColumn("come", F.zip_with("cls", "once", more)).drop("more")
-        state = stored(come.mapInArrow(_sweep(t, k, sample, again), _STATE), "seated")
-    model = state.select("w", "total", "cls", F.transform("prob", lambda p: p / SAMPLES).alias("prob"), "p0s", *_Q)
-    once = every.where("n = 1").select("x", "w", "c", "n", *[F.lit(1.0).alias(c) for c in _S])
-    info = {"tokens": total, "vocabulary": vocabulary, "unknown": unknown, "discount": deep, "contexts": contexts.select("x", "customers", *_S), "pairs": once.unionByName(pairs.select("x", "w", "c", "n", *_S))}
-    return model, np.stack(backs), info
-
-
-def _mean(columns: list) -> F.Column:
-    return sum(columns[1:], columns[0]) / len(columns)
-
-
-def pair_probabilities(model: DataFrame, info: dict) -> DataFrame:
-    """(x, w, n, total, p): the probability of every pair seen, averaged over the samples."""
-    d = info["discount"]
-    by_class = model.select("w", "total", F.explode(F.arrays_zip("cls", *_Q)).alias("y")).select("w", "total", F.col("y.cls").alias("c"), *[F.col(f"y.{q}").alias(q) for q in _Q])
-    contexts = info["contexts"].select("x", "customers", *[F.col(s).alias(f"in_{s}") for s in _S])
-    rows = info["pairs"].join(by_class, ["w", "c"]).join(contexts, "x")
-    p = _mean([F.col("n") - d * F.col(s) + (STRENGTH + d * F.col(f"in_{s}")) * F.col(q) for s, q in zip(_S, _Q, strict=True)]) / (STRENGTH + F.col("customers"))
-    return rows.select("x", "w", "n", "total", p.alias("p"))
-
-
-def _score(known):
-    """Sums over the frequent pairs' tokens of each row, and a row for each other token."""
+def _answers(listed, samples, bottom: float):
+    """From rows ordered by bucket, the state's first (kind 0): sums by document for each request, and the chunks' own rows as they are."""
+    names = ["chunk", "kind", "a", "b", "c"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, logs, base = known.value
-        for b in batches:
-            rid = b.column("rid").to_numpy(zero_copy_only=False)
-            doc = b.column("doc_id")
-            for lo, hi, tok, before, ctx, first in tokens(words.as_bytes(b.column("text"))):
-                key = pair(before, tok)
-                at = np.searchsorted(ids, key)
-                at[at == len(ids)] = 0
-                hit = ids[at] == key if len(ids) else np.zeros(len(tok), bool)
-                text = np.repeat(np.arange(hi - lo), np.diff(first))
-                n = hi - lo
-                s = np.bincount(text[hit], logs[at[hit]] if hit.any() else None, minlength=n).astype(float)
-                u = np.bincount(text[hit], base[at[hit]] if hit.any() else None, minlength=n).astype(float)
-                k = np.bincount(text[hit], minlength=n)
-                # one row per text (its key is any number: no pair has it), one per other token
-                own = rid[lo:hi]
-                miss = ~hit
-                m = int(miss.sum())
-                none = lambda kind: pa.nulls(m, kind)
-                far = words.mix(own.astype(_U) + _U(99))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([far, before[miss]]).view(_L)), pa.array(np.concatenate([far, tok[miss]]).view(_L)), pa.array(np.concatenate([own, own[text[miss]]])), pa.array(np.concatenate([np.full(n, -1, np.int8), ctx[miss]]).astype(np.int32)),
-                     pa.concat_arrays([doc.slice(lo, n).combine_chunks() if isinstance(doc, pa.ChunkedArray) else doc.slice(lo, n), none(pa.int64())]),
-                     pa.concat_arrays([pa.array(np.diff(first).astype(_L)), none(pa.int64())]), pa.concat_arrays([pa.array(k.astype(_L)), none(pa.int64())]),
-                     pa.concat_arrays([pa.array(s), none(pa.float64())]), pa.concat_arrays([pa.array(u), none(pa.float64())])],
-                    ["x", "w", "rid", "c", "doc_id", "tokens", "known", "model", "base"])
+        scorer = bucket = None
+        empty = {k: np.zeros(0, t) for k, t in _KINDS.items()}
+        for r in _rows(batches):
+            if r["kind"] == 2:
+                yield _row(names, [r["chunk"], 0, *[np.frombuffer(r[x], np.int8) for x in ("w", "size", "code")]])
+                continue
+            if r["bucket"] != bucket:
+                bucket = r["bucket"]
+                scorer = Scorer(_state(r) if r["kind"] == 0 else empty, listed.value[1], samples.value, bottom)
+            if r["kind"] == 1:
+                w = np.repeat(np.frombuffer(r["w"], _U), np.frombuffer(r["size"], _I))
+                doc = np.frombuffer(r["doc"], _I)
+                logs, base, known = scorer.scores(w, np.frombuffer(r["code"], _I).astype(_L))
+                some, at = np.unique(doc, return_inverse=True)
+                sums = np.concatenate([np.bincount(at, x, minlength=len(some)) for x in (logs, base)])
+                yield _row(names, [r["chunk"], 1, some.astype(_I), sums, np.bincount(at, known, minlength=len(some)).astype(_I)])
 
     return run
 
 
-def score(docs: DataFrame, model: DataFrame, backs: np.ndarray, info: dict) -> DataFrame:
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows ordered by chunk, its own first: a row for each document."""
+    own = chunk = None
+
+    def out():
+        ids, sizes, known, logs, base, null = own
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64(), mask=null), pa.array(sizes), pa.array(known), pa.array(base), pa.array(logs)], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    for r in _rows(batches):
+        if r["kind"] == 0:
+            if own is not None:
+                yield out()
+            chunk = r["chunk"]
+            numbers, sums = np.frombuffer(r["a"], _L).reshape(3, -1), np.frombuffer(r["b"]).reshape(2, -1)
+            own = numbers[0], numbers[1], numbers[2].copy(), sums[0].copy(), sums[1].copy(), np.frombuffer(r["c"], np.int8).astype(bool)
+        else:
+            assert r["chunk"] == chunk
+            at, sums = np.frombuffer(r["a"], _I), np.frombuffer(r["b"]).reshape(2, -1)
+            own[3][at] += sums[0]
+            own[4][at] += sums[1]
+            own[2][at] += np.frombuffer(r["c"], _I)
+    if own is not None:
+        yield out()
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """docs: (doc_id, text). One row per row: doc_id, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     spark = docs.sparkSession
-    big_n, size = info["tokens"], info["vocabulary"]
-    bottom = big_n + 0.1 * (size + 1)
-    seen = stored(pair_probabilities(model, info), "probabilities")
-    top = seen.orderBy(F.desc("n"), "w", "x").limit(FREQUENT).toArrow()
-    ids = pair(*(top[k].to_numpy().view(_U) for k in ("x", "w"))) if len(top) else np.zeros(0, _U)
-    order = np.argsort(ids)
-    logs = np.log10(top["p"].to_numpy())[order] if len(ids) else np.zeros(0)
-    base = np.log10((top["total"].to_numpy().astype(float) + 0.1) / bottom)[order] if len(ids) else np.zeros(0)
-    del top
-    listed = spark.sparkContext.broadcast((ids[order], logs, base))
-    rows = docs.select("doc_id", "text").withColumn("rid", F.monotonically_increasing_id())
-    sums = rows.mapInArrow(_score(listed), "x long, w long, rid long, c int, doc_id long, tokens long, known long, model double, base double")
-    joined = sums.join(seen.select("x", "w", "total", "p"), ["x", "w"], "left")
-    is_doc = F.col("c") < 0
-    to_base = lambda total: F.log10((F.coalesce(total, F.lit(0)) + 0.1) / bottom)
-    far = F.col("p").isNull() & ~is_doc
-    part = joined.select("rid", "doc_id", "tokens", *[F.when(far, F.col(k)).alias(k) for k in ("x", "w", "c")], F.when(is_doc, F.col("known")).when(~far, 1).otherwise(0).alias("known"),
-        F.when(is_doc, F.col("model")).when(~far, F.log10("p")).otherwise(0.0).alias("model"), F.when(is_doc, F.col("base")).when(~far, to_base(F.col("total"))).otherwise(0.0).alias("base"))
-    part = part.groupBy("rid", "x", "w", "c").agg(F.max("doc_id").alias("doc_id"), F.max("tokens").alias("tokens"), F.sum("known").alias("known"), F.sum("model").alias("model"), F.sum("base").alias("base"), F.count("*").alias("times"))
-    part = stored(part, "scored")
-    # pairs never seen: the context's back-off weight times the class's probability
-    d = info["discount"]
-    contexts = info["contexts"].select("x", *[((STRENGTH + d * F.col(s)) / (STRENGTH + F.col("customers"))).alias(f"back_{s}") for s in _S])
-    rest = part.where("x is not null").drop("known", "model", "base").join(contexts, "x", "left").join(model.select("w", "total", "cls", "p0s", *_Q), "w", "left")
-    of_class = lambda j: F.get(F.array(*[F.lit(float(v)) for v in backs[j]]), F.col("c")) * F.coalesce(F.get("p0s", F.lit(j)), F.lit(info["unknown"][j]))
-    at = F.coalesce(F.array_position("cls", F.col("c")), F.lit(0)).cast("int")
-    p = _mean([F.coalesce(f"back_{s}", F.lit(1.0)) * F.when(at > 0, F.get(q, at - 1)).otherwise(of_class(j)) for j, (s, q) in enumerate(zip(_S, _Q, strict=True))])
-    rest = rest.select("rid", "doc_id", "tokens", (F.col("total").isNotNull().cast("long") * F.col("times")).alias("known"), (F.log10(p) * F.col("times")).alias("model"), (to_base(F.col("total")) * F.col("times")).alias("base"))
-    out = part.where("x is null").select(*rest.columns).unionByName(rest)
-    got = out.groupBy("rid").agg(F.max("doc_id").alias("doc_id"), F.max("tokens").alias("n_tokens"), F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("model").alias("score"))
-    return got.select("doc_id", "n_tokens", "n_known", F.lit(big_n).cast("long").alias("train_tokens"), "base_score", "score")
+    bottom = model.tokens + 0.1 * (model.vocabulary + 1)
+    samples = spark.sparkContext.broadcast(model.samples)
+    least, held = 8, 0
+    for r in model.state.select("n").mapInArrow(_common_counts, "n long, c long").groupBy("n").agg(F.sum("c").alias("c")).orderBy(F.desc("n")).toLocalIterator():
+        held += r["c"]
+        if held > FREQUENT:
+            least = r["n"]
+            break
+    top = model.state.mapInArrow(_frequent_pairs(model.listed, samples, bottom, least), "key long, logs double, base double").toArrow()
+    keys = top.column("key").to_numpy().astype(_L).view(_U)
+    order = np.argsort(keys)
+    known = spark.sparkContext.broadcast((keys[order], top.column("logs").to_numpy()[order], top.column("base").to_numpy()[order]))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    asked = own.mapInArrow(_requests(model.listed, known, model.bits), "bucket long, kind long, chunk long, w binary, size binary, code binary, doc binary")
+    needed = ["w", "size", "code", "n", "csize", "cls", *[f"{x}{j}" for j in range(SAMPLES) for x in "tqr"]]
+    none = lambda c: F.lit(None).cast("binary").alias(c)
+    held_ = model.state.select("bucket", F.lit(0).cast("long").alias("kind"), F.lit(-1).cast("long").alias("chunk"), *needed, none("doc"))
+    both = held_.unionByName(asked, allowMissingColumns=True)
+    answers = _dealt(both, "kind", "chunk").mapInArrow(_answers(model.listed, samples, bottom), "chunk long, kind long, a binary, b binary, c binary")
+    sums = answers.repartition(partitions(spark), "chunk").sortWithinPartitions("chunk", "kind").mapInArrow(_added, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return sums.select("doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -49,6 +49,13 @@ PLAIN = re.compile(r"[ -~\n\tÀ-ÖØ-öø-ÿ]*")
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, piece_key long"
 
 
+def tokenizer_path() -> str:
+    """The public word tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 class WordIds:
     """A tokenizer's ids of whole texts, as little-endian bytes, from the ids of their pieces.
 

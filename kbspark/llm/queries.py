@@ -11,12 +11,6 @@ from .common import crc_mod, table
 FOLDS, LM_FOLDS = 5, 10
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 def topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk_search.integer_terms(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 64)
     out = topk_search.top_k(vectors.where(F.pmod("id", F.lit(20)) == 0), vectors, 20)
@@ -24,7 +18,7 @@ def topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.best_fit_pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    return packing.best_fit_pack(table(spark, sf_dir, "documents").select("doc_id", "text"), packing.tokenizer_path())
 
 
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +35,7 @@ def good(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,8 +50,7 @@ def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = crc_mod("doc_id", LM_FOLDS) == 0
-    model, backs, info = lm_scoring.train(docs.where(~out))
-    scores = lm_scoring.score(docs, model, backs, info)
+    scores = lm_scoring.score(docs, lm_scoring.train(docs.where(~out)))
     return scores.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
