@@ -102,3 +102,101 @@ def line_dedup(docs, width=3):
                 drop.add(p)
         out[i] = None if t is None else "\n".join(x for p, x in enumerate(lines) if p not in drop), len(gone[i])
     return out
+
+
+def article(page):
+    """The text of the pages of the test tables: an article's (or body's) headings, paragraphs and the like, by Python's own HTML parser."""
+    import html.parser
+
+    class Reader(html.parser.HTMLParser):
+        blocks = frozenset("article aside blockquote body div dl dt dd figure figcaption footer form h1 h2 h3 h4 h5 h6 header html li main nav ol p pre section table tr td th tbody thead ul".split())
+        out = frozenset("nav footer aside form header script style head button noscript".split())
+
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.stack, self.found, self.run = [], [], []
+
+        def flush(self):
+            text = " ".join("".join(self.run).split())
+            if text:
+                self.found.append((any(t == "article" for t, _ in self.stack), text))
+            self.run = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag in self.blocks:
+                self.flush()
+                if any(t == "p" for t, _ in self.stack):
+                    while self.stack.pop()[0] != "p":
+                        pass
+            if tag == "br":
+                self.run.append(" ")
+            elif tag not in ("meta", "link", "img", "input", "hr"):
+                named = (dict(attrs).get("class") or "") + " " + (dict(attrs).get("id") or "")
+                self.stack.append((tag, tag in self.out or any(w in named for w in ("ad", "comment", "cookie", "notice", "share", "related", "sidebar", "promo", "banner", "nav", "menu", "newsletter", "breadcrumb"))))
+
+        def handle_endtag(self, tag):
+            if tag in self.blocks:
+                self.flush()
+            if any(t == tag for t, _ in self.stack):
+                while self.stack.pop()[0] != tag:
+                    pass
+
+        def handle_data(self, data):
+            if not any(o for _, o in self.stack):
+                self.run.append(data)
+
+    r = Reader()
+    r.feed(page or "")
+    r.close()
+    r.flush()
+    inside = [t for a, t in r.found if a]
+    return "\n".join(inside or [t for _, t in r.found])
+
+
+class PitmanYor:
+    """The language model's probabilities, token by token, from dictionaries of its seating."""
+
+    def __init__(self, model):
+        from kbspark.llm import lm_scoring as lm
+
+        self.lm, self.model = lm, model
+        self.contexts, self.classes = (x.tolist() for x in model.listed.value)
+        self.total, self.pairs, self.cls, self.root = {}, {}, {}, {}
+        for row in model.state.collect():
+            s = {k: v.tolist() for k, v in lm._state(row.asDict()).items()}
+            pair = both = 0
+            for i, w in enumerate(s["w"]):
+                self.total[w] = sum(s["n"][pair : pair + s["size"][i]])
+                self.root[w] = [s[f"r{j}"][i] for j in range(lm.SAMPLES)]
+                for pair in range(pair, pair + s["size"][i]):
+                    self.pairs[w, s["code"][pair]] = s["n"][pair], [s[f"t{j}"][pair] for j in range(lm.SAMPLES)]
+                pair += 1
+                for both in range(both, both + s["csize"][i]):
+                    self.cls[w, s["cls"][both]] = [s[f"q{j}"][both] for j in range(lm.SAMPLES)]
+                both += 1
+
+    def probability(self, w, code):
+        k, out = len(self.contexts), 0
+        c = self.classes[code] if code < k else code - k
+        for j, t in enumerate(self.model.samples):
+            d2, d1, d0 = t.discounts
+            unknown = (1 + d0 * t.root_t) / (t.vocabulary + 1) / (1 + sum(t.class_t))
+            p = self.root[w][j] if w in self.root else unknown
+            p = self.cls[w, c][j] if (w, c) in self.cls else (1 + d1 * t.class_t[c]) / (1 + t.class_n[c]) * p
+            if code < k:
+                n, tables = self.pairs.get((w, code), (0, [0] * 9))
+                p = (n - d2 * tables[j] + (1 + d2 * t.t[code]) * p) / (1 + t.n[code])
+            out += p
+        return out / len(self.model.samples)
+
+    def score(self, text):
+        import math
+
+        at = {w: i for i, w in enumerate(self.contexts)}
+        out = 0.0
+        for _, _, tok, cls, _ in self.lm.tokens([(text or "").encode()]):
+            code = len(self.contexts) + self.lm.START
+            for w, c in zip(tok.tolist(), cls.tolist(), strict=True):
+                out += math.log10(self.probability(w, code))
+                code = at.get(w, len(self.contexts) + c)
+        return out

@@ -52,13 +52,26 @@ def topk_brute(rows, k=20):
     return sorted(out)
 
 
+def test_topk_low_scores(spark):
+    """However low its score, a candidate isn't taken for the query's own row; components beyond 64 bits are the nearest."""
+    rows = [(0, [60000.0, 60000.0]), (1, [-2e5, -2e5]), (2, [1.0, 1.0]), (3, [1e300, 0.0])]
+    v = topk_search.integer_terms(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding", 64)
+    got = [(r.vec_id, r.score) for r in topk_search.top_k(v.where("id in (0, 1, 2)").where("id = 0"), v.where("id < 3"), 20).collect()]
+    assert got == [(2, 2 * 60000 * 64 * 64), (1, -2 * 60000 * 200000 * 64 * 64)]
+    assert v.where("id = 3").first().terms == [(1 << 63) - 1, 0]
+    nulls = spark.createDataFrame([(None, [1.0]), (20, [1.0])], "vec_id long, embedding array<double>")
+    v = topk_search.integer_terms(nulls, "vec_id", "embedding", 64)
+    assert v.count() == 1 and topk_search.top_k(v, v).count() == 0
+
+
 @pytest.mark.parametrize("block", [(3, 5), (1024, 16384)])
 def test_topk_edges(spark, block):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(60)]
     rows += [(100 + i, [1.0, 0.0, 0.0, 0.0]) for i in range(30)]  # ties
+    rows += [(400, [1.0, 2.0, 3.0, 4.0]), (400, [2.0, 2.0, 3.0, 4.0])]  # an id twice
     rows += [(200, None), (220, [1.0, None, 2.0, 3.0]), (240, [float("nan")] * 4), (260, [float("inf"), 0.0, 0.0, 0.0]), (280, []), (300, [1.0, 2.0]), (320, [300000.0, -200000.0, 1.0, 5.0])]
-    v = topk_search.integer_terms(spark.createDataFrame(rows, "vec_id long, embedding array<double>, id string" if False else "vec_id long, embedding array<double>"), "vec_id", "embedding", 64)
+    v = topk_search.integer_terms(spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 as id", "2 as block", "3 as slot"), "vec_id", "embedding", 64)
     got = topk_search.top_k(v.where("id % 20 = 0"), v, 20, *block).collect()
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == topk_brute(rows)
 
@@ -74,7 +87,7 @@ def test_topk_empty(spark):
 def check_packing(rows, docs, capacity=2048):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(queries.tokenizer_path())
+    t = Tokenizer.from_file(packing.tokenizer_path())
     want = Counter()
     for i, text in docs:
         ids = [*t.encode(text or "", add_special_tokens=False).ids, 0]
@@ -93,13 +106,13 @@ def check_packing(rows, docs, capacity=2048):
 
 
 def test_packing(spark):
-    n = check_packing(packing.best_fit_pack(docs_frame(spark), queries.tokenizer_path()).collect(), TEXTS)
+    n = check_packing(packing.best_fit_pack(docs_frame(spark), packing.tokenizer_path()).collect(), TEXTS)
     assert n >= 1
     docs = [(r.doc_id, r.text) for r in sf(spark, "documents").collect()]
     rows = queries.packed(spark, SF).collect()
     n = check_packing(rows, docs)
     assert n <= packing.lower_bound(np.array([r.length for r in rows]), 2048) + 1
-    assert packing.best_fit_pack(docs_frame(spark, []), queries.tokenizer_path()).count() == 0
+    assert packing.best_fit_pack(docs_frame(spark, []), packing.tokenizer_path()).count() == 0
 
 
 def test_packing_exchange(spark, monkeypatch):
@@ -274,6 +287,32 @@ def test_rules(spark):
     assert quality_rules.quality_rules(docs_frame(spark, [])).count() == 0
 
 
+def test_rules_decide(spark):
+    """Of rows that pass the base rule, the posterior drops those that several rules are against, and not those that one is."""
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), rng.integers(3, 8)))
+    rows = []
+    for i in range(300):
+        lines = [" ".join(word() for _ in range(14)).capitalize() + "." for _ in range(8)]
+        if i % 6 == 0:  # marks everywhere, lines that don't end
+            lines = [" ".join(w + "%%%" for w in x[:-1].split()) for x in lines]
+        elif i % 6 == 1:  # one odd line ending too many
+            lines = [x[:-1] for x in lines]
+        rows.append((i, "\n".join(lines)))
+    names = "doc_id", "text"
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, pattern string, passed int")
+    got = {r.doc_id: r for r in quality_rules.quality_rules(docs).collect()}
+    assert docs.columns[:2] == list(names) and not any(r.base_failed for r in got.values())
+    assert [i for i in range(300) if not got[i].kept] == list(range(0, 300, 6))
+    short = quality_rules.quality_rules(spark.createDataFrame([(1, "a b"), (1, "a b"), (None, None)], DOCS)).collect()
+    assert len(short) == 3 and not any(r.kept for r in short)
+
+
+def test_rules_table_decides(spark):
+    passing = queries.ruled(spark, SF).where("not base_failed")
+    assert passing.where("not kept").count() > 0 and passing.where("kept").count() > passing.where("not kept").count()
+
+
 def test_rules_estimate():
     rng = np.random.default_rng(2)
     good = rng.random(4000) < 0.8
@@ -287,54 +326,71 @@ def test_rules_estimate():
 # 8
 
 
-def test_lm(spark):
-    docs = [(r.doc_id, r.text) for r in sf(spark, "documents").collect()] + [(5001, None), (5002, ""), (5003, "zzzz unseen words the")]
-    frame = docs_frame(spark, docs)
-    out = queries.crc_mod("doc_id", 10) == 0
-    for frequent in (1 << 17, 50):
-        lm_scoring.FREQUENT = frequent
-        model, backs, info = lm_scoring.train(frame.where(~out))
-        got = {r.doc_id: r for r in lm_scoring.score(frame, model, backs, info).collect()}
-        want = brute.base_scores(docs)
-        assert got.keys() == want.keys()
-        for i, (n, k, total, s) in want.items():
-            r = got[i]
-            assert (r.n_tokens, r.n_known, r.train_tokens) == (n, k, total)
-            assert abs(r.base_score - s) < 1e-6 * max(1, abs(s))
-        # a proper model, and a better one than the base
-        assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values())
-    lm_scoring.FREQUENT = 1 << 17
-    model, backs, info = lm_scoring.train(frame.limit(0))
-    assert lm_scoring.score(frame, model, backs, info).count() == len(docs)
-
-
-def test_lm_sums_to_one(spark):
-    """For each context, the probabilities of all known words and of one unknown word add up to 1."""
-    model, backs, info = lm_scoring.train(sf(spark, "documents"))
-    rows = model.collect()
-    for c in (0, 3, lm_scoring.START):
-        p = sum(r.prob[r.cls.index(c)] if c in r.cls else float(np.mean(np.array(r.p0s) * backs[:, c])) for r in rows)
-        p += float(np.mean(np.array(info["unknown"]) * backs[:, c]))
-        assert abs(p - 1) < 1e-6
+def lm_frame(spark, docs):
+    return docs_frame(spark, docs).selectExpr("*", "1 as bucket", "2 as chunk", "3 as w")
+
+
+@pytest.mark.parametrize(("least", "frequent"), [(5, 1 << 16), (5, 50), (10**9, 1 << 16)])
+def test_lm(spark, monkeypatch, least, frequent):
+    """Counts and base scores by brute force, and the model's scores by its formulas, in plain Python, from the seating it ended with."""
+    monkeypatch.setattr(lm_scoring, "FREQUENT", frequent)
+    docs = [(r.doc_id, r.text) for r in sf(spark, "documents").limit(60).collect()] + [(5001, None), (5002, ""), (5003, "zzzz unseen words the"), (5004, "the " * 3000)]
+    frame = lm_frame(spark, docs)
+    model = lm_scoring.train(frame.where(queries.crc_mod("doc_id", 10) != 0), least)
+    rows = lm_scoring.score(frame, model).collect()
+    got = {r.doc_id: r for r in rows}
+    want = brute.base_scores(docs)
+    assert len(rows) == len(docs) and got.keys() == want.keys()
+    p = brute.PitmanYor(model)
+    assert (len(p.contexts) > 0) == (least < 10**9)
+    for i, text in docs:
+        r, (n, k, total, s) = got[i], want[i]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (n, k, total)
+        assert abs(r.base_score - s) < 1e-6 * max(1, abs(s))
+        assert abs(r.score - p.score(text)) < 1e-6 * max(1, abs(r.score))
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+    for code in {0, len(p.contexts) // 2, len(p.contexts) + 3, len(p.contexts) + lm_scoring.START}:
+        assert abs(sum(p.probability(w, code) for w in p.total) + p.probability(1, code) - 1) < 1e-9
+
+
+def test_lm_edges(spark):
+    docs = [(1, "a b"), (1, "a b"), (None, "a b"), (2, None)]
+    for train in (lm_frame(spark, docs), lm_frame(spark, docs).limit(0)):
+        model = lm_scoring.train(train, 2)
+        rows = lm_scoring.score(lm_frame(spark, docs), model).collect()
+        assert Counter((r.doc_id, r.n_tokens) for r in rows) == Counter([(1, 3), (1, 3), (None, 3), (2, 1)])
+        assert len({r.score for r in rows if r.n_tokens == 3}) == 1 and all(r.score <= 0 for r in rows)
+        assert lm_scoring.score(lm_frame(spark, docs).limit(0), model).count() == 0
 
 
 def test_lm_word_contexts(spark):
-    """Words of one class as contexts: each keeps what follows it, and its probabilities add up to 1."""
-    train = docs_frame(spark, [(i, "zasing bede" if i % 2 else "zosing gode") for i in range(40)])
-    model, backs, info = lm_scoring.train(train)
+    """Words of one class as contexts: each keeps what follows it."""
+    model = lm_scoring.train(docs_frame(spark, [(i, "zasing bede" if i % 2 else "zosing gode") for i in range(40)]), 5)
     texts = [(0, "zasing bede"), (1, "zasing gode"), (2, "zosing gode"), (3, "zosing bede")]
-    got = {r.doc_id: r.score for r in lm_scoring.score(docs_frame(spark, texts), model, backs, info).collect()}
+    got = {r.doc_id: r.score for r in lm_scoring.score(docs_frame(spark, texts), model).collect()}
     assert got[0] > got[1] + 0.5 and got[2] > got[3] + 0.5
-    by_word = {r.w: r for r in model.collect()}
-    seen = lm_scoring.pair_probabilities(model, info).collect()
-    classes = {(r.x, r.w): r.c for r in info["pairs"].collect()}
-    for x in info["contexts"].collect():
-        c = next(k for (v, _), k in classes.items() if v == x.x)
-        back = [(lm_scoring.STRENGTH + info["discount"] * x[s]) / (lm_scoring.STRENGTH + x.customers) for s in ("s0", "s1")]
-        of_class = lambda r, j: r[f"q{j}"][r.cls.index(c)] if c in r.cls else backs[j, c] * r.p0s[j]  # noqa: B023, E731
-        p = sum(r.p for r in seen if r.x == x.x) + sum(np.mean([back[j] * of_class(r, j) for j in (0, 1)]) for w, r in by_word.items() if (x.x, w) not in classes)
-        p += np.mean([back[j] * backs[j, c] * info["unknown"][j] for j in (0, 1)])
-        assert abs(p - 1) < 1e-9
+
+
+def test_lm_seats():
+    """Blocks of customers give as many tables as customers one by one."""
+    rng = np.random.default_rng(1)
+    n, p, d = 3000, 0.02, 0.6
+    one = []
+    for _ in range(200):
+        t = 1
+        for i in range(1, n):
+            fresh = (1 + d * (50 + t)) * p
+            t += rng.random() < fresh / (fresh + i - d * t)
+        one.append(t)
+    many = lm_scoring.seat(np.full(2000, n), np.full(2000, 50.0), np.full(2000, p), d, np.random.default_rng(2))
+    assert abs(many.mean() - np.mean(one)) < 0.05 * np.mean(one) and 0.7 < many.std() / np.std(one) < 1.4
+    assert (lm_scoring.seat(np.array([0, 1]), np.zeros(2), np.full(2, 0.5), d, rng) == [0, 1]).all()
+
+
+def test_lm_held_out(spark):
+    """On documents it hasn't learnt from, the model beats the base score."""
+    rows = queries.language_model(spark, "/root/testdata/sf0.01").where("held_out").collect()
+    assert sum(r.score for r in rows) > 0.98 * sum(r.base_score for r in rows)
 
 
 # 9
@@ -343,9 +399,15 @@ def test_lm_word_contexts(spark):
 def test_lines(spark):
     rows = [(i, t) for i, t in TEXTS[:-1]]
     rows += [(30, "a\nb\nc\nd"), (31, "x\n a \nb\n\nc\r\ny"), (32, "q\nq\nq\nq\nq\nend"), (33, "b\n c\nd"), (34, "m\nn"), (35, "m\nn\n"), (36, "m"), (37, "a\n\nb\nc\nd\n\nz")]
-    got = line_dedup.line_dedup(docs_frame(spark, rows).withColumn("text2", line_dedup.F.lit(1))).collect()
+    names = ("covered", "_covered", "row_hash", "h", "first", "at", "_id", "_row", "_lines_removed")
+    got = line_dedup.line_dedup(docs_frame(spark, rows).selectExpr("*", *[f"1 as `{n}`" for n in names]))
+    assert got.columns == ["doc_id", "text", *names]
     want = brute.line_dedup(rows)
-    assert {r.doc_id: (r.text, r._lines_removed) for r in got} == want and all(r.text2 == 1 for r in got)
+    got = got.collect()
+    assert {r.doc_id: (r.text, r._lines_removed) for r in got} == want and all(r.covered == 1 for r in got)
+    twice = [(None, "a\nb\nc"), (5, "a\nb\nc\nd"), (5, "a\nb\nc\nd"), (5, "x\na\nb\nc"), (None, None)]
+    got = line_dedup.line_dedup(docs_frame(spark, twice)).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter([(None, "a\nb\nc"), (5, "d"), (5, "d"), (5, "x"), (None, None)])
     assert line_dedup.line_dedup(docs_frame(spark, [])).count() == 0
 
 
@@ -379,18 +441,37 @@ def test_oracle(spark, name):
         ("<body><div class='ad'>Buy this, now, please, or else, it is gone</div><div id=content><p>Some prose, with commas, and such.</p><form><p>Name, please</p></form><p>End.</p></div><div class='comments'><p>I, for one, like it, a lot, really.</p></div><aside><p>See also, this, that</p></aside></body>", "Some prose, with commas, and such.\nEnd."),
         ("<article><p>A</p><ul><li>one<li>two</ul><table><tr><td>x<td>y</table></article>", "A\none\ntwo\nx\ny"),
         ("<article><script>var t='</p>';</script><p>Text<!-- <p>no</p> --> here</p>", "Text here"),
+        ("<p>Some prose, it is, as it goes.</p><div class='comment-text'><p>I, for one, like it, a lot.</p></div><div class=share-content>Share, this, please, now</div>", "Some prose, it is, as it goes."),
+        ("<div class='page with-sidebar'><p>Some prose, it is.</p></div>", "Some prose, it is."),
+        ("<div class=post><div class='post-header'><h1>Title</h1></div><p>Prose, as it is, goes on.</p></div><article class=comment><p>Me, I, like, it, much</p></article>", "Title\nProse, as it is, goes on."),
+        ("<p>a\u200bb\u00a0 \u2003c", "a\u200bb c"),
+        ("<div><p>one, two</p></div><div><p>one, two</p></div>", "one, two\none, two"),
     ],
 )
 def test_extract(page, text):
     assert html_extract.extract(page) == text
 
 
+def test_extract_deep():
+    """Time follows the length, however deep elements are nested."""
+    import time
+
+    t = time.time()
+    for page in ("<div>" * 20000 + "x, y, z", "<div>x, y" * 8000, "<b>" * 8000 + "<div>q</div>" * 8000, "<div>" * 8000 + "</section>" * 8000 + "t", "<template>" * 20000 + "x"):
+        html_extract.extract(page)
+    assert time.time() - t < 20
+
+
 def test_extract_table(spark):
-    pages = sf(spark, "pages")
+    """Every page's text is its article's blocks, as a reading with another parser gives them."""
+    pages = {r.page_id: r.html for r in sf(spark, "pages").collect()}
     got = queries.extracted(spark, SF).collect()
-    assert len(got) == pages.count() and all(r.text and r.n_chars == len(r.text) and "<" not in r.text.replace("<<", "") or True for r in got)
-    own = spark.createDataFrame([(1, "u", None), (1, "u", "<p>x</p>"), (None, None, "<p>long " + "word, " * 20000 + "</p>")], "page_id long, url string, html string")
-    assert html_extract.extract_pages(own).count() == 3
+    assert len(got) == len(pages) and all(r.n_chars == len(r.text) for r in got)
+    same = sum(r.text == brute.article(pages[r.page_id]) for r in got)
+    assert same == len(got), (same, len(got))
+    own = spark.createDataFrame([(1, "u", None, 2), (1, "u", "<p>x</p>", 3), (None, None, "<p>long " + "word, " * 20000 + "</p>", 4)], "page_id long, url string, html string, text int")
+    assert sorted((r.page_id or 0, r.n_chars) for r in html_extract.extract_pages(own).collect()) == [(0, 5 + 6 * 20000 - 1), (1, 0), (1, 1)]
+    assert html_extract.extract_pages(own.limit(0)).count() == 0
 
 
 # words
@@ -424,10 +505,53 @@ def test_pipeline(spark):
     one = p.STAGES[2][1](spark, docs, SF)
     assert sorted(r.doc_id for r in one.collect()) == sorted(i for i, _, c in brute.components(rows) if i == c)
     mixed = p.STAGES[3][1](spark, docs, SF)
-    assert mixed.columns == docs.columns and max(Counter(r.doc_id for r in mixed.collect()).values()) <= 3
+    assert mixed.columns == docs.columns
+    texts, order = dict(rows), [(r.doc_id, r.text, r.source) for r in mixed.collect()]
+    sizes, taken, cut = Counter(), Counter(), Counter()
+    for r in docs.collect():
+        sizes[r.source] += len(brute.words(r.text))
+    for i, t, s in order:
+        assert texts[i].strip().startswith(t.strip())
+        cut[s] += t != texts[i]
+        taken[s] += len(brute.words(t))
+    for s, x in brute.targets(sizes).items():
+        assert abs(taken[s] - x) <= 12 and cut[s] <= 1, (s, x, taken[s])
+    # in schedule order every long stretch holds the sources in their shares
+    half = Counter()
+    for _, t, s in order[: len(order) // 2]:
+        half[s] += len(brute.words(t))
+    whole = sum(taken.values())
+    assert all(abs(half[s] / sum(half.values()) - n / whole) < 0.1 for s, n in taken.items())
     check_packing(p.STAGES[4][1](spark, docs, SF).collect(), rows)
 
 
+def test_pipeline_names(spark):
+    """Extra columns come through every stage, whatever their names; nulls, repeated rows and empty tables don't stop it."""
+    import corpus_pipeline as p
+
+    names = ("row", "_row", "times", "_m0", "m1", "label", "covered", "_lines_removed", "size", "place", "turn", "slot", "words", "node", "of", "first")
+    docs = sf(spark, "documents").limit(40)
+    docs = docs.unionByName(docs.limit(2)).unionByName(docs.limit(1).selectExpr("cast(null as bigint) as doc_id", "cast(null as string) as text", "lang", "source", "n_chars"))
+    docs = docs.selectExpr("*", *[f"'{n}' as `{n}`" for n in names])
+    for k, (_, stage) in enumerate(p.STAGES[:4]):
+        for rows in (docs, docs.limit(0)):
+            out = stage(spark, rows, SF)
+            got = out.collect()
+            assert out.columns == docs.columns and all(r[n] == n for r in got for n in names)
+            assert (len(got) > 0) == (rows is docs) or k == 3
+
+
+def test_pipeline_run(spark):
+    """The whole chain: its last stage packs what the four before it give, one after the other."""
+    import corpus_pipeline as p
+
+    docs = sf(spark, "documents")
+    for _, stage in p.STAGES[:4]:
+        docs = stage(spark, docs, SF)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    check_packing(p.run(spark, SF).collect(), rows)
+
+
 def test_pipeline_repeated_ids(spark):
     """One row of each group stays, whatever ids its rows share with others."""
     import corpus_pipeline as p
@@ -441,7 +565,7 @@ def test_pipeline_repeated_ids(spark):
 def test_word_ids():
     import random
 
-    ids_of = packing.WordIds(queries.tokenizer_path())
+    ids_of = packing.WordIds(packing.tokenizer_path())
     assert ids_of.cuts
     draw = random.Random(7)
     letters = "aZé ß'’sStTrReEvVlLdDmM09½²!<|>\n\t\x1c\x85\xa0ÀÿŸİΣςſ中éµªº×÷"
