@@ -2,6 +2,10 @@
 
 Quality classifier, line dedup, n-gram Jaccard join, mixing, packing. Every stage works on all rows that the one
 before kept; all but the last return the columns of documents.
+
+Defined cases, in every stage: null texts count as empty and stay null; empty tables give empty tables; equal rows and repeated ids are
+rows of their own (but equal rows are copies of each other for the join); null ids come first; ties go to the smaller id, then to the
+row that comes first in the stored input; extra columns are kept, whatever their names; texts are never cut but by the mix (where a source's target ends) and by packing.
 """
 
 from __future__ import annotations
@@ -10,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kbspark.llm import jaccard_join, line_dedup, mixing, packing, quality
-from kbspark.llm.common import stored, table
-from kbspark.llm.queries import tokenizer_path
+from kbspark.llm.common import forget, fresh, stored, table
+from kbspark.llm.packing import tokenizer_path
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,27 +25,27 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later occurrences of three-line passages; a document of which nothing is left goes."""
-    return line_dedup.line_dedup(docs).where("_lines_removed = 0 or text <> ''").select(*docs.columns)
+    (removed,) = fresh(docs, "_lines_removed")
+    return line_dedup.line_dedup(docs, removed=removed).where(f"`{removed}` = 0 or text <> ''").select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of rows linked by near copies, the first by id; repeated ids are rows of their own."""
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    groups = jaccard_join.jaccard_join(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
-    linked = stored(groups.join(groups.where("_row <> _group").select("_group").distinct(), "_group", "left_semi").join(rows.select("_row", "doc_id"), "_row"), "linked")
-    first = linked.groupBy("_group").agg(F.min(F.struct("doc_id", "_row"))["_row"].alias("_first"))
-    others = stored(linked.join(first, "_group").where("_row <> _first").select("_row"), "others")
-    return rows.join(others, "_row", "left_anti").select(*docs.columns)
+    """Of rows linked by near copies, the first by id (null first); repeated ids are rows of their own."""
+    (row,) = fresh(docs, "_row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = jaccard_join.jaccard_join(rows.select(F.col(row).alias("doc_id"), "text"))
+    groups = stored(found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("of")), "groups")
+    linked = groups.join(groups.where("row <> of").select("of").distinct(), "of", "left_semi").join(rows.select(F.col(row).alias("row"), "doc_id"), "row")
+    linked = stored(linked, "linked")
+    first = linked.groupBy("of").agg(F.min(F.struct("doc_id", "row"))["row"].alias("first"))
+    others = stored(linked.join(first, "of").where("row <> first").select(F.col("row").alias(row)), "others")
+    forget(spark, groups, linked)
+    return rows.join(others, row, "left_anti").select(*docs.columns)
 
 
 def to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: whole, a part of half a document or more counting as one."""
-    rows = docs.withColumn("row", F.monotonically_increasing_id())
-    sized = stored(mixing.sized(rows).select("row", "doc_id", "source", "size"), "sized")
-    placed, _, takes = mixing.schedule(sized)
-    taken = takes.groupBy("row").agg(F.sum("words").alias("taken"))
-    often = placed.join(taken, "row", "left").select("row", F.when(F.col("size") == 0, 1).otherwise(F.round(F.coalesce("taken", F.lit(0)) / F.col("size"))).cast("int").alias("times")).where("times > 0")
-    return rows.join(often, "row").select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+    """The mix, in schedule order: documents as often as it takes them, the last one of a source as far as its target goes."""
+    return mixing.taken_texts(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
