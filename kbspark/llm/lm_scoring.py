@@ -45,7 +45,7 @@ SAMPLES = SWEEPS - BURN_IN
 #: Pairs whose probabilities every task holds: 24 bytes each.
 FREQUENT = 1 << 16
 #: Tokens that a task takes together, and tokens for each bucket of words.
-CHUNK, BUCKET = 1 << 21, 1 << 23
+CHUNK, BUCKET = 1 << 20, 1 << 22
 END = np.uint64(0x656E64)
 _U, _L, _I = np.uint64, np.int64, np.int32
 
@@ -113,7 +113,17 @@ def chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Chunk]:
 
 
 def _row(names: list[str], values: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([v.tobytes() if isinstance(v, np.ndarray) else v], pa.binary() if isinstance(v, np.ndarray) else pa.int64()) for v in values], names)
+    """One row; arrays are compressed, so that a task holds one bucket's in full at a time."""
+    import zstandard
+
+    packed = zstandard.ZstdCompressor(level=1).compress
+    return pa.RecordBatch.from_arrays([pa.array([packed(v.tobytes()) if isinstance(v, np.ndarray) else v], pa.binary() if isinstance(v, np.ndarray) else pa.int64()) for v in values], names)
+
+
+def _array(x: bytes, kind) -> np.ndarray:
+    import zstandard
+
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -171,7 +181,7 @@ def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 def _common_words(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, held in _by_bucket(batches):
-            w, n, c = (np.concatenate([np.frombuffer(r[x], t) for r in held]) for x, t in (("w", _U), ("n", _I), ("c", np.int8)))
+            w, n, c = (np.concatenate([_array(r[x], t) for r in held]) for x, t in (("w", _U), ("n", _I), ("c", np.int8)))
             w, n, at = _summed(w, n.astype(_L))
             keep = (n >= least) & (w != END)
             yield pa.RecordBatch.from_arrays([pa.array(w[keep].view(_L)), pa.array(n[keep]), pa.array(c[at][keep].astype(_I))], ["w", "n", "c"])
@@ -226,7 +236,7 @@ _STATE = "bucket long, " + ", ".join(f"{k} binary" for k in _KINDS)
 
 
 def _state(r: dict) -> dict:
-    return {k: np.frombuffer(r[k], t) for k, t in _KINDS.items() if r.get(k) is not None}
+    return {k: _array(r[k], t) for k, t in _KINDS.items() if r.get(k) is not None}
 
 
 def _counted(listed):
@@ -234,7 +244,7 @@ def _counted(listed):
         own, classes = listed.value
         span = len(own) + CLASSES + 1
         for bucket, held in _by_bucket(batches):
-            parts = [[np.frombuffer(r[x], t) for x, t in (("w", _U), ("size", _I), ("code", _I), ("n", _I))] for r in held]
+            parts = [[_array(r[x], t) for x, t in (("w", _U), ("size", _I), ("code", _I), ("n", _I))] for r in held]
             w = np.unique(np.concatenate([p[0] for p in parts]))
             key = np.concatenate([np.repeat(np.searchsorted(w, p[0]), p[1]) * span + p[2] for p in parts])
             key, n, _ = _summed(key, np.concatenate([p[3] for p in parts]).astype(_L))
@@ -487,7 +497,7 @@ def _frequent_pairs(listed, samples, bottom: float, least: int):
 
 def _common_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for r in _rows(batches):
-        n, c = np.unique(np.frombuffer(r["n"], _L), return_counts=True)
+        n, c = np.unique(_array(r["n"], _L), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(n[n > 8]), pa.array(c[n > 8])], ["n", "c"])
 
 
@@ -537,15 +547,15 @@ def _answers(listed, samples, bottom: float):
         empty = {k: np.zeros(0, t) for k, t in _KINDS.items()}
         for r in _rows(batches):
             if r["kind"] == 2:
-                yield _row(names, [r["chunk"], 0, *[np.frombuffer(r[x], np.int8) for x in ("w", "size", "code")]])
+                yield _row(names, [r["chunk"], 0, *[_array(r[x], np.int8) for x in ("w", "size", "code")]])
                 continue
             if r["bucket"] != bucket:
                 bucket = r["bucket"]
                 scorer = Scorer(_state(r) if r["kind"] == 0 else empty, listed.value[1], samples.value, bottom)
             if r["kind"] == 1:
-                w = np.repeat(np.frombuffer(r["w"], _U), np.frombuffer(r["size"], _I))
-                doc = np.frombuffer(r["doc"], _I)
-                logs, base, known = scorer.scores(w, np.frombuffer(r["code"], _I).astype(_L))
+                w = np.repeat(_array(r["w"], _U), _array(r["size"], _I))
+                doc = _array(r["doc"], _I)
+                logs, base, known = scorer.scores(w, _array(r["code"], _I).astype(_L))
                 some, at = np.unique(doc, return_inverse=True)
                 sums = np.concatenate([np.bincount(at, x, minlength=len(some)) for x in (logs, base)])
                 yield _row(names, [r["chunk"], 1, some.astype(_I), sums, np.bincount(at, known, minlength=len(some)).astype(_I)])
@@ -566,14 +576,14 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if own is not None:
                 yield out()
             chunk = r["chunk"]
-            numbers, sums = np.frombuffer(r["a"], _L).reshape(3, -1), np.frombuffer(r["b"]).reshape(2, -1)
-            own = numbers[0], numbers[1], numbers[2].copy(), sums[0].copy(), sums[1].copy(), np.frombuffer(r["c"], np.int8).astype(bool)
+            numbers, sums = _array(r["a"], _L).reshape(3, -1), _array(r["b"], np.float64).reshape(2, -1)
+            own = numbers[0], numbers[1], numbers[2].copy(), sums[0].copy(), sums[1].copy(), _array(r["c"], np.int8).astype(bool)
         else:
             assert r["chunk"] == chunk
-            at, sums = np.frombuffer(r["a"], _I), np.frombuffer(r["b"]).reshape(2, -1)
+            at, sums = _array(r["a"], _I), _array(r["b"], np.float64).reshape(2, -1)
             own[3][at] += sums[0]
             own[4][at] += sums[1]
-            own[2][at] += np.frombuffer(r["c"], _I)
+            own[2][at] += _array(r["c"], _I)
     if own is not None:
         yield out()
 
