@@ -98,11 +98,18 @@ def word_classes(texts: list[bytes]) -> list[bytes]:
     return out
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows, fewer at a time."""
+    for b in batches:
+        for a in range(0, b.num_rows, rows):
+            yield b.slice(a, rows)
+
+
 def features(docs: DataFrame) -> DataFrame:
     """doc_id, the ratios, the words' classes and m0, m1, m2 (the metadata as classes), of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             texts = as_bytes(b.column("text"))
             r = ratios(texts)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(r[:, k]) for k in range(len(NAMES))], pa.array(word_classes(texts), pa.binary()), *[b.column(m) for m in METADATA]], ["doc_id", *NAMES, "said", *METADATA])
@@ -230,8 +237,8 @@ def _over(marked: DataFrame, sums) -> list[np.ndarray]:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: list[np.ndarray] = []
         for f in frames:
-            for a in range(0, len(f), 2000):
-                part = f.iloc[a : a + 2000]
+            for a in range(0, len(f), 500):
+                part = f.iloc[a : a + 500]
                 new = sums(Rows.of_frame(part), part["label"].to_numpy(float))
                 total = [t + n for t, n in zip(total, new, strict=True)] if total else new
         for k, t in enumerate(total):
@@ -335,7 +342,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, most: int = LABELLED, thr
     names, own = docs.columns, fresh(docs, *METADATA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             texts = as_bytes(b.column("text"))
             m = np.stack([b.column(k).to_numpy(zero_copy_only=False) for k in own], 1)
             _, _, p = probability(model.value, Rows.of(ratios(texts), word_classes(texts), m))
