@@ -49,8 +49,10 @@ def terms(c: Column) -> Column:
     t = F.regexp_replace(F.coalesce(c, F.lit("")), "[^\\u4e00-\\u9fa5a-zA-Z0-9]+", " ")
     english = F.transform(F.regexp_extract_all(t, F.lit("([a-zA-Z]+)"), 1), F.lower)
     numbers = F.regexp_extract_all(t, F.lit("([0-9]+)"), 1)
-    cjk = F.regexp_replace(t, "[a-zA-Z0-9 ]+", "")
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(F.length(cjk), F.lit(1))), lambda i: F.array(*[F.substring(cjk, i, F.lit(n)) for n in (4, 3, 2)])))
+    # the characters are bound to a lambda's variable, so they are made once a text and not once a place
+    cjk = F.array(F.split(F.regexp_replace(t, "[a-zA-Z0-9 ]+", ""), "", -1))
+    gram = lambda cs, i, n: F.array_join(F.slice(cs, i + 1, F.lit(n)), "")
+    grams = F.get(F.transform(cjk, lambda cs: F.flatten(F.transform(cs, lambda _, i: F.array(*[gram(cs, i, n) for n in (4, 3, 2)])))), 0)
     # near the end a longer gram is cut to one that the shorter lengths give as well
     stop = F.array(*[F.lit(w) for w in STOP_WORDS])
     return F.filter(F.array_distinct(F.concat(english, numbers, grams)), lambda w: (F.length(w) >= 2) & ~F.array_contains(stop, w))

@@ -1,55 +1,81 @@
-"""Overlapping chunks in closed form, as higher-order functions."""
+"""Overlapping chunks, packed paragraphs, and chunks of parsed documents.
+
+Both splitters are one pass over a text, Arrow batch by batch: their time follows the text's length.
+"""
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip, table_text
 
 
-def window_chunks(text: Column, size: int = 500, overlap: int = 100, most: int = 1000) -> Column:
-    """Windows begin every size - overlap characters; a window ends at the first paragraph's end in its second half, if any."""
-    overlap = size // 4 if overlap >= size else overlap
-    step = size - overlap
-    parts = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n\n", -1), strip), lambda p: p != "")
-    full = F.array_join(parts, "\n\n")
-    n = F.length(full)
-    ends = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), lambda k: F.length(F.array_join(F.slice(parts, F.lit(1), k), "\n\n")) + F.when(k < F.size(parts), 2).otherwise(0))
-    starts = F.transform(F.sequence(F.lit(0), F.greatest(F.least(F.ceil(n / step).cast("int"), F.lit(most)) - 1, F.lit(0))), lambda k: k * step)
+def windows_of(text: str | None, size: int = 500, overlap: int = 100, most: int | None = None, gap_free: bool = False) -> list[str]:
+    """Windows begin every size - overlap characters; a window ends at the first paragraph's end in its second half, if any.
+
+    What lies between such an end and the next window's beginning is in no window, unless ``gap_free``: then a window begins where the one before
+    ended, if that is earlier. ``most``: windows at most; what follows them is in none.
+    """
+    text = text or ""
+    if len(text) <= size:
+        return [text.strip()] if text.strip() else []
+    step = size - (size // 4 if overlap >= size else overlap)
+    parts = text.split("\n\n")
+    own = [(p.strip(), k) for k, p in enumerate(parts)]
+    pieces = [p + ("\n\n" if k < len(parts) - 1 else "") for p, k in own if p]
+    ends, n = [], 0
+    for p in pieces:
+        n += len(p)
+        ends.append(n)
+    full, out, s, k = "".join(pieces), [], 0, 0
+    while s < n and (most is None or k < most):
+        e = min(s + size, n)
+        at = bisect_right(ends, s + size / 2)
+        if at < len(ends) and ends[at] <= e:
+            e = ends[at]
+        if chunk := full[s:e].strip():
+            out.append(chunk)
+        if e >= n:
+            break
+        s, k = min(s + step, e) if gap_free else s + step, k + 1
+    return out
+
+
+def packed_of(text: str | None, size: int = 500, hard: bool = True) -> list[str]:
+    """Paragraphs put together while they fit; ``hard``: a longer piece is cut at every ``size`` characters."""
+    done: list[list[str]] = []
+    held = 0
+    for p in (text or "").split("\n\n"):
+        if not (p := p.strip()):
+            continue
+        if not done or held + len(p) > size:
+            done.append([])
+            held = 0
+        done[-1].append(p)
+        held += len(p) + 2
+    out = ["\n\n".join(d) for d in done]
+    return [c[a : a + size] for c in out for a in range(0, len(c), size)] if hard else out
 
-    def end(s):
-        cut = F.filter(ends, lambda b: (b > s + size / 2) & (b <= s + size))
-        return F.coalesce(F.get(cut, 0), F.least(s + size, n))
 
-    spans = F.transform(starts, lambda s: F.struct(s.alias("s"), end(s).alias("e")))
-    # no window begins after the one that reaches the end
-    done = F.array_min(F.transform(F.filter(spans, lambda x: x["e"] >= n), lambda x: x["s"]))
-    kept = F.filter(spans, lambda x: x["s"] <= F.coalesce(done, x["s"]))
-    cut = F.filter(F.transform(kept, lambda x: strip(F.substring(full, x["s"] + 1, x["e"] - x["s"]))), lambda c: c != "")
-    whole = F.filter(F.array(strip(F.coalesce(text, F.lit("")))), lambda c: c != "")
-    return F.when(F.length(F.coalesce(text, F.lit(""))) <= size, whole).otherwise(cut)
+def _lists(of):
+    return F.pandas_udf(lambda s: pd.Series([of(t) for t in s], dtype=object), "array<string>")
 
 
-def chunked(rows: DataFrame, key: str, text: str, size: int = 500, overlap: int = 100) -> DataFrame:
-    out = rows.select(key, F.posexplode(window_chunks(F.col(text), size, overlap)).alias("chunk_idx", "chunk"))
-    return out.withColumn("chunk_id", F.concat(F.lit("doc_"), F.col(key).cast("string"), F.lit("_chunk_"), F.col("chunk_idx").cast("string")))
+def window_chunks(text: Column, size: int = 500, overlap: int = 100, most: int | None = None, gap_free: bool = False) -> Column:
+    return _lists(lambda t: windows_of(t, size, overlap, most, gap_free))(text)
 
 
 def packed_paragraphs(text: Column, size: int = 500, hard: bool = True) -> Column:
-    """Paragraphs put together while they fit; ``hard``: a longer piece is cut at every ``size`` characters."""
-    parts = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n\n", -1), strip), lambda p: p != "")
-    empty = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"))
-
-    def add(a, p):
-        fits = (a["cur"] == "") | (F.length(a["cur"]) + F.length(p) <= size)
-        joined = F.concat(a["cur"], p, F.lit("\n\n"))
-        return F.struct(F.when(fits, a["done"]).otherwise(F.concat(a["done"], F.array(strip(a["cur"])))).alias("done"), F.when(fits, joined).otherwise(F.concat(p, F.lit("\n\n"))).alias("cur"))
-
-    out = F.aggregate(parts, empty, add, lambda a: F.filter(F.concat(a["done"], F.array(strip(a["cur"]))), lambda c: c != ""))
-    if not hard:
-        return out
-    return F.flatten(F.transform(out, lambda c: F.transform(F.sequence(F.lit(0), F.floor((F.length(c) - 1) / size).cast("int")), lambda k: F.substring(c, k * size + 1, F.lit(size)))))
+    return _lists(lambda t: packed_of(t, size, hard))(text)
+
+
+def chunked(rows: DataFrame, key: str, text: str, size: int = 500, overlap: int = 100) -> DataFrame:
+    out = rows.select(key, F.posexplode(window_chunks(F.col(text), size, overlap)).alias("chunk_idx", "chunk"))
+    return out.withColumn("chunk_id", F.concat(F.lit("doc_"), F.col(key).cast("string"), F.lit("_chunk_"), F.col("chunk_idx").cast("string")))
 
 
 def document_chunks(docs: DataFrame, size: int = 500) -> DataFrame:

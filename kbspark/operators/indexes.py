@@ -30,21 +30,58 @@ def metadata_index(docs: DataFrame, fields: list[str]) -> DataFrame:
     return docs.select(pairs).select("x.*").where("value is not null and value <> '' and value <> '0'").groupBy("field", "value").agg(F.count("*").alias("n"))
 
 
-def banded_neighbours(docs: DataFrame, position: str, text: str, band: int = 10, k: int = 5) -> DataFrame:
-    """The k most similar (cosine of TF-IDF) documents within ``band`` positions. Term weights meet on (term, position cell)."""
-    posts = postings(docs, position, text)
-    weights = tfidf(posts, docs.agg(F.count("*").alias("n")))
-    norm = weights.groupBy("doc").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
-    cell = F.floor(F.col("doc") / band)
-    a = weights.select(F.col("doc").alias("a"), "term", F.col("weight").alias("wa"), F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
-    b = weights.select(F.col("doc").alias("b"), F.col("term"), F.col("weight").alias("wb"), cell.alias("cell"))
-    dots = a.join(b, ["term", "cell"]).where(f"a <> b and abs(a - b) <= {band}").groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
-    pairs = docs.select(F.col(position).alias("a")).select("a", F.explode(F.sequence(F.col("a") - band, F.col("a") + band)).alias("b")).where("a <> b")
-    pairs = pairs.join(docs.select(F.col(position).alias("b")), "b", "left_semi").join(dots, ["a", "b"], "left")
-    na, nb = norm.select(F.col("doc").alias("a"), F.col("norm").alias("na")), norm.select(F.col("doc").alias("b"), F.col("norm").alias("nb"))
-    scored = pairs.join(na, "a", "left").join(nb, "b", "left").select("a", "b", F.coalesce(F.try_divide(F.col("dot"), F.col("na") * F.col("nb")), F.lit(0.0)).alias("score"))
-    w = Window.partitionBy("a").orderBy(F.desc("score"), "b")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+def indexed_text(docs: DataFrame, key: str = "file_path") -> DataFrame:
+    """(doc, text) of parsed documents: summary, file name, the sections' titles and contents, the tables' headers and first three rows."""
+    said = lambda c: F.coalesce(c, F.lit(""))
+    sections = F.transform("sections", lambda s: F.concat_ws(" ", s["title"], s["content"]))
+    tables = F.transform("tables", lambda t: F.concat_ws(" ", F.array_join(t["headers"], " "), F.array_join(F.transform(F.slice(t["rows"], 1, 3), lambda r: F.array_join(r, " ")), " ")))
+    return docs.select(F.col(key).alias("doc"), F.concat_ws(" ", said(F.col("summary")), said(F.col("file_name")), F.array_join(sections, " "), F.array_join(tables, " ")).alias("text"))
+
+
+def forward(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, terms): each document's distinct terms in order."""
+    return docs.select(F.col(key).alias("doc"), terms(F.col(text)).alias("terms"))
+
+
+#: Documents of a cell in which positions are counted.
+CELL = 10_000
+#: Up to so many documents, all pairs are compared.
+ALL_PAIRS = 100
+
+
+def positions(docs: DataFrame, key: str) -> DataFrame:
+    """(key, position): 0, 1, 2 ... in the order of a numeric key. Counted in cells of the key, of which only the sizes meet in one place."""
+    rows = docs.select(key).withColumn("cell", F.floor(F.col(key) / CELL))
+    sizes = rows.groupBy("cell").agg(F.count("*").alias("n"))
+    before = sizes.select("cell", F.coalesce(F.sum("n").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    own = rows.withColumn("within", F.row_number().over(Window.partitionBy("cell").orderBy(key)) - 1)
+    return own.join(before, "cell").select(key, (F.col("before") + F.col("within")).alias("position"))
+
+
+def banded_neighbours(docs: DataFrame, key: str, text: str, band: int = 10, k: int = 5) -> DataFrame:
+    """(a, b, score, rank): the k most similar (cosine of TF-IDF) documents within ``band`` positions in the key's order; of ALL_PAIRS documents or fewer, of all.
+
+    A term's weight in a document is its idf over the document's number of terms, which cancels in the cosine; so documents meet as arrays of
+    terms with idf squared, each pair once: an equi-join on cells of positions.
+    """
+    docs = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
+    n = docs.count()
+    if n <= ALL_PAIRS:
+        band = max(1, n)
+    posts = postings(docs, "doc", "text")
+    df = posts.groupBy("term").agg(F.count("*").alias("df"))
+    squared = F.pow(F.ln(F.lit(float(n)) / (F.col("df") + 1)), 2)
+    held = posts.join(df.select("term", squared.alias("w")), "term").groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("terms"), F.sum("w").alias("norm"))
+    own = positions(docs, "doc").join(held, "doc", "left").withColumn("cell", F.floor(F.col("position") / band))
+    a = own.select(F.col("doc").alias("a"), F.col("position").alias("p"), F.col("terms").alias("ta"), F.col("norm").alias("na"), F.explode(F.array("cell", F.col("cell") + 1)).alias("cell"))
+    b = own.select(F.col("doc").alias("b"), F.col("position").alias("q"), F.col("terms").alias("tb"), F.col("norm").alias("nb"), "cell")
+    both = a.join(b, "cell").where(f"p < q and q - p <= {band}")
+    common = F.array_intersect(F.map_keys("ta"), F.map_keys("tb"))
+    dot = F.aggregate(F.transform(common, lambda t: F.element_at("ta", t)), F.lit(0.0), lambda x, y: x + y)
+    scored = both.select("a", "b", F.coalesce(F.try_divide(dot, F.sqrt("na") * F.sqrt("nb")), F.lit(0.0)).alias("score"))
+    every = scored.select(F.explode(F.array(F.struct("a", "b", "score"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "score"))).alias("x")).select("x.*")
+    w = Window.partitionBy("a").orderBy(F.desc(F.round("score", 12)), "b")
+    return every.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def value_index(docs: DataFrame, column: str, key: str = "doc_id") -> DataFrame:
@@ -66,5 +103,77 @@ def index_stats(posts: DataFrame, docs: DataFrame) -> DataFrame:
     return n.crossJoin(F.broadcast(by_term)).withColumn("terms_per_doc", F.try_divide(F.col("n_postings"), F.col("n_docs")))
 
 
+def full_stats(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row of a knowledge base's indexes (see ``build``): numbers of terms, keywords, categories, types and metadata fields, terms a document, neighbours a document."""
+    count = lambda name, column: tables[name].agg(F.count_distinct(column).alias("n"))
+    parts = {
+        "total_terms": count("postings", "term"), "total_keywords": count("keywords", "value"), "total_categories": count("categories", "value"), "total_document_types": count("types", "value"),
+        "total_metadata_fields": count("metadata", "field"), "avg_terms_per_doc": tables["postings"].groupBy("doc").count().agg(F.avg("count").alias("n")),
+        "avg_similarity_connections": tables["similarity"].groupBy("a").count().agg(F.avg("count").alias("n")),
+    }
+    out = None
+    for name, one in parts.items():
+        one = one.withColumnRenamed("n", name)
+        out = one if out is None else out.crossJoin(F.broadcast(one))
+    return out
+
+
+INDEXES = ("postings", "tfidf", "keywords", "categories", "types", "hierarchy", "metadata", "similarity")
+FIELDS = ["chip_category", "document_type", "sub_category", "file_name", "file_path", "file_size", "created_time", "content_hash", "language"]
+
+
+def build(docs: DataFrame) -> dict[str, DataFrame]:
+    """All indexes of parsed documents, as long tables by document path; documents are numbered in the order of their paths for the similarity index."""
+    text = indexed_text(docs)
+    posts = postings(text, "doc")
+    # paths have no number of their own: documents are counted by path in cells of the path's first characters
+    numbered = _path_positions(text)
+    near = banded_neighbours(numbered, "position", "text")
+    name = lambda c: numbered.select(F.col("position").alias(c), F.col("doc").alias(c + "_doc"))
+    near = near.join(name("a"), "a").join(name("b"), "b").select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"), "score", "rank")
+    return {
+        "postings": posts, "tfidf": tfidf(posts, docs.agg(F.count("*").alias("n"))), "keywords": value_index(docs, "keywords", "file_path"), "categories": value_index(docs, "chip_category", "file_path"),
+        "types": value_index(docs, "document_type", "file_path"), "hierarchy": hierarchical_index(docs), "metadata": metadata_postings(docs, FIELDS, "file_path"), "similarity": near,
+    }
+
+
+def _path_positions(rows: DataFrame) -> DataFrame:
+    """rows with a position by doc, counted in cells of one folder each."""
+    r = rows.withColumn("cell", F.regexp_extract("doc", "^(.*)/[^/]*$", 1))
+    sizes = r.groupBy("cell").agg(F.count("*").alias("n"))
+    before = sizes.select("cell", F.coalesce(F.sum("n").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    own = r.withColumn("within", F.row_number().over(Window.partitionBy("cell").orderBy("doc")) - 1)
+    return own.join(before, "cell").withColumn("position", F.col("before") + F.col("within")).drop("cell", "before", "within")
+
+
+def metadata_postings(docs: DataFrame, fields: list[str], key: str = "doc_id") -> DataFrame:
+    """(field, value, doc) of every field of a document that has a value."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.trim(F.col(f).cast("string")).alias("value")) for f in fields])).alias("x")
+    return docs.select(pairs, F.col(key).alias("doc")).select("x.*", "doc").where("value is not null and value <> '' and value <> '0'")
+
+
+def save(tables: dict[str, DataFrame], folder: str) -> None:
+    """Every index as Parquet, and what a search may ask for as one small file."""
+    import json
+
+    from ..sources.sinks import write_text
+    from .search import CAPABILITIES, SEARCHES
+
+    for name in INDEXES:
+        tables[name].write.mode("overwrite").parquet(f"{folder}/{name}")
+    spark = tables["postings"].sparkSession
+    back = load(spark, folder)
+    values = lambda name, column, most=None: [r[0] for r in (back[name].select(column).distinct().orderBy(column).limit(most or 1000)).collect()]
+    told = {
+        "features": SEARCHES, "search_capabilities": CAPABILITIES, "index_statistics": full_stats(back).first().asDict(), "available_categories": values("categories", "value"),
+        "available_document_types": values("types", "value"), "available_metadata_fields": ["metadata_" + f for f in values("metadata", "field")], "top_keywords": values("keywords", "value", 50),
+    }
+    write_text(spark, f"{folder}/search_config.json", json.dumps(told, ensure_ascii=False, indent=1))
+
+
+def load(spark, folder: str) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in INDEXES}
+
+
 def top_terms(posts: DataFrame, k: int = 50) -> DataFrame:
     return posts.groupBy("term").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(k)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import chunking, datasets, indexes, search
+from . import manuals
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,10 +76,12 @@ def _multi(d: DataFrame) -> DataFrame:
 
 
 def _tasks(d: DataFrame) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    kinds = F.array_compact(F.array(F.when(F.length(text) > 2000, "comparison"), F.when(F.length(text) > 500, "synthesis"), F.when(F.contains(text, F.lit("a")), "analysis"), F.lit("reasoning")))
-    groups = d.select(F.col("doc_id").alias("group_id"), F.col("doc_id").alias("position"), kinds.alias("tasks"))
-    return datasets.with_quotas(groups, {"comparison": 0.3, "synthesis": 0.3, "analysis": 0.25, "reasoning": 0.15}, 200).select("group_id", "task")
+    """Groups of a document and the two after it, as manuals; the default quotas."""
+    m = manuals.manuals(d)
+    third = m.groupBy(F.floor(F.col("doc_id") / 3).alias("group_id")).agg(F.array_sort(F.collect_list(F.struct("doc_id", "chip_category", "text"))).alias("m"))
+    kinds = datasets.suitable_tasks(F.col("m")["chip_category"], F.col("m")["text"])
+    groups = third.select("group_id", F.col("group_id").alias("position"), kinds.alias("tasks"))
+    return datasets.with_quotas(groups, {"comparison": 0.25, "synthesis": 0.30, "analysis": 0.25, "reasoning": 0.20}, 1000).select("group_id", "task")
 
 
 QUERIES |= {
@@ -86,7 +89,6 @@ QUERIES |= {
     "agg_sample_stats": _docs(lambda d: datasets.sample_stats(d.select(F.col("source").alias("instruction"), F.coalesce("lang", F.lit("")).alias("input"), F.col("text").alias("output")))),
     "idx_category": _docs(lambda d: indexes.value_index(d, "source")),
     "idx_stats": _docs(lambda d: indexes.index_stats(indexes.postings(d), d)),
-    "fn_instruction_type": _docs(lambda d: d.select("doc_id", datasets.instruction_type(F.col("source")).alias("kind"))),
     "fn_quality_score": _docs(lambda d: d.select("doc_id", datasets.quality_score(F.col("source"), F.col("text"), F.col("text"), (0.25, 0.3, 0.25, 0.2)).alias("score"))),
     "fn_preprocess": _docs(lambda d: d.select("doc_id", T.preprocessed(F.col("text")).alias("clean"))),
     "chunk_packed": _docs(lambda d: d.select("doc_id", F.posexplode(chunking.packed_paragraphs(F.col("text"))).alias("chunk_idx", "chunk"))),
@@ -100,23 +102,47 @@ QUERIES |= {
 
 _WEIGHTS = f"{_TERMS}, f as (select term, count(*) as df from p group by term), c as (select count(*) as n from documents), w as (select doc, p.term, ln(n / (df + 1)) / n_terms as weight from p join f using (term), c)"
 _FULL = f"{_WEIGHTS}, q as (select unnest(terms) as term from t where doc = (select min(doc) from t)), full_text as (select doc, round(sum(weight), 9) as score, count(*) as n_matched from w join q using (term) group by doc)"
-_QUOTAS = """with g as (select doc_id as group_id, coalesce(text, '') as x from documents),
-    a as (select group_id from g where length(x) > 2000 order by 1 limit 60),
-    b as (select group_id from g where length(x) > 500 and group_id not in (from a) order by 1 limit 60),
-    c as (select group_id from g where contains(x, 'a') and group_id not in (from a union all from b) order by 1 limit 50),
-    d as (select group_id from g where group_id not in (from a union all from b union all from c) order by 1 limit 30)
-    select * from (select group_id, 'comparison' as task from a union all select group_id, 'synthesis' from b union all select group_id, 'analysis' from c union all select group_id, 'reasoning' from d) order by group_id limit 200"""
+_QUOTAS = manuals.ORACLES["fn_suitable_tasks"].replace("with m as", "with m as", 1)
+_QUOTAS = f"""with g as (select group_id, '|' || tasks || '|' as x from ({_QUOTAS})),
+    a as (select group_id from g where contains(x, '|comparison|') order by 1 limit 250),
+    b as (select group_id from g where contains(x, '|synthesis|') and group_id not in (from a) order by 1 limit 300),
+    c as (select group_id from g where contains(x, '|analysis|') and group_id not in (from a union all from b) order by 1 limit 250),
+    d as (select group_id from g where contains(x, '|reasoning|') and group_id not in (from a union all from b union all from c) order by 1 limit 200)
+    select * from (select group_id, 'comparison' as task from a union all select group_id, 'synthesis' from b union all select group_id, 'analysis' from c union all select group_id, 'reasoning' from d) order by group_id limit 1000"""
+_STRIPPED = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
+_WINDOWS = f"""with s as (select doc_id, coalesce(text, '') as t, string_split(coalesce(text, ''), chr(10) || chr(10)) as parts from documents),
+    q as (select doc_id, t, list_filter(list_transform(parts, lambda x, i: case when {_STRIPPED.format('x')} = '' then '' else {_STRIPPED.format('x')} || case when i < len(parts) then chr(10) || chr(10) else '' end end), lambda x: x <> '') as pieces from s),
+    f as (select doc_id, t, array_to_string(pieces, '') as whole, list_transform(range(1, len(pieces) + 1), lambda k: length(array_to_string(pieces[1:k], ''))) as ends from q),
+    w as (select doc_id, whole, ends, unnest(range(0, length(whole), 400)) as s from f where length(t) > 500),
+    e as (select doc_id, whole, s, coalesce(list_min(list_filter(ends, lambda b: b > s + 250 and b <= least(s + 500, length(whole)))), least(s + 500, length(whole))) as e from w),
+    d as (select *, min(case when e >= length(whole) then s end) over (partition by doc_id) as done from e),
+    c as (select doc_id, s, {_STRIPPED.format('substr(whole, s + 1, e - s)')} as chunk from d where s <= done union all select doc_id, 0, {_STRIPPED.format('t')} from f where length(t) <= 500),
+    k as (select doc_id, chunk, cast(row_number() over (partition by doc_id order by s) - 1 as integer) as chunk_idx from c where chunk <> '')
+    select doc_id, chunk_idx, chunk, 'doc_' || doc_id || '_chunk_' || chunk_idx as chunk_id from k"""
+_SIMILAR = f"""with {_TERMS}, c as (select count(*) as n from documents), f as (select term, pow(ln(n / (count(*) + 1)), 2) as w from p, c group by term, n),
+    x as (select doc, term, w from p join f using (term)), norm as (select doc, sqrt(sum(w)) as norm from x group by doc),
+    d as (select doc_id as doc, row_number() over (order by doc_id) as position from documents), band as (select case when n <= 100 then n else 10 end as band from c),
+    pairs as (select i.doc as a, j.doc as b from d i join d j on i.doc <> j.doc, band where abs(i.position - j.position) <= band),
+    dots as (select a, b, sum(l.w) as dot from pairs join x l on l.doc = a join x r on r.doc = b and r.term = l.term group by 1, 2),
+    s as (select a, b, coalesce(dot / nullif(na.norm * nb.norm, 0), 0) as score from pairs left join dots using (a, b) left join norm na on na.doc = a left join norm nb on nb.doc = b),
+    r as (select *, row_number() over (partition by a order by round(score, 12) desc, b) as rank from s) select a, cast(rank as integer) as rank, round(score, 6) as score from r where rank <= 5"""
 
 ORACLES |= {
     "agg_top_terms": f"with {_TERMS} select term, count(*) as n from p group by term order by n desc, term limit 50",
     "agg_sample_stats": "select count(*) as total, count(*) filter (coalesce(lang, '') <> '') as with_input, count(*) filter (coalesce(lang, '') = '') as without_input, avg(length(text)) as avg_len, max(length(text)) as max_len, min(length(text)) as min_len from documents",
     "idx_category": "select distinct source as value, doc_id as doc from documents where trim(source) <> ''",
     "idx_stats": f"with {_TERMS} select (select count(*) from documents) as n_docs, count(distinct term) as n_terms, count(*) as n_postings, count(*) / count(distinct term) as docs_per_term, count(*) / (select count(*) from documents) as terms_per_doc from p",
-    "fn_instruction_type": "select doc_id, case when contains(lower(source), 'troubleshooting') then 'troubleshooting' when contains(lower(source), 'datasheet') then 'datasheet' when contains(lower(source), 'selection') then 'selection' when contains(lower(source), 'brochure') then 'application' when contains(lower(source), 'manual') then 'technical' else 'qa_basic' end as kind from documents",
     "search_fulltext": f"with {_FULL} select doc, score, n_matched from full_text order by score desc, doc limit 10",
     "search_metadata": "select doc_id as doc, cast(1.0 as double) as score from documents where trim(lang) = 'en'",
     "search_multi_criteria": f"with {_FULL} select doc, round(sum(score), 9) as score from (select doc, 0.6 * score as score from full_text union all select doc_id, 0.1 from documents where trim(lang) = 'en') group by doc order by score desc, doc limit 10",
     "search_similar": _COSINE.replace("vec_id = 0", "vec_id = 7") + " where vec_id <> 7 order by score desc, vec_id limit 5",
     "search_length_norm": "select doc_id, cast(case when length(text) < 0.3 * m then 0.95 when length(text) > 3 * m then 0.98 else 1 end as double) as score from documents, (select avg(length(text)) as m from documents)",
     "dataset_quotas": _QUOTAS,
+    "fn_quality_score": "select doc_id, round_even(0.25 * least(length(text) / 1000, 1) + 0.3 * least(length(text) / 500, 1) + 0.25 * 0.8 + 0.2 * least((length(source) + length(text)) / 1000, 1), 3) as score from documents",
+    "fn_preprocess": f"select doc_id, {manuals.prepared_sql("coalesce(text, '')")} as clean from documents",
+    "chunk_windows": _WINDOWS,
+    "chunk_packed": manuals.PACKED.replace("{text}", "coalesce(text, '')").replace("{table}", "documents"),
+    "idx_similarity": _SIMILAR,
 }
+QUERIES |= manuals.QUERIES
+ORACLES |= manuals.ORACLES

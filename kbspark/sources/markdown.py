@@ -27,7 +27,8 @@ def scan(spark: SparkSession, root: str) -> DataFrame:
     rel = F.split(F.substring_index("path", root.rstrip("/") + "/", -1), "/")
     n = F.size(rel)
     ok = ((n == 3) & F.lower(rel[2]).endswith(".md")) | ((n == 4) & F.element_at(rel, -1).endswith(".md"))
-    text = F.regexp_replace(F.decode("content", "UTF-8"), "\r\n?", "\n")
+    # a file that isn't UTF-8 has no content, and is set aside when it is parsed
+    text = F.regexp_replace(F.try_validate_utf8(F.col("content").cast("string")), "\r\n?", "\n")
     rows = files.where(ok).select(
         category(rel[0]).alias("chip_category"), rel[1].alias("document_type"), F.when(n == 4, rel[2]).alias("sub_category"), F.element_at(rel, -1).alias("file_name"),
         F.array_join(rel, "/").alias("file_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("created_time"), text.alias("content"),
@@ -116,6 +117,8 @@ def documents(files: DataFrame) -> DataFrame:
             for r in f.to_dict("records"):
                 row = {k: r[k] for k in names}
                 try:
+                    if r["content"] is None:
+                        raise ValueError("not UTF-8")
                     tags = [x for x in (r["chip_category"], r["document_type"], r["sub_category"]) if x]
                     row |= parse(r["content"], tags, r["chip_category"]) | {"error": None}
                 except Exception as e:  # a bad file is set aside, not the whole scan

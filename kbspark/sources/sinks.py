@@ -28,8 +28,12 @@ def corpus_stats(docs: DataFrame) -> dict:
     n = docs.agg(F.count("*").alias("total_files"), F.count_if(F.col("error").isNull()).alias("successful_conversions"), F.count_if(F.col("error").isNotNull()).alias("failed_conversions")).first().asDict()
     sums = good.agg(
         F.coalesce(F.sum(F.size("sections")), F.lit(0)).alias("total_sections"), F.coalesce(F.sum(F.size("tables")), F.lit(0)).alias("total_tables"), F.count_if(F.size("tables") > 0).alias("documents_with_tables"),
-        F.avg(size).alias("avg_length"), F.max(size).alias("max_length"), F.min(size).alias("min_length"),
+        F.avg(size).alias("avg_length"), F.max(size).alias("max_length"), F.min(size).alias("min_length"), F.coalesce(F.sum(size), F.lit(0)).alias("total_content_chars"), F.avg(F.size("tables")).alias("tables_per_document"),
     ).first().asDict()
+    sums["sections_per_document"] = sums["total_sections"] / n["successful_conversions"] if n["successful_conversions"] else None
+    sums["avg_section_length"] = sums["total_content_chars"] / sums["total_sections"] if sums["total_sections"] else None
+    kinds = good.select(F.explode("sections.section_type").alias("k")).groupBy("k").count().orderBy(F.desc("count"), "k")
+    sums["section_type"] = {r[0]: r[1] for r in kinds.collect()}
     for c in ("chip_category", "document_type", "language"):
         sums[c] = {r[0]: r[1] for r in good.groupBy(c).count().orderBy(F.desc("count"), c).collect()}
     return n | sums
@@ -40,7 +44,11 @@ def write_corpus(docs: DataFrame, folder: str) -> None:
     # the folders' names are a copy: Spark would read a category such as 32F back as a number
     docs.where("error is null").drop("error").withColumn("category", F.col("chip_category")).write.partitionBy("category").mode("overwrite").parquet(f"{folder}/documents")
     docs.where("error is not null").select("file_path", "error").write.mode("overwrite").json(f"{folder}/errors")
-    write_text(docs.sparkSession, f"{folder}/index.json", json.dumps(corpus_stats(docs), ensure_ascii=False, indent=1))
+    stats = corpus_stats(docs)
+    files = {c: f"documents/category={c}" for c in stats["chip_category"]}
+    told = {"total_documents": stats["successful_conversions"], "categories": list(stats["chip_category"]), "document_types": list(stats["document_type"]), "files": files, "statistics": stats}
+    write_text(docs.sparkSession, f"{folder}/index.json", json.dumps(told, ensure_ascii=False, indent=1))
+    write_text(docs.sparkSession, f"{folder}/analysis_result.json", json.dumps(stats, ensure_ascii=False, indent=1))
 
 
 def read_corpus(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,6 +72,38 @@ def write_chunks(chunks: DataFrame, folder: str) -> dict:
     return {r[0]: r[1] for r in back.groupBy("chunk_type").count().collect()}
 
 
+def write_ready(chunks: DataFrame, folder: str, settings: dict | None = None) -> dict:
+    """JSON lines of each kind (documents, sections, tables) for other tools, and their numbers; returns these."""
+    kinds = {"documents": "document", "sections": "section", "tables": "table"}
+    counts = {r[0]: r[1] for r in chunks.groupBy("chunk_type").count().collect()}
+    for name, kind in kinds.items():
+        chunks.where(F.col("chunk_type") == kind).drop("chunk_type").write.mode("overwrite").json(f"{folder}/{name}_chunks")
+    told = {f"total_{k}_chunks": counts.get(v, 0) for k, v in kinds.items()} | {"total_chunks": sum(counts.values())} | (settings or {})
+    write_text(chunks.sparkSession, f"{folder}/vectorization_ready.json", json.dumps(told, ensure_ascii=False, indent=1))
+    return told
+
+
+def run_stages(spark: SparkSession, stages: dict, path: str) -> dict:
+    """Runs the stages (name: function without arguments) in order and writes what each returned; a failure ends the run and is written as well."""
+    from datetime import datetime
+
+    now = lambda: datetime.now().isoformat()
+    stats: dict = {"start_time": now(), "stages": {}, "status": "success"}
+    try:
+        for name, stage in stages.items():
+            stats["stages"][name] = stage()
+    except Exception as e:  # written, not hidden: the status says so
+        stats |= {"status": "failed", "error": str(e)}
+    stats["end_time"] = now()
+    write_text(spark, path, json.dumps(stats, ensure_ascii=False, indent=1, default=str))
+    return stats
+
+
+def write_results(results: DataFrame, folder: str) -> None:
+    """Search results, best first, as JSON lines."""
+    results.write.mode("overwrite").json(folder)
+
+
 def write_samples(rows: DataFrame, folder: str, statistics: dict) -> None:
     """Training samples as JSON lines, and their statistics."""
     rows.write.mode("overwrite").json(f"{folder}/samples")
@@ -73,7 +113,22 @@ def write_samples(rows: DataFrame, folder: str, statistics: dict) -> None:
 def report(stats: dict) -> str:
     """corpus_stats() as Markdown: totals, and counts with shares, largest first."""
     lines = ["# Corpus", "", "| | |", "|-|-|"] + [f"| {k} | {v:,.1f} |" if isinstance(v, float) else f"| {k} | {v:,} |" for k, v in stats.items() if isinstance(v, (int, float))]
-    for name in ("chip_category", "document_type", "language"):
+    for name in ("chip_category", "document_type", "section_type", "language"):
         whole = sum(stats[name].values()) or 1
         lines += ["", f"## {name}", "", "| value | documents | share |", "|-|-|-|"] + [f"| {k} | {n:,} | {100 * n / whole:.1f} % |" for k, n in stats[name].items()]
     return "\n".join(lines) + "\n"
+
+
+def bullet_report(stats: dict) -> str:
+    """The same as lists: no tables."""
+    out = ["# Corpus", ""] + [f"- **{k}**: {v:,.1f}" if isinstance(v, float) else f"- **{k}**: {v:,}" for k, v in stats.items() if isinstance(v, (int, float))]
+    for name in ("chip_category", "document_type", "section_type", "language"):
+        whole = sum(stats[name].values()) or 1
+        out += ["", f"## {name}", ""] + [f"- **{k}**: {n:,} ({100 * n / whole:.1f} %)" for k, n in stats[name].items()]
+    return "\n".join(out) + "\n"
+
+
+def index_report(statistics: dict, top_keywords: dict[str, int]) -> str:
+    """The indexes' statistics and the commonest keywords."""
+    out = ["## Indexes", "", "| | |", "|-|-|"] + [f"| {k} | {v:,.1f} |" if isinstance(v, float) else f"| {k} | {v} |" for k, v in statistics.items()]
+    return "\n".join(out + ["", "| keyword | n |", "|-|-|"] + [f"| {k} | {n} |" for k, n in top_keywords.items()]) + "\n"

@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "events"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     want = con.execute(ORACLES[name])
@@ -36,6 +36,55 @@ def test_terms(spark):
     assert got == ["the", "adc", "12", "芯片电压", "芯片电", "芯片", "片电压", "片电", "电压"]
 
 
+def test_terms_long(spark):
+    """A long CJK text takes a time that follows its length."""
+    import time
+
+    text = "".join(chr(0x4E00 + i * 7919 % 20000) for i in range(20000))
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string").select(F.size(T.terms(F.col("text"))).alias("n"))
+    rows.first()
+    t = time.time()
+    assert rows.first().n > 50000
+    assert time.time() - t < 5
+
+
+def windows_by_steps(text, size, overlap, most):
+    """One window after the other, as a loop that goes on where the last began."""
+    full = ""
+    parts = text.split("\n\n")
+    ends = set()
+    for k, p in enumerate(parts):
+        if p.strip():
+            full += p.strip() + ("\n\n" if k + 1 < len(parts) else "")
+            ends.add(len(full))
+    if len(text) <= size:
+        return [text.strip()] if text.strip() else []
+    out, s = [], 0
+    while s < len(full) and (most is None or s // (size - overlap) < most):
+        e = next((e for e in range(s, min(s + size, len(full)) + 1) if e in ends and e > s + size / 2), min(s + size, len(full)))
+        out += [full[s:e].strip()] if full[s:e].strip() else []
+        if e >= len(full):
+            break
+        s += size - overlap
+    return out
+
+
+def test_windows():
+    import random
+    import time
+
+    draw = random.Random(4)
+    for _ in range(2000):
+        text = "".join(draw.choice(["ab", " ", "\n\n", "c" * 9, "\n"]) for _ in range(draw.randint(0, 40)))
+        size, most = draw.choice([10, 25, 40]), draw.choice([None, 2])
+        assert chunking.windows_of(text, size, size // 5, most) == windows_by_steps(text, size, size // 5, most)
+        if chunks := chunking.windows_of(text, size, size // 5, gap_free=True):
+            assert "".join("".join(chunks).split()) != "" and set("".join(text.split())) == set("".join("".join(chunks).split()))
+    t = time.time()
+    assert len(chunking.windows_of("word and word\n\n" * 100_000)) > 3000
+    assert time.time() - t < 5
+
+
 def test_chunks(spark):
     text = "\n\n".join("x" * 120 for _ in range(12))
     got = [r.chunk for r in chunking.chunked(spark.createDataFrame([(1, text), (2, "short"), (3, " ")], "doc_id long, text string"), "doc_id", "text").where("doc_id = 1").orderBy("chunk_idx").collect()]
@@ -68,6 +117,47 @@ def test_ingest(spark, tmp_path):
     assert "| User Manual | 2 | 100.0 % |" in open(f"{out}/report.md").read()
 
 
+def test_commands(spark, tmp_path, monkeypatch):
+    """Every action on a small tree, one after the other."""
+    import json
+
+    from kbspark import __main__ as app
+
+    for folder, kind in (("Documents (32F)", "Datasheet"), ("Documents (32M)", "User Manual")):
+        d = tmp_path / "in" / folder / kind
+        d.mkdir(parents=True)
+        for i in range(3):
+            (d / f"{i}.md").write_text(f"# ADC 寄存器 {i}\n" + f"芯片 ADC 采样原理 与 机制 {i} 中断配置说明。 " * 30 + "\n## 故障\n故障诊断 芯片 引脚。" * 3 + "\n| a | b |\n|---|---|\n| 1 | 2 |\n")
+    out = str(tmp_path / "out")
+    assert app.pipeline(spark, str(tmp_path / "in"), out)["status"] == "success"
+    assert json.loads((tmp_path / "out" / "pipeline_stats.json").read_text())["stages"]["conversion"]["total_files"] == 6
+    assert app.pipeline(spark, str(tmp_path / "none"), str(tmp_path / "x"))["status"] == "failed"
+    assert app.index(spark, out)["total_categories"] == 2 and "total_terms" in (tmp_path / "out" / "index_report.md").read_text()
+    from kbspark.operators import embedding
+
+    stats = app.embed(spark, out, embedding.EmbeddingConfig(max_df=1.0))
+    assert stats["documents"] == 6 and stats["tables"] == 6 and stats["sections"] >= 6
+    s = app.searcher(spark, out)
+    found = s.multi_modal("ADC 采样", top_k=4).collect()
+    assert len(found) == 4 and found[0].score >= found[-1].score
+    assert {r.chip_category for r in s.by_category("ADC 采样", "32M").collect()} == {"32M"}
+    assert app.alpaca_set(spark, out)["total_samples"] > 6
+    assert spark.read.json(f"{out}/alpaca_qa/samples").where("input <> ''").count() > 0
+    (tmp_path / "c.json").write_text(json.dumps({"min_context": 100, "max_samples": 4, "outlines": {"comparison": "关于{}的说明，" * 10}}))
+    told = app.integration_set(spark, out, str(tmp_path / "c.json"), sharegpt=True)
+    assert 0 < told["total_samples"] <= 4 and spark.read.json(f"{out}/integration_sharegpt/samples").count() == told["total_samples"]
+    assert app.integration_set(spark, out, None)["total_samples"] >= 0
+    from kbspark.functions import registered
+
+    registered.register(spark)
+    said = "Ab 12 芯片的电压x寄存器 3"
+    assert spark.createDataFrame([(said,)], "t string").select(T.terms(F.col("t")).alias("w")).first().w == registered.terms_of(said)
+    r = spark.sql("select kb_table_text(array('a', 'b'), array(array('1', '2'), array('3', '4'))) t").first().t
+    assert r == spark.range(1).select(T.table_text(F.array(F.lit("a"), F.lit("b")), F.expr("array(array('1', '2'), array('3', '4'))"), 10, "总共").alias("t")).first().t
+    r = spark.sql("select kb_language('芯片电压') a, kb_mainly_english('abc') b, kb_terms('ADC 芯片') c, kb_localised('the core') d, kb_preprocess('**bold** text') e, kb_chunks('x y') f").first()
+    assert (r.a, r.b, r.c, r.d, r.e, r.f) == ("zh-cn", True, ["adc", "芯片"], "the 内核", "bold text", ["x y"])
+
+
 def test_corpus_files(spark, tmp_path):
     import json
 
@@ -104,6 +194,155 @@ def test_small_functions(spark):
     assert [r.matched for r in search.keyword(words, "adc").collect()] == [["ADC"]]
 
 
+def test_bad_file(spark, tmp_path):
+    """A file that isn't UTF-8 is set aside; the others are read."""
+    d = tmp_path / "Documents (32F)" / "Manual"
+    d.mkdir(parents=True)
+    (d / "a.md").write_text("# T\nbody\n")
+    (d / "b.md").write_bytes(b"# T\n\xff\xfe\xc3(\n")
+    rows = {r.file_name: r for r in markdown.documents(markdown.scan(spark, str(tmp_path))).collect()}
+    assert rows["a.md"].error is None and rows["b.md"].error == "not UTF-8" and rows["b.md"].sections is None
+
+
+def test_alpaca(spark):
+    from kbspark.operators import alpaca
+
+    one = spark.range(1)
+    value = lambda c: one.select(c.alias("c")).first().c
+    clean = lambda t: alpaca.cleaned(spark.createDataFrame([(t,)], "t string"), "t").first().t
+    assert clean("too short") is None
+    assert clean('<td colspan="2">The Register core  of 8-bit Cortex-M0+ Timer</td> &nbsp;![a](b) ---') == "The 寄存器 内核 of 8位 Cortex-M 定时器"
+    # a single bit's line is found by both of the patterns
+    got = clean("PWM 位编号 7~4 PWMPD[3:0] 预分频的选择位 3~3 PWMEN 使能位的说明").split("\n")
+    assert got == ["PWM寄存器位定义：", "位7~4 - PWMPD[3:0]：预分频的选择位", "位3 - PWMEN：使能位的说明", "位3 - PWMEN：使能位的说明"]
+    assert clean("ADC采样 0: 两个系统时钟周期 1: 四个系统时钟周期 说明 : 见时序其中") == "ADC配置选项：\n配置0：两个系统时钟周期\n配置1：四个系统时钟周期\n\n说明：见时序"
+    assert value(alpaca.parameters(F.lit("48 MHz at 3.3V and 5mA, -40°C to 85°C, 采样时间约12个系统时钟"))) == "工作频率48MHz；工作电压3.3V；工作电流5mA；工作温度范围-40°C至85°C；ADC采样时间约12个系统时钟"
+    assert value(alpaca.description(F.lit("built-in CRC with 16-bit data units"), F.lit("X"))) == "主要特性包括：内置硬件CRC校验模块、支持16位数据单元处理。"
+    assert value(alpaca.description(F.lit("nothing"), F.lit("X"))).startswith("X芯片具有")
+    chunks = [(i, "section" if i % 2 else "document", f"芯片 {i} 的寄存器配置与中断说明，" * 4, "A" if i else None, "Datasheet") for i in range(10)]
+    rows = spark.createDataFrame(chunks, "chunk_id long, chunk_type string, text string, chip_category string, document_type string")
+    qa = alpaca.qa_dataset(rows, 6).collect()
+    assert sorted(r.chunk_id for r in qa) == [0, 1, 2, 4, 6, 8] and all(r.input and r.output for r in qa)
+    assert {r.instruction for r in alpaca.instruction_dataset(rows).collect()} == {"解释A芯片寄存器的配置方法和各位功能", "解释芯片芯片寄存器的配置方法和各位功能"}
+    both = alpaca.complete_dataset(rows, None, None)
+    assert [r.chunk_id for r in both.collect()] == [r.chunk_id for r in both.collect()] and both.count() == 20
+    assert alpaca.dataset_stats(both).first().samples_with_input == 10 and alpaca.dataset_stats(both.limit(0)).first().total_samples == 0
+
+
+def test_integration(spark):
+    """Groups and tasks against a loop over the bases."""
+    from kbspark.operators import integration
+
+    topics = ["原理 寄存器 PWM ", "故障 诊断 ADC UART ", "机制 实现 中断 "]
+    chunks = [(i, topics[i % 3] * 40 + f"N{i} ", "ABCD"[i % 4], ["Datasheet", "User Manual", "Other"][i % 3]) for i in range(24)]
+    rows = spark.createDataFrame(chunks, "chunk_id long, text string, chip_category string, document_type string")
+    need = integration.Requirements(min_context=300, max_context=1500, max_samples=8, bases=None)
+    some = integration.bases(rows, None, 300)
+    related = integration.related_by_keyword(rows, some, 5)
+    groups = {r.group_id: r for r in integration.groups(rows, some, related, need).collect()}
+    assert all(len(g.texts) == 2 for g in groups.values()) and len(groups) == 24
+    tasks = integration.integration_dataset(rows, need).collect()
+    assert len(tasks) <= 8 and len({t.group_id for t in tasks}) == len(tasks)
+    by = {t.task_type: sum(x.task_type == t.task_type for x in tasks) for t in tasks}
+    assert all(by[k] <= int(8 * need.shares[k]) for k in by)
+    assert all(t.instruction and len(t.integration_points) == 4 and t.quality_score >= 0.3 and t.difficulty == "basic" for t in tasks)
+    frame = integration.integration_dataset(rows, need)
+    assert integration.statistics(frame).first().total_samples == len(tasks)
+    assert integration.distinct_sources(frame).first().unique_context_sources == len({s for t in tasks for s in t.context_sources})
+    assert {r.value: r.n for r in integration.histogram(frame, "task_type").collect()} == by
+    assert integration.sharegpt_rows(frame).first().conversations[1].value in {t.expected_output for t in tasks}
+    assert integration.alpaca_rows(frame).columns[:3] == ["instruction", "input", "output"]
+    embedded = rows.withColumn("embedding", F.array(F.when(F.col("chunk_id") < 12, 1.0).otherwise(0.0), F.when(F.col("chunk_id") < 12, 0.0).otherwise(1.0)))
+    near = integration.related_by_embedding(embedded, embedded.where("chunk_id = 3"), 3, 0.5).collect()
+    assert [(r.chunk_id, r.rank) for r in sorted(near, key=lambda r: r.rank)] == [(0, 1), (1, 2), (2, 3)]
+
+
+def test_embeddings(spark, tmp_path):
+    """A chunk without text has no embedding and shifts no other; what was saved answers a query; a missing folder is an error."""
+    from kbspark.operators import embedding, search
+
+    rows = [(f"c{i}", "documents", t, "f.md", "A", "Datasheet", "") for i, t in enumerate(["PWM timer output", "", "PWM timer input", "ADC sampling clock", "ADC sampling rate", None])]
+    chunks = spark.createDataFrame(rows, "chunk_id string, chunk_type string, text string, file_name string, chip_category string, document_type string, title string")
+    config = embedding.EmbeddingConfig(min_df=2, max_df=1.0)
+    embedded, words = embedding.embed_chunks(chunks, config)
+    got = {r.chunk_id: r.embedding for r in embedded.collect()}
+    assert got["c1"] is None and got["c5"] is None and got["c0"] == got["c2"] and got["c3"] == got["c4"] != got["c0"]
+    assert embedding.save(embedded, words, str(tmp_path / "e"), config)["documents"] == 4
+    back, vocabulary = embedding.load(spark, str(tmp_path / "e")), spark.read.parquet(str(tmp_path / "e" / "vocabulary"))
+    s = search.Searcher(back, lambda q: embedding.query_vector(q, vocabulary))
+    assert sorted(r.chunk_id for r in s.search("ADC sampling").collect()) == ["c3", "c4"]
+    assert s.search(" ").count() == 0 and s.search("unknown").count() == 0 and s.by_category("ADC sampling", "B").count() == 0
+    assert s.by_document_type("ADC sampling", "Datasheet").count() == 2 and s.precise("ADC sampling", 1).count() == 1 and s.fuzzy("PWM timer").count() == 2 and s.multi_modal("PWM timer", False).count() == 2
+    assert [r.chunk_id for r in s.similar("c0", "documents", 1).collect()] == ["c2"]
+    with pytest.raises(FileNotFoundError):
+        embedding.load(spark, str(tmp_path / "none"))
+    assert embedding.backend("tfidf") == "tfidf" and embedding.backend("nothing") == "tfidf"
+    encoded = embedding.encoded(chunks, lambda: lambda texts: [[3.0 * len(t), 4.0 * len(t)] for t in texts]).collect()
+    assert {r.chunk_id for r in encoded} == {"c0", "c2", "c3", "c4"} and all(abs(r.embedding[0] - 0.6) < 1e-9 for r in encoded)
+    said = embedding.embeddable_text(F.col("text"), F.col("chunk_type"), F.col("file_name"), F.col("title"), F.array(F.lit("x"), F.lit("y")))
+    assert {r.chunk_id: r.t for r in chunks.select("chunk_id", said.alias("t")).collect()}["c1"] == "f.md x y"
+    (tmp_path / "stop.txt").write_text("PWM\n\nADC\n")
+    stop = embedding.stop_words(spark, str(tmp_path / "no.txt"), str(tmp_path / "stop.txt"))
+    assert spark.range(1).select(embedding.segmented(F.lit("PWM timer 芯片电压 的 a"), stop).alias("w")).first().w == ["timer", "芯片", "片电", "电压"]
+
+
+def test_index_files(spark, tmp_path):
+    """All indexes of a Markdown tree, saved, read again and asked."""
+    import json
+
+    from kbspark.operators import indexes, search
+    from kbspark.sources import sinks
+
+    d = tmp_path / "in" / "Documents (32F)" / "User Manual"
+    d.mkdir(parents=True)
+    for i in range(4):
+        (d / f"{i}.md").write_text(f"# ADC {i}\nclock number{i} shared words\n| a | b |\n|---|---|\n| 1 | 2 |\n")
+    docs = markdown.documents(markdown.scan(spark, str(tmp_path / "in"))).where("error is null")
+    indexes.save(indexes.build(docs), str(tmp_path / "idx"))
+    back = indexes.load(spark, str(tmp_path / "idx"))
+    told = json.loads((tmp_path / "idx" / "search_config.json").read_text())
+    assert told["available_categories"] == ["32F"] and told["index_statistics"]["total_terms"] == back["postings"].select("term").distinct().count()
+    assert {(r.level, r.section_type) for r in back["hierarchy"].collect()} == {("1", "header"), ("None", "table")}
+    path = "Documents (32F)/User Manual/2.md"
+    tables = {"docs": docs.withColumn("doc", F.col("file_path")), "weights": back["tfidf"], "keywords": back["keywords"].withColumnRenamed("value", "keyword"), "similarity": back["similarity"]}
+    assert search.dispatch(tables, "number").count() == 4
+    assert search.dispatch(tables, "adc 2", "keyword").first().doc == path and search.dispatch(tables, "32F", "category").count() == 4
+    assert search.dispatch(tables, f"file_name:2.md", "metadata").first().doc == path and search.dispatch(tables, path, "similarity").count() == 3
+    assert search.dispatch(tables, "adc", "fuzzy_keyword").count() == 4 and search.dispatch(tables, "User Manual", "type").count() == 4
+    with pytest.raises(ValueError):
+        search.dispatch(tables, "x", "none")
+    found = search.exported(search.dispatch(tables, "clock"), "clock", "full_text")
+    sinks.write_results(found, str(tmp_path / "found"))
+    assert spark.read.json(str(tmp_path / "found")).count() == found.count()
+    stats = sinks.corpus_stats(docs)
+    assert stats["section_type"] == {"header": 4, "table": 4} and stats["tables_per_document"] == 1
+    assert "- **header**: 4 (50.0 %)" in sinks.bullet_report(stats) and "| total_terms |" in sinks.index_report(told["index_statistics"], {"ADC": 1})
+    ok = sinks.run_stages(spark, {"a": lambda: 1, "b": lambda: 2}, str(tmp_path / "s.json"))
+    bad = sinks.run_stages(spark, {"a": lambda: 1, "b": lambda: 1 / 0}, str(tmp_path / "s.json"))
+    assert ok["status"] == "success" and bad["status"] == "failed" and bad["stages"] == {"a": 1} and "zero" in json.loads((tmp_path / "s.json").read_text())["error"]
+
+
+def test_similarity_gaps(spark):
+    """Neighbours by position, not by id: ids with gaps, few documents (all pairs) and many (a band), against a loop."""
+    import math
+
+    from kbspark.operators import indexes
+
+    for n in (20, 130):
+        word = lambda p, k: p + "abcdefghijklm"[k % 13] * 2 + "nopqrstuvwxyz"[k // 13] * 2
+        docs = [(i * i * 3 + 5, " ".join([word("p", i % 7), word("q", i % 5), word("r", i % 3), word("s", i), "all"])) for i in range(n)]
+        got = indexes.banded_neighbours(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text").collect()
+        sets = [set(t.split()) for _, t in docs]
+        idf = {w: math.log(n / (sum(w in s for s in sets) + 1)) ** 2 for s in sets for w in s}
+        cos = lambda a, b: sum(idf[w] for w in a & b) / math.sqrt(sum(idf[w] for w in a) * sum(idf[w] for w in b))  # noqa: B023, E731
+        want = set()
+        for i in range(n):
+            near = [j for j in range(n) if j != i and (n <= 100 or abs(i - j) <= 10)]
+            near.sort(key=lambda j: (-round(cos(sets[i], sets[j]), 12), j))  # noqa: B023
+            want |= {(docs[i][0], docs[j][0], k + 1) for k, j in enumerate(near[:5])}
+        assert {(r.a, r.b, r["rank"]) for r in got} == want
+
+
 def test_quotas(spark):
     import random
 
