@@ -10,12 +10,12 @@ the distances that given shares (SHARES) of the ordinary windows of those rows p
 One more input is how many windows hold a word beginning (KEY characters) that is significantly commoner in toxic than in ordinary
 training texts. Scoring reads a text and nothing else; the model (at most 2 * OWN_BYTES + 2 * BASE_BYTES) is sent to every task.
 
-Fitted on at most LABELLED rows of each label, the ones with the smallest hash of the id; half for the
+Fitted on at most LABELLED rows of each label, the ones with the smallest hash of the id, of LABELLED_CHARS characters together at most (whole texts); half for the
 dictionaries, half for the calibration, whose rows are weighted by the labels' shares of all labelled rows.
 
 Defined cases: null and empty texts have no windows and get the score of all-zero numbers; a label that is null,
 or contradicted by another row of its id, isn't used; without labels of both kinds every score is the
-share of toxic ones (0 if none); repeated ids are rows of their own; extra columns are ignored.
+share of toxic ones (0 if none); null ids have no label and stay null; repeated ids are rows of their own, with equal scores for equal texts; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,12 +28,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_mod
-
-LABELLED = 3000
+LABELLED, LABELLED_CHARS = 3000, 1 << 25
 WINDOW, KEY, LEVEL = 24, 4, 19
 BASE_BYTES, OWN_BYTES = 8192, 16384
 SHARES = (0.1, 0.03, 0.01, 0.003)
@@ -171,19 +169,25 @@ def probability(model: Model, d: tuple[np.ndarray, int]) -> float:
     return float(1 / (1 + math.exp(-max(-30.0, min(30.0, float(x @ model.weights[:-1]) + model.weights[-1])))))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, column: str, most: int) -> tuple[list[tuple[str, int]], tuple[int, int]]:
-    """(text, label) of at most ``most`` labelled rows for each label, by hash of the id, and how many there are in all. docs and labels: doc_id."""
+def labelled(docs: DataFrame, labels: DataFrame, column: str, most: int, most_chars: int = LABELLED_CHARS) -> tuple[list[tuple[str, int]], tuple[int, int]]:
+    """(text, label) of at most ``most`` of docs' labelled rows for each label, by hash of the id, as far as ``most_chars`` characters go, and how many there are in all.
+
+    docs and labels: doc_id.
+    """
     own = labels.where(F.col(column).isin(0, 1)).groupBy("doc_id").agg(F.min(column).alias("label"), F.max(column).alias("other")).where("label = other")
+    rows = docs.where("text is not null").select("doc_id", F.length("text").alias("n")).join(own.select("doc_id", "label"), "doc_id")
     order = F.xxhash64("doc_id")
     picked = None
     for k in (0, 1):
-        part = own.where(F.col("label") == k).orderBy(order, "doc_id").limit(most).select("doc_id", "label")
+        # at most `most` rows
+        part = rows.where(F.col("label") == k).orderBy(order, "doc_id", "n").limit(most)
+        so_far = Window.partitionBy("label").orderBy(order, "doc_id", "n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        part = part.withColumn("chars", F.sum("n").over(so_far)).where(F.col("chars") <= most_chars).select("doc_id", "label").distinct()
         picked = part if picked is None else picked.unionByName(part)
-    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "label").collect()
-    rows.sort(key=lambda r: (r.doc_id * 0x9E3779B1 % (1 << 32), r.text))
-    held = docs.where("text is not null").select("doc_id").join(own, "doc_id").groupBy("label").count().collect()
-    count = {r["label"]: r["count"] for r in held}
-    return [(r.text, r.label) for r in rows], (count.get(0, 0), count.get(1, 0))
+    found = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "label").collect()
+    found.sort(key=lambda r: (r.doc_id * 0x9E3779B1 % (1 << 32), r.text))
+    count = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    return [(r.text, r.label) for r in found], (count.get(0, 0), count.get(1, 0))
 
 
 def trained(docs: DataFrame, labels: DataFrame, most: int = LABELLED):
@@ -203,7 +207,3 @@ def scored(docs: DataFrame, model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s, pa.float64())], ["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
-
-
-def held_out(column: str = "doc_id", folds: int = 5):
-    return crc_mod(column, folds) == 0
