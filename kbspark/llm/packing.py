@@ -5,7 +5,7 @@ packs its pieces best-fit decreasing and compares its bins with the largest of a
 dual-feasible-function lower bounds. A partition that meets its bound is certified and final. The
 others keep their full bins and give the pieces of the bins with gaps to an exchange: these are
 dealt anew, to fewer partitions, and packed again best-fit decreasing, until none is left uncertified
-that has another one to exchange with, or a round saves nothing. A round that would need more bins
+that has another one to exchange with, or a round saves nothing, ROUNDS rounds at most (a cap on effort: every piece is in a sequence all the same). A round that would need more bins
 than it was given keeps what it was given.
 
 Tasks hold lengths and numbers only (24 bytes a piece), GROUP pieces each; texts don't move.
@@ -13,7 +13,7 @@ Tasks hold lengths and numbers only (24 bytes a piece), GROUP pieces each; texts
 Defined cases: null text is empty, and an empty document is the end token alone; a document of more
 than ``capacity`` tokens is cut into full pieces and a rest; equal lengths are taken in id order;
 repeated ids are documents of their own with the same id (pieces carry a row number within the
-partition); an empty table gives no rows.
+partition); null ids are ids like any other and stay null; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
