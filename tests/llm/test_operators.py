@@ -113,6 +113,8 @@ def test_packing(spark):
     n = check_packing(rows, docs)
     assert n <= packing.lower_bound(np.array([r.length for r in rows]), 2048) + 1
     assert packing.best_fit_pack(docs_frame(spark, []), packing.tokenizer_path()).count() == 0
+    odd = [(None, "a b"), (None, "a b"), (1, "x " * 5000), (1, None)]
+    check_packing(packing.best_fit_pack(docs_frame(spark, odd).selectExpr("*", "1 as piece", "2 as length"), packing.tokenizer_path()).collect(), odd)
 
 
 def test_packing_exchange(spark, monkeypatch):
@@ -143,6 +145,32 @@ def test_toxicity(spark):
     assert toxicity.scored(docs_frame(spark), m).where("score between 0 and 1").count() == len(TEXTS)
 
 
+def test_toxicity_edges(spark):
+    docs = docs_frame(spark, [(None, "x"), (1, "a b"), (1, "a b"), (2, ""), (3, None), (4, "word " * 50000)]).selectExpr("*", "1 as score", "2 as label")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (4, 1), (4, 1), (None, 1)], "doc_id long, toxic int")
+    for rows in (labels, labels.limit(0)):
+        got = toxicity.scored(docs, toxicity.trained(docs, rows)).collect()
+        assert Counter(r.doc_id for r in got) == Counter([None, 1, 1, 2, 3, 4]) and all(0 <= r.score <= 1 for r in got)
+        assert len({r.score for r in got if r.doc_id == 1}) == 1
+    assert toxicity.labelled(docs, labels, "toxic", 5) == ([("word " * 50000, 1)], (0, 1))
+    assert toxicity.labelled(docs, labels, "toxic", 5, 10)[0] == []
+    assert toxicity.scored(docs.limit(0), toxicity.trained(docs, labels)).count() == 0
+
+
+def test_stored_tables(spark):
+    """Nothing is left in the shared folder once the results have been read."""
+    import os
+
+    from kbspark.llm import common
+
+    common.forget_all(spark)
+    before = os.listdir(common.shared_dir(spark))  # Spark's own checkpoint folder
+    for query in (queries.lines, queries.mixed, queries.topk, queries.ruled):
+        query(spark, SF).count()
+        common.forget_all(spark)
+        assert os.listdir(common.shared_dir(spark)) == before
+
+
 def test_toxicity_every_window():
     """Windows without a key are compressed too."""
     texts = [" ".join(f"word{(i * 7 + k * 13) % 97}" for k in range(60)) for i in range(40)]
