@@ -28,7 +28,7 @@ QUERIES = {
     "agg_distinct_categories": _docs(lambda d: d.select("source", "lang").distinct()),
     "fn_language": _docs(lambda d: d.select("doc_id", T.language(F.col("text")).alias("language"), T.mainly_english(F.col("text")).alias("english"))),
     "fn_truncate": _docs(lambda d: d.select("doc_id", T.truncated(F.col("text")).alias("shown"))),
-    "fn_difficulty": _docs(lambda d: d.select("doc_id", datasets.difficulty(F.length("text"), F.lit(4)).alias("difficulty"))),
+    "fn_difficulty": _docs(lambda d: d.select("doc_id", datasets.difficulty(F.length("text"), F.col("doc_id") % 6).alias("difficulty"))),
     "idx_inverted": _docs(lambda d: indexes.inverted(indexes.postings(d))),
     "idx_tfidf": _docs(lambda d: indexes.tfidf(indexes.postings(d), d.agg(F.count("*").alias("n"))).withColumn("weight", F.round("weight", 9))),
     "idx_metadata": _docs(lambda d: indexes.metadata_index(d, ["source", "lang", "n_chars"])),
@@ -52,7 +52,7 @@ ORACLES = {
     "agg_distinct_categories": "select distinct source, lang from documents",
     "fn_language": "select doc_id, case when 10 * len(regexp_extract_all(text, '[\\x{4e00}-\\x{9fff}]')) > length(text) then 'zh-cn' else 'en' end as language, coalesce(len(regexp_extract_all(text, '[a-zA-Z]')) / nullif(len(regexp_extract_all(text, '[a-zA-Z]')) + len(regexp_extract_all(text, '[\\x{4e00}-\\x{9fff}]')), 0) > 0.7, false) as english from documents",
     "fn_truncate": "select doc_id, case when length(text) > 200 then left(text, 200) || '...' else text end as shown from documents",
-    "fn_difficulty": "select doc_id, case when length(text) < 1000 then 'basic' when length(text) < 2000 then 'intermediate' else 'advanced' end as difficulty from documents",
+    "fn_difficulty": "select doc_id, case when length(text) < 1000 or doc_id % 6 <= 2 then 'basic' when length(text) < 2000 or doc_id % 6 <= 3 then 'intermediate' else 'advanced' end as difficulty from documents",
     "idx_inverted": f"with {_TERMS} select term, count(*) as df, min(doc) as first_doc, max(doc) as last_doc from p group by term",
     "idx_tfidf": f"with {_TERMS}, f as (select term, count(*) as df from p group by term), c as (select count(*) as n from documents) select doc, p.term, round(ln(n / (df + 1)) / n_terms, 9) as weight from p join f using (term), c",
     "idx_metadata": "select field, value, count(*) as n from (select 'source' as field, trim(source) as value from documents union all select 'lang', trim(lang) from documents union all select 'n_chars', cast(n_chars as varchar) from documents) where value is not null and value <> '' and value <> '0' group by 1, 2",
