@@ -88,8 +88,8 @@ def tfidf_vocabulary(rows: DataFrame, key: str = "chunk_id", text: str = "text",
     by_term = _counts(rows, key, text).groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
     kept = by_term.where((F.col("df") >= config.min_df) & (F.col("df") <= config.max_df * n)).orderBy(F.desc("total"), "term").limit(config.max_features)
     # at most max_features rows
-    at = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("term")) - 1
-    return kept.select("term", at.alias("index"), (F.ln(F.lit(1.0 + n) / (F.col("df") + 1)) + 1).alias("idf"))
+    rows_ = sorted(kept.select("term", (F.ln(F.lit(1.0 + n) / (F.col("df") + 1)) + 1).alias("idf")).collect())
+    return rows.sparkSession.createDataFrame([(t, i, w) for i, (t, w) in enumerate(rows_)], "term string, index int, idf double")
 
 
 def tfidf_vectors(rows: DataFrame, vocabulary: DataFrame, key: str = "chunk_id", text: str = "text") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,12 +24,17 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
+def vector_literal(vector: list[float]) -> Column:
+    """A constant array, made of one literal however long it is."""
+    return F.from_json(F.lit(json.dumps([float(x) for x in vector])), "array<double>")
+
+
 def search(rows: DataFrame, query: list[float], config: SearchConfig = SearchConfig(), filters: dict | None = None, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The query's top rows: filters are pushed below the scoring, ties go to the smaller id."""
     for name, value in (filters or {}).items():
         if name in rows.columns:
             rows = rows.where(F.col(name).isin(*value) if isinstance(value, (list, tuple)) else F.col(name) == value)
-    q = F.array(*[F.lit(float(x)) for x in query])
+    q = vector_literal(query)
     scored = rows.withColumn("score", cosine(F.col(vector), q)).where(F.col("score") >= config.score_threshold)
     return scored.orderBy(F.desc("score"), id_col).limit(config.top_k)
 
@@ -201,7 +207,7 @@ def search_text(rows: DataFrame, query: str, vector: list[float], config: Search
             out = out.where(F.col(name).isin(*value) if isinstance(value, (list, tuple)) else F.col(name) == value)
     if not query or not query.strip() or not any(vector):
         return out.withColumn("score", F.lit(0.0)).limit(0)
-    q = F.array(*[F.lit(float(x)) for x in vector])
+    q = vector_literal(vector)
     out = out.withColumn("score", cosine(F.col("embedding"), q)).where(F.col("score") >= config.score_threshold)
     out = out.withColumn("score", keyword_boost(F.col("score"), F.col("text"), tokens(query), config.keyword_boost))
     if rerank:
