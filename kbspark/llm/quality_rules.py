@@ -8,7 +8,8 @@ and the share of good ones. A document is kept if it passes the base rules and t
 given all its votes, is at least ``threshold``: a single failed rule doesn't condemn it, and one that the others agree with does.
 
 No rule repeats a base rule: what those let through is judged by the rest. Rules are kept the right way round: a rule's votes for good are at least as likely on good documents as
-on bad ones, and the other way. EM starts at accuracy 0.9 for every rule.
+on bad ones, and the other way. EM starts where a rule finds three in ten bad documents and two in a hundred good ones bad: a bad document passes most rules, so
+votes for good say less than votes against.
 
 Defined cases: null and empty texts have no words and fail the base rule; no documents, no patterns, no
 rows; if none passes the base rules, the rates are those that EM starts with, smoothed; rows are scored one by one, so repeated ids are rows of their own and get the same result; null ids stay null; extra columns are ignored.
@@ -75,11 +76,10 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) ->
     rates = np.empty((2, rules, 3))
     one = np.eye(3)[patterns]
     seen = np.einsum("p,prv->rv", counts, one) / max(1, counts.sum())
-    for c, right in ((0, BAD), (1, GOOD)):
-        wrong = BAD + GOOD - right
+    for c, bad in ((0, 0.3), (1, 0.02)):
         rates[c, :, NONE] = np.clip(seen[:, NONE], 0.01, 0.98)
-        rates[c, :, right] = 0.9 * (1 - rates[c, :, NONE])
-        rates[c, :, wrong] = 0.1 * (1 - rates[c, :, NONE])
+        rates[c, :, BAD] = bad * (1 - rates[c, :, NONE])
+        rates[c, :, GOOD] = (1 - bad) * (1 - rates[c, :, NONE])
     share = 0.8
     for _ in range(rounds):
         p = posterior(patterns, rates, share)
