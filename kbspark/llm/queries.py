@@ -83,6 +83,19 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
+
+def rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op7's result SQL can say."""
+    return ruled(spark, sf_dir).drop("kept", "posterior")
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op5's result SQL can say."""
+    return mixed(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
+QUERIES |= {"rules_counts": rule_counts, "mixing_targets": mix_targets}
+
 #: DuckDB SQL for the queries that it can say. The queries' own results are made by the named methods.
 ORACLES = {
     "op1_exact_topk": """
@@ -119,6 +132,23 @@ ORACLES = {
             from marks group by doc_id, text)
         select d.doc_id, case when d.text is null then null else coalesce(k.new, '') end as text, cast(coalesce(k.lines_removed, 0) as bigint) as lines_removed
         from documents d left join kept k on d.doc_id = k.doc_id and d.text = k.text""",
+    "rules_counts": """
+        with d as (select doc_id, coalesce(text, '') as t from documents),
+        w as (select doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') as ws from d),
+        x as (select doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as x from (select doc_id, ws, unnest(range(1, len(ws) - 1)) as i from w where len(ws) >= 3)),
+        again as (select doc_id, i from (select *, count(*) over (partition by doc_id, x) as c from x) where c > 1),
+        r as (select doc_id, count(distinct p) as n from (select doc_id, unnest([i, i + 1, i + 2]) as p from again) group by 1),
+        l as (select doc_id, l from (select doc_id, unnest(string_split(t, chr(10))) as l from d) where regexp_matches(l, '[^\\x20\\x09-\\x0D]')),
+        e as (select doc_id, count(*) - count(distinct l) as n from l group by 1)
+        select w.doc_id, len(ws) as n_words, coalesce(length(array_to_string(ws, '')), 0) as word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) as n_symbols, coalesce(e.n, 0) as n_dup_lines, coalesce(r.n, 0) as n_repeat_words,
+            len(ws) < 50 or 100 * coalesce(r.n, 0) > 50 * len(ws) as base_failed
+        from w left join r on r.doc_id = w.doc_id left join e on e.doc_id = w.doc_id""",
+    "mixing_targets": """
+        with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size from documents),
+        s as (select source, sum(size) as n, row_number() over (order by source nulls last) as place from d group by source),
+        w as (select *, [1, 2, 3][(place - 1) % 3 + 1] as weight, 3.0 * n as top from s),
+        o as (select *, sum(n) over () - coalesce(sum(top) over (order by top / weight, place rows between unbounded preceding and 1 preceding), 0) as left_,
+            sum(weight) over () - coalesce(sum(weight) over (order by top / weight, place rows between unbounded preceding and 1 preceding), 0) as weights from w),
+        v as (select left_ / weights as level from o where left_ / weights <= top / weight order by top / weight, place limit 1)
+        select d.doc_id, d.size, cast(o.n as bigint) as source_size, round(cast(least(o.top, v.level * o.weight) as double), 3) as target from d join o on o.source is not distinct from d.source, v""",
 }
-
-

@@ -439,7 +439,7 @@ def test_lines(spark):
     assert line_dedup.line_dedup(docs_frame(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op1_exact_topk", "op9_line_dedup"])
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracle(spark, name):
     import duckdb
 
