@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +69,18 @@ def forget_all(spark: SparkSession) -> None:
         _delete(spark, path)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows, fewer at a time; then the worker gives back the memory that it no longer uses."""
+    for b in batches:
+        for a in range(0, b.num_rows, rows):
+            yield b.slice(a, rows)
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, each with as many leading underscores as make it clash with no column of df."""
     taken = {c.lower() for c in df.columns}

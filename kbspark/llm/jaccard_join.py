@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import drop_shuffles, forget, partitions, stored
+from .common import drop_shuffles, forget, partitions, sliced, stored
 from .components import components
 
 #: A shingle in more prefixes than this is frequent.
@@ -97,7 +97,7 @@ def parities(sets: list[np.ndarray]) -> np.ndarray:
 
 def _sketch(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             for lo, hi, sets in _slices(b, n):
                 p = parities(sets)
                 cols = [pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *[pa.array(p[:, k]) for k in range(len(SKETCHES))]]
@@ -125,7 +125,7 @@ def _counts(n: int, percent: int, frequent=None):
             keys, c = np.unique(np.concatenate(held), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(keys.view(_LONG)), pa.array(c.astype(np.int32))], ["token", "n"])
 
-        for b in batches:
+        for b in sliced(batches):
             for _, _, sets in _slices(b, n):
                 for s in sets:
                     p = _prefix(len(s), percent)
@@ -177,8 +177,10 @@ def _postings(n: int, percent: int, frequent):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, ranks = frequent.value
-        for b in batches:
-            seen = set()
+        seen: set[int] = set()
+        for b in sliced(batches):
+            if len(seen) > 100_000:
+                seen.clear()
             for _, _, sets in _slices(b, n):
                 k, w, what = [], [], []
                 for s in sets:
@@ -197,7 +199,7 @@ def _postings(n: int, percent: int, frequent):
 
 def _full_sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             for lo, hi, sets in _slices(b, n):
                 marks = pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays([b.column("row").slice(lo, hi - lo), marks, pa.array([s.tobytes() for s in sets], pa.binary())], ["row", "node", "shingles"])

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import forget, fresh, stored
+from .common import forget, fresh, sliced, stored
 
 WINDOW = 3
 
@@ -59,7 +59,7 @@ def _window_hashes(texts: list[bytes], width: int) -> list[np.ndarray]:
 
 def _windows(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             found = _window_hashes(words.as_bytes(b.column("text")), width)
             n = [len(x) for x in found]
             ids = np.repeat(b.column("doc_id").to_numpy(zero_copy_only=False), n)
@@ -89,7 +89,7 @@ def cut(text: bytes, covered: list[int], width: int) -> bytes:
 
 def _apply(names: list[str], covered_name: str, removed: str, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             texts, covered = b.column("text").to_pylist(), b.column(covered_name).to_pylist()
             new = [t if not c or t is None else cut(t.encode(), c, width).decode() for t, c in zip(texts, covered, strict=True)]
             gone = [0 if not c or t is None else len(_lines(t.encode())[1]) - len(_lines(x.encode())[1]) for t, x, c in zip(texts, new, covered, strict=True)]

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import drop_shuffles, forget, partitions, stored
+from .common import drop_shuffles, forget, partitions, sliced, stored
 
 CLASSES, START = 24, 24
 #: Occurrences that give a word a restaurant of its own, and such restaurants at most (17 bytes each in every task).
@@ -97,7 +97,7 @@ def chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Chunk]:
         u, first, at = np.unique(tok, return_index=True, return_inverse=True)
         return Chunk(u, at.astype(_L), cls[first].astype(_L), sizes, pa.concat_arrays([h[3] for h in held]))
 
-    for b in batches:
+    for b in sliced(batches):
         ids = b.column("doc_id") if "doc_id" in b.schema.names else pa.nulls(b.num_rows, pa.int64())
         for lo, hi, tok, cls, first in tokens(words.as_bytes(b.column("text"))):
             held.append((tok, cls, np.diff(first), ids.slice(lo, hi - lo)))

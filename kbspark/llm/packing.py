@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import sliced, stored
 
 CAPACITY, END = 2048, 0
 #: Pieces that one task packs.
@@ -130,7 +130,7 @@ def tokenize(path: str, capacity: int, end: int):
 
         key = TaskContext.get().partitionId() << 40
         last = np.array([end], "<u4").tobytes()
-        for b in batches:
+        for b in sliced(batches):
             texts = [t or "" for t in b.column("text").to_pylist()]
             out: list[tuple] = []
             for doc_id, ids in zip(b.column("doc_id").to_pylist(), word_ids(path).ids(texts), strict=True):

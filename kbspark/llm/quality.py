@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import forget, fresh, stored
+from .common import forget, fresh, sliced, stored
 from .stats import text_counts
 from .toxicity import shared
 from .words import as_bytes
@@ -98,18 +98,11 @@ def word_classes(texts: list[bytes]) -> list[bytes]:
     return out
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """The same rows, fewer at a time."""
-    for b in batches:
-        for a in range(0, b.num_rows, rows):
-            yield b.slice(a, rows)
-
-
 def features(docs: DataFrame) -> DataFrame:
     """doc_id, the ratios, the words' classes and m0, m1, m2 (the metadata as classes), of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _slices(batches):
+        for b in sliced(batches):
             texts = as_bytes(b.column("text"))
             r = ratios(texts)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(r[:, k]) for k in range(len(NAMES))], pa.array(word_classes(texts), pa.binary()), *[b.column(m) for m in METADATA]], ["doc_id", *NAMES, "said", *METADATA])
@@ -342,7 +335,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, most: int = LABELLED, thr
     names, own = docs.columns, fresh(docs, *METADATA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _slices(batches):
+        for b in sliced(batches):
             texts = as_bytes(b.column("text"))
             m = np.stack([b.column(k).to_numpy(zero_copy_only=False) for k in own], 1)
             _, _, p = probability(model.value, Rows.of(ratios(texts), word_classes(texts), m))

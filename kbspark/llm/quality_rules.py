@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import sliced, stored
 from .stats import COUNTS, text_counts
 from .words import as_bytes
 
@@ -55,7 +55,7 @@ def counted(docs: DataFrame) -> DataFrame:
     """doc_id and the counts of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             c = text_counts(as_bytes(b.column("text")))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(c[k]) for k in COUNTS]], ["doc_id", *COUNTS])
 
