@@ -6,6 +6,7 @@ import ctypes
 import gc
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,18 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def few_rows(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """While a table is written, Python workers get so many rows at a time; then the session's setting is as before."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 #: Paths of stored tables that haven't been forgotten.
 _STORED: set[str] = set()
 
@@ -35,7 +48,8 @@ _STORED: set[str] = set()
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written once to the shared folder and read again: its lineage ends there, and a lost executor costs nothing."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with few_rows(df.sparkSession):
+        df.write.parquet(path)
     _STORED.add(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stored_at = path
