@@ -20,13 +20,13 @@ from kbspark.llm.packing import tokenizer_path
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
-    return quality.good_documents(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return stored(quality.good_documents(docs, table(spark, sf_dir, "labels").select("doc_id", "quality")), "good")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later occurrences of three-line passages; a document of which nothing is left goes."""
     (removed,) = fresh(docs, "_lines_removed")
-    return line_dedup.line_dedup(docs, removed=removed).where(f"`{removed}` = 0 or text <> ''").select(*docs.columns)
+    return stored(line_dedup.line_dedup(docs, removed=removed).where(f"`{removed}` = 0 or text <> ''").select(*docs.columns), "cut")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,5 +68,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        out = stage(spark, docs, sf_dir)
+        docs = out if hasattr(out, "_stored_at") else stored(out, "stage-" + name.replace(" ", "-"))
     return docs
