@@ -1,7 +1,7 @@
 """Hierarchical Pitman-Yor language model, trained on the corpus and scored on all of it.
 
 Three levels of restaurants. A token's context is the word before it, if that occurs LEAST times or more in the training texts:
-each such word is a restaurant, so their number grows with the corpus (up to MOST_CONTEXTS: the commonest). A rarer word, and the start of a text,
+each such word is a restaurant, so their number grows with the corpus, without bound. A rarer word, and the start of a text,
 backs off to the restaurant of its class (CLASSES classes by a word's last two bytes, and one for the start of a text), which is also the
 parent of its words' restaurants; the classes share one parent, the unigram restaurant, whose base is
 uniform over the vocabulary and one unknown word. Customers of a context are its tokens; each table sends one customer to the parent.
@@ -13,7 +13,8 @@ each, at every size alike. After the burn-in, predictive probabilities are avera
 
 Counting, seating and scoring move no row per token. Tasks count chunks of CHUNK tokens; a chunk's distinct pairs of word and context go, as arrays, to the
 bucket of the word (by the first bits of its hash). A bucket holds all there is of its words on every level, so a sweep is one pass over the buckets
-without a shuffle; only the restaurants' totals meet, two numbers a context. Random numbers follow from the sweep and the bucket, so lost tasks repeat them exactly.
+without a shuffle; only the restaurants' totals meet, two numbers a context. What there is of each context (word, class, totals) is broadcast in slices by the
+word's hash, of about MOST_CONTEXTS each: the driver and every task hold one slice at a time, and their number changes no result. Random numbers follow from the sweep and the bucket, so lost tasks repeat them exactly.
 To score, a chunk sends its tokens' contexts and documents to the words' buckets, which send back sums by document. The FREQUENT commonest pairs, which every task
 holds, are not sent.
 
@@ -37,15 +38,15 @@ from . import words
 from .common import drop_shuffles, forget, partitions, sliced, stored
 
 CLASSES, START = 24, 24
-#: Occurrences that give a word a restaurant of its own, and such restaurants at most (17 bytes each in every task).
+#: Occurrences that give a word a restaurant of its own, and such restaurants in a slice, about: what a task holds of them together (8 bytes a number).
 LEAST, MOST_CONTEXTS = 50, 1 << 20
 SWEEPS, BURN_IN = 3, 1
 STRENGTH = 1.0
 SAMPLES = SWEEPS - BURN_IN
 #: Pairs whose probabilities every task holds: 24 bytes each.
 FREQUENT = 1 << 16
-#: Tokens that a task takes together, and tokens for each bucket of words.
-CHUNK, BUCKET = 1 << 20, 1 << 22
+#: Tokens that a task takes together, tokens for each bucket of words, and tokens that are scored together.
+CHUNK, BUCKET, ASKED = 1 << 20, 1 << 22, 1 << 19
 END = np.uint64(0x656E64)
 _U, _L, _I = np.uint64, np.int64, np.int32
 
@@ -61,6 +62,66 @@ def tokens(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
         yield lo, hi, np.insert(h, w.first[1:], END), np.insert(cls, w.first[1:], START), w.first + np.arange(hi - lo + 1)
 
 
+class Sliced:
+    """A number for each context, in order of the contexts' words, broadcast in slices; edges: where the slices begin, and the end."""
+
+    def __init__(self, edges: np.ndarray, parts: list):
+        self.edges, self.parts = edges, parts
+
+    def __len__(self) -> int:
+        return int(self.edges[-1])
+
+    def slices(self, which=None) -> Iterator[tuple[int, np.ndarray]]:
+        """(where it begins, its numbers) of each slice (of these); the one before is given back."""
+        for j in range(len(self.parts)) if which is None else which:
+            b = self.parts[j]
+            yield int(self.edges[j]), b.value
+            if len(self.parts) > 1 and getattr(b, "_path", None):
+                b.__dict__.pop("_value", None)  # read again from its file when asked for
+
+    def whole(self) -> np.ndarray:
+        return np.concatenate([x.copy() for _, x in self.slices()])
+
+    def __getitem__(self, code):
+        """The numbers of these contexts."""
+        if len(self.parts) == 1:
+            return self.parts[0].value[code]
+        code = np.asarray(code)
+        at = np.searchsorted(self.edges, code, "right") - 1
+        out = np.zeros(code.shape)
+        which = np.unique(at)
+        for j, (begin, x) in zip(which, self.slices(which), strict=True):
+            on = at == j
+            out[on] = x[code[on] - begin]
+        return out
+
+
+@dataclass
+class Contexts:
+    """The words with restaurants of their own, in order, and their classes."""
+
+    words: Sliced
+    classes: Sliced
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    @property
+    def value(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.words.whole(), self.classes.whole()
+
+    def places(self, words_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether each of the words, which are in order, is a context, its place or 0)."""
+        hit, at = np.zeros(len(words_), bool), np.zeros(len(words_), _L)
+        for begin, own in self.words.slices():
+            if len(own):
+                s = slice(*np.searchsorted(words_, own[[0, -1]]) + [0, 1])
+                there, place = _places(own, words_[s])
+                hit[s] |= there
+                at[s] = np.where(there, place + begin, at[s])
+        return hit, at
+
+
 @dataclass
 class Chunk:
     """Some texts' tokens: distinct words in order, each token's word, each word's class, the texts' sizes and ids."""
@@ -71,10 +132,10 @@ class Chunk:
     sizes: np.ndarray
     ids: pa.Array
 
-    def codes(self, contexts: np.ndarray) -> np.ndarray:
+    def codes(self, contexts: Contexts) -> np.ndarray:
         """Each token's context: the place of the word before among the contexts, or behind them its class."""
         k = len(contexts)
-        hit, at = _places(contexts, self.words)
+        hit, at = contexts.places(self.words)
         own = np.where(hit, at, k + self.classes)
         out = np.empty(len(self.token), _L)
         out[1:] = own[self.token[:-1]]
@@ -189,22 +250,25 @@ def _common_words(least: int):
     return run
 
 
-def contexts(docs: DataFrame, bits: int, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The words with restaurants of their own, in order, and their classes."""
+def contexts(docs: DataFrame, bits: int, least: int, most: int) -> Contexts:
+    """All words that occur least times or more, in slices of about most."""
+    spark = docs.sparkSession
     blocks = docs.select("text").mapInArrow(_word_blocks(bits), "bucket long, w binary, n binary, c binary")
     common = stored(_dealt(blocks).mapInArrow(_common_words(least), "w long, n long, c int"), "contexts")
-    held = 0
-    for r in common.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
-        held += r["count"]
-        if held > most:
-            least = r["n"] + 1
-            break
-    found = common.where(F.col("n") >= least).toArrow()
-    forget(common.sparkSession, common)
-    drop_shuffles(common.sparkSession)
-    w = found.column("w").to_numpy().astype(_L).view(_U)
-    order = np.argsort(w)
-    return w[order], found.column("c").to_numpy().astype(_L)[order]
+    cut = max(0, int(np.ceil(np.log2(max(common.count() / most, 1)))))
+    edges, parts = [0], ([], [])
+    for j in range(1 << cut):
+        # words are scattered hashes, so their first bits make even slices
+        own = common.where(F.shiftrightunsigned("w", 64 - cut) == j) if cut else common
+        found = own.select("w", "c").toArrow()
+        w = found.column("w").to_numpy().astype(_L).view(_U)
+        order = np.argsort(w)
+        for part, x in zip(parts, (w, found.column("c").to_numpy().astype(_L)), strict=True):
+            part.append(spark.sparkContext.broadcast(x[order]))
+        edges.append(edges[-1] + len(w))
+    forget(spark, common)
+    drop_shuffles(spark)
+    return Contexts(*[Sliced(np.array(edges), part) for part in parts])
 
 
 # Counts
@@ -212,10 +276,9 @@ def contexts(docs: DataFrame, bits: int, least: int, most: int) -> tuple[np.ndar
 
 def _pair_blocks(listed, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = listed.value[0]
-        span = len(own) + CLASSES + 1
+        span = len(listed) + CLASSES + 1
         for c in chunks(batches, CHUNK):
-            key, n = np.unique(c.token * span + c.codes(own), return_counts=True)
+            key, n = np.unique(c.token * span + c.codes(listed), return_counts=True)
             word, e = key // span, _edges(c.words, bits)
             at = np.searchsorted(word, e)
             for k in np.flatnonzero(np.diff(e)):
@@ -241,8 +304,7 @@ def _state(r: dict) -> dict:
 
 def _counted(listed):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, classes = listed.value
-        span = len(own) + CLASSES + 1
+        span = len(listed) + CLASSES + 1
         for bucket, held in _by_bucket(batches):
             parts = [[_array(r[x], t) for x, t in (("w", _U), ("size", _I), ("code", _I), ("n", _I))] for r in held]
             w = np.unique(np.concatenate([p[0] for p in parts]))
@@ -250,10 +312,10 @@ def _counted(listed):
             key, n, _ = _summed(key, np.concatenate([p[3] for p in parts]).astype(_L))
             word = key // span
             s = {"w": w, "size": np.bincount(word, minlength=len(w)), "code": key - word * span, "n": n, "t": np.ones(len(key))}
-            cls = _class_of(s["code"], classes)
+            cls = _class_of(s["code"], listed)
             both = np.unique(word * (CLASSES + 1) + cls)
             s |= {"csize": np.bincount(both // (CLASSES + 1), minlength=len(w)), "cls": both % (CLASSES + 1), "tab": np.ones(len(both)), "rt": np.ones(len(w))}
-            s["cnt"] = _class_customers(s, len(own), word, cls, both)
+            s["cnt"] = _class_customers(s, len(listed), word, cls, both)
             for k in range(SAMPLES):
                 s |= {f"t{k}": np.zeros(0), f"q{k}": np.zeros(0), f"r{k}": np.zeros(0)}
             yield _row(["bucket", *_KINDS], [bucket, *[np.ascontiguousarray(s[k]).astype(t) for k, t in _KINDS.items()]])
@@ -261,9 +323,12 @@ def _counted(listed):
     return run
 
 
-def _class_of(code: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    k = len(classes)
-    return np.where(code < k, classes[np.minimum(code, k - 1)] if k else 0, code - k)
+def _class_of(code: np.ndarray, listed: Contexts) -> np.ndarray:
+    k = len(listed)
+    out = code.astype(_L) - k
+    own = np.flatnonzero(out < 0)
+    out[own] = listed.classes[code[own]]
+    return out
 
 
 def _class_customers(s: dict, k: int, word: np.ndarray, cls: np.ndarray, both: np.ndarray) -> np.ndarray:
@@ -275,8 +340,8 @@ def _class_customers(s: dict, k: int, word: np.ndarray, cls: np.ndarray, both: n
 class Totals:
     """Customers and tables of every restaurant: contexts, classes, the unigram one; the vocabulary, the discounts."""
 
-    n: np.ndarray
-    t: np.ndarray
+    n: Sliced
+    t: Sliced
     class_n: np.ndarray
     class_t: np.ndarray
     root_t: float
@@ -291,8 +356,9 @@ class Totals:
     def class_back(self) -> np.ndarray:
         return (STRENGTH + self.discounts[1] * self.class_t) / (STRENGTH + self.class_n)
 
-    def back(self) -> np.ndarray:
-        return (STRENGTH + self.discounts[0] * self.t) / (STRENGTH + self.n)
+    def back(self, n: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """Of contexts with these customers and tables."""
+        return (STRENGTH + self.discounts[0] * t) / (STRENGTH + n)
 
     def unknown(self) -> float:
         return float(self.root(np.zeros(1), np.zeros(1))[0])
@@ -322,12 +388,11 @@ def class_probabilities(s: dict, t: Totals) -> tuple[np.ndarray, np.ndarray]:
     return (s["cnt"] - t.discounts[1] * s["tab"]) / (STRENGTH + t.class_n[c]) + t.class_back()[c] * p0[row], p0
 
 
-def _swept(listed, totals, sweep: int, sample: int | None, again: bool):
+def _swept(listed: Contexts, t: Totals, sweep: int, sample: int | None, again: bool):
     """Keep the state as ``sample``; then (``again``) seat everyone anew."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, t = listed.value[1], totals.value
-        k = len(classes)
+        k = len(listed)
         for r in _rows(batches):
             s = _state(r)
             rng = np.random.default_rng([sweep, r["bucket"]])
@@ -337,7 +402,7 @@ def _swept(listed, totals, sweep: int, sample: int | None, again: bool):
             if again:
                 word = np.repeat(np.arange(len(s["w"])), s["size"])
                 row = np.repeat(np.arange(len(s["w"])), s["csize"])
-                cls = _class_of(s["code"], classes)
+                cls = _class_of(s["code"], listed)
                 both = row * (CLASSES + 1) + s["cls"]
                 new = np.ones(len(s["n"]))
                 on = np.flatnonzero((s["code"] < k) & (s["n"] > 1))
@@ -354,18 +419,22 @@ def _swept(listed, totals, sweep: int, sample: int | None, again: bool):
 
 
 def _sums(k: int):
-    """Rows (kind, id, v) of sums over a task's buckets: 0 the contexts' tables and 1 customers, 2 the classes' tables and 3 customers, 4 the unigram
-    restaurant's tables, 5 words and tokens, 6-8 how many counts of one and two there are on each level."""
+    """Rows (kind, id, v) of sums over a task's buckets: 0 the contexts' tables and 1 customers (bucket by bucket), 2 the classes' tables and 3 customers,
+    4 the unigram restaurant's tables, 5 words and tokens, 6-8 how many counts of one and two there are on each level."""
+
+    def rows(kind: int, at: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, _I)), pa.array(at.astype(_I)), pa.array(v.astype(np.float64))], ["kind", "id", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = {0: np.zeros(k), 1: np.zeros(k), 2: np.zeros(CLASSES + 1), 3: np.zeros(CLASSES + 1), 4: np.zeros(1), 5: np.zeros(2), 6: np.zeros(2), 7: np.zeros(2), 8: np.zeros(2)}
+        out = {2: np.zeros(CLASSES + 1), 3: np.zeros(CLASSES + 1), 4: np.zeros(1), 5: np.zeros(2), 6: np.zeros(2), 7: np.zeros(2), 8: np.zeros(2)}
         for r in _rows(batches):
             s = _state(r)
             on = s["code"] < k
             row = np.repeat(np.arange(len(s["w"])), s["csize"])
             guests = np.bincount(row, s["tab"], minlength=len(s["w"]))
-            out[0] += np.bincount(s["code"][on], s["t"][on], minlength=k)
-            out[1] += np.bincount(s["code"][on], s["n"][on], minlength=k)
+            some, at = np.unique(s["code"][on], return_inverse=True)
+            for kind, x in ((0, "t"), (1, "n")):
+                yield rows(kind, some, np.bincount(at, s[x][on], minlength=len(some)))
             out[2] += np.bincount(s["cls"], s["tab"], minlength=CLASSES + 1)
             out[3] += np.bincount(s["cls"], s["cnt"], minlength=CLASSES + 1)
             out[4] += s["rt"].sum()
@@ -373,21 +442,34 @@ def _sums(k: int):
             for x, counts in ((6, s["n"][on]), (7, s["cnt"]), (8, guests)):
                 out[x] += [(counts == 1).sum(), (counts == 2).sum()]
         for kind, v in out.items():
-            at = np.flatnonzero(v)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, _I)), pa.array(at.astype(_I)), pa.array(v[at])], ["kind", "id", "v"])
+            yield rows(kind, np.flatnonzero(v), v[np.flatnonzero(v)])
 
     return run
 
 
-def _gathered(state: DataFrame, k: int) -> dict[int, np.ndarray]:
-    """The sums over all buckets; two numbers a context come to the driver."""
+def _gathered(state: DataFrame, listed: Contexts) -> dict:
+    """The sums over all buckets; of the contexts, in slices that come to the driver one at a time."""
+    spark = state.sparkSession
     names = [c for c in _KINDS if c[-1] not in "0123456789"]
-    found = state.select("bucket", *names).mapInArrow(_sums(k), "kind int, id int, v double").groupBy("kind", "id").agg(F.sum("v").alias("v")).toArrow()
-    kind, at, v = (found.column(c).to_numpy() for c in ("kind", "id", "v"))
-    out = {x: np.zeros({0: k, 1: k, 2: CLASSES + 1, 3: CLASSES + 1, 4: 1}.get(x, 2)) for x in range(9)}
-    for x in out:
-        out[x][at[kind == x]] = v[kind == x]
-    return out
+    sums = state.select("bucket", *names).mapInArrow(_sums(len(listed)), "kind int, id int, v double").groupBy("kind", "id").agg(F.sum("v").alias("v"))
+    sums = stored(sums, "totals")
+    edges = listed.words.edges
+
+    def numbers(rows: DataFrame, sizes: dict[int, int], begin: int = 0) -> dict[int, np.ndarray]:
+        found = rows.toArrow()
+        kind, at, v = (found.column(c).to_numpy() for c in ("kind", "id", "v"))
+        out = {x: np.zeros(n) for x, n in sizes.items()}
+        for x in out:
+            out[x][at[kind == x] - begin] = v[kind == x]
+        return out
+
+    out = numbers(sums.where("kind > 1"), {2: CLASSES + 1, 3: CLASSES + 1, 4: 1} | dict.fromkeys(range(5, 9), 2))
+    parts: dict[int, list] = {0: [], 1: []}
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        for x, v in numbers(sums.where(f"kind <= 1 and id >= {a} and id < {b}"), {0: b - a, 1: b - a}, a).items():
+            parts[x].append(spark.sparkContext.broadcast(v))
+    forget(spark, sums)
+    return out | {x: Sliced(edges, part) for x, part in parts.items()}
 
 
 @dataclass
@@ -395,7 +477,7 @@ class Model:
     """state: the buckets, stored; samples: the totals at each sample; info: counts N and V."""
 
     state: DataFrame
-    listed: object
+    listed: Contexts
     samples: list[Totals]
     tokens: int
     vocabulary: int
@@ -416,20 +498,19 @@ def train(docs: DataFrame, least: int = LEAST, most: int = MOST_CONTEXTS) -> Mod
     """docs: (text), the training rows."""
     spark = docs.sparkSession
     bits = bucket_bits(docs)
-    listed = spark.sparkContext.broadcast(contexts(docs, bits, least, most))
-    k = len(listed.value[0])
+    listed = contexts(docs, bits, least, most)
     blocks = docs.select("text").mapInArrow(_pair_blocks(listed, bits), "bucket long, w binary, size binary, code binary, n binary")
     state = stored(_dealt(blocks).mapInArrow(_counted(listed), _STATE), "counts")
     drop_shuffles(spark)
     discounts, samples = None, []
     for j in range(SWEEPS + 1):
-        g = _gathered(state, k)
+        g = _gathered(state, listed)
         discounts = discounts or (_kneser(g[6]), _kneser(g[7]), _kneser(g[8]))
         t = Totals(g[1], g[0], g[3], g[2], float(g[4][0]), int(g[5][0]), discounts)
         sample = j - BURN_IN - 1 if j > BURN_IN else None
         if sample is not None:
             samples.append(t)
-        new = stored(state.mapInArrow(_swept(listed, spark.sparkContext.broadcast(t), j, sample, j < SWEEPS), _STATE), "seated")
+        new = stored(state.mapInArrow(_swept(listed, t, j, sample, j < SWEEPS), _STATE), "seated")
         forget(spark, state)
         state = new
     return Model(state, listed, samples, int(g[5][1]), int(g[5][0]), bits)
@@ -445,9 +526,9 @@ def pair_key(w: np.ndarray, code: np.ndarray) -> np.ndarray:
 class Scorer:
     """A bucket's predictive probabilities."""
 
-    def __init__(self, s: dict, classes: np.ndarray, samples: list[Totals], bottom: float):
-        self.s, self.classes, self.samples, self.bottom = s, classes, samples, bottom
-        span = len(classes) + CLASSES + 1
+    def __init__(self, s: dict, listed: Contexts, samples: list[Totals], bottom: float):
+        self.s, self.listed, self.samples, self.bottom = s, listed, samples, bottom
+        span = len(listed) + CLASSES + 1
         word = np.repeat(np.arange(len(s["w"])), s["size"])
         self.span, self.key = span, word * span + s["code"]
         self.both = np.repeat(np.arange(len(s["w"])), s["csize"]) * (CLASSES + 1) + s["cls"]
@@ -455,8 +536,8 @@ class Scorer:
 
     def probabilities(self, at: np.ndarray, known: np.ndarray, code: np.ndarray) -> np.ndarray:
         """Of the word at the place ``at`` (if known) after each context."""
-        k = len(self.classes)
-        cls = _class_of(code, self.classes)
+        k = len(self.listed)
+        cls = _class_of(code, self.listed)
         held, c_at = _places(self.both, at * (CLASSES + 1) + cls)
         seen, p_at = _places(self.key, at * self.span + code)
         held, seen, own = held & known, seen & known, code < k
@@ -470,7 +551,8 @@ class Scorer:
             mine = np.zeros(len(x))
             there = seen[own]
             mine[there] = self.s["n"][p_at[own][there]] - t.discounts[0] * self.s[f"t{j}"][p_at[own][there]]
-            p[own] = mine / (STRENGTH + t.n[x]) + t.back()[x] * p[own]
+            n = t.n[x]
+            p[own] = mine / (STRENGTH + n) + t.back(n, t.t[x]) * p[own]
             out += p
         return out / len(self.samples)
 
@@ -489,7 +571,7 @@ def _frequent_pairs(listed, samples, bottom: float, least: int):
             s = _state(r)
             on = np.flatnonzero(s["n"] > least)
             w, code = np.repeat(s["w"], s["size"])[on], s["code"][on].astype(_L)
-            logs, base, _ = Scorer(s, listed.value[1], samples.value, bottom).scores(w, code)
+            logs, base, _ = Scorer(s, listed, samples, bottom).scores(w, code)
             yield pa.RecordBatch.from_arrays([pa.array(pair_key(w, code).view(_L)), pa.array(logs), pa.array(base)], ["key", "logs", "base"])
 
     return run
@@ -511,11 +593,11 @@ def _requests(listed, known, bits: int):
         from pyspark import TaskContext
 
         chunk = TaskContext.get().partitionId() << 24
-        (own, _), (keys, logs, base) = listed.value, known.value
-        span = len(own) + CLASSES + 1
+        keys, logs, base = known.value
+        span = len(listed) + CLASSES + 1
         for c in chunks(batches, CHUNK):
             doc = np.repeat(np.arange(len(c.sizes)), c.sizes)
-            pair, back = np.unique(c.token * span + c.codes(own), return_inverse=True)
+            pair, back = np.unique(c.token * span + c.codes(listed), return_inverse=True)
             word = pair // span
             hit, at = _places(keys, pair_key(c.words[word], pair - word * span))
             done = hit[back]
@@ -542,23 +624,38 @@ def _answers(listed, samples, bottom: float):
     """From rows ordered by bucket, the state's first (kind 0): sums by document for each request, and the chunks' own rows as they are."""
     names = ["chunk", "kind", "a", "b", "c"]
 
+    def answered(scorer: Scorer, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        """Of requests (chunk, words, contexts, documents) to one bucket, looked up together."""
+        if not held:
+            return
+        found = scorer.scores(*[np.concatenate([h[x] for h in held]) for x in (1, 2)])
+        ends = np.cumsum([len(h[1]) for h in held])[:-1]
+        for (chunk, _, _, doc), logs, base, known in zip(held, *[np.split(x, ends) for x in found], strict=True):
+            some, at = np.unique(doc, return_inverse=True)
+            sums = np.concatenate([np.bincount(at, x, minlength=len(some)) for x in (logs, base)])
+            yield _row(names, [chunk, 1, some.astype(_I), sums, np.bincount(at, known, minlength=len(some)).astype(_I)])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = bucket = None
+        held, size = [], 0
         empty = {k: np.zeros(0, t) for k, t in _KINDS.items()}
         for r in _rows(batches):
             if r["kind"] == 2:
                 yield _row(names, [r["chunk"], 0, *[_array(r[x], np.int8) for x in ("w", "size", "code")]])
                 continue
             if r["bucket"] != bucket:
+                yield from answered(scorer, held)
+                held, size = [], 0
                 bucket = r["bucket"]
-                scorer = Scorer(_state(r) if r["kind"] == 0 else empty, listed.value[1], samples.value, bottom)
+                scorer = Scorer(_state(r) if r["kind"] == 0 else empty, listed, samples, bottom)
             if r["kind"] == 1:
                 w = np.repeat(_array(r["w"], _U), _array(r["size"], _I))
-                doc = _array(r["doc"], _I)
-                logs, base, known = scorer.scores(w, _array(r["code"], _I).astype(_L))
-                some, at = np.unique(doc, return_inverse=True)
-                sums = np.concatenate([np.bincount(at, x, minlength=len(some)) for x in (logs, base)])
-                yield _row(names, [r["chunk"], 1, some.astype(_I), sums, np.bincount(at, known, minlength=len(some)).astype(_I)])
+                held.append((r["chunk"], w, _array(r["code"], _I).astype(_L), _array(r["doc"], _I)))
+                size += len(w)
+                if size >= ASKED:
+                    yield from answered(scorer, held)
+                    held, size = [], 0
+        yield from answered(scorer, held)
 
     return run
 
@@ -592,7 +689,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """docs: (doc_id, text). One row per row: doc_id, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     spark = docs.sparkSession
     bottom = model.tokens + 0.1 * (model.vocabulary + 1)
-    samples = spark.sparkContext.broadcast(model.samples)
+    samples = model.samples
     least, held = 8, 0
     for r in model.state.select("n").mapInArrow(_common_counts, "n long, c long").groupBy("n").agg(F.sum("c").alias("c")).orderBy(F.desc("n")).toLocalIterator():
         held += r["c"]

@@ -399,6 +399,19 @@ def test_lm_word_contexts(spark):
     assert got[0] > got[1] + 0.5 and got[2] > got[3] + 0.5
 
 
+def test_lm_slices(spark):
+    """However few contexts are held at a time, all of them have their restaurants, and the scores are the same."""
+    frame = docs_frame(spark, [(r.doc_id, r.text) for r in sf(spark, "documents").limit(40).collect()])
+    whole, sliced = (lm_scoring.train(frame, 5, most) for most in (1 << 20, 16))
+    assert len(whole.listed.value[0]) > 64 and len(sliced.listed.words.parts) > 4
+    assert all((x == y).all() for x, y in zip(whole.listed.value, sliced.listed.value, strict=True))
+    want, got = ({r.doc_id: r.score for r in lm_scoring.score(frame, m).collect()} for m in (whole, sliced))
+    p = brute.PitmanYor(sliced)
+    assert got.keys() == want.keys() and all(abs(got[i] - x) < 1e-9 * abs(x) for i, x in want.items())
+    for r in frame.limit(5).collect():
+        assert abs(got[r.doc_id] - p.score(r.text)) < 1e-6 * abs(got[r.doc_id])
+
+
 def test_lm_seats():
     """Blocks of customers give as many tables as customers one by one."""
     rng = np.random.default_rng(1)
