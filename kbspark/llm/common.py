@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -41,8 +42,8 @@ def few_rows(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-#: Paths of stored tables that haven't been forgotten.
-_STORED: set[str] = set()
+#: Paths of stored tables that haven't been forgotten, and the JVM's weak reference to what every plan that reads one holds.
+_STORED: dict[str, object] = {}
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -50,8 +51,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     with few_rows(df.sparkSession):
         df.write.parquet(path)
-    _STORED.add(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
+    relation = out._jdf.queryExecution().analyzed().collectLeaves().apply(0).relation()
+    _STORED[path] = df.sparkSession._jvm.java.lang.ref.WeakReference(relation)
     out._stored_at = path
     return out
 
@@ -59,7 +61,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def _delete(spark: SparkSession, path: str) -> None:
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-    _STORED.discard(path)
+    _STORED.pop(path, None)
 
 
 def forget(spark: SparkSession, *tables: DataFrame) -> None:
@@ -77,6 +79,17 @@ def drop_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def forget_unread(spark: SparkSession) -> None:
+    """Deletes the stored tables that no DataFrame reads any more, be it one derived from them; those that one may still read stay."""
+    for _ in range(4):
+        # what Python has dropped, the JVM hears of a little later
+        drop_shuffles(spark)
+        time.sleep(0.2)
+    for path, read in list(_STORED.items()):
+        if read.refersTo(None):
+            _delete(spark, path)
+
+
 def forget_all(spark: SparkSession) -> None:
     """Deletes every stored table: for when the results that read them have been written or dropped."""
     for path in sorted(_STORED):

@@ -171,6 +171,22 @@ def test_stored_tables(spark):
         assert os.listdir(common.shared_dir(spark)) == before
 
 
+def test_stored_tables_read(spark):
+    """A stored table stays as long as anything can read it."""
+    import os
+
+    from kbspark.llm import common
+
+    kept = common.stored(spark.range(10), "kept")
+    path, some = kept._stored_at, kept.where("id > 3").groupBy().count()
+    del kept
+    common.forget_unread(spark)
+    assert os.path.exists(path) and some.first()["count"] == 6
+    del some
+    common.forget_unread(spark)
+    assert not os.path.exists(path)
+
+
 def test_toxicity_every_window():
     """Windows without a key are compressed too."""
     texts = [" ".join(f"word{(i * 7 + k * 13) % 97}" for k in range(60)) for i in range(40)]
@@ -593,6 +609,28 @@ def test_pipeline_run(spark):
     check_packing(p.run(spark, SF).collect(), rows)
 
 
+def test_pipeline_disk(spark, tmp_path):
+    """With each stage's result written and read again, the folder holds what a stage and the one before it stored."""
+    import os
+
+    import corpus_pipeline as p
+    from kbspark.llm import common
+
+    common.forget_all(spark)
+    before = set(os.listdir(common.shared_dir(spark)))
+    docs, tables = sf(spark, "documents"), []
+    for k, (_, stage) in enumerate(p.STAGES):
+        out = stage(spark, docs, SF)
+        out.write.parquet(str(tmp_path / str(k)))
+        docs = spark.read.parquet(str(tmp_path / str(k)))
+        now = set(os.listdir(common.shared_dir(spark))) - before
+        assert not any(now & old for old in tables[:-1]), (k, now, tables)
+        tables.append(now - (tables[-1] if tables else set()))
+    del out
+    common.forget_unread(spark)
+    assert set(os.listdir(common.shared_dir(spark))) == before
+
+
 def test_pipeline_repeated_ids(spark):
     """One row of each group stays, whatever ids its rows share with others."""
     import corpus_pipeline as p
