@@ -26,6 +26,10 @@ Every filter is exact:
   most as many bits as they have shingles that the other lacks. Where keys are pairs of frequent shingles, and their lists long,
   the join itself asks this, so it makes few rows besides the links.
 
+Two nodes may share hundreds of keys that are pairs of frequent shingles, and one is as good as all, since only rare keys are counted. So
+for the second round those keys that have the same smallest node are one: all nodes of any of them meet there, and two nodes that share
+hundreds of keys meet a few times.
+
 No pair that could link two components goes unchecked.
 
 Statistics that order the shingles are counts over all documents. The frequent list that every
@@ -422,11 +426,13 @@ def _maybe(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _across(live: DataFrame, found: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
-    """Rows (a, b, x, y) of the pairs of nodes in different components, for each key they share."""
+    """Rows (a, b, x, y) of the pairs of nodes in different components, for each rare key they share, and at least once for those that are pairs."""
     part = live.join(found, "node", "left").select("key", "node", "what", F.coalesce("component", "node").alias("comp"))
-    mixed = part.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    part = stored(part.join(mixed, "key", "left_semi").withColumn("size", F.shiftright("what", 32)), "mixed")
+    mixed = part.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("node").alias("smallest")).where("lo <> hi").select("key", "smallest")
     is_pair = F.expr(f"shiftright(what, 30) & 3 = {PAIR}")
+    # keys that are pairs, by their smallest node; all such postings of a node are alike
+    part = part.join(mixed, "key").select(F.when(is_pair, F.col("smallest")).otherwise(F.col("key")).alias("key"), "node", "what", "comp").distinct()
+    part = stored(part.withColumn("size", F.shiftright("what", 32)), "mixed")
     on = f"l.key = r.key and l.node < r.node and l.comp <> r.comp and {_long_enough('l.size', 'r.size', percent)}"
     out = None
     for rows, also in ((part.where(~is_pair), ""), (part.where(is_pair).join(chosen.select("node", *SKETCHES), "node"), " and " + _alike("l.", "r.", "l.size", "r.size", percent))):

@@ -304,6 +304,19 @@ def test_jaccard_edges(spark, monkeypatch, often):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute.components(rows)
 
 
+def test_jaccard_frequent_keys(spark, monkeypatch):
+    """Unlike texts that share hundreds of pairs of frequent shingles meet a few times, not once for each; those that link do."""
+    common = [f"c{i}" for i in range(400)]
+    rows = [(k, " ".join(common + [f"o{k}x{i}" for i in range(84)])) for k in range(40)]
+    rows += [(100 + k, rows[k][1] + " more") for k in range(0, 40, 7)]
+    met = []
+    real = jaccard_join._across
+    monkeypatch.setattr(jaccard_join, "_across", lambda *args: (out := real(*args), met.append(out.count()))[0])
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(docs_frame(spark, rows)).collect())
+    assert got == sorted(brute.components(rows))
+    assert 0 < met[0] < 10 * len(rows) ** 2
+
+
 def test_jaccard_table(spark):
     docs = [(r.doc_id, r.text) for r in sf(spark, "documents").collect()]
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in queries.joined(spark, SF).collect()) == brute.components(docs)
