@@ -76,9 +76,14 @@ def windows(w: list[str], window: int = WINDOW) -> list[bytes]:
 
 def distances(text: str, model: Model, ordinary, toxic, window: int = WINDOW) -> tuple[np.ndarray, int]:
     """The distances of all windows, and the number of windows with a key."""
-    w = _words(text)
-    hits = {i // window for i, k in enumerate(keys(w)) if k in model.keys}
-    return np.array([len(ordinary(s)) - len(toxic(s)) for s in windows(w, window)], float), len(hits)
+    # bytes are split at the same characters as _WORD splits texts
+    w = text.lower().encode().split()
+    # a word that comes again is looked at once, and texts without keys end there
+    apart = list(set(w))
+    own = {x for x, k in zip(apart, keys([x.decode() for x in apart]), strict=True) if k in model.keys}
+    hits = {i // window for i, x in enumerate(w) if x in own} if own else ()
+    cut = [b" ".join(w[i : i + window]) for i in range(0, len(w), window)]
+    return np.array([len(ordinary(s)) - len(toxic(s)) for s in cut], float), len(hits)
 
 
 def numbers(found: tuple[np.ndarray, int], thresholds: list[float]) -> list[float]:

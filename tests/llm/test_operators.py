@@ -199,6 +199,22 @@ def test_toxicity_every_window():
     assert len(toxicity.distances(text, m, ordinary, toxic)[0]) == 5
 
 
+def test_toxicity_words(monkeypatch):
+    """A word that comes again in a text is looked at once; the hits are those of every word."""
+    looked = []
+    real = toxicity.keys
+    monkeypatch.setattr(toxicity, "keys", lambda w: looked.extend(w) or real(w))
+    model = toxicity.Model(b"x" * 64, b"y" * 64, [1, 2, 3, 4], [], [], [], frozenset(["bad", "wors"]))
+    for text, hits in (("a b (bad) " * 320, 40), ("a b good " * 320, 0), ("unbad badly " * 24 + "a " * 24 + "worst!", 1), ("", 0)):
+        looked.clear()
+        assert toxicity.distances(text, model, bytes, bytes)[1] == hits
+        assert sorted(looked) == sorted(set(text.split()))
+    odd = "".join(chr(c) for c in range(1, 0x250)) + " Bäd\x1cx BAD\u3000y\u2028z \x0bbad\x0c bad\x85 \xa0bad ÿbad\r\nbad"
+    cut = []
+    toxicity.distances(odd, model, lambda s: cut.append(s) or s, bytes)
+    assert cut == toxicity.windows(toxicity._words(odd))
+
+
 def test_toxicity_dictionaries():
     """Both dictionaries hold passages of their texts, also words next to a key; thresholds follow the calibration rows."""
     rng = np.random.default_rng(4)
