@@ -201,16 +201,6 @@ def _postings(n: int, percent: int, frequent):
     return run
 
 
-def _full_sets(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches):
-            for lo, hi, sets in _slices(b, n):
-                marks = pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column("row").slice(lo, hi - lo), marks, pa.array([s.tobytes() for s in sets], pa.binary())], ["row", "node", "shingles"])
-
-    return run
-
-
 def _verify(percent: int):
     """From sets ordered by hub, the hub's own first (b null): the pairs that reach the similarity."""
 
@@ -381,7 +371,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, shingle: int
     pairs = stored(_unlike_dropped(pairs, chosen, percent), "pairs")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = stored(chosen.select("node", "row").join(asked, "node", "left_semi"), "wanted")
-    made = _maybe(docs.select(_row(), "text"), wanted).mapInArrow(_full_sets(shingle), "row long, node long, shingles binary")
+    made = _full_sets(docs.select(_row(), "text"), wanted, shingle)
     # one shuffle: the rows of one id and node, equal texts, are where the join puts them
     sets = made.join(wanted, ["row", "node"]).groupBy("row", "node").agg(F.first("shingles").alias("shingles"))
     sets = stored(sets.select("node", "shingles"), "sets")
@@ -407,8 +397,11 @@ def _row() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("row")
 
 
-def _maybe(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of docs whose number may be wanted, by a bitmap of fixed size (2 MB); the join that follows is exact."""
+def _full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """(row, node, shingles) of the rows of docs whose number may be wanted, by a bitmap of fixed size (2 MB); the join that follows is exact.
+
+    The same worker sifts the texts and makes the sets: they go to Python once, and a task has one worker.
+    """
     bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
     at = wanted.select(bit("row").alias("x")).select(F.shiftright("x", 5).alias("i"), F.expr("shiftleft(1L, cast(x % 32 as int))").alias("v"))
     bits = np.zeros(FILTER_BITS // 32, np.uint32)
@@ -416,13 +409,19 @@ def _maybe(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         bits[r.i] = r.v
     listed = docs.sparkSession.sparkContext.broadcast(bits)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = b.column("x").to_numpy(zero_copy_only=False)
             keep = (listed.value[x >> 5] >> (x & 31).astype(np.uint32)) & 1 == 1
-            yield b.select(["row", "text"]).filter(pa.array(keep))
+            yield b.filter(pa.array(keep))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(maybe(batches)):
+            for lo, hi, sets in _slices(b, n):
+                marks = pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column("row").slice(lo, hi - lo), marks, pa.array([s.tobytes() for s in sets], pa.binary())], ["row", "node", "shingles"])
 
-    return docs.withColumn("x", bit("row")).mapInArrow(run, docs.schema)
+    return docs.withColumn("x", bit("row")).mapInArrow(run, "row long, node long, shingles binary")
 
 
 def _across(live: DataFrame, found: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:

@@ -333,6 +333,19 @@ def test_jaccard_frequent_keys(spark, monkeypatch):
     assert 0 < met[0] < 10 * len(rows) ** 2
 
 
+def test_jaccard_workers(spark, monkeypatch):
+    """No task of the join has two Python workers: texts are sifted where their sets are made."""
+    plans, real = {}, jaccard_join.stored
+    told = lambda df, name: (plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()), real(df, name))[1]
+    monkeypatch.setattr(jaccard_join, "stored", told)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_join(docs_frame(spark, TEXTS[:-1])).collect())
+    assert got == sorted(brute.components(TEXTS[:-1]))
+    assert {"nodes", "live", "sets", "links"} <= set(plans) and plans["sets"].count("MapInArrow") == 1
+    for plan in plans.values():
+        for part in plan.split("Exchange"):
+            assert part.count("MapInArrow") <= 1
+
+
 def test_jaccard_table(spark):
     docs = [(r.doc_id, r.text) for r in sf(spark, "documents").collect()]
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in queries.joined(spark, SF).collect()) == brute.components(docs)
