@@ -42,6 +42,10 @@ def few_rows(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+#: A stored table on local disks is written without checksum files. For each file and each task's folder Hadoop starts a process (chmod), which
+#: shares the memory of the whole JVM until it has begun, and is counted with it: two a task, three with checksum files. Other file systems aren't concerned.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
 #: Paths of stored tables that haven't been forgotten, and the JVM's weak reference to what every plan that reads one holds.
 _STORED: dict[str, object] = {}
 
@@ -50,7 +54,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df written once to the shared folder and read again: its lineage ends there, and a lost executor costs nothing."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     with few_rows(df.sparkSession):
-        df.write.parquet(path)
+        df.write.options(**PLAIN_FILES).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     relation = out._jdf.queryExecution().analyzed().collectLeaves().apply(0).relation()
     _STORED[path] = df.sparkSession._jvm.java.lang.ref.WeakReference(relation)

@@ -187,6 +187,19 @@ def test_stored_tables_read(spark):
     assert not os.path.exists(path)
 
 
+def test_stored_files(spark):
+    """A stored table has no checksum files, for each of which an executor's JVM would start a process."""
+    import os
+
+    from kbspark.llm import common
+
+    kept = common.stored(spark.range(10).repartition(3), "kept")
+    names = [n for n in os.listdir(kept._stored_at.removeprefix("file://")) if n != "_SUCCESS"]
+    assert len(names) == 3 and all(n.startswith("part-") for n in names), names
+    assert sorted(x.id for x in kept.collect()) == list(range(10))
+    common.forget(spark, kept)
+
+
 def test_toxicity_every_window():
     """Windows without a key are compressed too."""
     texts = [" ".join(f"word{(i * 7 + k * 13) % 97}" for k in range(60)) for i in range(40)]
