@@ -38,12 +38,19 @@ SLOTS_PER_ROOT = 60
 CELL = 1 << 13
 #: Tables of a row for each source are broadcast if there are no more (about 60 bytes each).
 FEW_SOURCES = 100_000
+#: Sizes, slots and the result are narrow rows: a task, and so a file, for so many rows, or for each core if that is more.
+FILE_ROWS = 1 << 13
 
 
 def sized(docs: DataFrame) -> DataFrame:
     return docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(NOT_SPACE)), F.lit(0)).cast("long"))
 
 
+def _few_files(df: DataFrame, rows: int) -> DataFrame:
+    """The same rows in fewer tasks, if there are more than such narrow rows need."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """sizes: (source, source_size), a row per source. Adds weight, target, and cumulative targets lo, hi."""
     everything = Window.orderBy(F.col("source").isNull(), F.col("source").cast("binary"))
@@ -108,7 +115,7 @@ def schedule(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     # the k-th block of a source's stream
     ranked = ranked.withColumn("b0", F.floor(F.col("rank") * F.lit(block)).cast("long"))
     ranked = ranked.withColumn("b1", F.least(F.floor((F.col("rank") + 1) * F.lit(block)).cast("long"), most * F.col("source_size"))).where("b1 > b0")
-    ranked = stored(ranked.select("place", "slot", "rank", "b0", "b1"), "slots")
+    ranked = stored(_few_files(ranked.select("place", "slot", "rank", "b0", "b1"), slots), "slots")
     ends = stored(sources.select("place", "source_size").join(ranked.groupBy("place").agg(F.max("b1").alias("end")), "place"), "ends")
     turns = placed.where("size > 0").join(few(ends), "place")
     turns = turns.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(most - 1)))).withColumn("d0", F.col("turn") * F.col("source_size") + F.col("begin")).where("d0 < end")
@@ -123,12 +130,15 @@ def schedule(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """docs: (doc_id, text, source). One row per row: row (a number), doc_id, source, size, source_size, target, taken, first_slot (null: in none)."""
-    rows = stored(sized(docs.select("doc_id", "text", "source")).drop("text").withColumn("row", F.monotonically_increasing_id()), "sized")
+    n = docs.count()
+    rows = sized(docs.select("doc_id", "text", "source")).drop("text").withColumn("row", F.monotonically_increasing_id())
+    rows = stored(_few_files(rows, n), "sized")
     placed, sources, takes = schedule(rows, weights, most)
     taken = takes.groupBy("row").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
     few = F.broadcast if sources.count() <= FEW_SOURCES else lambda df: df
     out = placed.join(few(sources.select("place", "source_size", "target")), "place").join(taken, "row", "left")
-    return out.select("row", "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot")
+    out = out.select("row", "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot")
+    return _few_files(out, n)
 
 
 def taken_texts(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:

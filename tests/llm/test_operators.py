@@ -313,6 +313,32 @@ def test_mixing(spark):
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mix(docs.where("size(split(trim(text), ' ')) < 1 or text is null")).count() == 1
 
 
+def test_mixing_files(spark, monkeypatch):
+    """However many partitions the documents and shuffles have, sizes, slots and the mix have a task for each core or for so many rows; the rows are the same."""
+    docs = sf(spark, "documents").repartition(40).cache()
+    cores, files, real = spark.sparkContext.defaultParallelism, {}, mixing.stored
+
+    def told(df, name):
+        files[name] = df.rdd.getNumPartitions()
+        return real(df, name)
+
+    monkeypatch.setattr(mixing, "stored", told)
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    plain = lambda df: sorted((r.doc_id, r.size, r.source_size, r.target, r.taken, r.first_slot) for r in df.collect())
+    want = plain(mixing.mix(docs))
+    try:
+        for n, x in zip(names, ("40", "false"), strict=True):
+            spark.conf.set(n, x)
+        got = mixing.mix(docs)
+        assert files["sized"] <= cores and files["slots"] <= cores and got.rdd.getNumPartitions() <= cores
+        assert plain(got) == want
+    finally:
+        for n, x in zip(names, before, strict=True):
+            spark.conf.set(n, x)
+        docs.unpersist()
+
+
 # 6
 
 
