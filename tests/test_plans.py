@@ -48,6 +48,23 @@ def test_terms_long(spark):
     assert time.time() - t < 5
 
 
+def _planned(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_terms_once(spark):
+    """Terms are made by Arrow batches, once a text for each use of the postings: no filter repeats them, no lambda goes through them."""
+    from kbspark.operators import indexes
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = _planned(indexes.inverted(indexes.postings(docs)))
+    assert "lambda" not in plan and "size(" not in plan and plan.count("MapInArrow") == 1
+    few = spark.createDataFrame([(1, "ab c ab 的 x1"), (2, None), (3, ""), (4, "\u212aelvin 12 É芯")], "doc_id long, text string")
+    got = sorted((r.doc, r.term, r.n_terms) for r in indexes.postings(few).collect())
+    assert got == [(1, "ab", 1), (4, "12", 2), (4, "elvin", 2)]
+    assert [r.t for r in few.orderBy("doc_id").select(T.terms(F.col("text")).alias("t")).collect()] == [["ab"], [], [], ["elvin", "12"]]
+
+
 def windows_by_steps(text, size, overlap, most):
     """One window after the other, as a loop that goes on where the last began."""
     full = ""
