@@ -65,6 +65,19 @@ def test_terms_once(spark):
     assert [r.t for r in few.orderBy("doc_id").select(T.terms(F.col("text")).alias("t")).collect()] == [["ab"], [], [], ["elvin", "12"]]
 
 
+def test_fulltext_counts_asked(spark):
+    """Only the query's terms are weighed: the frequencies that are joined are broadcast, and scores are those of all weights."""
+    from kbspark.operators import indexes, search
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    posts, n = indexes.postings(docs), docs.agg(F.count("*").alias("n"))
+    asked = spark.createDataFrame([("the",), ("die",), ("the",), ("qqq",)], "term string")
+    got = search.fulltext_of(posts, n, asked, None)
+    assert "SortMergeJoin" not in got._jdf.queryExecution().sparkPlan().toString()
+    want = search.fulltext(indexes.tfidf(posts, n), asked, None)
+    assert sorted(got.collect()) == sorted(want.collect()) != []
+
+
 def windows_by_steps(text, size, overlap, most):
     """One window after the other, as a loop that goes on where the last began."""
     full = ""
