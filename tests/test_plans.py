@@ -78,6 +78,61 @@ def test_fulltext_counts_asked(spark):
     assert sorted(got.collect()) == sorted(want.collect()) != []
 
 
+def test_prepared_words(spark):
+    """Words made of prepared texts in Python are those of ``preprocessed``; every character is taken out or kept as there."""
+    import random
+
+    from kbspark.operators import embedding
+
+    chars = [chr(i) for i in [*range(1, 0xD800), *range(0xE000, 0x10000), 0x1F130, 0x1F600, 0x20000, 0x10FFFF]]
+    rows = spark.createDataFrame([(i, "ab" + c + "cdefgh") for i, c in enumerate(chars)], "i long, t string")
+    joined = {r.i for r in rows.where(T.preprocessed(F.col("t")) == "abcdefgh").collect()}
+    differ = [hex(ord(c)) for i, c in enumerate(chars) if T.taken_out(c) != (i in joined) and c not in "#*`"]
+    # characters that one side's version of Unicode doesn't know yet
+    import unicodedata
+
+    old = unicodedata.ucd_3_2_0
+    assert [c for c in differ if old.category(chr(int(c, 16))) != "Cn"] == []
+    draw = random.Random(5)
+    parts = ["芯片", "电", "压的", "ab", "x1", "É", "-", "'", "\u3000", " ", "\n", "\u2028", "![a](b)", "[see](http://x)", "[", "](", "*", "_", "²", ".", "（", "\x1c", "的", "你"]
+    texts = [(i, "".join(draw.choice(parts) for _ in range(draw.randint(0, 12)))) for i in range(3000)] + [(3000, None), (3001, "芯片电压"), (3002, "PWM"), (3003, " a  b ")]
+    stop = set(embedding.SEGMENT_STOP_WORDS)
+
+    def want(t):
+        import re
+
+        runs = re.findall("[a-zA-Z0-9]+|[\u4e00-\u9fa5]+", t)
+        words = [w for r in runs for w in ([r] if r.isascii() else [r[i : i + 2] for i in range(max(1, len(r) - 1))])]
+        words = [w for w in words if len(w) > 1 and w not in stop]
+        return Counter(words + [a + " " + b for a, b in zip(words, words[1:])])
+
+    rows = spark.createDataFrame(texts, "k long, t string")
+    wanted = {r.k: want(r.p) for r in rows.select("k", T.preprocessed(F.col("t")).alias("p")).collect()}
+    got = {k: Counter() for k in wanted}
+    for r in embedding._counts(rows, "k", "t").collect():
+        assert r.term not in got[r.k]
+        got[r.k][r.term] = r.tf
+    assert got == wanted
+
+
+def test_counts_merge_keys(spark):
+    """Rows of a repeated key count together; sparse scores are those of dense vectors."""
+    from kbspark.operators import embedding, search
+
+    rows = [(i % 40, "documents", f"PWM timer w{i % 7} clock 芯片{'电压' * (i % 3)} end", f"{i}.md", "A", "Datasheet") for i in range(60)]
+    chunks = spark.createDataFrame(rows, "chunk_id long, chunk_type string, text string, file_name string, chip_category string, document_type string")
+    counts = {(r.chunk_id, r.term): r.tf for r in embedding._counts(chunks, "chunk_id", "text").collect()}
+    assert counts[0, "PWM timer"] == 2 and counts[39, "PWM timer"] == 1 and embedding._counts(chunks, "chunk_id", "text").count() == len(counts)
+    config = search.SearchConfig(30, 0.01)
+    embedded, words = embedding.embed_chunks(chunks, embedding.EmbeddingConfig(max_df=1.0))
+    vector = embedding.query_vector("PWM 芯片 w3", words)
+    dense = search.search_text(embedded, "PWM 芯片 w3", vector, config)
+    sparse = search.search_sparse(chunks, embedding.tfidf_vectors(chunks, words), "PWM 芯片 w3", vector, config)
+    assert "aggregate(" not in _planned(sparse)
+    near = lambda df: [(r.chunk_id, round(r.score, 9)) for r in df.collect()]
+    assert near(dense) == near(sparse) and len(near(sparse)) == 30
+
+
 def windows_by_steps(text, size, overlap, most):
     """One window after the other, as a loop that goes on where the last began."""
     full = ""
