@@ -133,6 +133,19 @@ def test_counts_merge_keys(spark):
     assert near(dense) == near(sparse) and len(near(sparse)) == 30
 
 
+def test_cleaned_once(spark):
+    """The cleaning steps are in a plan once, also of both datasets together, and those are the union of each."""
+    from kbspark.operators import alpaca
+    from kbspark.plans import manuals
+
+    chunks = manuals._chunks(spark.read.parquet(f"{SF}/documents.parquet"))
+    both = alpaca.complete_dataset(chunks, None, None)
+    for df in (alpaca.qa_dataset(chunks), alpaca.instruction_dataset(chunks), both):
+        assert _planned(df).count("mathbb") == 1
+    want = alpaca.qa_dataset(chunks).withColumn("kind", F.lit("qa")).unionByName(alpaca.instruction_dataset(chunks).withColumn("kind", F.lit("instruction")))
+    assert sorted(both.collect()) == sorted(want.collect()) != []
+
+
 def windows_by_steps(text, size, overlap, most):
     """One window after the other, as a loop that goes on where the last began."""
     full = ""
