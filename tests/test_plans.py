@@ -161,6 +161,18 @@ def test_similarity_blocks(spark):
     assert [got[14][k] for k in range(1, 6)] == [(b, 0.0) for b in (0, 2, 4, 6, 8)]
 
 
+def test_related_by_pieces(spark):
+    """Bases meet chunks in the workers, not in a nested loop join; a keyword counts wherever the text holds it, also late in a long run of capitals."""
+    from kbspark.operators import integration
+
+    texts = ["ABC PWM", "X" * 30 + "ABC", None, "PWM ABC", "none"]
+    rows = spark.createDataFrame([(i, t, "A" if i == 4 else None, "Datasheet" if i == 2 else "User Manual") for i, t in enumerate(texts)], "chunk_id long, text string, chip_category string, document_type string")
+    df = integration.related_by_keyword(rows, rows.where("chunk_id = 0"), 3)
+    assert "Join" not in _planned(df)
+    assert [(r.base, r.chunk_id, r.score, r["rank"]) for r in sorted(df.collect(), key=lambda r: r["rank"])] == [(0, 3, 2, 1), (0, 1, 1, 2), (0, 2, 1, 3)]
+    assert integration.related_by_keyword(rows, rows.limit(0), 3).count() == 0
+
+
 def windows_by_steps(text, size, overlap, most):
     """One window after the other, as a loop that goes on where the last began."""
     full = ""
