@@ -173,6 +173,34 @@ def test_related_by_pieces(spark):
     assert integration.related_by_keyword(rows, rows.limit(0), 3).count() == 0
 
 
+def test_packed_few_at_a_time():
+    """Of a large batch of texts, few are objects at the same time."""
+    import pyarrow as pa
+
+    from kbspark.functions.batches import ROWS
+
+    udf = chunking._lists(lambda t: [t])
+    texts = pa.array([f"t{i}" for i in range(5 * ROWS + 3)])
+    asked = []
+
+    class Watched:
+        def __init__(self, a):
+            self.a = a
+
+        def __len__(self):
+            return len(self.a)
+
+        def slice(self, *x):
+            return Watched(self.a.slice(*x))
+
+        def to_pylist(self):
+            asked.append(len(self.a))
+            return self.a.to_pylist()
+
+    assert udf.func(Watched(texts)).to_pylist() == [[f"t{i}"] for i in range(5 * ROWS + 3)]
+    assert max(asked) == ROWS and sum(asked) == len(texts)
+
+
 def windows_by_steps(text, size, overlap, most):
     """One window after the other, as a loop that goes on where the last began."""
     full = ""
